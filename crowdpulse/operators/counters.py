@@ -110,11 +110,20 @@ def activity_score(
 
 
 def flag_targets(flags: DataFrame, comments: DataFrame) -> DataFrame:
-    """Flags with the image they lead to, directly or by the flagged comment."""
+    """Flags with the image they lead to, directly or by the flagged comment.
+
+    Image flags have no comment and stay out of the join: as null keys they would
+    all meet in one task.
+    """
     owner = comments.select(F.col("id").alias("comment_id"), F.col("image_id").alias("__owner"))
-    return flags.join(owner, "comment_id", "left").withColumn(
-        "target_image_id", F.coalesce("image_id", "__owner")
-    ).drop("__owner")
+    on_comment = (
+        flags.filter(F.col("comment_id").isNotNull())
+        .join(owner, "comment_id", "left")
+        .withColumn("target_image_id", F.coalesce("image_id", "__owner"))
+        .drop("__owner")
+    )
+    on_image = flags.filter(F.col("comment_id").isNull()).withColumn("target_image_id", F.col("image_id"))
+    return on_comment.unionByName(on_image)
 
 
 def counted_every(totals: DataFrame, total: str, step: int, also: tuple[int, ...]) -> DataFrame:

@@ -21,106 +21,121 @@ def decision_points(images: DataFrame, params: EngagementParams) -> DataFrame:
     )
 
 
-def window_features(images: DataFrame, windows: DataFrame, params: EngagementParams) -> DataFrame:
-    """Window counts of each image as known at each decision point.
+def _window_facts(windows: DataFrame) -> DataFrame:
+    return windows.select(
+        "image_id",
+        "kind",
+        F.col("window_start").alias("since"),
+        F.col("window_end").alias("until"),
+        F.col("event_count").alias("n"),
+    )
 
-    ``windows``: (kind, image_id, window_start, window_end, event_count), final or
-    partial rows. A window counts when it starts at or after the upload and ends at
-    or before the cutoff; the recent counts also need an end after cutoff - W.
 
-    One join on the image and one aggregation serve all decision points; the rows
-    joined are window counts, so a hot image is bounded by the number of windows.
+def _label_facts(eligible_flags: DataFrame) -> DataFrame:
+    """Earliest and latest eligible flag per image and hour.
+
+    An hour is shorter than the label horizon, so it holds a flag of the interval
+    exactly when its latest is not before the upload and its earliest not after
+    the end. A hot image is one row per hour.
     """
-    last = max(params.decision_points) * 60
-    w = windows.select(
-        F.col("image_id").alias("__image"), "kind", "window_start", "window_end", "event_count"
+    hour = F.date_trunc("hour", "created_at")
+    return (
+        eligible_flags.filter(F.col("image_id").isNotNull())
+        .groupBy("image_id", hour.alias("__hour"))
+        .agg(
+            F.min("created_at").alias("since"), F.max("created_at").alias("until"), F.count("*").alias("n")
+        )
+        .select("image_id", F.lit("label").alias("kind"), "since", "until", "n")
     )
-    joined = images.select("id", "created_at").join(
-        w,
-        (F.col("id") == F.col("__image"))
-        & (F.col("window_start") >= F.col("created_at"))
-        & (F.col("window_end") <= times.plus_seconds(F.col("created_at"), last)),
+
+
+def _per_image(images: DataFrame, facts: DataFrame, params: EngagementParams) -> DataFrame:
+    """Images with ``points`` (window counts at each decision point) and the label.
+
+    A window counts when it starts at or after the upload and ends at or before
+    the cutoff; the recent counts also need an end after cutoff - W. One join on
+    the image and one aggregation on the same key serve all decision points and
+    the label. ``facts`` are reduced per image and time unit, so a hot image is
+    bounded by the time span, whatever its traffic.
+    """
+    if params.label_horizon_hours < 1:
+        raise ValueError("the label horizon must be at least one hour")
+    upload, until, kind = F.col("created_at"), F.col("until"), F.col("kind")
+    last_cutoff = times.plus_seconds(upload, max(params.decision_points) * 60)
+    label_end = times.plus_seconds(upload, params.label_horizon_hours * 3600)
+    in_window = (kind != "label") & (F.col("since") >= upload) & (until <= last_cutoff)
+    in_label = (kind == "label") & (until >= upload) & (F.col("since") <= label_end)
+    joined = images.join(
+        facts.withColumnRenamed("image_id", "__image"),
+        (F.col("id") == F.col("__image")) & (in_window | in_label),
         "left",
     )
 
-    def counted(kind: str, minutes: int, recent: int | None):
-        cutoff = times.plus_seconds(F.col("created_at"), minutes * 60)
-        seen = (F.col("kind") == kind) & (F.col("window_end") <= cutoff)
+    def counted(of: str, minutes: int, recent: int | None):
+        seen = (kind == of) & (until <= times.plus_seconds(upload, minutes * 60))
         if recent is not None:
-            seen = seen & (
-                F.col("window_end") > times.plus_seconds(F.col("created_at"), (minutes - recent) * 60)
-            )
-        return F.coalesce(F.sum(F.when(seen, F.col("event_count"))), F.lit(0))
+            seen = seen & (until > times.plus_seconds(upload, (minutes - recent) * 60))
+        return F.coalesce(F.sum(F.when(seen, F.col("n"))), F.lit(0))
 
     def at(minutes: int):
         fields = [F.lit(minutes).cast("int").alias("decision_point_minutes")]
-        for kind in COUNT_KINDS:
+        for of in COUNT_KINDS:
             for name, recent in params.recency_minutes.items():
-                fields.append(counted(kind, minutes, recent).alias(f"{kind}s_{name}"))
+                fields.append(counted(of, minutes, recent).alias(f"{of}s_{name}"))
         fields.append(counted("flag", minutes, None).alias("total_flags"))
         return F.struct(*fields)
 
-    per_image = joined.groupBy("id").agg(
-        F.array(*[at(m) for m in params.decision_points]).alias("points")
+    return joined.groupBy(*images.columns).agg(
+        F.array(*[at(m) for m in params.decision_points]).alias("points"),
+        F.max(F.when(kind == "label", 1).otherwise(0)).alias(LABEL),
     )
+
+
+def window_features(images: DataFrame, windows: DataFrame, params: EngagementParams) -> DataFrame:
+    """Window counts of each image as known at each decision point.
+
+    ``windows``: (kind, image_id, window_start, window_end, event_count), final or
+    partial rows.
+    """
+    per_image = _per_image(images.select("id", "created_at"), _window_facts(windows), params)
     return per_image.select(F.col("id").alias("image_id"), F.explode("points").alias("p")).select(
         "image_id", "p.*"
     )
 
 
 def flag_labels(images: DataFrame, eligible_flags: DataFrame, params: EngagementParams) -> DataFrame:
-    """1 when an eligible flag falls in [upload, upload + horizon], both ends included.
-
-    Flags are first reduced to the earliest and latest per image and hour. An hour
-    is shorter than the horizon, so it holds a flag of the interval exactly when
-    its latest is not before the upload and its earliest not after the end.
-    """
-    if params.label_horizon_hours < 1:
-        raise ValueError("the label horizon must be at least one hour")
-    hours = (
-        eligible_flags.filter(F.col("image_id").isNotNull())
-        .groupBy("image_id", F.date_trunc("hour", "created_at").alias("__hour"))
-        .agg(F.min("created_at").alias("__first"), F.max("created_at").alias("__last"))
-    )
-    end = times.plus_seconds(F.col("created_at"), params.label_horizon_hours * 3600)
-    hit = hours.join(
-        images.select(F.col("id").alias("image_id"), "created_at"), "image_id"
-    ).filter((F.col("__last") >= F.col("created_at")) & (F.col("__first") <= end))
-    flagged = hit.select("image_id").distinct().withColumn("__flagged", F.lit(1))
-    return (
-        images.select(F.col("id").alias("image_id"))
-        .join(flagged, "image_id", "left")
-        .select("image_id", F.coalesce("__flagged", F.lit(0)).alias(LABEL))
-    )
+    """1 when an eligible flag falls in [upload, upload + horizon], both ends included."""
+    per_image = _per_image(images.select("id", "created_at"), _label_facts(eligible_flags), params)
+    return per_image.select(F.col("id").alias("image_id"), LABEL)
 
 
 def user_image_counts(images: DataFrame, params: EngagementParams, bucket_seconds: int = 86_400) -> DataFrame:
-    """Images of the same user uploaded up to each cutoff (itself and later uploads included)."""
-    facts = images.select(
-        "user_id",
-        F.col("created_at").alias("at"),
-        F.lit(True).alias("is_image"),
-        F.lit(None).cast(images.schema["id"].dataType).alias("image_id"),
-        F.lit(None).cast("int").alias("decision_point_minutes"),
-    )
-    asked = decision_points(images, params).select(
-        "user_id",
-        F.col("cutoff").alias("at"),
-        F.lit(False).alias("is_image"),
-        F.col("id").alias("image_id"),
-        "decision_point_minutes",
-    )
+    """Images of the same user uploaded up to each cutoff (itself and later uploads included).
+
+    Every image is one fact at its upload and one question per decision point; the
+    answer is the running total at the question.
+    """
+    upload = F.col("created_at")
+    rows = [F.struct(upload.alias("at"), F.lit(None).cast("int").alias("decision_point_minutes"))]
+    rows += [
+        F.struct(times.plus_seconds(upload, m * 60).alias("at"), F.lit(m).cast("int").alias("decision_point_minutes"))
+        for m in params.decision_points
+    ]
+    spread = images.select(
+        "user_id", F.col("id").alias("image_id"), F.explode(F.array(*rows)).alias("r")
+    ).select("user_id", "image_id", "r.*")
+    is_image = F.col("decision_point_minutes").isNull()
     return (
         rolling_counts(
-            facts.unionByName(asked),
+            spread,
             key="user_id",
             ts=F.col("at"),
             # Uploads at the cutoff itself count.
-            order=F.when(F.col("is_image"), 0).otherwise(1),
-            totals={"images": F.col("is_image")},
+            order=F.when(is_image, 0).otherwise(1),
+            totals={"images": is_image},
             bucket_seconds=bucket_seconds,
         )
-        .filter(~F.col("is_image"))
+        .filter(~is_image)
         .select("image_id", "decision_point_minutes", F.col("images_total").alias("user_image_count"))
     )
 
@@ -140,29 +155,44 @@ def training_rows(
 ) -> DataFrame:
     """One labelled row per eligible image and decision point.
 
-    ``images`` are eligible images with ``user_created_at``. The three inputs meet
-    on the image id, which all of them are already partitioned by.
+    ``images`` are eligible images with ``user_created_at``. Counts, labels and
+    user counts meet on the image id before the decision points are spread out,
+    so every side is shuffled once.
     """
-    counts = window_features(images, windows, params)
-    labels = flag_labels(images, eligible_flags, params)
-    uploads = user_image_counts(images, params)
+    facts = _window_facts(windows).unionByName(_label_facts(eligible_flags))
     described = images.select(
-        F.col("id").alias("image_id"),
-        times.hour_of_day(F.col("created_at")).alias("hour_of_day"),
-        times.day_of_week(F.col("created_at")).alias("day_of_week"),
-        times.is_weekend(F.col("created_at")).alias("is_weekend"),
+        "id",
+        "created_at",
         content.caption_length(F.col("caption")).alias("caption_length"),
-        content.has_caption(F.col("caption")).alias("has_caption"),
         times.days_between(F.col("user_created_at"), F.col("created_at")).alias("user_age_days"),
         F.coalesce("category", F.lit("Unknown")).alias("category"),
     )
-    joined = (
-        described.join(labels, "image_id")
-        .join(counts, "image_id")
-        .join(uploads, ["image_id", "decision_point_minutes"])
-        .withColumn("time_since_upload_seconds", F.col("decision_point_minutes").cast("bigint") * 60)
+    minutes = F.col("decision_point_minutes")
+    uploads = (
+        user_image_counts(images, params)
+        .groupBy(F.col("image_id").alias("id"))
+        .agg(*[F.max(F.when(minutes == m, F.col("user_image_count"))).alias(f"__u{m}") for m in params.decision_points])
+    )
+    known = F.create_map(*[x for m in params.decision_points for x in (F.lit(m), F.col(f"__u{m}"))])
+    upload = F.col("created_at")
+    rows = (
+        _per_image(described, facts, params)
+        .join(uploads, "id")
+        .withColumn("p", F.explode("points"))
+        .select("*", "p.*")
+        .withColumns(
+            {
+                "image_id": F.col("id"),
+                "time_since_upload_seconds": minutes.cast("bigint") * 60,
+                "hour_of_day": times.hour_of_day(upload),
+                "day_of_week": times.day_of_week(upload),
+                "is_weekend": times.is_weekend(upload),
+                "has_caption": F.when(F.col("caption_length") > 0, 1).otherwise(0),
+                "user_image_count": known[minutes],
+            }
+        )
     )
-    return with_ratios(joined).select(*[F.col(f.name).cast(f.dataType) for f in TRAINING])
+    return with_ratios(rows).select(*[F.col(f.name).cast(f.dataType) for f in TRAINING])
 
 
 def label_distribution(rows: DataFrame) -> DataFrame:

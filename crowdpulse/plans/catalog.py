@@ -240,7 +240,7 @@ def flag_targets(spark, sf_dir):
 
 
 def _user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = domain.events(spark, sf_dir).filter(F.col("kind").isin("view", "comment", "flag"))
+    events = domain.events(spark, sf_dir, counters.KINDS)
     return alerts.activity_counts(
         events.select("event_id", "user_id", "kind", "ts"), SCALED, key="user_id"
     )

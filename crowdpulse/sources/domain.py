@@ -7,6 +7,8 @@ flag on a comment. An event belongs to the last image its user uploaded before.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +25,13 @@ KIND_OF_TYPE = {
 }
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, kinds: Iterable[str] | None = None) -> DataFrame:
+    """All events, or those of some kinds (the filter reaches the scan)."""
     kind = F.create_map(*[F.lit(x) for pair in KIND_OF_TYPE.items() for x in pair])
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if kinds is not None:
+        rows = rows.filter(F.col("event_type").isin(*[t for t, k in KIND_OF_TYPE.items() if k in kinds]))
+    return rows.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         "user_id",
@@ -52,8 +58,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*[F.lit(c) for c in CATEGORIES])
     return (
-        events(spark, sf_dir)
-        .filter(F.col("event_type") == "signup")
+        events(spark, sf_dir, ["upload"])
         .select(
             F.col("event_id").alias("id"),
             "user_id",

@@ -27,9 +27,19 @@ def scoring_writer(
         asked = serving.accepted_requests(batch)
         if "request_id" not in asked.columns:
             asked = asked.withColumn("request_id", F.xxhash64("image_id", "trigger", "ts"))
-        # Only activity of the asked images is shuffled for the counts.
-        wanted = events.join(asked.select("image_id").distinct(), "image_id", "left_semi")
-        rows = serving.request_features(asked, wanted, images, users, params)
+        # A batch asks for few images: only their activity, and only the images of
+        # their uploaders (for the per-user count), go through the shuffles.
+        ids = asked.select("image_id").distinct()
+        owners = (
+            images.join(ids, images["id"] == ids["image_id"], "left_semi").select("user_id").distinct()
+        )
+        rows = serving.request_features(
+            asked,
+            events.join(ids, "image_id", "left_semi"),
+            images.join(owners, "user_id", "left_semi"),
+            users,
+            params,
+        )
         append_batch(serving.decisions(predict(rows), F.col("ts")), path, batch_id)
 
     return write
