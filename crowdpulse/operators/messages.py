@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdpulse.functions.content import present
-from crowdpulse.functions.times import event_time, parse_iso
+from crowdpulse.functions.times import event_time, iso, parse_iso
 from crowdpulse.params import TOPIC_OF_KIND
 from crowdpulse.schemas import EVENT
 
@@ -19,8 +19,64 @@ def topic_of(kind: Column) -> Column:
 
 
 def encode(rows: DataFrame, topic: Column, columns: list[str]) -> DataFrame:
-    """One keyless message per row: topic and JSON text. Nulls are left out."""
-    return rows.select(topic.alias("topic"), F.to_json(F.struct(*columns)).alias("value"))
+    """One keyless message per row: topic and JSON text, nulls written as null."""
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    return rows.select(topic.alias("topic"), text.alias("value"))
+
+
+def _text(name: str, alias: str | None = None) -> Column:
+    return F.col(name).cast("string").alias(alias or name)
+
+
+def _zoned(name: str) -> Column:
+    return F.concat(iso(F.col(name)), F.lit("+00:00")).alias(name)
+
+
+def view_messages(views: DataFrame) -> DataFrame:
+    """(image_id, ts) rows as view messages; their time text has no zone."""
+    shaped = views.select(
+        F.lit("view").alias("event_type"), _text("image_id"), iso(F.col("ts")).alias("viewed_at")
+    )
+    return encode(shaped, topic_of(F.lit("view")), shaped.columns)
+
+
+def comment_messages(comments: DataFrame) -> DataFrame:
+    shaped = comments.select(
+        F.lit("comment").alias("event_type"),
+        _text("id", "comment_id"),
+        _text("image_id"),
+        _text("user_id"),
+        "content",
+        _zoned("created_at"),
+    )
+    return encode(shaped, topic_of(F.lit("comment")), shaped.columns)
+
+
+def upload_messages(images: DataFrame) -> DataFrame:
+    shaped = images.select(
+        F.lit("upload").alias("event_type"),
+        _text("id", "image_id"),
+        _text("user_id"),
+        "category",
+        "caption",
+        _zoned("created_at"),
+        "s3_url",
+    )
+    return encode(shaped, topic_of(F.lit("upload")), shaped.columns)
+
+
+def flag_messages(flags: DataFrame) -> DataFrame:
+    """Flags with at least one target; a flag without target is refused, not sent."""
+    shaped = flags.filter(F.col("image_id").isNotNull() | F.col("comment_id").isNotNull()).select(
+        F.lit("flag").alias("event_type"),
+        _text("id", "flag_id"),
+        _text("user_id"),
+        _text("image_id"),
+        _text("comment_id"),
+        "reason",
+        _zoned("created_at"),
+    )
+    return encode(shaped, topic_of(F.lit("flag")), shaped.columns)
 
 
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:

@@ -122,6 +122,20 @@ def event_json_roundtrip(spark, sf_dir):
     return back.select("seq", "topic", "event_type", "image_id", "comment_id", "viewed_at", "created_at")
 
 
+@query
+def event_projections(spark, sf_dir):
+    """The messages the four tables are published as."""
+    comments = domain.comments(spark, sf_dir).withColumn("content", F.lit("nice"))
+    images = domain.images(spark, sf_dir).withColumn("s3_url", content.object_url("http://store", "images", F.col("id").cast("string")))
+    flags = domain.flags(spark, sf_dir).withColumn("reason", F.lit("spam"))
+    return messages.unite(
+        messages.view_messages(domain.views(spark, sf_dir)),
+        messages.comment_messages(comments),
+        messages.upload_messages(images),
+        messages.flag_messages(flags),
+    )
+
+
 @query
 def topic_rollup(spark, sf_dir):
     known = _raw_messages(spark, sf_dir).filter(F.col("topic").isNotNull())
@@ -646,32 +660,13 @@ def column_defaults(spark, sf_dir):
 @query
 def users_get_or_create(spark, sf_dir):
     """Requests for names some of which have accounts, several per name."""
-    asked = domain.events(spark, sf_dir).select(
-        F.concat(F.lit("Customer#"), F.lpad((F.col("event_id") % 2000).cast("string"), 9, "0")).alias("username"),
-        (F.col("event_id") + 1_000_000_000).alias("id"),
-        F.col("event_id").alias("arrival"),
-    )
+    asked = domain.account_requests(spark, sf_dir).drop("ts")
     return entities.get_or_create_users(asked, domain.users(spark, sf_dir), "arrival")
 
 
-def _uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upload messages; every third image is sent again later with another category."""
-    images = domain.images(spark, sf_dir)
-    sent = F.explode(F.when(F.col("id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("resend")
-    return images.select("*", sent).select(
-        F.col("id").cast("string").alias("image_id"),
-        F.when(F.col("resend") == 1, "Soup").otherwise(F.col("category")).alias("category"),
-        "caption",
-        F.when(F.col("id") % 5 != 0, times.iso(F.col("created_at"))).alias("created_at"),
-        times.iso(F.col("created_at")).alias("uploaded_at"),
-        F.when(F.col("id") % 4 != 0, F.col("user_id").cast("string")).alias("user_id"),
-        (F.col("id") + F.col("resend") * 1_000_000_000).alias("seq"),
-    )
-
-
 @query
 def upload_metadata_upsert(spark, sf_dir):
-    return entities.latest_metadata(_uploads(spark, sf_dir))
+    return entities.latest_metadata(domain.upload_rows(spark, sf_dir))
 
 
 @query
@@ -679,7 +674,7 @@ def latest_features_lookup(spark, sf_dir):
     """Features of all images with an odd id, at the end of the data; ids without upload stay empty."""
     events = governance.stable_ids(domain.signals(spark, sf_dir), ["image_id"])
     now = F.lit("2024-01-31T00:00:00").cast("timestamp")
-    stored = entities.features_now(entities.latest_metadata(_uploads(spark, sf_dir)), events, now, SCALED)
+    stored = entities.features_now(entities.latest_metadata(domain.upload_rows(spark, sf_dir)), events, now, SCALED)
     asked = domain.events(spark, sf_dir).filter(F.col("event_id") % 2 == 1).select(
         F.col("event_id").cast("string").alias("image_id")
     )
@@ -688,7 +683,7 @@ def latest_features_lookup(spark, sf_dir):
 
 @query
 def feature_keys_like(spark, sf_dir):
-    return entities.keys_like(entities.latest_metadata(_uploads(spark, sf_dir)), "1*7?")
+    return entities.keys_like(entities.latest_metadata(domain.upload_rows(spark, sf_dir)), "1*7?")
 
 
 # --- files and profiles ------------------------------------------------------

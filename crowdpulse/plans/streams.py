@@ -11,7 +11,7 @@ from crowdpulse.params import REQUEST_TOPIC, SCALED
 from crowdpulse.session import run_dir
 from crowdpulse.sources import domain, streams
 from crowdpulse.sources.sinks import publish
-from crowdpulse.streaming import batches, scoring, windows
+from crowdpulse.streaming import batches, entities, scoring, windows
 from crowdpulse.streaming.alerts import AlertJob
 
 RUNS = 3
@@ -150,6 +150,62 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_upload_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stored metadata of every image; every third image is sent twice."""
+    out = run_dir(spark, "metadata")
+
+    def encode(part: DataFrame) -> DataFrame:
+        shaped = part.drop("ts").withColumn("event_type", F.lit("upload"))
+        return messages.encode(shaped, messages.topic_of(F.col("event_type")), shaped.columns)
+
+    def start(source: str) -> None:
+        uploads = messages.decode(streams.file_messages(spark, source))
+        batches.run_available(uploads, entities.metadata_writer(f"{out}/table"), f"{out}/checkpoint")
+
+    rows = domain.upload_rows(spark, sf_dir).withColumn("ts", F.col("uploaded_at").cast("timestamp"))
+    _run_slices(spark, rows, encode, start)
+    return entities.latest_metadata(spark, f"{out}/table")
+
+
+def stream_users_created(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts created for requested names, once per name over all runs."""
+    out = run_dir(spark, "accounts")
+    existing = domain.users(spark, sf_dir)
+    source = run_dir(spark, "account-requests")
+    handler = entities.account_writer(f"{out}/table", existing)
+    asked = domain.account_requests(spark, sf_dir)
+    for part in _slices(asked):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(asked.schema).parquet(source)
+        batches.run_available(stream, handler, f"{out}/checkpoint")
+    return batches.read_batches(spark, f"{out}/table").select("username", "id")
+
+
+def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-day windows every day with a watermark, last state of each window."""
+    out = run_dir(spark, "sliding")
+
+    def start(source: str) -> None:
+        events = messages.valid(streams.events_of(streams.file_messages(spark, source)))
+        counts = windows.sliding_counts(events, "2 days", "1 day").withColumn("window_start", F.col("window.start"))
+        batches.run_available(
+            counts.drop("window"), windows.totals_writer(f"{out}/table"), f"{out}/checkpoint", "update"
+        )
+
+    _run_slices(spark, _user_signals(spark, sf_dir), _event_messages, start)
+    names = [f"{k}s" for k in counters.KINDS]
+    return (
+        batches.read_batches(spark, f"{out}/table")
+        .groupBy("image_id", "window_start")
+        .agg(F.max(F.struct("batch_id", *names)).alias("t"))
+        .select(
+            F.col("image_id").cast("bigint").alias("user_id"),
+            times.iso(F.col("window_start")).alias("window_start"),
+            *[f"t.{n}" for n in names],
+        )
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -158,5 +214,8 @@ QUERIES = {
         stream_rolling_alerts,
         stream_milestones,
         stream_scoring,
+        stream_upload_metadata,
+        stream_users_created,
+        stream_sliding_counts,
     )
 }

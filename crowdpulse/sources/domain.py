@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crowdpulse.functions.times import iso
 from crowdpulse.operators.sequences import latest_values
 from crowdpulse.params import CATEGORIES
 
@@ -149,3 +150,28 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("event_id").alias("request_id"), "image_id", trigger.alias("trigger"), "ts"
         )
     )
+
+
+def upload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of upload messages; every third image is sent again later with another category."""
+    sent = F.when(F.col("id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return images(spark, sf_dir).select("*", F.explode(sent).alias("resend")).select(
+        F.col("id").cast("string").alias("image_id"),
+        F.when(F.col("resend") == 1, "Soup").otherwise(F.col("category")).alias("category"),
+        "caption",
+        F.when(F.col("id") % 5 != 0, iso(F.col("created_at"))).alias("created_at"),
+        iso(F.col("created_at")).alias("uploaded_at"),
+        F.when(F.col("id") % 4 != 0, F.col("user_id").cast("string")).alias("user_id"),
+        (F.col("id") + F.col("resend") * 1_000_000_000).alias("seq"),
+    )
+
+
+def account_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account requests: many names several times, some with an account already."""
+    name = F.concat(F.lit("Customer#"), F.lpad((F.col("event_id") % 2000).cast("string"), 9, "0"))
+    return events(spark, sf_dir).select(
+        name.alias("username"),
+        (F.col("event_id") + 1_000_000_000).alias("id"),
+        F.col("event_id").alias("arrival"),
+        "ts",
+    )

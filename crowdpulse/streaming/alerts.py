@@ -10,13 +10,11 @@ fit in one task.
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
-from crowdpulse.functions.times import floor_to
+from crowdpulse.functions.times import floor_to, plus_seconds
 from crowdpulse.operators import alerts, messages
 from crowdpulse.operators.sequences import rolling_counts
 from crowdpulse.params import EngagementParams
@@ -73,17 +71,17 @@ class AlertJob:
         self._compact(batch_id)
         events = self._table("log", LOG)
         new = events.filter(F.col("batch_id") == batch_id)
-        oldest = new.agg(F.min("ts")).first()[0]
-        if oldest is None:
+        if new.isEmpty():
             return
 
         touched = new.select("image_id").distinct()
-        # The slot filter prunes folders; the semi join keeps the shuffle to images of this batch.
-        # The oldest needed event is at oldest - reach, its slot starts less than one reach earlier.
-        first_slot = oldest - timedelta(seconds=2 * self.reach)
-        before = events.filter(
-            (F.col("batch_id") < batch_id) & (F.col("slot") >= F.lit(first_slot))
-        ).join(touched, "image_id", "left_semi")
+        # A window reaches into its own slot and the one before. Joining on the slot
+        # prunes the log's folders, so one very late event does not read all of it.
+        slot = F.col("slot")
+        needed = new.select(
+            "image_id", F.explode(F.array(slot, plus_seconds(slot, -self.reach))).alias("slot")
+        ).distinct()
+        before = events.filter(F.col("batch_id") < batch_id).join(needed, ["image_id", "slot"], "left_semi")
         rows = new.withColumn("is_new", F.lit(True)).unionByName(before.withColumn("is_new", F.lit(False)))
         counts = rolling_counts(
             rows.drop("slot", "batch_id"),

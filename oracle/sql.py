@@ -395,6 +395,8 @@ MILESTONES_SQL = sql(
     COUNTS,
 )
 
+METADATA_SQL = sql("SELECT * EXCLUDE (created_at) FROM uploads", UPLOADS)
+
 
 def _check(table: str, rule: str, broken: str) -> str:
     return f"SELECT '{table}' AS \"table\", '{rule}' AS rule, CAST(id AS VARCHAR) AS row_key FROM raw_{table} WHERE {broken}"
@@ -450,6 +452,22 @@ ORACLE: dict[str, str] = {
             ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS clock FROM timed)""",
         MESSAGES,
     ),
+    "event_projections": sql(
+        """SELECT 'views' AS topic, CAST(json_object('event_type', 'view', 'image_id', CAST(image_id AS VARCHAR),
+            'viewed_at', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')) AS VARCHAR) AS value FROM views
+        UNION ALL SELECT 'comments', CAST(json_object('event_type', 'comment', 'comment_id', CAST(id AS VARCHAR),
+            'image_id', CAST(image_id AS VARCHAR), 'user_id', CAST(user_id AS VARCHAR), 'content', 'nice',
+            'created_at', strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00') AS VARCHAR) FROM comments
+        UNION ALL SELECT 'uploads', CAST(json_object('event_type', 'upload', 'image_id', CAST(id AS VARCHAR),
+            'user_id', CAST(user_id AS VARCHAR), 'category', category, 'caption', caption,
+            'created_at', strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00',
+            's3_url', 'http://store/images/' || CAST(id AS VARCHAR)) AS VARCHAR) FROM images
+        UNION ALL SELECT 'flags', CAST(json_object('event_type', 'flag', 'flag_id', CAST(id AS VARCHAR),
+            'user_id', CAST(user_id AS VARCHAR), 'image_id', CAST(image_id AS VARCHAR),
+            'comment_id', CAST(comment_id AS VARCHAR), 'reason', 'spam',
+            'created_at', strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00') AS VARCHAR) FROM flags
+          WHERE image_id IS NOT NULL OR comment_id IS NOT NULL"""
+    ),
     "topic_rollup": sql(
         """SELECT coalesce(topic, 'TOTAL') AS topic, count(*) AS messages FROM timed WHERE topic IS NOT NULL
         GROUP BY ROLLUP (topic)""",
@@ -672,7 +690,7 @@ ORACLE: dict[str, str] = {
             min(event_id) + 1000000000 AS id FROM base GROUP BY 1) asked
         LEFT JOIN users u ON u.username = asked.username"""
     ),
-    "upload_metadata_upsert": sql("SELECT * EXCLUDE (created_at) FROM uploads", UPLOADS),
+    "upload_metadata_upsert": METADATA_SQL,
     "latest_features_lookup": sql(
         """SELECT asked.image_id, u.category, u.uploaded_at, u.user_id, CAST(u.caption_length AS BIGINT) AS caption_length,
           CASE WHEN u.image_id IS NOT NULL THEN CAST(u.caption_length <> '0' AS BIGINT) END AS has_caption,
@@ -753,6 +771,18 @@ ORACLE: dict[str, str] = {
     "stream_lifetime_totals": TOTALS_SQL,
     "stream_rolling_alerts": ALERTS_SQL,
     "stream_milestones": MILESTONES_SQL,
+    "stream_upload_metadata": METADATA_SQL,
+    "stream_users_created": sql(
+        """SELECT username, min(id) AS id FROM (
+          SELECT 'Customer#' || lpad(CAST(event_id % 2000 AS VARCHAR), 9, '0') AS username, event_id + 1000000000 AS id FROM base)
+        WHERE username NOT IN (SELECT username FROM users) GROUP BY 1"""
+    ),
+    "stream_sliding_counts": sql(
+        f"""SELECT user_id, {iso('w', 'window_start')}, count(*) FILTER (kind = 'view') AS views,
+          count(*) FILTER (kind = 'comment') AS comments, count(*) FILTER (kind = 'flag') AS flags
+        FROM (SELECT user_id, kind, unnest([date_trunc('day', ts), date_trunc('day', ts) - INTERVAL 1 DAY]) AS w
+          FROM base WHERE kind IN ('view', 'comment', 'flag')) GROUP BY 1, 2"""
+    ),
     "stream_scoring": sql(
         f"""SELECT image_id, trigger AS trigger_type, probability AS risk_score, 'heuristic' AS inference_mode,
           {iso('ts', 'created_at')} FROM scored""",
