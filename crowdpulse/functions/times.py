@@ -9,8 +9,12 @@ DAY_MICROS = 86_400 * 1_000_000
 
 
 def parse_iso(text: Column) -> Column:
-    """ISO-8601 text to timestamp: `Z`, any offset, or no zone (UTC); junk gives null."""
-    return F.try_to_timestamp(text)
+    """ISO-8601 text to timestamp: `Z`, any offset, or no zone (UTC); junk gives null.
+
+    The pattern keeps out what Spark reads but ISO text is not: a bare time (of
+    today) or a bare year.
+    """
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]|$)"), F.try_to_timestamp(text))
 
 
 def iso(ts: Column) -> Column:
