@@ -40,8 +40,14 @@ def account_writer(path: str, existing: DataFrame, order: str = "arrival") -> Ha
     return write
 
 
-def dual_writer(path: str, shape: Callable[[DataFrame], DataFrame], **sink: str) -> Handler:
-    """Write each batch to a table and send it as messages.
+def dual_writer(
+    path: str,
+    shape: Callable[[DataFrame], DataFrame],
+    *,
+    servers: str | None = None,
+    message_path: str | None = None,
+) -> Handler:
+    """Write each batch to a table and send it as messages, to Kafka or as text files.
 
     The messages are made from the rows as stored, so generated ids and times are
     the same in both, and a batch that fails in between is written again whole.
@@ -50,11 +56,11 @@ def dual_writer(path: str, shape: Callable[[DataFrame], DataFrame], **sink: str)
     def write(batch: DataFrame, batch_id: int) -> None:
         append_batch(batch, path, batch_id)
         stored = read_batches(batch.sparkSession, path).filter(F.col("batch_id") == batch_id)
-        messages = shape(stored)
-        if "path" in sink:
-            # One folder per batch: sending a batch again replaces it.
-            messages.write.mode("overwrite").partitionBy("topic").text(f"{sink['path']}/batch_id={batch_id}")
+        if servers:
+            publish(shape(stored), servers=servers)
         else:
-            publish(messages, **sink)
+            # One folder per batch: sending a batch again replaces it.
+            target = f"{message_path}/batch_id={batch_id}"
+            shape(stored).write.mode("overwrite").partitionBy("topic").text(target)
 
     return write
