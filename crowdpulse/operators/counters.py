@@ -68,8 +68,14 @@ def views_of_known_images(views: DataFrame, images: DataFrame, image_key: str =
 
 
 def views_of_unknown_images(views: DataFrame, images: DataFrame, image_key: str = "id") -> DataFrame:
-    """What a request for a missing image would answer with 404."""
-    return views.join(images.select(F.col(image_key).alias("image_id")), "image_id", "left_anti")
+    """What a request for a missing image would answer with 404.
+
+    Views without image stay out of the join: as null keys they would all meet in
+    one task.
+    """
+    named = views.filter(F.col("image_id").isNotNull())
+    missing = named.join(images.select(F.col(image_key).alias("image_id")), "image_id", "left_anti")
+    return missing.unionByName(views.filter(F.col("image_id").isNull()))
 
 
 def activity_score(

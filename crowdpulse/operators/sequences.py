@@ -66,9 +66,10 @@ def rolling_counts(
     base = base.withColumns({w: F.coalesce(c, F.lit(False)).cast("bigint") for w, c in marks.items()})
     weights = list(marks)
 
+    steps = [0, *sorted(set(shifts.values()))]
     own_only = F.array(F.lit(0).cast("bigint"))
     if shifts:
-        copies = F.array(*[F.lit(s).cast("bigint") for s in [0, *sorted(set(shifts.values()))]])
+        copies = F.array(*[F.lit(s).cast("bigint") for s in steps])
         counted = reduce(lambda a, b: a | b, [F.col(f"__w_{m}") > 0 for m in measures])
         copies = F.when(counted, copies).otherwise(own_only)
     else:
@@ -101,23 +102,26 @@ def rolling_counts(
         *[F.sum(part(f"__w_{m}", s)).over(below).alias(f"__lt_{m}_{n}") for m, n, s in asked],
     ).filter(is_own)
 
-    by_bucket = Window.partitionBy(key).orderBy("__b")
-    carried = (
-        base.groupBy(key, "__b")
-        .agg(*[F.sum(w).alias(w) for w in weights])
-        .select(
-            key,
-            "__b",
-            *[
-                F.sum(f"__w_{m}").over(by_bucket.rangeBetween(-s, -1)).alias(f"__s_{m}_{n}")
-                for m, n, s in asked
-            ],
-            *[
-                F.sum(f"__a_{m}").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)).alias(f"__t_{m}")
-                for m in totals
-            ],
-        )
+    # The same shift one level up: events before the bucket less events before it
+    # minus W, both as growing sums. Only the bucket sums are shuffled by key.
+    sums = base.groupBy(key, "__b").agg(*[F.sum(w).alias(w) for w in weights])
+    spread_sums = (
+        sums.repartition(F.col(key))
+        .withColumn("__shift", F.explode(F.array(*[F.lit(s).cast("bigint") for s in steps])))
+        .withColumn("__b", F.col("__b") + F.col("__shift"))
     )
+    earlier = Window.partitionBy(key).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
+
+    def before(weight: str, shift: int) -> Column:
+        return F.coalesce(F.sum(part(weight, shift)).over(earlier), F.lit(0))
+
+    carried = spread_sums.select(
+        key,
+        "__b",
+        "__shift",
+        *[(before(f"__w_{m}", 0) - before(f"__w_{m}", s)).alias(f"__s_{m}_{n}") for m, n, s in asked],
+        *[before(f"__a_{m}", 0).alias(f"__t_{m}") for m in totals],
+    ).filter(is_own).drop("__shift")
 
     zero = F.lit(0)
     counts = []
@@ -125,10 +129,9 @@ def rolling_counts(
         gone = F.when(F.col(f"__w_{m}") > 0, F.col(f"__le_{m}_{n}")).otherwise(
             F.coalesce(f"__lt_{m}_{n}", zero)
         )
-        between = F.coalesce(f"__s_{m}_{n}", zero)
-        counts.append((F.col(f"__own__w_{m}") + between - gone).alias(f"{m}_{n}"))
+        counts.append((F.col(f"__own__w_{m}") + F.col(f"__s_{m}_{n}") - gone).alias(f"{m}_{n}"))
     for m in totals:
-        counts.append((F.col(f"__own__a_{m}") + F.coalesce(f"__t_{m}", zero)).alias(f"{m}_total"))
+        counts.append((F.col(f"__own__a_{m}") + F.col(f"__t_{m}")).alias(f"{m}_total"))
     return located.join(carried, [key, "__b"]).select(key, *payload, *counts)
 
 

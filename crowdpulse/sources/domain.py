@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdpulse.functions.times import iso
 from crowdpulse.operators.sequences import latest_values
 from crowdpulse.params import CATEGORIES
+from crowdpulse.session import run_dir
 
 # Event type of the test table -> event kind.
 KIND_OF_TYPE = {
@@ -71,7 +73,7 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def attach_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with the image it belongs to and the latest comment before it."""
     rows = events(spark, sf_dir).select("event_id", "ts", "user_id", "kind")
     return latest_values(
@@ -86,6 +88,28 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_written: dict[tuple[str, str], str] = {}
+
+
+def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`attach_images` as a table in the shared folder, written once per application.
+
+    Most queries read it in several branches (counts, flags, requests); a written
+    table spares each branch the shuffles above and survives lost executors.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _written:
+        try:
+            return spark.read.parquet(_written[key])
+        except AnalysisException:
+            # The folder was cleaned; write it again.
+            pass
+    path = run_dir(spark, "activity")
+    attach_images(spark, sf_dir).write.parquet(path)
+    _written[key] = path
+    return spark.read.parquet(path)
+
+
 def _actor(spark: SparkSession, sf_dir: str):
     n_users = spark.read.parquet(f"{sf_dir}/customer.parquet").agg(F.count("*")).scalar()
     return (F.col("event_id") * 7) % n_users

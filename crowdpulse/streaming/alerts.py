@@ -1,38 +1,35 @@
 """Rolling counts, alerts and milestones on a stream.
 
-The state is a set of tables in shared storage, one folder per batch: the event
-log (by time slot, one longest window each), view totals, alerts and milestones.
-Each batch reads back the slots the longest window reaches into and runs the batch
-operators, so a hot image is split by time like there, a lost executor costs a
-task and a repeated batch replaces its own folders. Counts are exact at every event: no key's state has to
-fit in one task.
+The state is a set of tables in shared storage: the event log (by time slot, one
+longest window each) and one folder per batch of counts, view totals, alerts and
+milestones. Each batch reads back the slots its windows reach into and runs the
+batch operators, so a hot image is split by time like there, a lost executor
+costs a task and a repeated batch replaces its own folders. Counts are exact at
+every event, and no key's state has to fit in one task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from crowdpulse.functions.times import floor_to, plus_seconds
 from crowdpulse.operators import alerts, messages
-from crowdpulse.operators.sequences import rolling_counts
+from crowdpulse.operators.sequences import MICROS, rolling_counts
 from crowdpulse.params import EngagementParams
-from crowdpulse.sources.sinks import append_batch
-from crowdpulse.streaming.batches import read_batches
-
-BATCH = StructField("batch_id", IntegerType())
-LOG = StructType(
-    [
-        StructField("image_id", StringType()),
-        StructField("kind", StringType()),
-        StructField("ts", TimestampType()),
-        StructField("event_id", LongType()),
-        BATCH,
-        StructField("slot", TimestampType()),
-    ]
+from crowdpulse.streaming.batches import BatchTable
+
+KINDS = ("view", "comment", "flag")
+EVENT = [
+    StructField("image_id", StringType()),
+    StructField("kind", StringType()),
+    StructField("ts", TimestampType()),
+    StructField("event_id", LongType()),
+]
+LOG = StructType([*EVENT, StructField("slot", LongType()), StructField("batch_id", LongType())])
+TOTALS = StructType(
+    [StructField("image_id", StringType()), *[StructField(f"total_{k}s", LongType()) for k in KINDS]]
 )
-TOTALS = StructType([StructField("image_id", StringType()), StructField("views", LongType()), BATCH])
 ALERTS = StructType(
     [
         StructField("image_id", StringType()),
@@ -41,105 +38,145 @@ ALERTS = StructType(
         StructField("event_id", LongType()),
         StructField("metric", StringType()),
         StructField("value", LongType()),
-        BATCH,
     ]
 )
+MILESTONES = StructType(
+    [
+        StructField("image_id", StringType()),
+        StructField("milestone_type", StringType()),
+        StructField("milestone_value", LongType()),
+        StructField("reached_at", TimestampType()),
+        StructField("event_id", LongType()),
+    ]
+)
+
+
+def _sum_totals(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("image_id").agg(*[F.sum(f"total_{k}s").alias(f"total_{k}s") for k in KINDS])
 
 
 class AlertJob:
-    """``handle`` is the foreachBatch function; the properties read its tables."""
+    """``handle`` is the foreachBatch function; the other members read its tables."""
 
     def __init__(self, spark: SparkSession, root: str, params: EngagementParams, compact_every: int = 50):
         self.spark = spark
-        self.root = root
         self.params = params
-        self.compact_every = compact_every
         self.reach = max(params.rolling_seconds.values())
+        self.log_path = f"{root}/log"
+        windows = [StructField(f"{k}s_{w}", LongType()) for k in KINDS for w in params.rolling_seconds]
+        counts = StructType([*EVENT, *windows, StructField("new_views_total", LongType())])
+
+        def table(name: str, schema: StructType) -> BatchTable:
+            return BatchTable(spark, f"{root}/{name}", schema, compact_every)
 
-    def _table(self, name: str, schema: StructType | None = None) -> DataFrame:
-        return read_batches(self.spark, f"{self.root}/{name}", schema)
+        self.counts_table = table("counts", counts)
+        self.totals_table = table("totals", TOTALS)
+        self.alerts_table = table("alerts", ALERTS)
+        self.milestones_table = table("milestones", MILESTONES)
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        log = f"{self.root}/log"
+        slots = self._log(batch, batch_id)
+        self.totals_table.compact(batch_id, _sum_totals)
+        self.alerts_table.compact(batch_id, lambda rows: rows)
+
+        events = self.read_log(slots)
+        new = events.filter(F.col("batch_id") == batch_id)
+        self.counts_table.write(self._counts(events, new, batch_id), batch_id)
+        counts = self.counts_table.batch(batch_id)
+
+        fresh = alerts.first_alerts(alerts.crossings(counts, self.params)).join(
+            self.alerts_table.before(batch_id).select("image_id", "alert_type"),
+            ["image_id", "alert_type"],
+            "left_anti",
+        )
+        self.alerts_table.write(fresh, batch_id)
+
+        touched = new.select("image_id").distinct()
+        prior = _sum_totals(self.totals_table.before(batch_id).join(touched, "image_id", "left_semi"))
+        with_total = counts.join(prior, "image_id", "left").withColumn(
+            "views_total", F.col("new_views_total") + F.coalesce("total_views", F.lit(0))
+        )
+        reached = alerts.milestones(with_total, self.params).withColumn(
+            "milestone_value", F.col("milestone_value").cast("bigint")
+        )
+        self.milestones_table.write(reached, batch_id)
+        added = new.groupBy("image_id").agg(
+            *[F.count_if(F.col("kind") == k).alias(f"total_{k}s") for k in KINDS]
+        )
+        self.totals_table.write(added, batch_id)
+
+    def _log(self, batch: DataFrame, batch_id: int) -> list[int]:
+        """Store the batch's events by slot and name the slots its windows reach into."""
+        micros = F.unix_micros("ts")
+        width = self.reach * MICROS
         arrived = (
             messages.valid(batch)
-            .filter(F.col("event_type").isin("view", "comment", "flag"))
+            .filter(F.col("event_type").isin(*KINDS))
             .select("image_id", F.col("event_type").alias("kind"), "ts", F.col("seq").alias("event_id"))
-            .withColumn("slot", floor_to(F.col("ts"), self.reach))
+            .withColumn("slot", ((micros - F.pmod(micros, F.lit(width))) / width).cast("bigint"))
+            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        )
+        # Dynamic overwrite replaces only this batch's folders, so a repeated batch is harmless.
+        (
+            arrived.hint("rebalance", "slot")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("slot", "batch_id")
+            .parquet(self.log_path)
+        )
+        # One number per time slot of the batch: for an ordinary batch one or two.
+        touched = [r.slot for r in arrived.select("slot").distinct().collect()]
+        return sorted({s for t in touched for s in (t - 1, t)})
+
+    def read_log(self, slots: list[int]) -> DataFrame:
+        """Events of the given slots; no other folder is listed or read."""
+        if not slots:
+            return self.spark.createDataFrame([], LOG)
+        wanted = ",".join(str(s) for s in slots)
+        return (
+            self.spark.read.schema(LOG)
+            .option("basePath", self.log_path)
+            .parquet(f"{self.log_path}/slot={{{wanted}}}")
         )
-        append_batch(arrived, log, batch_id, ["slot"])
-        self._compact(batch_id)
-        events = self._table("log", LOG)
-        new = events.filter(F.col("batch_id") == batch_id)
-        if new.isEmpty():
-            return
 
-        touched = new.select("image_id").distinct()
-        # A window reaches into its own slot and the one before. Joining on the slot
-        # prunes the log's folders, so one very late event does not read all of it.
-        slot = F.col("slot")
+    def _counts(self, events: DataFrame, new: DataFrame, batch_id: int) -> DataFrame:
+        """Exact rolling counts at the new events, from the new and the earlier ones."""
+        # A window reaches into its own slot and the one before.
         needed = new.select(
-            "image_id", F.explode(F.array(slot, plus_seconds(slot, -self.reach))).alias("slot")
+            "image_id", F.explode(F.array(F.col("slot"), F.col("slot") - 1)).alias("slot")
         ).distinct()
         before = events.filter(F.col("batch_id") < batch_id).join(needed, ["image_id", "slot"], "left_semi")
-        rows = new.withColumn("is_new", F.lit(True)).unionByName(before.withColumn("is_new", F.lit(False)))
+        names = [f.name for f in EVENT]
+        rows = new.select(*names, F.lit(True).alias("is_new")).unionByName(
+            before.select(*names, F.lit(False).alias("is_new"))
+        )
         counts = rolling_counts(
-            rows.drop("slot", "batch_id"),
+            rows,
             key="image_id",
             ts=F.col("ts"),
             order=F.col("event_id"),
-            measures={f"{k}s": F.col("kind") == k for k in ("view", "comment", "flag")},
+            measures={f"{k}s": F.col("kind") == k for k in KINDS},
             windows=self.params.rolling_seconds,
             totals={"new_views": F.col("is_new") & (F.col("kind") == "view")},
-        ).filter("is_new")
-        append_batch(counts, f"{self.root}/counts", batch_id)
-        counts = self._table("counts").filter(F.col("batch_id") == batch_id)
-
-        stored = self._table("alerts", ALERTS).filter(F.col("batch_id") < batch_id)
-        fresh = alerts.first_alerts(alerts.crossings(counts, self.params)).join(
-            stored.select("image_id", "alert_type"), ["image_id", "alert_type"], "left_anti"
-        )
-        append_batch(fresh, f"{self.root}/alerts", batch_id)
-
-        prior = self._views_before(batch_id).join(touched, "image_id", "left_semi")
-        totals = (
-            counts.join(prior, "image_id", "left")
-            .withColumn("views_total", F.col("new_views_total") + F.coalesce("views", F.lit(0)))
-            .drop("views")
         )
-        append_batch(alerts.milestones(totals, self.params), f"{self.root}/milestones", batch_id)
-        seen = new.filter(F.col("kind") == "view").groupBy("image_id").agg(F.count("*").alias("views"))
-        append_batch(seen, f"{self.root}/totals", batch_id)
-
-    def _compact(self, batch_id: int) -> None:
-        """Every ``compact_every`` batches: views per image of all earlier batches as one folder."""
-        if batch_id and batch_id % self.compact_every == 0:
-            earlier = self._sum_views(batch_id - self.compact_every, batch_id)
-            append_batch(earlier, f"{self.root}/compacted", batch_id)
-
-    def _views_before(self, batch_id: int) -> DataFrame:
-        """Views per image in all earlier batches: the last compaction plus the batches after it."""
-        return self._sum_views(batch_id // self.compact_every * self.compact_every, batch_id)
-
-    def _sum_views(self, start: int, end: int) -> DataFrame:
-        batch = F.col("batch_id")
-        part = self._table("totals", TOTALS).filter((batch >= start) & (batch < end))
-        if start:
-            part = part.unionByName(self._table("compacted", TOTALS).filter(batch == start))
-        return part.groupBy("image_id").agg(F.sum("views").alias("views"))
+        return counts.filter("is_new").drop("is_new")
 
     @property
     def alerts(self) -> DataFrame:
-        return self._table("alerts", ALERTS).drop("batch_id")
+        return self.alerts_table.all()
 
     @property
     def counts(self) -> DataFrame:
-        return self._table("counts")
+        return self.counts_table.all()
 
     @property
     def milestones(self) -> DataFrame:
-        return self._table("milestones")
+        return self.milestones_table.all()
 
     @property
     def requests(self) -> DataFrame:
         return alerts.scoring_requests(self.alerts)
+
+    def totals(self, next_batch: int) -> DataFrame:
+        """Lifetime totals per image over all batches before ``next_batch``."""
+        return _sum_totals(self.totals_table.before(next_batch))
