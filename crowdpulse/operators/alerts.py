@@ -28,6 +28,55 @@ def activity_counts(
     )
 
 
+def own_counts(
+    events: DataFrame, params: EngagementParams, key: str = "image_id", ts: str = "ts", order: str = "event_id"
+) -> DataFrame:
+    """Rolling counts of an event's own kind only, one sequence per image and kind."""
+    return rolling_counts(
+        events,
+        key=[key, "kind"],
+        ts=F.col(ts),
+        order=F.col(order),
+        measures={"count": F.lit(True)},
+        windows=params.rolling_seconds,
+        edge="open",
+    )
+
+
+def alert_counts(
+    events: DataFrame, params: EngagementParams, key: str = "image_id", ts: str = "ts", order: str = "event_id"
+) -> DataFrame:
+    """The counts the alert rules read, at the views and comments of an image; flags raise none."""
+    rolling = params.rolling_seconds
+    kinds = {f"{k}s": F.col("kind") == k for k in ("view", "comment")}
+    return rolling_counts(
+        events.filter(F.col("kind").isin("view", "comment")),
+        key=key,
+        ts=F.col(ts),
+        order=F.col(order),
+        measures=kinds,
+        windows={
+            "views": {w: rolling[w] for w in ("5min", "1hr")},
+            "comments": {"1min": rolling["1min"]},
+        },
+        totals={"views": kinds["views"]},
+    )
+
+
+def view_totals(
+    events: DataFrame, key: str = "image_id", ts: str = "ts", order: str = "event_id", bucket_seconds: int = 3600
+) -> DataFrame:
+    """Running number of views at each view: all that milestones need."""
+    return rolling_counts(
+        events.filter(F.col("kind") == "view"),
+        key=key,
+        ts=F.col(ts),
+        order=F.col(order),
+        totals={"views": F.lit(True)},
+        bucket_seconds=bucket_seconds,
+    )
+
+
 def crossings(counts: DataFrame, params: EngagementParams, key: str = "image_id", order: str = "event_id") -> DataFrame:
     """All events at which an alert's threshold is met.
 

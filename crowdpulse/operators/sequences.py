@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 MICROS = 1_000_000
 
 
-def _bucketed(rows: DataFrame, key: str, ts: Column, width: int) -> DataFrame:
+def _bucketed(rows: DataFrame, keys: list[str], ts: Column, width: int) -> DataFrame:
     micros = F.unix_micros(ts)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return (
         rows.withColumn("__us", micros)
-        .filter(F.col(key).isNotNull() & F.col("__us").isNotNull())
+        .filter(known & F.col("__us").isNotNull())
         .withColumn("__p", F.pmod("__us", F.lit(width)))
         .withColumn("__b", F.col("__us") - F.col("__p"))
     )
@@ -33,52 +34,61 @@ def _bucketed(rows: DataFrame, key: str, ts: Column, width: int) -> DataFrame:
 def rolling_counts(
     rows: DataFrame,
     *,
-    key: str,
+    key: str | list[str],
     ts: Column,
     order: Column,
     measures: dict[str, Column] | None = None,
-    windows: dict[str, int] | None = None,
+    windows: dict | None = None,
     totals: dict[str, Column] | None = None,
+    edge: str = "auto",
     bucket_seconds: int | None = None,
 ) -> DataFrame:
     """Per-row counts of each measure in the last W seconds of the same key.
 
     ``measures`` and ``totals`` are boolean columns. A measure gives
-    ``{measure}_{window}``: at a row that belongs to the measure itself the window
-    is ``(t-W, t]``, at any other row ``[t-W, t]``. A total gives ``{total}_total``,
-    the rows so far. Rows with equal time count in ``order``; rows without key or
-    time are dropped.
+    ``{measure}_{window}`` for each of ``windows`` (name to seconds, for all
+    measures, or one such map per measure). ``edge`` says what happens at t-W:
+    "open" counts ``(t-W, t]``, "closed" ``[t-W, t]``, and "auto" is open at rows
+    that belong to the measure and closed at all others. A total gives
+    ``{total}_total``, the rows so far. Rows with equal time count in ``order``;
+    rows without key or time are dropped.
 
     Every W is a multiple of the bucket, so ``t-W`` lies at the same phase of an
     earlier bucket: shifting that bucket's rows by W puts them beside the row
     that asks, and the count is *bucket sums between* + *own rows up to the
     phase* - *shifted rows up to the phase*.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     measures, windows, totals = dict(measures or {}), dict(windows or {}), dict(totals or {})
-    bucket = bucket_seconds or reduce(gcd, windows.values())
-    if any(w % bucket for w in windows.values()):
-        raise ValueError(f"bucket of {bucket} s does not divide the windows {windows}")
-    shifts = {name: w * MICROS for name, w in windows.items()}
-    payload = [c for c in rows.columns if c != key]
-
-    base = _bucketed(rows, key, ts, bucket * MICROS).withColumn("__o", order)
+    nested = any(isinstance(w, dict) for w in windows.values())
+    asked = [
+        (m, name, seconds * MICROS)
+        for m in measures
+        for name, seconds in (windows.get(m, {}) if nested else windows).items()
+    ]
+    shifts = sorted({s for _, _, s in asked})
+    width = bucket_seconds * MICROS if bucket_seconds else reduce(gcd, shifts)
+    if any(s % width for s in shifts):
+        raise ValueError(f"a bucket of {bucket_seconds} s does not divide the windows {windows}")
+    payload = [c for c in rows.columns if c not in keys]
+
+    base = _bucketed(rows, keys, ts, width).withColumn("__o", order)
     marks = {**{f"__w_{m}": c for m, c in measures.items()}, **{f"__a_{m}": c for m, c in totals.items()}}
     base = base.withColumns({w: F.coalesce(c, F.lit(False)).cast("bigint") for w, c in marks.items()})
     weights = list(marks)
 
-    steps = [0, *sorted(set(shifts.values()))]
-    own_only = F.array(F.lit(0).cast("bigint"))
-    if shifts:
-        copies = F.array(*[F.lit(s).cast("bigint") for s in steps])
-        counted = reduce(lambda a, b: a | b, [F.col(f"__w_{m}") > 0 for m in measures])
-        copies = F.when(counted, copies).otherwise(own_only)
-    else:
-        copies = own_only
-    spread = base.withColumn("__shift", F.explode(copies))
+    def shifted_by(s: int) -> Column:
+        uses = [F.col(f"__w_{m}") > 0 for m, _, shift in asked if shift == s]
+        return F.when(reduce(lambda a, b: a | b, uses), F.lit(s).cast("bigint"))
+
+    zero = F.lit(0).cast("bigint")
+    # A row is copied only for the windows that count it.
+    copies = F.array_compact(F.array(zero, *[shifted_by(s) for s in shifts]))
+    spread = base.withColumn("__shift", F.explode(copies)) if shifts else base.withColumn("__shift", zero)
     is_own = F.col("__shift") == 0
     # Shifted copies carry only phase and weights.
     spread = spread.select(
-        key,
+        *keys,
         (F.col("__b") + F.col("__shift")).alias("__b"),
         "__p",
         "__shift",
@@ -87,52 +97,62 @@ def rolling_counts(
         *[F.when(is_own, F.col(c)).alias(c) for c in payload],
     )
 
-    cell = Window.partitionBy(key, "__b")
+    cell = Window.partitionBy(*keys, "__b")
     upto = cell.orderBy("__p", is_own, "__o").rowsBetween(Window.unboundedPreceding, 0)
     below = cell.orderBy("__p").rangeBetween(Window.unboundedPreceding, -1)
 
     def part(weight: str, shift: int) -> Column:
         return F.when(F.col("__shift") == shift, F.col(weight)).otherwise(0)
 
-    asked = [(m, n, s) for m in measures for n, s in shifts.items()]
+    gone = []
+    if edge != "closed":
+        gone += [F.sum(part(f"__w_{m}", s)).over(upto).alias(f"__le_{m}_{n}") for m, n, s in asked]
+    if edge != "open":
+        gone += [F.sum(part(f"__w_{m}", s)).over(below).alias(f"__lt_{m}_{n}") for m, n, s in asked]
     located = spread.select(
-        "*",
-        *[F.sum(part(w, 0)).over(upto).alias(f"__own{w}") for w in weights],
-        *[F.sum(part(f"__w_{m}", s)).over(upto).alias(f"__le_{m}_{n}") for m, n, s in asked],
-        *[F.sum(part(f"__w_{m}", s)).over(below).alias(f"__lt_{m}_{n}") for m, n, s in asked],
+        "*", *[F.sum(part(w, 0)).over(upto).alias(f"__own{w}") for w in weights], *gone
     ).filter(is_own)
 
     # The same shift one level up: events before the bucket less events before it
     # minus W, both as growing sums. Only the bucket sums are shuffled by key.
-    sums = base.groupBy(key, "__b").agg(*[F.sum(w).alias(w) for w in weights])
+    sums = base.groupBy(*keys, "__b").agg(*[F.sum(w).alias(w) for w in weights])
+    steps = F.array(*[F.lit(s).cast("bigint") for s in [0, *shifts]])
     spread_sums = (
-        sums.repartition(F.col(key))
-        .withColumn("__shift", F.explode(F.array(*[F.lit(s).cast("bigint") for s in steps])))
+        sums.repartition(*[F.col(k) for k in keys])
+        .withColumn("__shift", F.explode(steps))
         .withColumn("__b", F.col("__b") + F.col("__shift"))
     )
-    earlier = Window.partitionBy(key).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
 
     def before(weight: str, shift: int) -> Column:
-        return F.coalesce(F.sum(part(weight, shift)).over(earlier), F.lit(0))
+        return F.coalesce(F.sum(part(weight, shift)).over(earlier), zero)
 
-    carried = spread_sums.select(
-        key,
-        "__b",
-        "__shift",
-        *[(before(f"__w_{m}", 0) - before(f"__w_{m}", s)).alias(f"__s_{m}_{n}") for m, n, s in asked],
-        *[before(f"__a_{m}", 0).alias(f"__t_{m}") for m in totals],
-    ).filter(is_own).drop("__shift")
-
-    zero = F.lit(0)
-    counts = []
-    for m, n, _ in asked:
-        gone = F.when(F.col(f"__w_{m}") > 0, F.col(f"__le_{m}_{n}")).otherwise(
-            F.coalesce(f"__lt_{m}_{n}", zero)
+    carried = (
+        spread_sums.select(
+            *keys,
+            "__b",
+            "__shift",
+            *[(before(f"__w_{m}", 0) - before(f"__w_{m}", s)).alias(f"__s_{m}_{n}") for m, n, s in asked],
+            *[before(f"__a_{m}", 0).alias(f"__t_{m}") for m in totals],
         )
-        counts.append((F.col(f"__own__w_{m}") + F.col(f"__s_{m}_{n}") - gone).alias(f"{m}_{n}"))
-    for m in totals:
-        counts.append((F.col(f"__own__a_{m}") + F.col(f"__t_{m}")).alias(f"{m}_total"))
-    return located.join(carried, [key, "__b"]).select(key, *payload, *counts)
+        .filter(is_own)
+        .drop("__shift")
+    )
+
+    def leaving(m: str, n: str) -> Column:
+        below_edge = F.coalesce(f"__lt_{m}_{n}", zero)
+        if edge == "open":
+            return F.col(f"__le_{m}_{n}")
+        if edge == "closed":
+            return below_edge
+        return F.when(F.col(f"__w_{m}") > 0, F.col(f"__le_{m}_{n}")).otherwise(below_edge)
+
+    counts = [
+        (F.col(f"__own__w_{m}") + F.col(f"__s_{m}_{n}") - leaving(m, n)).alias(f"{m}_{n}")
+        for m, n, _ in asked
+    ]
+    counts += [(F.col(f"__own__a_{m}") + F.col(f"__t_{m}")).alias(f"{m}_total") for m in totals]
+    return located.join(carried, [*keys, "__b"]).select(*keys, *payload, *counts)
 
 
 def latest_values(
@@ -145,7 +165,7 @@ def latest_values(
     bucket_seconds: int = 3600,
 ) -> DataFrame:
     """Add the latest non-null value of each column at or before every row of its key."""
-    base = _bucketed(rows, key, ts, bucket_seconds * MICROS)
+    base = _bucketed(rows, [key], ts, bucket_seconds * MICROS)
     for name, value in values.items():
         base = base.withColumn(f"__v_{name}", value)
     upto = (

@@ -22,13 +22,23 @@ def accepted_requests(requests: DataFrame) -> DataFrame:
     )
 
 
-def activity_at(requests: DataFrame, events: DataFrame, params: EngagementParams) -> DataFrame:
-    """Window counts over [t-W, t] and totals up to t, for each request at its time t."""
+KINDS = ("view", "comment", "flag")
+
+
+def activity_at(
+    requests: DataFrame, events: DataFrame, params: EngagementParams, totals: DataFrame | None = None
+) -> DataFrame:
+    """Window counts over [t-W, t] and lifetime totals, for each request at its time t.
+
+    Without ``totals`` the totals are those up to t and ``events`` is the whole
+    history. With a totals table (one row per image) they are its current values
+    and ``events`` needs to reach back one longest window only.
+    """
     asked = requests.select("request_id", "image_id", "trigger", "ts", F.lit("request").alias("kind"))
     facts = events.select("image_id", "ts", "kind", "event_id")
     last = F.lit(2**63 - 1)
-    kinds = {f"{k}s": F.col("kind") == k for k in ("view", "comment", "flag")}
-    return (
+    kinds = {f"{k}s": F.col("kind") == k for k in KINDS}
+    counted = (
         rolling_counts(
             facts.unionByName(asked, allowMissingColumns=True),
             key="image_id",
@@ -36,11 +46,17 @@ def activity_at(requests: DataFrame, events: DataFrame, params: EngagementParams
             order=F.coalesce(F.col("event_id"), last),
             measures=kinds,
             windows=params.serving_seconds,
-            totals=kinds,
+            totals=kinds if totals is None else None,
+            edge="closed",
         )
         .filter(F.col("kind") == "request")
         .drop("kind", "event_id")
-        .withColumnsRenamed({f"{k}s_total": f"total_{k}s" for k in ("view", "comment", "flag")})
+    )
+    names = [f"total_{k}s" for k in KINDS]
+    if totals is None:
+        return counted.withColumnsRenamed({f"{k}s_total": f"total_{k}s" for k in KINDS})
+    return counted.join(totals.select("image_id", *names), "image_id", "left").withColumns(
+        {n: F.coalesce(n, F.lit(0)) for n in names}
     )
 
 
@@ -63,10 +79,15 @@ def image_metadata(images: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def request_features(
-    requests: DataFrame, events: DataFrame, images: DataFrame, users: DataFrame, params: EngagementParams
+    requests: DataFrame,
+    events: DataFrame,
+    images: DataFrame,
+    users: DataFrame,
+    params: EngagementParams,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """All features of each request at its own time. Requests for unknown images drop out."""
-    at = activity_at(accepted_requests(requests), events, params)
+    at = activity_at(accepted_requests(requests), events, params, totals)
     meta = image_metadata(images, users)
     joined = at.join(meta, "image_id")
     return with_vector_columns(

@@ -253,27 +253,21 @@ def flag_targets(spark, sf_dir):
 # --- rolling counts and alerts ----------------------------------------------
 
 
+def _user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity keyed by user, the dense key of the test tables."""
+    return domain.events(spark, sf_dir, counters.KINDS).select("event_id", "user_id", "kind", "ts")
+
+
 def _user_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = domain.events(spark, sf_dir, counters.KINDS)
-    return alerts.activity_counts(
-        events.select("event_id", "user_id", "kind", "ts"), SCALED, key="user_id"
-    )
+    return alerts.activity_counts(_user_events(spark, sf_dir), SCALED, key="user_id")
 
 
 @query
 def rolling_counts(spark, sf_dir):
     """Own-kind counts at every event."""
-    kind = F.col("kind")
-
-    def own(window: str):
-        return (
-            F.when(kind == "view", F.col(f"views_{window}"))
-            .when(kind == "comment", F.col(f"comments_{window}"))
-            .otherwise(F.col(f"flags_{window}"))
-            .alias(f"count_{window}")
-        )
-
-    return _user_counts(spark, sf_dir).select("event_id", "user_id", "kind", own("1min"), own("5min"), own("1hr"))
+    return alerts.own_counts(_user_events(spark, sf_dir), SCALED, key="user_id").select(
+        "event_id", "user_id", "kind", "count_1min", "count_5min", "count_1hr"
+    )
 
 
 @query
@@ -288,16 +282,15 @@ def rolling_cross_counts(spark, sf_dir):
 
 @query
 def running_totals_sampled(spark, sf_dir):
-    totals = _user_counts(spark, sf_dir).filter(F.col("kind") == "view")
+    totals = alerts.view_totals(_user_events(spark, sf_dir), key="user_id")
     return counters.counted_every(totals, "views_total", 10, SCALED.milestones).select(
         "event_id", "user_id", "views_total"
     )
 
 
 def _user_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.first_alerts(
-        alerts.crossings(_user_counts(spark, sf_dir), SCALED, key="user_id"), key="user_id"
-    )
+    counts = alerts.alert_counts(_user_events(spark, sf_dir), SCALED, key="user_id")
+    return alerts.first_alerts(alerts.crossings(counts, SCALED, key="user_id"), key="user_id")
 
 
 @query
@@ -306,7 +299,8 @@ def alerts_first_crossing(spark, sf_dir):
 
 
 def _milestones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.milestones(_user_counts(spark, sf_dir), SCALED, key="user_id")
+    totals = alerts.view_totals(_user_events(spark, sf_dir), key="user_id")
+    return alerts.milestones(totals, SCALED, key="user_id")
 
 
 @query

@@ -126,7 +126,8 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = governance.stable_ids(domain.signals(spark, sf_dir), ["image_id"])
     images = governance.stable_ids(domain.images(spark, sf_dir), ["id", "user_id"])
     users = governance.stable_ids(domain.users(spark, sf_dir), ["id"])
-    handler = scoring.scoring_writer(f"{out}/table", lambda: (events, images, users), SCALED)
+    tables = scoring.ServingTables(events, images, users)
+    handler = scoring.scoring_writer(f"{out}/table", lambda: tables, SCALED)
 
     def encode(part: DataFrame) -> DataFrame:
         shaped = part.select(

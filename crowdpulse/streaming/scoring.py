@@ -3,42 +3,55 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crowdpulse.operators import serving
+from crowdpulse.operators.sequences import MICROS
 from crowdpulse.params import EngagementParams
 from crowdpulse.sources.sinks import append_batch
 from crowdpulse.streaming.batches import Handler
 
 
+@dataclass
+class ServingTables:
+    """What a batch of requests reads. With ``totals`` the events are read one window back only."""
+
+    events: DataFrame
+    images: DataFrame
+    users: DataFrame
+    totals: DataFrame | None = None
+
+
 def scoring_writer(
     path: str,
-    tables: Callable[[], tuple[DataFrame, DataFrame, DataFrame]],
+    tables: Callable[[], ServingTables],
     params: EngagementParams,
     predictor: serving.Predictor | None = None,
 ) -> Handler:
-    """``tables`` gives (events, images, users) as of the batch; decisions go to ``path`` by batch."""
+    """``tables`` gives the tables as of the batch; decisions go to ``path`` by batch."""
     predict = predictor or serving.rule_predictor(params.rules)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        events, images, users = tables()
+        t = tables()
         asked = serving.accepted_requests(batch)
         if "request_id" not in asked.columns:
             asked = asked.withColumn("request_id", F.xxhash64("image_id", "trigger", "ts"))
         # A batch asks for few images: only their activity, and only the images of
         # their uploaders (for the per-user count), go through the shuffles.
         ids = asked.select("image_id").distinct()
-        owners = (
-            images.join(ids, images["id"] == ids["image_id"], "left_semi").select("user_id").distinct()
-        )
+        owned = t.images.join(ids, t.images["id"] == ids["image_id"], "left_semi")
+        images = t.images.join(owned.select("user_id").distinct(), "user_id", "left_semi")
+        events, totals = t.events, t.totals
+        if totals is not None:
+            first = asked.agg(F.min(F.unix_micros("ts"))).first()[0]
+            reach = max(params.serving_seconds.values()) * MICROS
+            events = events.filter(F.col("ts") >= F.timestamp_micros(F.lit((first or 0) - reach)))
+            totals = totals.join(ids, "image_id", "left_semi")
         rows = serving.request_features(
-            asked,
-            events.join(ids, "image_id", "left_semi"),
-            images.join(owners, "user_id", "left_semi"),
-            users,
-            params,
+            asked, events.join(ids, "image_id", "left_semi"), images, t.users, params, totals
         )
         append_batch(serving.decisions(predict(rows), F.col("ts")), path, batch_id)
 

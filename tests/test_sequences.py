@@ -69,6 +69,45 @@ def test_rolling_counts_with_ties_and_edges(spark, bucket):
     check(spark, random_rows(3, 400), bucket=bucket)
 
 
+@pytest.mark.parametrize("edge", ["open", "closed"])
+def test_edges_for_all_rows(spark, edge):
+    rows = random_rows(7, 200)
+    kinds = {m: F.col("kind") == m for m in ("a", "b")}
+    df = rolling_counts(
+        frame(spark, rows),
+        key="k",
+        ts=F.col("ts"),
+        order=F.col("n"),
+        measures=kinds,
+        windows={"a": {"w": 3}, "b": {"w": 5, "x": 2}},
+        edge=edge,
+    )
+    for r in df.collect():
+        me = next(x for x in rows if x[2] == r["n"])
+        seen = [x for x in rows if x[0] == me[0] and (x[1], x[2]) <= (me[1], me[2])]
+        for column, m, w in (("a_w", "a", 3), ("b_w", "b", 5), ("b_x", "b", 2)):
+            low = me[1] - w * 1_000_000
+            want = sum(x[3] == m and (x[1] >= low if edge == "closed" else x[1] > low) for x in seen)
+            assert r[column] == want
+    assert "a_x" not in df.columns
+
+
+def test_key_of_two_columns(spark):
+    rows = random_rows(9, 200)
+    df = rolling_counts(
+        frame(spark, rows),
+        key=["k", "kind"],
+        ts=F.col("ts"),
+        order=F.col("n"),
+        measures={"own": F.lit(True)},
+        windows=WINDOWS,
+        edge="open",
+    )
+    want = brute(rows)
+    for r in df.filter("kind <> 'c'").collect():
+        assert (r.own_short, r.own_long) == tuple(want[r["n"]][f"{r.kind}_{w}"] for w in WINDOWS)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
@@ -116,7 +155,9 @@ def test_hot_key_is_split_by_time(spark):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     keyed = [line for line in plan.splitlines() if "Window [" in line]
     assert len(keyed) == 3
-    assert all("__b" in line.rsplit("], [", 2)[-2] for line in keyed if "__own" in line or "__lt" in line)
+    row_level = [line for line in keyed if "__le_" in line or "__lt_" in line]
+    assert len(row_level) == 2
+    assert all("__b" in line.rsplit("], [", 2)[-2] for line in row_level)
 
 
 @pytest.mark.parametrize("bucket", [1, 3, 1000])

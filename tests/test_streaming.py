@@ -170,7 +170,7 @@ def scoring_tables(spark):
         [(i, "u", "text", "Soup", datetime(2026, 1, 1)) for i in ("hot", "b", "c")],
         "id string, user_id string, caption string, category string, created_at timestamp",
     )
-    return made(spark), images, users
+    return scoring.ServingTables(made(spark), images, users)
 
 
 def requests(spark):
@@ -185,9 +185,9 @@ def requests(spark):
     )
 
 
-def score_stream(spark, predictor=None):
+def score_stream(spark, predictor=None, tables=None):
     out = run_dir(spark, "test-scoring")
-    tables = scoring_tables(spark)
+    tables = tables or scoring_tables(spark)
     text = messages.encode(requests(spark), F.lit("moderation_requests"), ["image_id", "trigger", "context", "timestamp"])
     sinks.publish(text, path=f"{out}/requests")
     stream = streams.requests_of(streams.file_messages(spark, f"{out}/requests"))
@@ -203,14 +203,25 @@ def test_scoring_stream(spark):
     assert (rows["hot"].trigger_type, rows["b"].trigger_type) == ("viral", "unknown")
     assert all(r.inference_mode == "heuristic" and 0 <= r.risk_score <= 1 for r in rows.values())
     assert rows["hot"].created_at == datetime(2026, 1, 1, 2, 0, 0, 250000)
-    events, images, users = scoring_tables(spark)
+    t = scoring_tables(spark)
     asked = requests(spark).filter("image_id = 'hot'").select(
         F.lit("r").alias("request_id"), "image_id", "trigger", F.timestamp_micros((F.col("timestamp") * 1e6).cast("bigint")).alias("ts")
     )
-    batch = serving.rule_predictor(DEFAULT.rules)(serving.request_features(asked, events, images, users, DEFAULT))
+    batch = serving.rule_predictor(DEFAULT.rules)(serving.request_features(asked, t.events, t.images, t.users, DEFAULT))
     assert batch.first().moderation_probability == rows["hot"].risk_score
 
 
+def test_scoring_with_a_totals_table_reads_recent_events_only(spark):
+    """Same windows from the last hour of events; totals are the stored ones."""
+    t = scoring_tables(spark)
+    t.totals = counters.lifetime_totals(t.events)
+    full = {r.target_id: r.risk_score for r in score_stream(spark)}
+    stored = {r.target_id: r.risk_score for r in score_stream(spark, tables=t)}
+    assert set(stored) == {"hot", "b"}
+    # Both images have flags before and after the request, so the scores agree.
+    assert stored == full
+
+
 def test_scoring_stream_with_another_predictor(spark):
     def constant(rows):
         return rows.withColumns(
