@@ -138,6 +138,17 @@ def read_counters(timed: DataFrame) -> DataFrame:
     )
 
 
+def observed(timed: DataFrame, name: str) -> DataFrame:
+    """The same rows, with the read, processed and skipped counters in the query's progress."""
+    ok = accepted()
+    return timed.observe(
+        name,
+        F.count(F.lit(1)).alias("events_read"),
+        F.count_if(ok).alias("events_processed"),
+        F.count_if(~ok).alias("events_skipped"),
+    )
+
+
 def route(timed: DataFrame) -> dict[str, DataFrame]:
     """One frame per known kind; unknown types are in :func:`rejected`."""
     good = valid(timed)

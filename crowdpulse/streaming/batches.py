@@ -91,8 +91,13 @@ class BatchTable:
 
 
 def progress(query: StreamingQuery) -> list[dict]:
-    """Rows and time per stage of the recent batches of a query."""
+    """Rows, time per stage and observed counters of the recent batches of a query."""
     return [
-        {"batch_id": p.batchId, "rows": p.numInputRows, "duration_ms": dict(p.durationMs)}
+        {
+            "batch_id": p.batchId,
+            "rows": p.numInputRows,
+            "duration_ms": dict(p.durationMs),
+            "observed": {name: row.asDict() for name, row in p.observedMetrics.items()},
+        }
         for p in query.recentProgress
     ]

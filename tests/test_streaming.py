@@ -151,6 +151,22 @@ def test_small_batches_by_files_per_trigger(spark):
     assert all("addBatch" in p["duration_ms"] for p in batches.progress(query) if p["rows"])
 
 
+def test_counters_in_the_progress(spark):
+    out = run_dir(spark, "test-observe")
+    lines = sent(made(spark, 30)).unionByName(
+        spark.createDataFrame([("views", '{"event_type":"view"}'), ("views", "junk")], "topic string, value string")
+    )
+    sinks.publish(lines, path=f"{out}/m")
+    timed = streams.events_of(streams.file_messages(spark, f"{out}/m"), stamp_missing=False)
+    query = batches.run_available(messages.observed(timed, "events"), windows.window_writer(f"{out}/t", PARAMS), f"{out}/c")
+    seen = [p["observed"]["events"] for p in batches.progress(query) if p["observed"]]
+    assert {k: sum(s[k] for s in seen) for k in seen[0]} == {
+        "events_read": 32,
+        "events_processed": 30,
+        "events_skipped": 2,
+    }
+
+
 def test_lifetime_totals_equal_batch(spark):
     events = made(spark)
     out = run_dir(spark, "test-totals")
