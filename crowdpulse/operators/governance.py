@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+
+def birth_year(users: DataFrame) -> Column:
+    """The year as a number; text that is none becomes null."""
+    year = F.col("year_of_birth")
+    if isinstance(users.schema["year_of_birth"].dataType, StringType):
+        return year.try_cast("double")
+    return year
 
 
 def actor_policy(users: DataFrame) -> DataFrame:
-    """Id, test mark and birth year of every account. Bad years become null."""
+    """Id, test mark and birth year of every account."""
     return users.select(
         F.col("id").alias("actor_id"),
         F.coalesce("is_test_account", F.lit(False)).alias("is_test_account"),
-        F.col("year_of_birth").cast("string").try_cast("int").alias("year_of_birth"),
+        birth_year(users).alias("year_of_birth"),
     )
 
 
@@ -30,7 +39,7 @@ def images_with_policy(images: DataFrame, users: DataFrame, adult_age: int = 18)
         F.col("id").alias("user_id"),
         F.col("created_at").alias("user_created_at"),
         F.coalesce("is_test_account", F.lit(False)).alias("uploader_is_test"),
-        F.col("year_of_birth").cast("string").try_cast("int").alias("__birth_year"),
+        birth_year(users).alias("__birth_year"),
     )
     return (
         images.join(uploader, "user_id")

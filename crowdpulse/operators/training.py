@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crowdpulse.functions import content, risk, times
-from crowdpulse.operators.sequences import rolling_counts
+from crowdpulse.operators.sequences import MICROS, rolling_counts
 from crowdpulse.params import LABEL, EngagementParams
 from crowdpulse.schemas import TRAINING
 
 COUNT_KINDS = ("view", "comment", "flag")
+MINUTE = 60 * MICROS
 
 
 def decision_points(images: DataFrame, params: EngagementParams) -> DataFrame:
@@ -60,22 +61,31 @@ def _per_image(images: DataFrame, facts: DataFrame, params: EngagementParams) ->
     """
     if params.label_horizon_hours < 1:
         raise ValueError("the label horizon must be at least one hour")
-    upload, until, kind = F.col("created_at"), F.col("until"), F.col("kind")
-    last_cutoff = times.plus_seconds(upload, max(params.decision_points) * 60)
-    label_end = times.plus_seconds(upload, params.label_horizon_hours * 3600)
-    in_window = (kind != "label") & (F.col("since") >= upload) & (until <= last_cutoff)
-    in_label = (kind == "label") & (until >= upload) & (F.col("since") <= label_end)
-    joined = images.join(
-        facts.withColumnRenamed("image_id", "__image"),
-        (F.col("id") == F.col("__image")) & (in_window | in_label),
-        "left",
+    upload, kind = F.unix_micros("created_at"), F.col("kind")
+    f = facts.select(
+        F.col("image_id").alias("__image"),
+        "kind",
+        F.unix_micros("since").alias("__since"),
+        F.unix_micros("until").alias("__until"),
+        "n",
+    )
+    since, until = F.col("__since"), F.col("__until")
+    in_window = (kind != "label") & (since >= upload) & (until <= upload + max(params.decision_points) * MINUTE)
+    in_label = (kind == "label") & (until >= upload) & (since <= upload + params.label_horizon_hours * 60 * MINUTE)
+    joined = images.join(f, (F.col("id") == F.col("__image")) & (in_window | in_label), "left").select(
+        *images.columns,
+        "kind",
+        # Age of the image at the end of the window; one column of counts per kind.
+        (until - upload).alias("__age"),
+        *[F.when(kind == of, F.col("n")).alias(f"__{of}") for of in COUNT_KINDS],
     )
+    age = F.col("__age")
 
     def counted(of: str, minutes: int, recent: int | None):
-        seen = (kind == of) & (until <= times.plus_seconds(upload, minutes * 60))
+        seen = age <= minutes * MINUTE
         if recent is not None:
-            seen = seen & (until > times.plus_seconds(upload, (minutes - recent) * 60))
-        return F.coalesce(F.sum(F.when(seen, F.col("n"))), F.lit(0))
+            seen = seen & (age > (minutes - recent) * MINUTE)
+        return F.coalesce(F.sum(F.when(seen, F.col(f"__{of}"))), F.lit(0))
 
     def at(minutes: int):
         fields = [F.lit(minutes).cast("int").alias("decision_point_minutes")]

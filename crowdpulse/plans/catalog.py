@@ -142,9 +142,7 @@ def topic_rollup(spark, sf_dir):
     return messages.topic_rollup(known)
 
 
-@query
-def next_offsets(spark, sf_dir):
-    """Where the next run starts, for four partitions per event type and a checkpoint at half."""
+def _next_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.col("event_id") % 4
     offset = F.floor(F.col("event_id") / 4)
     rows = domain.events(spark, sf_dir).select(
@@ -164,6 +162,19 @@ def next_offsets(spark, sf_dir):
     return messages.next_offsets(read, bounds)
 
 
+@query
+def next_offsets(spark, sf_dir):
+    """Where the next run starts, for four partitions per event type and a checkpoint at half."""
+    return _next_offsets(spark, sf_dir)
+
+
+@query
+def offsets_checkpoint(spark, sf_dir):
+    """The checkpoint after the run: per topic the next offset of each partition, as JSON."""
+    stored = messages.offsets_map(_next_offsets(spark, sf_dir))
+    return stored.select(F.explode("offsets").alias("topic", "offsets"))
+
+
 @query
 def comment_dedup(spark, sf_dir):
     """Comments of which every fifth is delivered twice."""
@@ -470,6 +481,32 @@ def training_exclude_deleted(spark, sf_dir):
     return governance.without_excluded(rows, excluded).groupBy("image_id").agg(F.count("*").alias("rows"))
 
 
+@query
+def raw_snapshots(spark, sf_dir):
+    """Raw copies of the tables, taken twice, with the rows the second copy holds."""
+    root = run_dir(spark, "raw")
+    copied = {
+        "users": domain.users(spark, sf_dir),
+        "images": domain.images(spark, sf_dir),
+        "comments": domain.comments(spark, sf_dir),
+        "flags": domain.flags(spark, sf_dir),
+    }
+    parts = []
+    for name, rows in copied.items():
+        sinks.overwrite_snapshot(rows.filter(F.col("id") % 2 == 0), root, name)
+        sinks.overwrite_snapshot(rows, root, name)
+        stored = tables.parquet_table(spark, f"{root}/raw/{name}/latest.parquet")
+        parts.append(
+            stored.agg(
+                F.lit(name).alias("table"),
+                F.count("*").alias("rows"),
+                F.sum("id").alias("id_sum"),
+                F.max(times.iso(F.col("created_at"))).alias("newest"),
+            )
+        )
+    return messages.unite(*parts)
+
+
 # --- serving ----------------------------------------------------------------
 
 
@@ -762,6 +799,25 @@ def model_scores(spark, sf_dir):
     return learning.score(learning.fit(rows), rows, ["image_id", "decision_point_minutes", LABEL])
 
 
+@query
+def model_request_scores(spark, sf_dir):
+    """Scoring requests by a trained model in place of the rules."""
+    predict = learning.model_predictor(learning.fit(risk_at_upload.training_set(spark, sf_dir)), "v1")
+    return predict(_request_rows(spark, sf_dir)).select(
+        "request_id", "image_id", "trigger", "moderation_probability", "inference_mode", "model_version"
+    )
+
+
+@query
+def training_metadata(spark, sf_dir):
+    """What is stored with a model, without its clock and batch count."""
+    path = run_dir(spark, "model-metadata")
+    sinks.append_snapshot(risk_at_upload.training_set(spark, sf_dir), path, 7)
+    pinned = tables.current_snapshot(spark, path)
+    rows = tables.read_as_of(spark, path, pinned)
+    return learning.training_metadata(rows, pinned).select("snapshot_id", "rows_seen", "algorithm")
+
+
 # --- streams (each runs to the end of its input and returns the resulting table) --
 
 for _name, _run in streams.QUERIES.items():

@@ -31,6 +31,8 @@ def local_session(cpus: str = "*", app: str = "crowdpulse", shuffle: int = 8) ->
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        # Plans here have many columns; recording the Python call site of each is slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .getOrCreate()

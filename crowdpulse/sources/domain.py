@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from crowdpulse.functions.times import iso
 from crowdpulse.operators.sequences import latest_values
@@ -27,6 +28,17 @@ KIND_OF_TYPE = {
     "purchase": "comment_flag",
 }
 
+ACTIVITY = StructType(
+    [
+        StructField("event_id", LongType()),
+        StructField("ts", TimestampType()),
+        StructField("user_id", LongType()),
+        StructField("kind", StringType()),
+        StructField("image_id", LongType()),
+        StructField("last_comment", LongType()),
+    ]
+)
+
 
 def events(spark: SparkSession, sf_dir: str, kinds: Iterable[str] | None = None) -> DataFrame:
     """All events, or those of some kinds (the filter reaches the scan)."""
@@ -100,14 +112,14 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _written:
         try:
-            return spark.read.parquet(_written[key])
+            return spark.read.schema(ACTIVITY).parquet(_written[key])
         except AnalysisException:
             # The folder was cleaned; write it again.
             pass
     path = run_dir(spark, "activity")
     attach_images(spark, sf_dir).write.parquet(path)
     _written[key] = path
-    return spark.read.parquet(path)
+    return spark.read.schema(ACTIVITY).parquet(path)
 
 
 def _actor(spark: SparkSession, sf_dir: str):

@@ -10,7 +10,7 @@ every event, and no key's state has to fit in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
@@ -116,17 +116,18 @@ class AlertJob:
             .withColumn("slot", ((micros - F.pmod(micros, F.lit(width))) / width).cast("bigint"))
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         )
+        # The slots of the batch, seen while it is written: for an ordinary batch one or two.
+        seen = Observation()
         # Dynamic overwrite replaces only this batch's folders, so a repeated batch is harmless.
         (
-            arrived.hint("rebalance", "slot")
+            arrived.observe(seen, F.collect_set("slot").alias("slots"))
+            .hint("rebalance", "slot")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("slot", "batch_id")
             .parquet(self.log_path)
         )
-        # One number per time slot of the batch: for an ordinary batch one or two.
-        touched = [r.slot for r in arrived.select("slot").distinct().collect()]
-        return sorted({s for t in touched for s in (t - 1, t)})
+        return sorted({s for t in seen.get["slots"] for s in (t - 1, t)})
 
     def read_log(self, slots: list[int]) -> DataFrame:
         """Events of the given slots; no other folder is listed or read."""

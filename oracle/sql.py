@@ -480,6 +480,21 @@ ORACLE: dict[str, str] = {
         FROM (SELECT event_type AS topic, event_id % 4 AS "partition", max(event_id // 4) + 1 AS end_offset,
             min(event_id // 4) AS first_offset FROM base GROUP BY 1, 2)"""
     ),
+    "offsets_checkpoint": sql(
+        """SELECT topic, '{' || string_agg('"' || p || '":' || end_offset, ',' ORDER BY p) || '}' AS offsets
+        FROM (SELECT event_type AS topic, event_id % 4 AS p, max(event_id // 4) + 1 AS end_offset FROM base GROUP BY 1, 2)
+        GROUP BY 1"""
+    ),
+    "raw_snapshots": sql(
+        " UNION ALL ".join(
+            f"""SELECT '{t}' AS "table", count(*) AS rows, CAST(sum(id) AS BIGINT) AS id_sum,
+              max(strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f')) AS newest FROM {t}"""
+            for t in ("users", "images", "comments", "flags")
+        )
+    ),
+    "training_metadata": sql(
+        "SELECT '7' AS snapshot_id, count(*) AS rows_seen, 'LogisticRegression' AS algorithm FROM training", *TRAIN
+    ),
     "comment_dedup": sql("SELECT image_id, count(DISTINCT id) AS comments FROM comments GROUP BY 1"),
     "tumbling_counts_5min": sql(f"SELECT {WINDOW_COLUMNS} FROM ({windows_of(300)})"),
     "tumbling_partial_final": WINDOWS_SQL,

@@ -150,6 +150,18 @@ def test_eligible_uploaders(spark):
     assert sorted(r.id for r in kept.collect()) == ["adult", "just18", "unknown"]
 
 
+def test_birth_years_in_text(spark):
+    people = spark.createDataFrame(
+        [("a", None, "n/a"), ("b", None, "2009"), ("c", None, "1990.0"), ("d", None, None)],
+        "id string, is_test_account boolean, year_of_birth string",
+    )
+    done = spark.createDataFrame(
+        [(i, datetime(2026, 1, 1)) for i in "abcd"], "user_id string, created_at timestamp"
+    )
+    kept = governance.eligible_actions(done, people)
+    assert sorted(r.user_id for r in kept.collect()) == ["a", "c", "d"]
+
+
 def test_no_eligible_image_gives_an_empty_training_set(spark):
     images = governance.eligible_images(
         spark.createDataFrame([], "id string, user_id string, caption string, category string, created_at timestamp"),
