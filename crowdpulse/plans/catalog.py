@@ -28,6 +28,9 @@ from crowdpulse.sources import domain, sinks, tables
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# The day an earlier run of a job took place, where a query needs one.
+MIDDLE = "2024-01-16"
+
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,7 +351,7 @@ def recent_alerts_topk(spark, sf_dir):
 @query
 def milestone_insert_absent(spark, sf_dir):
     reached = _milestones(spark, sf_dir)
-    stored = reached.filter(F.col("event_id") % 3 == 0)
+    stored = reached.filter(F.col("reached_at") < F.lit(MIDDLE).cast("timestamp"))
     return alerts.absent_milestones(reached, stored, key="user_id").select(
         "user_id", "milestone_type", "milestone_value", "event_id"
     )
@@ -443,11 +446,10 @@ def label_distribution(spark, sf_dir):
 
 
 def _written_training(spark: SparkSession, sf_dir: str) -> str:
-    """Two daily runs appended: images up to the middle of the data, then all images."""
+    """Two runs appended: images up to the middle of the month, then all images."""
     path = run_dir(spark, "training")
-    rows = risk_at_upload.training_set(spark, sf_dir)
-    sinks.append_snapshot(rows.filter(F.col("image_id").cast("bigint") % 2 == 0), path, 1)
-    sinks.append_snapshot(rows, path, 2)
+    sinks.append_snapshot(risk_at_upload.training_set(spark, sf_dir, before=MIDDLE), path, 1)
+    sinks.append_snapshot(risk_at_upload.training_set(spark, sf_dir), path, 2)
     return path
 
 
@@ -474,9 +476,9 @@ def training_newest(spark, sf_dir):
 
 @query
 def training_exclude_deleted(spark, sf_dir):
-    """Training rows without images whose uploader turned into a test account afterwards."""
+    """Training rows without the images of a category that was withdrawn afterwards."""
     rows = risk_at_upload.training_set(spark, sf_dir)
-    gone = domain.images(spark, sf_dir).filter(F.col("user_id") % 10 == 3)
+    gone = domain.images(spark, sf_dir).filter(F.col("category") == "Meat")
     excluded = governance.stable_ids(gone.select(F.col("id").alias("image_id")), ["image_id"])
     return governance.without_excluded(rows, excluded).groupBy("image_id").agg(F.count("*").alias("rows"))
 
@@ -493,7 +495,7 @@ def raw_snapshots(spark, sf_dir):
     }
     parts = []
     for name, rows in copied.items():
-        sinks.overwrite_snapshot(rows.filter(F.col("id") % 2 == 0), root, name)
+        sinks.overwrite_snapshot(rows.filter(F.col("created_at") < F.lit(MIDDLE).cast("timestamp")), root, name)
         sinks.overwrite_snapshot(rows, root, name)
         stored = tables.parquet_table(spark, f"{root}/raw/{name}/latest.parquet")
         parts.append(
@@ -650,9 +652,14 @@ def constraint_violations(spark, sf_dir):
 
 @query
 def fk_violations(spark, sf_dir):
-    """Missing parents when every seventh user, image, comment and decision is gone."""
+    """Missing parents when test accounts, deleted images, early comments and decisions without target are gone."""
     raw = _raw_tables(spark, sf_dir)
-    kept = {t: df.filter(F.col("id") % 7 != 1) for t, df in raw.items()}
+    kept = {
+        "users": raw["users"].filter(~F.coalesce("is_test_account", F.lit(False))),
+        "images": raw["images"].filter(F.col("deleted_at").isNull()),
+        "comments": raw["comments"].filter(F.col("created_at") >= F.lit(MIDDLE).cast("timestamp")),
+        "moderation": raw["moderation"].filter(F.col("target_id").isNotNull()),
+    }
     return messages.unite(
         *[
             quality.foreign_key_violations(raw[child], column, kept[parent], f"{child}.{column}")
@@ -702,13 +709,11 @@ def upload_metadata_upsert(spark, sf_dir):
 
 @query
 def latest_features_lookup(spark, sf_dir):
-    """Features of all images with an odd id, at the end of the data; ids without upload stay empty."""
+    """Features of every event's id taken as image id, at the end of the data; ids without upload stay empty."""
     events = governance.stable_ids(domain.signals(spark, sf_dir), ["image_id"])
     now = F.lit("2024-01-31T00:00:00").cast("timestamp")
     stored = entities.features_now(entities.latest_metadata(domain.upload_rows(spark, sf_dir)), events, now, SCALED)
-    asked = domain.events(spark, sf_dir).filter(F.col("event_id") % 2 == 1).select(
-        F.col("event_id").cast("string").alias("image_id")
-    )
+    asked = domain.events(spark, sf_dir).select(F.col("event_id").cast("string").alias("image_id"))
     return _as_wide(entities.lookup(stored, asked)).drop("seq")
 
 

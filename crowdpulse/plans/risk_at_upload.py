@@ -10,9 +10,15 @@ from crowdpulse.params import SCALED, EngagementParams
 from crowdpulse.sources import domain
 
 
-def training_set(spark: SparkSession, sf_dir: str, params: EngagementParams = SCALED) -> DataFrame:
+def training_set(
+    spark: SparkSession, sf_dir: str, params: EngagementParams = SCALED, before: str | None = None
+) -> DataFrame:
+    """Training rows of all images, or of those uploaded before a day."""
     users = domain.users(spark, sf_dir)
-    images = governance.eligible_images(domain.images(spark, sf_dir), users, params.adult_age)
+    uploaded = domain.images(spark, sf_dir)
+    if before is not None:
+        uploaded = uploaded.filter(F.col("created_at") < F.lit(before).cast("timestamp"))
+    images = governance.eligible_images(uploaded, users, params.adult_age)
     windows = counters.tumbling_counts(domain.signals(spark, sf_dir), params.tumbling_seconds)
     flags = governance.eligible_actions(domain.flags(spark, sf_dir), users, params.adult_age)
     return training.training_rows(images, windows, flags, params)

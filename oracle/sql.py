@@ -255,11 +255,12 @@ raw_users AS (
   FROM users),
 raw_images AS (
   SELECT id, user_id, CASE WHEN id % 9 <> 0 THEN 'x' END AS s3_url,
-    ['user_upload', 'synthetic', 'import', 'scrape', NULL][id % 5 + 1] AS source, CASE WHEN id % 3 = 0 THEN 1 END AS views
+    ['user_upload', 'synthetic', 'import', 'scrape', NULL][id % 5 + 1] AS source, CASE WHEN id % 3 = 0 THEN 1 END AS views,
+    deleted_at
   FROM images),
 raw_comments AS (
   SELECT id, image_id, user_id, 'text' AS content, CASE WHEN id % 2 = 0 THEN false END AS moderator_hidden,
-    id + 1 AS moderator_action_id
+    id + 1 AS moderator_action_id, created_at
   FROM comments),
 raw_flags AS (
   SELECT id, user_id, image_id, comment_id, 'spam' AS reason,
@@ -402,10 +403,18 @@ def _check(table: str, rule: str, broken: str) -> str:
     return f"SELECT '{table}' AS \"table\", '{rule}' AS rule, CAST(id AS VARCHAR) AS row_key FROM raw_{table} WHERE {broken}"
 
 
+KEPT = {
+    "users": "NOT coalesce(is_test_account, false)",
+    "images": "deleted_at IS NULL",
+    "comments": "created_at >= TIMESTAMP '2024-01-16'",
+    "moderation": "target_id IS NOT NULL",
+}
+
+
 def _foreign_key(child: str, column: str, parent: str) -> str:
     return f"""SELECT '{child}.{column}' AS "constraint", CAST({column} AS VARCHAR) AS missing_key, count(*) AS child_rows
     FROM raw_{child} WHERE {column} IS NOT NULL
-      AND {column} NOT IN (SELECT id FROM raw_{parent} WHERE id % 7 <> 1) GROUP BY 1, 2"""
+      AND {column} NOT IN (SELECT id FROM raw_{parent} WHERE {KEPT[parent]}) GROUP BY 1, 2"""
 
 
 def _nulls(table: str, columns: str) -> str:
@@ -556,7 +565,7 @@ ORACLE: dict[str, str] = {
     ),
     "milestone_insert_absent": sql(
         """SELECT user_id, milestone_type, CAST(milestone_value AS BIGINT) AS milestone_value, event_id
-        FROM reached WHERE event_id % 3 <> 0""",
+        FROM reached WHERE reached_at >= TIMESTAMP '2024-01-16'""",
         COUNTS,
     ),
     "milestone_history": sql(
@@ -587,10 +596,12 @@ ORACLE: dict[str, str] = {
         "SELECT label_needs_moderation_24h, count(*) AS samples FROM training GROUP BY 1", *TRAIN
     ),
     "training_as_of": sql(
-        """SELECT as_of, image_id, CASE WHEN as_of = 2 AND CAST(image_id AS BIGINT) % 2 = 0 THEN 2 ELSE 1 END * count(*) AS rows,
+        """SELECT as_of, image_id, CASE WHEN as_of = 2 AND early THEN 2 ELSE 1 END * count(*) AS rows,
           max(label_needs_moderation_24h) AS label
-        FROM training, (SELECT CAST(unnest([1, 2]) AS BIGINT) AS as_of)
-        WHERE as_of = 2 OR CAST(image_id AS BIGINT) % 2 = 0 GROUP BY 1, 2""",
+        FROM (SELECT t.*, i.created_at < TIMESTAMP '2024-01-16' AS early
+            FROM training t JOIN images i ON CAST(i.id AS VARCHAR) = t.image_id),
+          (SELECT CAST(unnest([1, 2]) AS BIGINT) AS as_of)
+        WHERE as_of = 2 OR early GROUP BY as_of, image_id, early""",
         *TRAIN,
     ),
     "training_newest": sql(
@@ -598,7 +609,7 @@ ORACLE: dict[str, str] = {
     ),
     "training_exclude_deleted": sql(
         """SELECT t.image_id, count(*) AS rows FROM training t
-        WHERE t.image_id NOT IN (SELECT CAST(id AS VARCHAR) FROM images WHERE user_id % 10 = 3) GROUP BY 1""",
+        WHERE t.image_id NOT IN (SELECT CAST(id AS VARCHAR) FROM images WHERE category = 'Meat') GROUP BY 1""",
         *TRAIN,
     ),
     "features_at_request": sql("SELECT * EXCLUDE (ts) FROM at_request", SERVING),
@@ -718,7 +729,7 @@ ORACLE: dict[str, str] = {
           CASE WHEN u.image_id IS NOT NULL THEN coalesce(tc, 0) / greatest(coalesce(tv, 0), 1)::DOUBLE END AS comment_ratio,
           CASE WHEN u.image_id IS NOT NULL THEN CAST(coalesce(v5, 0) + 5 * coalesce(c5, 0) AS DOUBLE) END AS recent_engagement,
           CAST(trunc((epoch_us(TIMESTAMP '2024-01-31') - epoch_us(u.created_at)) / 1e6) AS BIGINT) AS time_since_upload_seconds
-        FROM (SELECT CAST(event_id AS VARCHAR) AS image_id FROM base WHERE event_id % 2 = 1) asked
+        FROM (SELECT CAST(event_id AS VARCHAR) AS image_id FROM base) asked
         LEFT JOIN uploads u ON u.image_id = asked.image_id
         LEFT JOIN (SELECT CAST(image_id AS VARCHAR) AS image_id,
             count(*) FILTER (kind = 'view' AND ts >= TIMESTAMP '2024-01-30 23:00:00') AS v5,
