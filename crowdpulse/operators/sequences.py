@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
+# One key's rows of at most an hour meet in a task, however long the windows are.
+LARGEST_BUCKET = 3600 * MICROS
 
 
 def _bucketed(rows: DataFrame, keys: list[str], ts: Column, width: int) -> DataFrame:
@@ -53,7 +55,8 @@ def rolling_counts(
     ``{total}_total``, the rows so far. Rows with equal time count in ``order``;
     rows without key or time are dropped.
 
-    Every W is a multiple of the bucket, so ``t-W`` lies at the same phase of an
+    Every W is a multiple of the bucket (by default the largest common divisor of
+    the windows and one hour), so ``t-W`` lies at the same phase of an
     earlier bucket: shifting that bucket's rows by W puts them beside the row
     that asks, and the count is *bucket sums between* + *own rows up to the
     phase* - *shifted rows up to the phase*.
@@ -67,7 +70,7 @@ def rolling_counts(
         for name, seconds in (windows.get(m, {}) if nested else windows).items()
     ]
     shifts = sorted({s for _, _, s in asked})
-    width = bucket_seconds * MICROS if bucket_seconds else reduce(gcd, shifts)
+    width = bucket_seconds * MICROS if bucket_seconds else reduce(gcd, shifts, LARGEST_BUCKET)
     if any(s % width for s in shifts):
         raise ValueError(f"a bucket of {bucket_seconds} s does not divide the windows {windows}")
     payload = [c for c in rows.columns if c not in keys]
