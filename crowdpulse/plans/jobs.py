@@ -3,7 +3,7 @@
     raw/{table}/latest.parquet           extract_tables        daily
     windows/                             aggregate_events      hourly
     processed/training_data.parquet      build_training_set    daily
-    training/snapshot_id=N               build_training_set    daily
+    training/base=B/snapshot_id=N        build_training_set    daily
     models/{N}                           train                 on demand
     alerts/                              watch_activity        continuous
     moderation/                          score_requests        continuous
@@ -55,10 +55,10 @@ def build_training_set(
 
 
 def remove_excluded(spark: SparkSession, root: str, excluded: DataFrame, snapshot_id: int) -> None:
-    """Write the latest snapshot without excluded images as the next one."""
-    last = tables.current_snapshot(spark, f"{root}/training")
-    rows = spark.read.parquet(f"{root}/training/snapshot_id={last}")
-    sinks.append_snapshot(governance.without_excluded(rows, excluded), f"{root}/training", snapshot_id)
+    """Replace the training table by its rows without excluded images, as the next snapshot."""
+    path = f"{root}/training"
+    rows = tables.read_as_of(spark, path, tables.current_snapshot(spark, path)).drop("snapshot_id")
+    sinks.replace_snapshot(governance.without_excluded(rows, excluded), path, snapshot_id)
 
 
 def verify(spark: SparkSession, path: str, order: list[str]) -> tuple[DataFrame, DataFrame]:

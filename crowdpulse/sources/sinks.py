@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crowdpulse.sources.tables import base_of
+
 
 def publish(messages: DataFrame, *, servers: str | None = None, path: str | None = None) -> None:
     """(topic, value) messages to Kafka, or as text files per topic."""
@@ -45,7 +47,14 @@ def append_batch(rows: DataFrame, path: str, batch_id: int, partition_by: list[s
 
 
 def append_snapshot(rows: DataFrame, path: str, snapshot_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/snapshot_id={snapshot_id}")
+    """Add rows as the next snapshot; readers pinned to an earlier one do not see them."""
+    base = base_of(rows.sparkSession, path)
+    rows.write.mode("overwrite").parquet(f"{path}/base={base}/snapshot_id={snapshot_id}")
+
+
+def replace_snapshot(rows: DataFrame, path: str, snapshot_id: int) -> None:
+    """Make rows the whole table from this snapshot on; earlier snapshots stay readable."""
+    rows.write.mode("overwrite").parquet(f"{path}/base={snapshot_id}/snapshot_id={snapshot_id}")
 
 
 def append_table(spark: SparkSession, rows: DataFrame, table: str, provider: str = "parquet") -> None:

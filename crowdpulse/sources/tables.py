@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,14 +44,37 @@ def catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def current_snapshot(spark: SparkSession, path: str) -> int | None:
-    """Highest snapshot id of a snapshot table: reads partition values, no data columns."""
+# A snapshot table has folders base=B/snapshot_id=N. Appended snapshots share the
+# base of the last replacement (0 before the first); a replacing snapshot starts its
+# own. Both are partition columns, so the questions below read no data.
+
+
+def current_snapshot(spark: SparkSession, path: str) -> int:
+    """Highest snapshot id of a snapshot table."""
     return spark.read.parquet(path).agg(F.max("snapshot_id")).first()[0]
 
 
+def base_of(spark: SparkSession, path: str, snapshot_id: int | None = None) -> int:
+    """The last replacement up to a snapshot (or at all); 0 for none or no table."""
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    if snapshot_id is not None:
+        rows = rows.filter(F.col("snapshot_id") <= snapshot_id)
+    return rows.agg(F.max("base")).first()[0] or 0
+
+
 def read_as_of(spark: SparkSession, path: str, snapshot_id: int) -> DataFrame:
-    """The table as it was at a snapshot: everything appended up to it. Later folders are pruned."""
-    return spark.read.parquet(path).filter(F.col("snapshot_id") <= snapshot_id)
+    """The table as it was at a snapshot: what was appended up to it since the last replacement.
+
+    Other folders are pruned.
+    """
+    base = base_of(spark, path, snapshot_id)
+    rows = spark.read.parquet(path).filter((F.col("base") == base) & (F.col("snapshot_id") <= snapshot_id))
+    return rows.drop("base")
 
 
 def newest_per_row(rows: DataFrame, keys: list[str]) -> DataFrame:
