@@ -78,6 +78,15 @@ def views_of_unknown_images(views: DataFrame, images: DataFrame, image_key: str
     return missing.unionByName(views.filter(F.col("image_id").isNull()))
 
 
+def views_by_image(views: DataFrame, images: DataFrame, image_key: str = "id") -> DataFrame:
+    """Views per image and whether the image is known: both reports of the two joins above at once."""
+    known = images.select(F.col(image_key).alias("image_id"), F.lit(True).alias("__known"))
+    counted = views.groupBy("image_id").agg(F.count("*").alias("views"))
+    return counted.join(known, "image_id", "left").select(
+        "image_id", "views", F.coalesce("__known", F.lit(False)).alias("known")
+    )
+
+
 def activity_score(
     images: DataFrame, views: DataFrame, comments: DataFrame, flags: DataFrame
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +78,20 @@ def with_defaults(rows: DataFrame, table: str) -> DataFrame:
     )
 
 
+def default_usage(rows: DataFrame, table: str) -> DataFrame:
+    """Rows per value of each column with a default, after the defaults, in one pass."""
+    names = [c for c in DEFAULTS[table] if c in rows.columns]
+    pairs = [
+        F.struct(F.lit(f"{table}.{c}").alias("column"), F.col(c).cast("string").alias("value")) for c in names
+    ]
+    return (
+        with_defaults(rows, table)
+        .select(F.explode(F.array(*pairs)).alias("p"))
+        .groupBy("p.column", "p.value")
+        .agg(F.count("*").alias("rows"))
+    )
+
+
 def null_counts(rows: DataFrame, table: str) -> DataFrame:
     """Nulls per required column of the table, counted in one pass."""
     names = [c for c in REQUIRED[table] if c in rows.columns]
@@ -84,22 +100,43 @@ def null_counts(rows: DataFrame, table: str) -> DataFrame:
 
 
 def foreign_key_violations(
-    child: DataFrame, column: str, parent: DataFrame, name: str, parent_key: str = "id"
+    children: dict[str, DataFrame],
+    parents: dict[str, DataFrame],
+    keys: tuple[tuple[str, str, str], ...] = FOREIGN_KEYS,
 ) -> DataFrame:
-    """Missing parents with the number of child rows that name them.
+    """Missing parents per constraint with the number of child rows that name them.
 
-    Child rows are counted per parent first, so a hot parent is one row in the join.
+    Every table is read once: all foreign keys of a child are unpivoted and counted
+    together, so a hot parent is one row in the one join that checks them all.
     """
-    named = (
-        child.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("__parent"))
+    named = []
+    for table, rows in children.items():
+        refs = [
+            F.struct(
+                F.lit(f"{table}.{column}").alias("constraint"),
+                F.lit(parent).alias("parent"),
+                F.col(column).cast("string").alias("missing_key"),
+            )
+            for child, column, parent in keys
+            if child == table and column in rows.columns
+        ]
+        if refs:
+            named.append(rows.select(F.explode(F.array(*refs)).alias("r")).select("r.*"))
+    counted = (
+        reduce(DataFrame.unionByName, named)
+        .filter(F.col("missing_key").isNotNull())
+        .groupBy("constraint", "parent", "missing_key")
         .agg(F.count("*").alias("child_rows"))
     )
-    missing = named.join(
-        parent.select(F.col(parent_key).alias("__parent")), "__parent", "left_anti"
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            rows.select(F.lit(table).alias("parent"), F.col("id").cast("string").alias("missing_key"))
+            for table, rows in parents.items()
+        ],
     )
-    return missing.select(
-        F.lit(name).alias("constraint"), F.col("__parent").cast("string").alias("missing_key"), "child_rows"
+    return counted.join(known, ["parent", "missing_key"], "left_anti").select(
+        "constraint", "missing_key", "child_rows"
     )
 
 

@@ -234,17 +234,9 @@ def images_per_user(spark, sf_dir):
 
 @query
 def views_on_known_images(spark, sf_dir):
-    """Views whose image exists and is not deleted at any time; the others by image."""
+    """Views per image, with the mark whether the image exists undeleted."""
     known = domain.images(spark, sf_dir).filter(F.col("deleted_at").isNull())
-    views = domain.views(spark, sf_dir)
-    per_image = [
-        df.groupBy("image_id").agg(F.count("*").alias("views")).withColumn("known", F.lit(mark))
-        for df, mark in (
-            (counters.views_of_known_images(views, known), True),
-            (counters.views_of_unknown_images(views, known), False),
-        )
-    ]
-    return per_image[0].unionByName(per_image[1])
+    return counters.views_by_image(domain.views(spark, sf_dir), known)
 
 
 @query
@@ -660,12 +652,7 @@ def fk_violations(spark, sf_dir):
         "comments": raw["comments"].filter(F.col("created_at") >= F.lit(MIDDLE).cast("timestamp")),
         "moderation": raw["moderation"].filter(F.col("target_id").isNotNull()),
     }
-    return messages.unite(
-        *[
-            quality.foreign_key_violations(raw[child], column, kept[parent], f"{child}.{column}")
-            for child, column, parent in quality.FOREIGN_KEYS
-        ]
-    )
+    return quality.foreign_key_violations({t: raw[t] for t in ("images", "comments", "flags")}, kept)
 
 
 @query
@@ -683,16 +670,7 @@ def null_violations(spark, sf_dir):
 @query
 def column_defaults(spark, sf_dir):
     raw = _raw_tables(spark, sf_dir)
-    parts = []
-    for table, defaults in quality.DEFAULTS.items():
-        filled = quality.with_defaults(raw[table], table)
-        for column in defaults:
-            parts.append(
-                filled.groupBy(F.col(column).cast("string").alias("value"))
-                .agg(F.count("*").alias("rows"))
-                .select(F.lit(f"{table}.{column}").alias("column"), "value", "rows")
-            )
-    return messages.unite(*parts)
+    return messages.unite(*[quality.default_usage(raw[t], t) for t in quality.DEFAULTS])
 
 
 @query

@@ -2,7 +2,7 @@
 
     raw/{table}/latest.parquet           extract_tables        daily
     windows/                             aggregate_events      hourly
-    processed/training_data.parquet      build_training_set    daily
+    processed/*.parquet                  build_training_set    daily
     training/base=B/snapshot_id=N        build_training_set    daily
     models/{N}                           train                 on demand
     alerts/                              watch_activity        continuous
@@ -45,7 +45,10 @@ def build_training_set(
 ) -> None:
     """Governed, labelled rows from the raw copies and the window table, appended as a snapshot."""
     raw = {t: tables.raw_snapshot(spark, root, t) for t in ("users", "images", "flags")}
-    images = governance.eligible_images(raw["images"], raw["users"], params.adult_age)
+    images = sinks.staged(
+        governance.eligible_images(raw["images"], raw["users"], params.adult_age),
+        f"{root}/processed/eligible_images.parquet",
+    )
     flags = governance.eligible_actions(raw["flags"], raw["users"], params.adult_age)
     # Partial window rows need no merge here: the features sum them.
     counted = batches.read_batches(spark, f"{root}/windows")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from crowdpulse.operators import counters, governance, serving, training
 from crowdpulse.params import SCALED, EngagementParams
-from crowdpulse.sources import domain
+from crowdpulse.session import run_dir
+from crowdpulse.sources import domain, sinks
 
 
 def training_set(
@@ -18,7 +19,9 @@ def training_set(
     uploaded = domain.images(spark, sf_dir)
     if before is not None:
         uploaded = uploaded.filter(F.col("created_at") < F.lit(before).cast("timestamp"))
-    images = governance.eligible_images(uploaded, users, params.adult_age)
+    images = sinks.staged(
+        governance.eligible_images(uploaded, users, params.adult_age), run_dir(spark, "eligible-images")
+    )
     windows = counters.tumbling_counts(domain.signals(spark, sf_dir), params.tumbling_seconds)
     flags = governance.eligible_actions(domain.flags(spark, sf_dir), users, params.adult_age)
     return training.training_rows(images, windows, flags, params)

@@ -31,6 +31,12 @@ def overwrite_processed(rows: DataFrame, root: str) -> None:
     rows.write.mode("overwrite").parquet(f"{root}/processed/training_data.parquet")
 
 
+def staged(rows: DataFrame, path: str) -> DataFrame:
+    """Write rows that several branches of a plan read, and read them back."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def append_batch(rows: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None) -> None:
     """Write one micro-batch. Writing the same batch again leaves the same table.
 

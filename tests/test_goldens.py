@@ -323,6 +323,15 @@ def test_file_categories(spark):
     assert "3_4.txt" not in rows
 
 
+def test_views_of_known_and_unknown_images(spark):
+    views = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "image_id string, n int")
+    images = spark.createDataFrame([("a",), ("c",)], "id string")
+    assert sorted(r.n for r in counters.views_of_known_images(views, images).collect()) == [1, 2]
+    assert sorted(r.n for r in counters.views_of_unknown_images(views, images).collect()) == [3, 4]
+    rows = counters.views_by_image(views, images).collect()
+    assert {(r.image_id, r.views, r.known) for r in rows} == {("a", 2, True), ("b", 1, False), (None, 1, False)}
+
+
 def test_window_counts_add_up_to_the_events(spark):
     counts = counters.tumbling_counts(burst(spark))
     assert counts.agg(F.sum("event_count")).first()[0] == 120
