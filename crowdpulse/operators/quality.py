@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from crowdpulse.params import IMAGE_SOURCES, REVIEW_STATUSES, TARGET_TYPES
 
@@ -109,34 +110,38 @@ def foreign_key_violations(
     Every table is read once: all foreign keys of a child are unpivoted and counted
     together, so a hot parent is one row in the one join that checks them all.
     """
+    present = [k for k in keys if k[0] in children and k[1] in children[k[0]].columns]
+    names = list(parents)
+    kinds = {children[c].schema[column].dataType for c, column, _ in present}
+    kinds |= {parents[p].schema["id"].dataType for p in names}
+    # Ids of one type are compared as they are; constraint and parent travel as numbers.
+    kind = kinds.pop() if len(kinds) == 1 else StringType()
     named = []
     for table, rows in children.items():
         refs = [
             F.struct(
-                F.lit(f"{table}.{column}").alias("constraint"),
-                F.lit(parent).alias("parent"),
-                F.col(column).cast("string").alias("missing_key"),
+                F.lit(number).alias("c"),
+                F.lit(names.index(parent)).alias("p"),
+                F.col(column).cast(kind).alias("k"),
             )
-            for child, column, parent in keys
-            if child == table and column in rows.columns
+            for number, (child, column, parent) in enumerate(present)
+            if child == table
         ]
         if refs:
             named.append(rows.select(F.explode(F.array(*refs)).alias("r")).select("r.*"))
     counted = (
         reduce(DataFrame.unionByName, named)
-        .filter(F.col("missing_key").isNotNull())
-        .groupBy("constraint", "parent", "missing_key")
+        .filter(F.col("k").isNotNull())
+        .groupBy("c", "p", "k")
         .agg(F.count("*").alias("child_rows"))
     )
     known = reduce(
         DataFrame.unionByName,
-        [
-            rows.select(F.lit(table).alias("parent"), F.col("id").cast("string").alias("missing_key"))
-            for table, rows in parents.items()
-        ],
+        [parents[n].select(F.lit(i).alias("p"), F.col("id").cast(kind).alias("k")) for i, n in enumerate(names)],
     )
-    return counted.join(known, ["parent", "missing_key"], "left_anti").select(
-        "constraint", "missing_key", "child_rows"
+    constraint = F.array(*[F.lit(f"{child}.{column}") for child, column, _ in present])
+    return counted.join(known, ["p", "k"], "left_anti").select(
+        constraint[F.col("c")].alias("constraint"), F.col("k").cast("string").alias("missing_key"), "child_rows"
     )
 
 

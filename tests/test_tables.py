@@ -104,6 +104,25 @@ def test_defaults_and_required(spark):
     assert nulls == {"source": 1}
 
 
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_foreign_keys(spark, kind):
+    """Ids of one type and of two types; null references are no violation."""
+    images = spark.createDataFrame([(1, 7), (2, 8), (3, None), (4, 7)], "id bigint, user_id bigint")
+    flags = spark.createDataFrame([(5, 8, 1, None), (6, 9, 99, 12)], "id bigint, user_id bigint, image_id bigint, comment_id bigint")
+    images = images.withColumn("id", F.col("id").cast(kind))
+    users = spark.createDataFrame([(8,)], "id bigint")
+    comments = spark.createDataFrame([(11,)], "id bigint")
+    found = quality.foreign_key_violations(
+        {"images": images, "flags": flags}, {"users": users, "images": images, "comments": comments}
+    )
+    assert {(r.constraint, r.missing_key, r.child_rows) for r in found.collect()} == {
+        ("images.user_id", "7", 2),
+        ("flags.user_id", "9", 1),
+        ("flags.image_id", "99", 1),
+        ("flags.comment_id", "12", 1),
+    }
+
+
 def test_topics_in_one_frame(spark):
     views = spark.createDataFrame([("view", "i")], "event_type string, image_id string")
     comments = spark.createDataFrame([("comment", "i", "c")], "event_type string, image_id string, comment_id string")
