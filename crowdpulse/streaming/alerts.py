@@ -146,13 +146,9 @@ class AlertJob:
         needed = new.select(
             "image_id", F.explode(F.array(F.col("slot"), F.col("slot") - 1)).alias("slot")
         ).distinct()
-        before = events.filter(F.col("batch_id") < batch_id).join(needed, ["image_id", "slot"], "left_semi")
-        names = [f.name for f in EVENT]
-        rows = new.select(*names, F.lit(True).alias("is_new")).unionByName(
-            before.select(*names, F.lit(False).alias("is_new"))
-        )
+        rows = events.filter(F.col("batch_id") <= batch_id).join(needed, ["image_id", "slot"], "left_semi")
         counts = rolling_counts(
-            rows,
+            rows.select(*[f.name for f in EVENT], (F.col("batch_id") == batch_id).alias("is_new")),
             key="image_id",
             ts=F.col("ts"),
             order=F.col("event_id"),
