@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from crowdpulse.operators.serving import Predictor
 from crowdpulse.params import CATEGORICAL_INPUTS, LABEL, NUMERIC_INPUTS
+from crowdpulse.session import run_dir
 
 
 def model_inputs(rows: DataFrame) -> DataFrame:
@@ -58,7 +59,16 @@ def training_stages(regularisation: float = 1e-4) -> Pipeline:
 
 
 def fit(rows: DataFrame) -> PipelineModel:
-    return training_stages().fit(model_inputs(rows).withColumn(LABEL, F.col(LABEL).cast("double")))
+    """A model fitted on all rows, as it reads back from storage.
+
+    A model fresh from training carries its training summary and with it the
+    session, which cannot be sent to executors once the session has observations.
+    """
+    spark = rows.sparkSession
+    model = training_stages().fit(model_inputs(rows).withColumn(LABEL, F.col(LABEL).cast("double")))
+    path = run_dir(spark, "fitted-model")
+    model.write().save(path)
+    return PipelineModel.load(path)
 
 
 def score(model: PipelineModel, rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -179,7 +179,7 @@ def stream_users_created(spark: SparkSession, sf_dir: str) -> DataFrame:
         part.write.mode("append").parquet(source)
         stream = spark.readStream.schema(asked.schema).parquet(source)
         batches.run_available(stream, handler, f"{out}/checkpoint")
-    return batches.read_batches(spark, f"{out}/table").select("username", "id")
+    return entities.created_accounts(spark, f"{out}/table", asked.schema).select("username", "id")
 
 
 def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

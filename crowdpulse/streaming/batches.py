@@ -69,7 +69,7 @@ class BatchTable:
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/batches/batch_id={batch_id}")
 
     def all(self) -> DataFrame:
-        return read_batches(self.spark, f"{self.path}/batches", self.schema)
+        return read_batches(self.spark, f"{self.path}/batches", self.schema).select(*self.schema.names)
 
     def before(self, batch_id: int) -> DataFrame:
         """Rows of all earlier batches: the last compaction and the batches after it."""

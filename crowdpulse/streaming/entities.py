@@ -6,40 +6,66 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from crowdpulse.operators import entities
 from crowdpulse.sources.sinks import append_batch, publish
-from crowdpulse.streaming.batches import Handler, read_batches
+from crowdpulse.streaming.batches import BatchTable, Handler, read_batches
+
+
+METADATA = StructType(
+    [
+        StructField("image_id", StringType()),
+        StructField("seq", LongType()),
+        StructField("category", StringType()),
+        StructField("caption_length", StringType()),
+        StructField("uploaded_at", StringType()),
+        StructField("user_id", StringType()),
+    ]
+)
+
+
+def metadata_table(spark: SparkSession, path: str) -> BatchTable:
+    return BatchTable(spark, path, METADATA)
 
 
 def metadata_writer(path: str) -> Handler:
-    """Keep the last metadata of each uploaded image per batch."""
+    """Keep the last metadata of each uploaded image per batch, folded from time to time."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        table = metadata_table(batch.sparkSession, path)
+        table.compact(batch_id, _last_metadata)
         uploads = batch.filter(F.col("event_type") == "upload")
-        append_batch(entities.latest_metadata(uploads, F.current_timestamp()), path, batch_id)
+        table.write(entities.latest_metadata(uploads, F.current_timestamp()), batch_id)
 
     return write
 
 
+def _last_metadata(rows: DataFrame) -> DataFrame:
+    return entities.last_per_key(rows, "image_id", "seq")
+
+
 def latest_metadata(spark: SparkSession, path: str) -> DataFrame:
     """The last write of each image over all batches."""
-    return entities.last_per_key(read_batches(spark, path).drop("batch_id"), "image_id", "seq")
+    return _last_metadata(metadata_table(spark, path).all())
 
 
 def account_writer(path: str, existing: DataFrame, order: str = "arrival") -> Handler:
     """Append accounts for usernames that neither ``existing`` nor an earlier batch has."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        known = existing.select("username")
-        if batch_id:
-            earlier = read_batches(batch.sparkSession, path).filter(F.col("batch_id") < batch_id)
-            known = known.unionByName(earlier.select("username"))
-        append_batch(entities.users_to_create(batch, known, order), path, batch_id)
+        table = BatchTable(batch.sparkSession, path, batch.schema)
+        table.compact(batch_id, lambda rows: rows)
+        known = existing.select("username").unionByName(table.before(batch_id).select("username"))
+        table.write(entities.users_to_create(batch, known, order), batch_id)
 
     return write
 
 
+def created_accounts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return BatchTable(spark, path, schema).all()
+
+
 def dual_writer(
     path: str,
     shape: Callable[[DataFrame], DataFrame],

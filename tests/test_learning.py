@@ -4,6 +4,7 @@ import random
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from crowdpulse.operators import learning
@@ -50,6 +51,15 @@ def test_fit_score_save_load(spark, tmp_path):
     assert sorted(scored.collect()) == sorted(again.collect())
 
 
+def test_model_scores_in_a_session_with_observations(spark):
+    data = rows(spark, 50)
+    seen = Observation()
+    data.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 50}
+    assert learning.score(learning.fit(data), data, ["image_id"]).count() == 50
+    assert len(learning.score(learning.fit(data), data, ["image_id"]).collect()) == 50
+
+
 def test_unseen_category_scores_as_no_category(spark):
     model = learning.fit(rows(spark))
     other = model.transform(learning.model_inputs(rows(spark, 4, category="Martian"))).filter("category = 'Martian'")

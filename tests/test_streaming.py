@@ -277,7 +277,8 @@ def test_accounts_are_created_once(spark):
     write(spark.createDataFrame([("new", 10, 2), ("new", 11, 1), ("old", 12, 3)], fields), 0)
     write(spark.createDataFrame([("new", 13, 4), ("other", 14, 5)], fields), 1)
     write(spark.createDataFrame([("new", 13, 4), ("other", 14, 5)], fields), 1)
-    rows = batches.read_batches(spark, f"{out}/t").select("username", "id").collect()
+    schema = spark.createDataFrame([], fields).schema
+    rows = entities.created_accounts(spark, f"{out}/t", schema).select("username", "id").collect()
     assert sorted(tuple(r) for r in rows) == [("new", 11), ("other", 14)]
 
 
