@@ -1,4 +1,7 @@
-"""Explicit schemas of every table and message; nothing is inferred."""
+"""Explicit schemas of every table and message; nothing is inferred.
+
+Fixed values: the column names and types of the data model.
+"""
 
 from pyspark.sql.types import (
     BooleanType,
