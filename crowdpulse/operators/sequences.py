@@ -59,7 +59,8 @@ def rolling_counts(
     the windows and one hour), so ``t-W`` lies at the same phase of an
     earlier bucket: shifting that bucket's rows by W puts them beside the row
     that asks, and the count is *bucket sums between* + *own rows up to the
-    phase* - *shifted rows up to the phase*.
+    phase* - *shifted rows up to the phase*. ``rows`` is read twice, so an expensive
+    derivation is better written to a table first.
     """
     keys = [key] if isinstance(key, str) else list(key)
     measures, windows, totals = dict(measures or {}), dict(windows or {}), dict(totals or {})

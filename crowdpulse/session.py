@@ -17,6 +17,10 @@ RUNTIME_CONF = {
     # many side only; the skew reader splits that side and repeats the other.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Streaming totals keep one row per image: on disk, not in executor memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
