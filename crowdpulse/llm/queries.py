@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdpulse.llm import line_dedup
-from crowdpulse.llm.tables import table
+from crowdpulse.llm.tables import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,7 +16,7 @@ ORACLE: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(ship(spark), sf_dir)
     return fn
 
 

@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
+import crowdpulse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdpulse.session import run_dir
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Give this package to the Python workers, which need not have it installed. Once per application."""
+    context = spark.sparkContext
+    name = f"crowdpulse-{context.applicationId}.zip"
+    if not any(os.path.basename(f) == name for f in context.listFiles + list(context._python_includes)):
+        parent = Path(crowdpulse.__file__).resolve().parents[1]
+        base = os.path.join(tempfile.mkdtemp(prefix="ship-"), name.removesuffix(".zip"))
+        context.addPyFile(shutil.make_archive(base, "zip", parent, "crowdpulse"))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
