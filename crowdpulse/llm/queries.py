@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdpulse.llm import line_dedup, simhash
+from crowdpulse.llm import decontaminate, line_dedup, simhash
 from crowdpulse.llm.tables import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its text as it stays, and the words it lost (0: none)."""
     kept = line_dedup.remove_repeated(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "text", F.coalesce("removed_words", F.lit(0)).alias("removed_words"))
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item, their similarity and its first word."""
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "first_word")
