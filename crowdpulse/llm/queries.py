@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdpulse.llm import decontaminate, line_dedup, simhash
-from crowdpulse.llm.tables import ship, table
+from crowdpulse.llm import decontaminate, line_dedup, quality_classifier, simhash
+from crowdpulse.llm.tables import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +35,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "text", F.coalesce("removed_words", F.lit(0)).alias("removed_words"))
 
 
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_classifier.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), 0.3)
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item, their similarity and its first word."""
