@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdpulse.llm import decontaminate, line_dedup, quality_classifier, simhash
+from crowdpulse.llm import decontaminate, line_dedup, mixing, quality_classifier, simhash
 from crowdpulse.llm.tables import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "text", F.coalesce("removed_words", F.lit(0)).alias("removed_words"))
 
 
+@query
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.allocation(table(spark, sf_dir, "documents"), (3, 1, 2), share=1.5, most=2.0))
+
+
 @query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_classifier.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), 0.3)
