@@ -22,10 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import BinaryType, StructField, StructType
 
 from crowdpulse.llm import words as W
-from crowdpulse.llm.tables import staged, text_of
+from crowdpulse.llm.tables import release, staged, text_of
 
 #: Words in a line and lines in a chunk, on average; least words in a removed passage.
 LINE_WORDS, CHUNK_LINES, MIN_WORDS = 6, 2, 20
@@ -34,7 +33,11 @@ RANK = W.powers(0xD6E8FEB86659FD93, 4096)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id"), F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text"))
+    """The text with its owner's key, and one long for the key to join by; equal longs are checked later."""
+    text = text_of()
+    return docs.select(
+        "doc_id", F.xxhash64(text).alias("text_hash"), F.xxhash64("doc_id", text).alias("key"), text.alias("text")
+    )
 
 
 def cut(part: W.Texts, line_words: int, chunk_lines: int):
@@ -42,8 +45,7 @@ def cut(part: W.Texts, line_words: int, chunk_lines: int):
     w = W.words(part)
     n = len(w.hash)
     if not n:
-        empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty, empty, empty, np.zeros(0, np.uint64)
+        return *[np.zeros(0, np.int64)] * 6, np.zeros(0, np.uint64)
     feeds = np.concatenate([[0], np.cumsum(part.bytes == 10)])
     before = np.concatenate([[np.uint64(0)], w.hash[:-1]])
     new_text = np.ones(n, bool)
@@ -75,84 +77,77 @@ def cut(part: W.Texts, line_words: int, chunk_lines: int):
 
 
 def chunks(docs: DataFrame, line_words: int = LINE_WORDS, chunk_lines: int = CHUNK_LINES) -> DataFrame:
-    """One row per chunk of every text: key, number, places in bytes, words, lines, hash."""
+    """(key, chunk): the hash of every chunk of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.texts(batch.column("text")):
-                owner, number, start, end, n, lines, digest = cut(part, line_words, chunk_lines)
-                at = pa.array(owner + part.first)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").take(at),
-                        batch.column("text_hash").take(at),
-                        pa.array(number.astype(np.int32)),
-                        pa.array(start.astype(np.int64)),
-                        pa.array(end.astype(np.int64)),
-                        pa.array(n.astype(np.int32)),
-                        pa.array(lines.astype(np.int32)),
-                        pa.array(digest.view(np.int64)),
-                    ],
-                    names=["doc_id", "text_hash", "number", "start", "end", "words", "lines", "chunk"],
-                )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text_hash long, number int, start long, end long, words int, lines int, chunk long"
-    return _keyed(docs).mapInArrow(run, schema)
+                found = cut(part, line_words, chunk_lines)
+                key = batch.column("key").take(pa.array(found[0] + part.first))
+                yield pa.RecordBatch.from_arrays([key, pa.array(found[-1].view(np.int64))], ["key", "chunk"])
 
-
-def _same(left: DataFrame, right: DataFrame, names=KEY):
-    condition = left[names[0]].eqNullSafe(right[names[0]])
-    for n in names[1:]:
-        condition &= left[n] == right[n]
-    return condition
+    return _keyed(docs).select("key", "text").mapInArrow(run, "key long, chunk long")
 
 
 def repeated(docs: DataFrame, line_words: int = LINE_WORDS, chunk_lines: int = CHUNK_LINES) -> DataFrame:
-    """Every chunk but the first of each set of byte-equal chunks: key, number, places, words, lines."""
+    """Every chunk but the first of each set of byte-equal chunks: owner, number, places, words, lines."""
+    spark = docs.sparkSession
     every = staged(chunks(docs, line_words, chunk_lines), "chunks")
     often = every.groupBy("chunk").count().where("count > 1").select("chunk")
-    seen = every.join(often, "chunk")
-    place = F.struct("number", "start", "end", "words", "lines", "chunk")
-    listed = seen.groupBy(*KEY).agg(F.collect_list(place).alias("places"))
-    keyed = _keyed(docs)
-    owners = keyed.join(listed, _same(keyed, listed)).select(keyed["*"], "places").dropDuplicates(list(KEY))
+    listed = every.join(often, "chunk").groupBy("key").agg(F.collect_set("chunk").alias("chunks"))
+    listed = staged(listed, "repeated-chunks")
+    release(spark)
+
+    names = ["doc_id", "text_hash", "number", "start", "end", "words", "lines", "chunk", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(len(batch)):
-                text = batch.column("text")[k].as_py().encode()
-                places = batch.column("places")[k].values
-                own = {n: places.field(n).to_numpy() for n in ("start", "end")}
-                pieces = [text[s:e] for s, e in zip(own["start"], own["end"])]
-                at = pa.array(np.full(len(places), k))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(at), batch.column("text_hash").take(at)]
-                    + [places.field(n) for n in ("number", "start", "end", "words", "lines", "chunk")]
-                    + [pa.array(pieces, pa.binary())],
-                    names=["doc_id", "text_hash", "number", "start", "end", "words", "lines", "chunk", "bytes"],
-                )
-
-    candidates = staged(owners.mapInArrow(run, StructType([*every.schema, StructField("bytes", BinaryType())])), "chunk-bytes")
-    # Equal hashes are only candidates: the bytes themselves are grouped and joined.
-    equal = (
-        candidates.groupBy("chunk", "bytes")
-        .agg(F.min(F.struct(*KEY, "number")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
-        .drop("n")
-    )
+            for part in W.texts(batch.column("text")):
+                owner, number, start, end, n, lines, digest = cut(part, line_words, chunk_lines)
+                wanted = batch.column("chunks").slice(part.first, part.last - part.first)
+                digest = digest.view(np.int64)
+                edges = np.searchsorted(owner, np.arange(len(wanted) + 1))
+                hits = [
+                    a + np.flatnonzero(np.isin(digest[a:b], w.values.to_numpy()))
+                    for a, b, w in zip(edges, edges[1:], wanted)
+                ]
+                hits = np.concatenate(hits)
+                places = zip((part.starts[owner] + start)[hits], (part.starts[owner] + end)[hits])
+                data = part.bytes.tobytes()
+                at = pa.array(owner[hits] + part.first)
+                numbers = [pa.array(x[hits]) for x in (number, start, end, n, lines, digest)]
+                pieces = pa.array([data[a:b] for a, b in places], pa.binary())
+                owners = [batch.column(c).take(at) for c in KEY]
+                yield pa.RecordBatch.from_arrays([*owners, *numbers, pieces], names)
+
+    keyed = _keyed(docs)
+    owners = keyed.join(listed, "key").select(*KEY, "text", "chunks")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    numbers = ", ".join(f"{n} long" for n in names[2:-1])
+    candidates = owners.mapInArrow(run, f"doc_id {kind}, text_hash long, {numbers}, bytes binary")
+    candidates = staged(candidates, "chunk-bytes")
+    release(spark)
+    # Equal hashes are only candidates: rows are grouped by the bytes themselves.
     own = F.struct(*KEY, "number")
-    return (
-        candidates.join(equal, ["chunk", "bytes"])
-        .where(~own.eqNullSafe(F.col("first")))
-        .select(*KEY, "number", "start", "end", "words", "lines")
-    )
+    equal = candidates.groupBy("chunk", "bytes").agg(F.min(own).alias("first"), F.count("*").alias("n"))
+    equal = staged(equal, "equal-chunks")
+    release(spark)
+    # Where all chunks of a hash have the same bytes, the hash stands for them from here on.
+    mixed = staged(equal.groupBy("chunk").count().where("count > 1").select("chunk"), "mixed-chunks")
+    several = equal.where("n > 1")
+    alike = candidates.drop("bytes").join(several.select("chunk", "first").join(mixed, "chunk", "left_anti"), "chunk")
+    unlike = candidates.join(mixed, "chunk", "left_semi").join(several.drop("n"), ["chunk", "bytes"]).drop("bytes")
+    later = alike.unionByName(unlike).where(~own.eqNullSafe(F.col("first")))
+    return later.select(*KEY, "number", "start", "end", "words", "lines")
 
 
 def passages(docs: DataFrame, **sizes) -> DataFrame:
     """The repeated chunks of each document, in the order of the text."""
     chunk = F.struct("number", "start", "end", "words", "lines")
-    return repeated(docs, **sizes).groupBy(*KEY).agg(F.array_sort(F.collect_list(chunk)).alias("found"))
+    found = repeated(docs, **sizes).distinct().groupBy(*KEY)
+    found = staged(found.agg(F.array_sort(F.collect_list(chunk)).alias("found")), "passages")
+    release(docs.sparkSession)
+    return found
 
 
 def runs(number, start, end, words, lines, min_words: int) -> list[tuple[int, int]]:

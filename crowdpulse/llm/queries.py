@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdpulse.llm import decontaminate, line_dedup, mixing, quality_classifier, simhash
+from crowdpulse.llm import decontaminate, line_dedup, mixing, quality_classifier, quality_rules, simhash
 from crowdpulse.llm.tables import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judged(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), bits=3, size=3, seed=42)

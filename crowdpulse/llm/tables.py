@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
+import time
 from pathlib import Path
 
 import crowdpulse
@@ -43,6 +45,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Free the shuffle files of finished steps now; Spark drops them when the driver collects garbage."""
+    for _ in range(2):  # what Python let go first, then what that held
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def text_of(column: str = "text") -> Column:
     """A text, empty where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
