@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdpulse.llm import decontaminate, line_dedup, mixing, quality_classifier, quality_rules, simhash
+from crowdpulse.llm import decontaminate, line_dedup, mixing, quality_classifier, quality_rules, simhash, toxicity
 from crowdpulse.llm.tables import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judged(table(spark, sf_dir, "documents"))
