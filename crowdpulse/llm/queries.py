@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdpulse.llm import decontaminate, html_text, line_dedup, mixing, quality_classifier, quality_rules, simhash, toxicity
+from crowdpulse.llm import chat, decontaminate, html_text, line_dedup, mixing, quality_classifier, quality_rules, simhash, toxicity
 from crowdpulse.llm.tables import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,12 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.allocation(table(spark, sf_dir, "documents"), (3, 1, 2), share=1.5, most=2.0))
 
 
+@query
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn and inserted turn of every conversation, with its piece of the rendered text."""
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_classifier.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), 0.3)
