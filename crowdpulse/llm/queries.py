@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdpulse.llm import chat, decontaminate, html_text, line_dedup, mixing, quality_classifier, quality_rules, simhash, toxicity
+from crowdpulse.llm import chat, decontaminate, html_text, line_dedup, mixing, pii, quality_classifier, quality_rules, simhash, toxicity
 from crowdpulse.llm.tables import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.protected(table(spark, sf_dir, "documents")))
+
+
 @query
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
