@@ -137,18 +137,23 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def near(base: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, entity, term): the words around each entity of a document, each once."""
-    one = base.select("doc_id", "text_hash", F.explode("found").alias("m"))
-    # A word that the reach cuts off is left out.
-    before = F.regexp_replace("m.before", r"^[\p{L}\p{M}'’-]+", "")
-    before = F.when(F.length("m.before") < REACH, F.col("m.before")).otherwise(before)
-    after = F.regexp_replace("m.after", r"[\p{L}\p{M}'’-]+$", "")
-    after = F.when(F.length("m.after") < REACH, F.col("m.after")).otherwise(after)
-    left, right = words_of(before), words_of(after)
+def around(m: Column) -> Column:
+    """The terms next to a match; a word that the reach cuts off is left out."""
+    whole = lambda side, edge: F.when(F.length(side) < REACH, side).otherwise(F.regexp_replace(side, edge, ""))
+    left = words_of(whole(m["before"], r"^[\p{L}\p{M}'’-]+"))
+    right = words_of(whole(m["after"], r"[\p{L}\p{M}'’-]+$"))
     last = F.slice(left, F.greatest(F.size(left) - TERMS + 1, F.lit(1)), F.lit(TERMS))
-    around = F.array_distinct(F.concat(last, F.slice(right, 1, TERMS)))
-    return one.select("doc_id", "text_hash", F.col("m.entity").alias("entity"), F.explode(around).alias("term")).distinct()
+    return F.array_distinct(F.concat(last, F.slice(right, 1, TERMS)))
+
+
+def near(base: DataFrame) -> DataFrame:
+    """(text_hash, entity, term): the words around each entity of a document, each once per row."""
+    pairs = F.flatten(
+        F.transform(
+            "found", lambda m: F.transform(around(m), lambda t: F.struct(m["entity"].alias("entity"), t.alias("term")))
+        )
+    )
+    return base.select("text_hash", F.explode(F.array_distinct(pairs)).alias("p")).select("text_hash", "p.*")
 
 
 def risky(docs: DataFrame, base: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
