@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crowdpulse.llm import words as W
-from crowdpulse.llm.tables import text_of
+from crowdpulse.llm.tables import packed, text_of, unpacked
 
 SHINGLE, SIMILARITY, RADIUS, BITS = 5, 0.8, 7, 64
 #: Bytes of benchmark text in one block.
@@ -256,6 +256,7 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
 
 def remove(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without those that hold a benchmark item."""
-    hit = find(docs, benchmark, similarity).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of")).distinct()
-    condition = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(text_of()) == F.col("_of"))
-    return docs.join(hit, condition, "left_anti")
+    hit = find(docs, benchmark, similarity).select("doc_id", "text_hash").distinct().toDF("_id", "_hash")
+    rows = packed(docs, "doc_id", F.xxhash64(text_of()).alias("_of"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_hash"))
+    return rows.join(hit, same, "left_anti").select(*unpacked(docs))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from crowdpulse.llm import words as W
-from crowdpulse.llm.tables import release, staged, text_of
+from crowdpulse.llm.tables import packed, release, staged, text_of, unpacked
 
 #: Words in a line and lines in a chunk, on average; least words in a removed passage.
 LINE_WORDS, CHUNK_LINES, MIN_WORDS = 6, 2, 20
@@ -199,13 +199,10 @@ def remove_repeated(docs: DataFrame, min_words: int = MIN_WORDS, **sizes) -> Dat
             [pa.array([t.as_py() for t in texts], pa.string()), pa.array(gone, pa.int32())], ["text", "removed_words"]
         )
 
-    found = passages(docs, **sizes).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("found").alias("_found")
-    )
-    keyed = docs.withColumn("_of", F.xxhash64(text_of()))
-    joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found["_id"]) & (F.col("_of") == F.col("_hash")), "left")
-    result = joined.withColumn("_clean", cleaned(F.col("text"), F.col("_found")))
-    return result.select(
-        *[F.col("_clean.text").alias("text") if c == "text" else docs[c] for c in docs.columns],
-        F.col("_clean.removed_words").alias("removed_words"),
+    found = passages(docs, **sizes).toDF("_id", "_hash", "_found")
+    rows = packed(docs, "doc_id", "text", F.xxhash64(text_of()).alias("_of"))
+    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_hash")), "left")
+    clean = joined.select("_doc", cleaned(F.col("text"), F.col("_found")).alias("_clean"))
+    return clean.select(
+        *unpacked(docs, text=F.col("_clean.text")), F.col("_clean.removed_words").alias("removed_words")
     )

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.tables import staged, text_of
+from crowdpulse.llm.tables import packed, staged, text_of, unpacked
 
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2.0, 20240229
 BLOCK_WORDS, SHARD_WORDS = 250_000, 20_000_000
@@ -264,10 +264,7 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
     chosen = chosen.select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "_n", "copies"
     )
-    # One struct holds the row, so that its columns may have any names.
-    rows = docs.select(
-        F.struct(*docs.columns).alias("_doc"), "doc_id", "source", F.xxhash64(text_of()).alias("text_hash")
-    )
+    rows = packed(docs, "doc_id", "source", F.xxhash64(text_of()).alias("text_hash"))
     rows = rows.withColumn("_row", F.row_number().over(twins.orderBy(F.lit(0))))
     on = (
         rows["doc_id"].eqNullSafe(F.col("_id"))
@@ -280,7 +277,7 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
         F.xxhash64(F.lit(seed + 3), "doc_id", "text_hash", F.col("_copy.pass")), "doc_id", "text_hash", F.col("_copy.pass")
     )
     return dealt.select(
-        *[F.col("_doc")[c].alias(c) for c in docs.columns],
+        *unpacked(docs),
         F.col("_copy.shard").alias("mix_shard"),
         F.row_number().over(shuffled).alias("mix_position"),
         F.col("_copy.pass").alias("mix_pass"),

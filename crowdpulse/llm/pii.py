@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.tables import staged, text_of
+from crowdpulse.llm.tables import packed, staged, text_of, unpacked
 
 KINDS = ("email", "ip", "card", "phone", "term")
 PATTERNS = {
@@ -235,12 +235,12 @@ def digest(found: DataFrame) -> DataFrame:
 
 def sanitised(docs: DataFrame, remove: float = REMOVE, **options) -> DataFrame:
     """``docs`` with text sanitised: base spans by their kind in brackets, terms by [NAME] or [WORD], or gone."""
-    found = protected(docs, **options).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans")
-    found = found.dropDuplicates(["_id", "_hash"]).withColumnRenamed("spans", "_spans").where("size(_spans) > 0")
-    keyed = docs.withColumn("_of", F.xxhash64(text_of()))
-    joined = keyed.join(found, keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_hash")), "left")
+    found = protected(docs, **options).where("size(spans) > 0").dropDuplicates(["doc_id", "text_hash"])
+    found = found.toDF("_id", "_hash", "_spans")
+    rows = packed(docs, "doc_id", "text", F.xxhash64(text_of()).alias("_of"))
+    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_hash")), "left")
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in PATTERNS])
-    own = lambda a, b: F.substring(docs["text"], a + 1, b - a)
+    own = lambda a, b: F.substring(F.col("text"), a + 1, b - a)
 
     def step(a: Column, s: Column) -> Column:
         word = own(s["start"], s["end"])
@@ -254,6 +254,6 @@ def sanitised(docs: DataFrame, remove: float = REMOVE, **options) -> DataFrame:
         )
 
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
-    whole = F.aggregate("_spans", zero, step, lambda a: F.concat(a["text"], own(a["at"], F.length(docs["text"]))))
-    text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(whole).alias("text")
-    return joined.select(*[text if c == "text" else docs[c] for c in docs.columns])
+    whole = F.aggregate("_spans", zero, step, lambda a: F.concat(a["text"], own(a["at"], F.length("text"))))
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(whole)
+    return joined.select(*unpacked(docs, text=text))

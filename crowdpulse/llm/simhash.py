@@ -29,7 +29,7 @@ from pyspark.sql.functions import arrow_udf
 from xxhash import xxh64_intdigest
 
 from crowdpulse.llm.graph import components
-from crowdpulse.llm.tables import staged, text_of
+from crowdpulse.llm.tables import packed, staged, text_of, unpacked
 
 WIDTH = 64
 #: Residents of an anchor from which it is split, and pairs compared at a time.
@@ -207,12 +207,12 @@ def keep_one(docs: DataFrame, bits: int = 3, size: int = 3, seed: int = 42) -> D
     named = marked.join(groups(marked, bits), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = named.groupBy("root", "component_id").agg(F.min("_hash").alias("_first"), F.count("*").alias("_n"))
     first = staged(first, "kept")
-    keyed = docs.withColumn("_hash", F.xxhash64(text_of()))
+    rows = packed(docs, "doc_id", F.xxhash64(text_of()).alias("_of"))
 
     def chosen(of: DataFrame) -> DataFrame:
-        return keyed.join(of, keyed["doc_id"].eqNullSafe(of["component_id"]) & (keyed["_hash"] == of["_first"]))
+        return rows.join(of, F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("_of") == F.col("_first")))
 
     # Only rows that repeat both id and text are left in more than one copy; they are few.
-    once = chosen(first.where("_n = 1")).select(*docs.columns)
-    more = chosen(staged(first.where("_n > 1"), "repeated")).dropDuplicates(["root"]).select(*docs.columns)
-    return once.union(more)
+    once = chosen(first.where("_n = 1")).select("_doc")
+    more = chosen(staged(first.where("_n > 1"), "repeated")).dropDuplicates(["root"]).select("_doc")
+    return once.union(more).select(*unpacked(docs))

@@ -58,6 +58,16 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def packed(docs: DataFrame, *more: Column | str) -> DataFrame:
+    """Whole rows as one column ``_doc`` beside ``more``, so that columns of any names can be joined to them."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_doc"), *more)
+
+
+def unpacked(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` out of ``_doc``, some of them changed."""
+    return [changed.get(c, F.col("_doc").getField(c)).alias(c) for c in docs.columns]
+
+
 def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
     """The rows no model may learn from: crc32 of the id as text leaves 0. A null id is held out."""
     rest = F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds))
