@@ -42,7 +42,7 @@ def get_or_create_users(incoming: DataFrame, existing: DataFrame, order: str) ->
     )
 
 
-def upload_metadata(uploads: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+def upload_metadata(uploads: DataFrame, ingest_time: Column | None = None, order: str = "arrival") -> DataFrame:
     """The metadata an upload message stores for its image, as text fields."""
     uploaded = F.coalesce("created_at", "uploaded_at")
     if ingest_time is not None:
@@ -53,12 +53,13 @@ def upload_metadata(uploads: DataFrame, ingest_time: Column | None = None) -> Da
         content.caption_length(F.col("caption")).cast("string").alias("caption_length"),
         uploaded.alias("uploaded_at"),
         F.coalesce("user_id", F.lit("")).alias("user_id"),
-        "seq",
+        order,
     )
 
 
-def latest_metadata(uploads: DataFrame, ingest_time: Column | None = None) -> DataFrame:
-    return last_per_key(upload_metadata(uploads, ingest_time), "image_id", "seq")
+def latest_metadata(uploads: DataFrame, ingest_time: Column | None = None, order: str = "arrival") -> DataFrame:
+    """The last write of each image; ``order`` says which write came later and never ties."""
+    return last_per_key(upload_metadata(uploads, ingest_time, order), "image_id", order)
 
 
 def features_now(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdpulse.functions.content import present
@@ -18,10 +18,10 @@ def topic_of(kind: Column) -> Column:
     return F.try_element_at(pairs, kind)
 
 
-def encode(rows: DataFrame, topic: Column, columns: list[str]) -> DataFrame:
-    """One keyless message per row: topic and JSON text, nulls written as null."""
+def encode(rows: DataFrame, topic: Column, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """One keyless message per row: topic and JSON text, nulls written as null; ``keep`` stays beside it."""
     text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    return rows.select(topic.alias("topic"), text.alias("value"))
+    return rows.select(topic.alias("topic"), text.alias("value"), *keep)
 
 
 def _text(name: str, alias: str | None = None) -> Column:
@@ -116,6 +116,21 @@ def valid(timed: DataFrame) -> DataFrame:
     return timed.filter(accepted())
 
 
+def kind_of_topic(topic: Column) -> Column:
+    pairs = F.create_map(*[F.lit(x) for kind, name in TOPIC_OF_KIND.items() for x in (name, kind)])
+    return F.try_element_at(pairs, topic)
+
+
+def for_windows(timed: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """What the batch job counts, with ``kind``: it asks for image and time only, and goes by topic.
+
+    Without a topic column the message's own type is its kind. A comment needs no id here.
+    """
+    kind = kind_of_topic(F.col("topic")) if "topic" in timed.columns else F.col("event_type")
+    good = present(F.col("image_id")) & F.col("ts").isNotNull()
+    return timed.withColumn("kind", kind).filter(F.col("kind").isin(*kinds) & good)
+
+
 def rejected(timed: DataFrame) -> DataFrame:
     """The quarantine branch, with the first rule a message breaks."""
     kind = F.col("event_type")
@@ -167,6 +182,18 @@ def topic_rollup(messages: DataFrame, topic: str = "topic") -> DataFrame:
     )
 
 
+def without_redelivered(events: DataFrame, order: list[str]) -> DataFrame:
+    """Events of a log without comments that came again: of equal image, comment and time the first stays.
+
+    A comment without id, and every view and flag, is an event of its own. The groups are as small
+    as a comment's deliveries.
+    """
+    again = Window.partitionBy("image_id", "comment_id", "ts").orderBy(*order)
+    known = (F.col("kind") == "comment") & present(F.col("comment_id"))
+    once = events.filter(known).withColumn("__n", F.row_number().over(again)).filter("__n = 1").drop("__n")
+    return events.filter(~F.coalesce(known, F.lit(False))).unionByName(once)
+
+
 def drop_redelivered_comments(comments: DataFrame, comment_id: str = "comment_id", ts: str = "ts") -> DataFrame:
     """A comment delivered again at the same time counts once; views and flags never merge."""
     return comments.dropDuplicates([comment_id, ts])
@@ -178,34 +205,3 @@ def unite(*topics: DataFrame) -> DataFrame:
     for t in topics[1:]:
         out = out.unionByName(t, allowMissingColumns=True)
     return out
-
-
-def next_offsets(records: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Where the next run starts, per topic and partition.
-
-    ``records``: (topic, partition, offset) read by this run. ``bounds``: one row
-    per partition with ``stored`` (null = never read), ``first`` and ``end``. The
-    start is the stored offset clamped to the end; the result lies in [start, end].
-    """
-    start = F.least(F.coalesce("stored", "first"), F.col("end"))
-    reached = records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("position"))
-    return bounds.join(reached, ["topic", "partition"], "left").select(
-        "topic",
-        "partition",
-        start.alias("start_offset"),
-        F.greatest(start, F.least(F.coalesce("position", start), F.col("end"))).alias("next_offset"),
-    )
-
-
-def offsets_map(offsets: DataFrame) -> DataFrame:
-    """One row: {topic: {partition: next offset}}. Bounded by the number of partitions."""
-    per_topic = offsets.groupBy("topic").agg(
-        F.map_from_entries(
-            F.array_sort(F.collect_list(F.struct(F.col("partition").cast("string"), "next_offset")))
-        ).alias("parts")
-    )
-    return per_topic.agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("topic", F.to_json("parts"))))).alias(
-            "offsets"
-        )
-    )

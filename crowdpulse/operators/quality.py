@@ -107,8 +107,8 @@ def foreign_key_violations(
 ) -> DataFrame:
     """Missing parents per constraint with the number of child rows that name them.
 
-    Every table is read once: all foreign keys of a child are unpivoted and counted
-    together, so a hot parent is one row in the one join that checks them all.
+    Child references and parents go through one shuffle on (parent table, key), counted before
+    it: a hot parent is one row per task. Every table is read once.
     """
     present = [k for k in keys if k[0] in children and k[1] in children[k[0]].columns]
     names = list(parents)
@@ -129,20 +129,23 @@ def foreign_key_violations(
         ]
         if refs:
             named.append(rows.select(F.explode(F.array(*refs)).alias("r")).select("r.*"))
-    counted = (
-        reduce(DataFrame.unionByName, named)
+    known = [parents[n].select(F.lit(-1).alias("c"), F.lit(i).alias("p"), F.col("id").cast(kind).alias("k")) for i, n in enumerate(names)]
+    counts = [F.count_if(F.col("c") == number).alias(f"n{number}") for number in range(len(present))]
+    met = (
+        reduce(DataFrame.unionByName, [*named, *known])
         .filter(F.col("k").isNotNull())
-        .groupBy("c", "p", "k")
-        .agg(F.count("*").alias("child_rows"))
+        .groupBy("p", "k")
+        .agg(F.max(F.col("c") == -1).alias("known"), *counts)
+        .filter("not known")
     )
-    known = reduce(
-        DataFrame.unionByName,
-        [parents[n].select(F.lit(i).alias("p"), F.col("id").cast(kind).alias("k")) for i, n in enumerate(names)],
-    )
-    constraint = F.array(*[F.lit(f"{child}.{column}") for child, column, _ in present])
-    return counted.join(known, ["p", "k"], "left_anti").select(
-        constraint[F.col("c")].alias("constraint"), F.col("k").cast("string").alias("missing_key"), "child_rows"
+    found = F.array(
+        *[
+            F.struct(F.lit(f"{child}.{column}").alias("constraint"), F.col(f"n{number}").alias("child_rows"))
+            for number, (child, column, _) in enumerate(present)
+        ]
     )
+    rows = met.select("k", F.explode(found).alias("f")).filter("f.child_rows > 0")
+    return rows.select("f.constraint", F.col("k").cast("string").alias("missing_key"), "f.child_rows")
 
 
 def unique_violations(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crowdpulse.functions import content, risk, times
@@ -67,15 +67,13 @@ def _raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_view = F.col("kind") == "view"
     shaped = rows.select(
         "event_id",
-        event_id.alias("seq"),
         F.when(event_id % 17 == 0, F.lit("like")).otherwise(kind).alias("event_type"),
         F.when(F.col("kind") != "comment_flag", F.col("image_id").cast("string")).alias("image_id"),
         F.when((F.col("kind") == "comment") & (event_id % 19 != 0), event_id.cast("string")).alias("comment_id"),
         F.when(is_view, text).alias("viewed_at"),
         F.when(~is_view, text).alias("created_at"),
     )
-    body = [c for c in shaped.columns if c != "event_id"]
-    return messages.encode(shaped, messages.topic_of(F.col("event_type")), body)
+    return messages.encode(shaped, messages.topic_of(F.col("event_type")), shaped.columns[1:], ("event_id",))
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,10 +82,8 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def event_routing_counts(spark, sf_dir):
-    routed = messages.route(_decoded(spark, sf_dir))
-    return messages.unite(
-        *[df.groupBy("topic", "event_type").agg(F.count("*").alias("events")) for df in routed.values()]
-    )
+    """Messages per topic and kind after routing: one pass, since every valid message has one route."""
+    return messages.valid(_decoded(spark, sf_dir)).groupBy("topic", "event_type").agg(F.count("*").alias("events"))
 
 
 @query
@@ -106,7 +102,7 @@ def event_quarantine(spark, sf_dir):
 def iso_timestamp_parse(spark, sf_dir):
     ts = F.col("ts")
     return _decoded(spark, sf_dir).select(
-        "seq",
+        F.col("event_id").alias("seq"),
         F.unix_micros(ts).alias("epoch_us"),
         _micros(times.floor_to(ts, 300), "bucket_us"),
         times.iso(times.plus_seconds(times.floor_to(ts, 300), 300)).alias("bucket_end"),
@@ -122,7 +118,7 @@ def _micros(column, name):
 def event_json_roundtrip(spark, sf_dir):
     """Message columns survive encoding and decoding."""
     back = messages.decode(_raw_messages(spark, sf_dir))
-    return back.select("seq", "topic", "event_type", "image_id", "comment_id", "viewed_at", "created_at")
+    return back.select(F.col("event_id").alias("seq"), "topic", "event_type", "image_id", "comment_id", "viewed_at", "created_at")
 
 
 @query
@@ -145,39 +141,6 @@ def topic_rollup(spark, sf_dir):
     return messages.topic_rollup(known)
 
 
-def _next_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = F.col("event_id") % 4
-    offset = F.floor(F.col("event_id") / 4)
-    rows = domain.events(spark, sf_dir).select(
-        F.col("event_type").alias("topic"), part.alias("partition"), offset.alias("offset")
-    )
-    ends = rows.groupBy("topic", "partition").agg(
-        (F.max("offset") + 1).alias("end"), F.min("offset").alias("first")
-    )
-    # Partition 0 was never read, partition 3 has a checkpoint past its end.
-    bounds = ends.withColumn(
-        "stored",
-        F.when(F.col("partition") == 3, F.col("end") + 100).when(F.col("partition") > 0, F.floor(F.col("end") / 2)),
-    )
-    read = rows.join(bounds.select("topic", "partition", "end"), ["topic", "partition"]).filter(
-        F.col("offset") < F.col("end")
-    )
-    return messages.next_offsets(read, bounds)
-
-
-@query
-def next_offsets(spark, sf_dir):
-    """Where the next run starts, for four partitions per event type and a checkpoint at half."""
-    return _next_offsets(spark, sf_dir)
-
-
-@query
-def offsets_checkpoint(spark, sf_dir):
-    """The checkpoint after the run: per topic the next offset of each partition, as JSON."""
-    stored = messages.offsets_map(_next_offsets(spark, sf_dir))
-    return stored.select(F.explode("offsets").alias("topic", "offsets"))
-
-
 @query
 def comment_dedup(spark, sf_dir):
     """Comments of which every fifth is delivered twice."""
@@ -475,6 +438,17 @@ def training_exclude_deleted(spark, sf_dir):
     return governance.without_excluded(rows, excluded).groupBy("image_id").agg(F.count("*").alias("rows"))
 
 
+@query
+def training_after_withdrawal(spark, sf_dir):
+    """What is trained on when a category was withdrawn between two rebuilds of the training table."""
+    path = run_dir(spark, "withdrawn")
+    rows = risk_at_upload.training_set(spark, sf_dir)
+    sinks.append_snapshot(rows, path, 1)
+    sinks.append_snapshot(rows.filter(F.col("category") != "Meat"), path, 2)
+    left = tables.rows_of(spark, path, tables.current_snapshot(spark, path))
+    return left.groupBy("image_id").agg(F.count("*").alias("rows"))
+
+
 @query
 def raw_snapshots(spark, sf_dir):
     """Raw copies of the tables, taken twice, with the rows the second copy holds."""
@@ -682,7 +656,7 @@ def users_get_or_create(spark, sf_dir):
 
 @query
 def upload_metadata_upsert(spark, sf_dir):
-    return entities.latest_metadata(domain.upload_rows(spark, sf_dir))
+    return entities.latest_metadata(domain.upload_rows(spark, sf_dir), order="seq")
 
 
 @query
@@ -690,14 +664,14 @@ def latest_features_lookup(spark, sf_dir):
     """Features of every event's id taken as image id, at the end of the data; ids without upload stay empty."""
     events = governance.stable_ids(domain.signals(spark, sf_dir), ["image_id"])
     now = F.lit("2024-01-31T00:00:00").cast("timestamp")
-    stored = entities.features_now(entities.latest_metadata(domain.upload_rows(spark, sf_dir)), events, now, SCALED)
+    stored = entities.features_now(entities.latest_metadata(domain.upload_rows(spark, sf_dir), order="seq"), events, now, SCALED)
     asked = domain.events(spark, sf_dir).select(F.col("event_id").cast("string").alias("image_id"))
     return _as_wide(entities.lookup(stored, asked)).drop("seq")
 
 
 @query
 def feature_keys_like(spark, sf_dir):
-    return entities.keys_like(entities.latest_metadata(domain.upload_rows(spark, sf_dir)), "1*7?")
+    return entities.keys_like(entities.latest_metadata(domain.upload_rows(spark, sf_dir), order="seq"), "1*7?")
 
 
 # --- files and profiles ------------------------------------------------------
@@ -791,6 +765,30 @@ def model_request_scores(spark, sf_dir):
     )
 
 
+def _out_of_range():
+    p = F.col("moderation_probability")
+    return F.count_if(~F.coalesce(p.between(0, 1), F.lit(False))).alias("out_of_range")
+
+
+@query
+def model_score_checks(spark, sf_dir):
+    """Scores per label and decision point. The intercept is free, so over all rows scores add up to the labels."""
+    scored = QUERIES["model_scores"](spark, sf_dir)
+    gap = F.sum(F.col("moderation_probability") - F.col(LABEL))
+    groups = scored.groupBy(F.col(LABEL).alias("label"), "decision_point_minutes").agg(
+        F.count("*").alias("rows"), _out_of_range(), gap.alias("part")
+    )
+    total = F.round(F.abs(F.sum("part").over(Window.partitionBy())), 1)
+    return _as_wide(groups.withColumn("gap", total.cast("bigint")).drop("part"))
+
+
+@query
+def model_request_checks(spark, sf_dir):
+    """Requests a model scored, per trigger."""
+    scored = QUERIES["model_request_scores"](spark, sf_dir)
+    return scored.groupBy("trigger", "inference_mode", "model_version").agg(F.count("*").alias("requests"), _out_of_range())
+
+
 @query
 def training_metadata(spark, sf_dir):
     """What is stored with a model, without its clock and batch count."""

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from crowdpulse.operators import governance, learning, quality, serving, training
+from crowdpulse.operators import messages as event_messages
 from crowdpulse.params import DEFAULT, EngagementParams
 from crowdpulse.sources import sinks, streams, tables
 from crowdpulse.streaming import batches, scoring, windows
@@ -34,7 +35,7 @@ def extract_tables(read: Callable[[str], DataFrame], root: str) -> None:
 
 def aggregate_events(messages: DataFrame, root: str, params: EngagementParams = DEFAULT) -> StreamingQuery:
     """One bounded run from the checkpoint to the end of the topics at its start."""
-    events = streams.events_of(messages, stamp_missing=False)
+    events = event_messages.observed(streams.events_of(messages, stamp_missing=False), "events")
     return batches.run_available(
         events, windows.window_writer(f"{root}/windows", params), f"{root}/checkpoints/windows"
     )
@@ -73,12 +74,12 @@ def verify(spark: SparkSession, path: str, order: list[str]) -> tuple[DataFrame,
 def train(spark: SparkSession, root: str, snapshot_id: int | None = None) -> PipelineModel:
     """Fit on the table as of a snapshot (by default the current one) and store the artefacts.
 
-    A row that several runs appended counts once, as its latest version.
+    Every snapshot is a full rebuild, so only its own rows count: an image that was withdrawn
+    since an earlier snapshot is not learned from.
     """
     path = f"{root}/training"
     pinned = tables.current_snapshot(spark, path) if snapshot_id is None else snapshot_id
-    keys = ["image_id", "decision_point_minutes"]
-    rows = tables.newest_per_row(tables.read_as_of(spark, path, pinned), keys)
+    rows = tables.rows_of(spark, path, pinned)
     model = learning.fit(rows)
     learning.save(model, learning.training_metadata(rows, pinned), f"{root}/models/{pinned}")
     return model
@@ -89,6 +90,7 @@ def watch_activity(
 ) -> tuple[AlertJob, StreamingQuery]:
     """Rolling counts, alerts and milestones; one bounded run, or a trigger interval."""
     job = AlertJob(spark, f"{root}/alerts", params)
+    events = event_messages.observed(events, "events")
     checkpoint = f"{root}/checkpoints/alerts"
     if every is None:
         return job, batches.run_available(events, job.handle, checkpoint)
@@ -102,15 +104,24 @@ def score_requests(
     events: Callable[[], DataFrame],
     params: EngagementParams = DEFAULT,
     predictor: serving.Predictor | None = None,
+    totals: Callable[[], DataFrame] | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Score requests with the raw copies and ``events``, the activity as of each batch."""
+    """Score requests with the raw copies and ``events``, the activity as of each batch.
+
+    With ``totals`` (lifetime counts per image as of each batch) the events are read one window
+    back only. One bounded run, or a trigger interval.
+    """
 
     def current() -> scoring.ServingTables:
-        images = tables.raw_snapshot(spark, root, "images")
-        return scoring.ServingTables(events(), images, tables.raw_snapshot(spark, root, "users"))
+        images, users = (tables.raw_snapshot(spark, root, t) for t in ("images", "users"))
+        return scoring.ServingTables(events(), images, users, totals() if totals else None)
 
     handler = scoring.scoring_writer(f"{root}/moderation", current, params, predictor)
-    return batches.run_available(requests, handler, f"{root}/checkpoints/moderation")
+    checkpoint = f"{root}/checkpoints/moderation"
+    if every is None:
+        return batches.run_available(requests, handler, checkpoint)
+    return batches.run_continuous(requests, handler, checkpoint, every)
 
 
 def decisions(spark: SparkSession, root: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdpulse.functions import times
@@ -10,7 +12,7 @@ from crowdpulse.operators import counters, governance, messages
 from crowdpulse.params import REQUEST_TOPIC, SCALED
 from crowdpulse.session import run_dir
 from crowdpulse.sources import domain, streams
-from crowdpulse.sources.sinks import publish
+from crowdpulse.sources.sinks import land
 from crowdpulse.streaming import batches, entities, scoring, windows
 from crowdpulse.streaming.alerts import AlertJob
 
@@ -18,18 +20,29 @@ RUNS = 3
 
 
 def _event_messages(events: DataFrame) -> DataFrame:
-    """(event_id, image_id, kind, ts) as JSON messages."""
+    """(event_id, image_id, kind, ts) as JSON messages that arrived in order of the id, over three partitions.
+
+    ``sent_as``, where given, is the place of another delivery of the event.
+    """
     clock = times.iso(F.col("ts"))
     is_view = F.col("kind") == "view"
     shaped = events.select(
-        F.col("event_id").alias("seq"),
+        _arrival(F.col("sent_as" if "sent_as" in events.columns else "event_id")),
         F.col("kind").alias("event_type"),
         F.col("image_id").cast("string").alias("image_id"),
         F.when(F.col("kind") == "comment", F.col("event_id").cast("string")).alias("comment_id"),
         F.when(is_view, clock).alias("viewed_at"),
         F.when(~is_view, F.concat(clock, F.lit("Z"))).alias("created_at"),
     )
-    return messages.encode(shaped, messages.topic_of(F.col("event_type")), shaped.columns)
+    return messages.encode(shaped, messages.topic_of(F.col("event_type")), shaped.columns[1:], ("arrival",))
+
+
+def _arrival(number: Column) -> Column:
+    return F.struct(
+        F.timestamp_micros(number.cast("bigint")).alias("arrived_at"),
+        (number % 3).cast("int").alias("partition"),
+        number.cast("bigint").alias("offset"),
+    ).alias("arrival")
 
 
 def _slices(rows: DataFrame) -> list[DataFrame]:
@@ -51,19 +64,25 @@ def _run_slices(spark: SparkSession, rows: DataFrame, encode, start) -> None:
     """Land each slice below a fresh folder and call ``start(folder)`` for a bounded run."""
     source = run_dir(spark, "messages")
     for part in _slices(rows):
-        publish(encode(part), path=source)
+        land(encode(part), source)
         start(source)
 
 
 def stream_tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window counts of the batch job; every seventh comment comes without its id."""
     out = run_dir(spark, "windows")
 
+    def encode(part: DataFrame) -> DataFrame:
+        nameless = F.regexp_replace("value", r'"comment_id":"[0-9]*"', '"comment_id":null')
+        sent = _event_messages(part)
+        return sent.withColumn("value", F.when(F.col("arrival.offset") % 7 == 0, nameless).otherwise(F.col("value")))
+
     def start(source: str) -> None:
         # The batch rule: a message without time is skipped, not stamped.
-        events = streams.events_of(streams.file_messages(spark, source), stamp_missing=False)
+        events = streams.events_of(streams.landed_messages(spark, source), stamp_missing=False)
         batches.run_available(events, windows.window_writer(f"{out}/table", SCALED), f"{out}/checkpoint")
 
-    _run_slices(spark, domain.signals(spark, sf_dir), _event_messages, start)
+    _run_slices(spark, domain.signals(spark, sf_dir), encode, start)
     return windows.final_windows(spark, f"{out}/table").select(
         "kind",
         F.col("image_id").cast("bigint").alias("image_id"),
@@ -77,7 +96,7 @@ def stream_lifetime_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_dir(spark, "totals")
 
     def start(source: str) -> None:
-        events = messages.valid(streams.events_of(streams.file_messages(spark, source)))
+        events = messages.valid(streams.events_of(streams.landed_messages(spark, source)))
         batches.run_available(
             windows.running_totals(events), windows.totals_writer(f"{out}/table"), f"{out}/checkpoint", "update"
         )
@@ -88,23 +107,42 @@ def stream_lifetime_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _alert_job(spark: SparkSession, sf_dir: str) -> AlertJob:
+def _alert_job(spark: SparkSession, sf_dir: str, encode: Callable[[DataFrame], DataFrame] = _event_messages) -> AlertJob:
     out = run_dir(spark, "alerts")
     job = AlertJob(spark, f"{out}/tables", SCALED)
 
     def start(source: str) -> None:
-        events = streams.events_of(streams.file_messages(spark, source))
+        events = streams.events_of(streams.landed_messages(spark, source))
         batches.run_available(events, job.handle, f"{out}/checkpoint")
 
-    _run_slices(spark, _user_signals(spark, sf_dir), _event_messages, start)
+    _run_slices(spark, _user_signals(spark, sf_dir), encode, start)
     return job
 
 
 def stream_rolling_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _alert_job(spark, sf_dir).alerts.select(
+    return _alerts_of(_alert_job(spark, sf_dir))
+
+
+def stream_redelivered_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same alerts where every fifth comment is delivered again with the next slice."""
+    before: list[DataFrame] = []
+
+    def encode(part: DataFrame) -> DataFrame:
+        again = [p.filter((F.col("kind") == "comment") & (F.col("event_id") % 5 == 0)) for p in before]
+        before[:] = [part]
+        own = part.withColumn("sent_as", F.col("event_id"))
+        for p in again:
+            own = own.unionByName(p.withColumn("sent_as", F.col("event_id") + 1_000_000_000))
+        return _event_messages(own)
+
+    return _alerts_of(_alert_job(spark, sf_dir, encode))
+
+
+def _alerts_of(job: AlertJob) -> DataFrame:
+    return job.alerts.select(
         F.col("image_id").cast("bigint").alias("user_id"),
         "alert_type",
-        "event_id",
+        F.col("arrival.offset").alias("event_id"),
         times.iso(F.col("ts")).alias("ts"),
         "metric",
         "value",
@@ -116,7 +154,7 @@ def stream_milestones(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("image_id").cast("bigint").alias("user_id"),
         "milestone_type",
         "milestone_value",
-        "event_id",
+        F.col("arrival.offset").alias("event_id"),
         times.iso(F.col("reached_at")).alias("reached_at"),
     )
 
@@ -134,11 +172,12 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("image_id").cast("string").alias("image_id"),
             "trigger",
             times.epoch_seconds(F.col("ts")).alias("timestamp"),
+            _arrival(F.xxhash64("image_id", "trigger", "ts") % 1_000_000_000),
         )
-        return messages.encode(shaped, F.lit(REQUEST_TOPIC), shaped.columns)
+        return messages.encode(shaped, F.lit(REQUEST_TOPIC), shaped.columns[:-1], ("arrival",))
 
     def start(source: str) -> None:
-        asked = streams.requests_of(streams.file_messages(spark, source))
+        asked = streams.requests_of(streams.landed_messages(spark, source))
         batches.run_available(asked, handler, f"{out}/checkpoint")
 
     _run_slices(spark, domain.requests(spark, sf_dir), encode, start)
@@ -153,19 +192,33 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_upload_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stored metadata of every image; every third image is sent twice."""
+    return _stored_metadata(spark, sf_dir, "Soup")
+
+
+def stream_upload_last_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where the later category comes first in the alphabet."""
+    return _stored_metadata(spark, sf_dir, "Bread")
+
+
+def _stored_metadata(spark: SparkSession, sf_dir: str, later: str) -> DataFrame:
     out = run_dir(spark, "metadata")
 
     def encode(part: DataFrame) -> DataFrame:
-        shaped = part.drop("ts").withColumn("event_type", F.lit("upload"))
-        return messages.encode(shaped, messages.topic_of(F.col("event_type")), shaped.columns)
+        shaped = part.drop("ts", "seq").withColumn("event_type", F.lit("upload"))
+        body = shaped.columns
+        sent = part.withColumn("event_type", F.lit("upload")).withColumn("arrival", _arrival(F.col("seq")))
+        return messages.encode(sent, messages.topic_of(F.col("event_type")), body, ("arrival",))
 
     def start(source: str) -> None:
-        uploads = messages.decode(streams.file_messages(spark, source))
+        uploads = messages.decode(streams.landed_messages(spark, source))
         batches.run_available(uploads, entities.metadata_writer(f"{out}/table"), f"{out}/checkpoint")
 
     rows = domain.upload_rows(spark, sf_dir).withColumn("ts", F.col("uploaded_at").cast("timestamp"))
+    resent = F.col("seq") >= 1_000_000_000
+    rows = rows.withColumn("category", F.when(resent, later).otherwise(F.col("category")))
     _run_slices(spark, rows, encode, start)
-    return entities.latest_metadata(spark, f"{out}/table")
+    stored = entities.latest_metadata(spark, f"{out}/table")
+    return stored.withColumn("seq", F.col("arrival.offset")).drop("arrival")
 
 
 def stream_users_created(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +240,7 @@ def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_dir(spark, "sliding")
 
     def start(source: str) -> None:
-        events = messages.valid(streams.events_of(streams.file_messages(spark, source)))
+        events = messages.valid(streams.events_of(streams.landed_messages(spark, source)))
         counts = windows.sliding_counts(events, "2 days", "1 day").withColumn("window_start", F.col("window.start"))
         batches.run_available(
             counts.drop("window"), windows.totals_writer(f"{out}/table"), f"{out}/checkpoint", "update"
@@ -213,9 +266,11 @@ QUERIES = {
         stream_tumbling_counts,
         stream_lifetime_totals,
         stream_rolling_alerts,
+        stream_redelivered_alerts,
         stream_milestones,
         stream_scoring,
         stream_upload_metadata,
+        stream_upload_last_write,
         stream_users_created,
         stream_sliding_counts,
     )

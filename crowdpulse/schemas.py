@@ -90,8 +90,12 @@ TABLES = {
     "moderation": MODERATION,
 }
 
-# One wide message for the view, comment, upload and flag topics. `seq` is the
-# arrival number of a message (the offset, where the broker has one).
+# Where a message came in: arrivals are ordered by (arrived_at, partition, offset), since
+# an offset orders one partition only. (partition, offset) also names the event.
+ARRIVAL = _schema(arrived_at=TIME, partition=INT, offset=LONG)
+LANDED = _schema(topic=TEXT, value=TEXT, arrival=ARRIVAL)
+
+# One wide message for the view, comment, upload and flag topics.
 EVENT = _schema(
     event_type=TEXT,
     image_id=TEXT,
@@ -106,7 +110,6 @@ EVENT = _schema(
     viewed_at=TEXT,
     created_at=TEXT,
     uploaded_at=TEXT,
-    seq=LONG,
 )
 REQUEST = _schema(image_id=TEXT, trigger=TEXT, context=MapType(TEXT, INT), timestamp=REAL)
 WINDOW_COUNTS = _schema(

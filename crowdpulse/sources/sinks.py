@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crowdpulse.schemas import LANDED
 from crowdpulse.sources.tables import base_of
 
 
 def publish(messages: DataFrame, *, servers: str | None = None, path: str | None = None) -> None:
-    """(topic, value) messages to Kafka, or as text files per topic."""
+    """(topic, value) messages to Kafka, or as text files per topic.
+
+    Messages of unknown kind have no topic and are not sent; ``messages.rejected`` has them.
+    """
+    messages = messages.filter(F.col("topic").isNotNull()).select("topic", "value")
     if servers:
         (
             messages.write.format("kafka")
@@ -22,6 +27,11 @@ def publish(messages: DataFrame, *, servers: str | None = None, path: str | None
         messages.write.mode("append").partitionBy("topic").text(path)
 
 
+def land(messages: DataFrame, path: str) -> None:
+    """(topic, value, arrival) messages as Parquet, next to those already there."""
+    messages.select(*LANDED.names).write.mode("append").parquet(path)
+
+
 def overwrite_snapshot(rows: DataFrame, root: str, table: str) -> None:
     """The raw copy of a relational table; the previous copy is replaced."""
     rows.write.mode("overwrite").parquet(f"{root}/raw/{table}/latest.parquet")
@@ -64,14 +74,20 @@ def replace_snapshot(rows: DataFrame, path: str, snapshot_id: int) -> None:
 
 
 def append_table(spark: SparkSession, rows: DataFrame, table: str, provider: str = "parquet") -> None:
-    """Append to a catalog table; namespace and table are created when absent, no rows is no write."""
-    if rows.isEmpty():
-        return
+    """Append to a catalog table by column name; namespace and table are created when absent.
+
+    No rows create no table. A column the table lacks, or one the rows lack, is an error.
+    """
     if "." in table:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
     if spark.catalog.tableExists(table):
+        names = spark.table(table).columns
+        if sorted(names) != sorted(rows.columns):
+            raise ValueError(f"{table} has columns {names}, the rows {rows.columns}")
+        # insertInto goes by position.
+        rows = rows.select(*names)
         rows.write.insertInto(table) if provider == "parquet" else rows.writeTo(table).append()
-    else:
+    elif not rows.isEmpty():
         rows.write.format(provider).saveAsTable(table)
 
 

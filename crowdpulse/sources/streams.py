@@ -9,43 +9,75 @@ from pyspark.sql import functions as F
 
 from crowdpulse.operators.messages import decode, with_event_time
 from crowdpulse.params import REQUEST_TOPIC
-from crowdpulse.schemas import REQUEST
+from crowdpulse.schemas import LANDED, REQUEST
+
+
+def _kafka_columns(records: DataFrame) -> DataFrame:
+    """Topic, text and arrival of Kafka records."""
+    arrival = F.struct(F.col("timestamp").alias("arrived_at"), "partition", "offset")
+    return records.select("topic", F.col("value").cast("string").alias("value"), arrival.alias("arrival"))
 
 
 def kafka_messages(
-    spark: SparkSession, servers: str, topics: list[str], starting: str = "earliest", per_trigger: int | None = None
+    spark: SparkSession,
+    servers: str,
+    topics: list[str],
+    starting: str = "earliest",
+    per_trigger: int | None = None,
+    fail_on_loss: bool = False,
 ) -> DataFrame:
-    """Messages of several topics as a stream, from the earliest unless a checkpoint says otherwise."""
+    """Messages of several topics as a stream, from the earliest unless a checkpoint says otherwise.
+
+    A checkpoint that points past what the broker still has goes on with what there is, unless
+    ``fail_on_loss``.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", starting)
+        .option("failOnDataLoss", str(fail_on_loss).lower())
     )
     if per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", per_trigger)
-    return reader.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+    return _kafka_columns(reader.load())
 
 
 def kafka_range(spark: SparkSession, servers: str, starting: dict, ending: dict) -> DataFrame:
     """A bounded read between two offset maps {topic: {partition: offset}}."""
-    return (
+    return _kafka_columns(
         spark.read.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(starting))
         .option("startingOffsets", json.dumps(starting))
         .option("endingOffsets", json.dumps(ending))
         .load()
-        .select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
     )
 
 
 def file_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Messages from text files below ``path``, one JSON object per line; new files are new data."""
+    """Messages from text files below ``path``, one JSON object per line; new files are new data.
+
+    Text has no offsets: a line arrives with its file, and lines of one file are told apart by
+    a hash, in no order of their own.
+    """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path)
+    arrival = F.struct(
+        F.col("_metadata.file_modification_time").alias("arrived_at"),
+        F.lit(0).alias("partition"),
+        F.xxhash64("value").alias("offset"),
+    )
+    return reader.load(path).select("value", arrival.alias("arrival"))
+
+
+def landed_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Messages landed as Parquet with topic and arrival, as a broker's archive keeps them."""
+    reader = spark.readStream.schema(LANDED)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
 
 
 def events_of(messages: DataFrame, stamp_missing: bool = True) -> DataFrame:

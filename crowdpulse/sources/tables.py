@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,25 +45,25 @@ def catalog_table(spark: SparkSession, name: str) -> DataFrame:
 
 # A snapshot table has folders base=B/snapshot_id=N. Appended snapshots share the
 # base of the last replacement (0 before the first); a replacing snapshot starts its
-# own. Both are partition columns, so the questions below read no data.
+# own. The questions below list folders and open no file.
+
+
+def snapshots(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """(base, snapshot id) of all snapshots of a table, in order of the id."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/base=*/snapshot_id=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    names = [str(f.getPath()).rstrip("/").split("/")[-2:] for f in found]
+    return sorted(((int(b.split("=")[1]), int(s.split("=")[1])) for b, s in names), key=lambda x: x[::-1])
 
 
 def current_snapshot(spark: SparkSession, path: str) -> int:
     """Highest snapshot id of a snapshot table."""
-    return spark.read.parquet(path).agg(F.max("snapshot_id")).first()[0]
+    return snapshots(spark, path)[-1][1]
 
 
 def base_of(spark: SparkSession, path: str, snapshot_id: int | None = None) -> int:
     """The last replacement up to a snapshot (or at all); 0 for none or no table."""
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0
-    if snapshot_id is not None:
-        rows = rows.filter(F.col("snapshot_id") <= snapshot_id)
-    return rows.agg(F.max("base")).first()[0] or 0
+    return max((b for b, s in snapshots(spark, path) if snapshot_id is None or s <= snapshot_id), default=0)
 
 
 def read_as_of(spark: SparkSession, path: str, snapshot_id: int) -> DataFrame:
@@ -77,6 +76,11 @@ def read_as_of(spark: SparkSession, path: str, snapshot_id: int) -> DataFrame:
     return rows.drop("base")
 
 
+def rows_of(spark: SparkSession, path: str, snapshot_id: int) -> DataFrame:
+    """The rows one snapshot wrote, without those of earlier ones: the content of a full rebuild."""
+    return read_as_of(spark, path, snapshot_id).filter(F.col("snapshot_id") == snapshot_id)
+
+
 def newest_per_row(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key out of repeated appends: the one of the latest snapshot."""
     rest = [c for c in rows.columns if c not in (*keys, "snapshot_id")]

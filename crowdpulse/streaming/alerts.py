@@ -17,6 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from crowdpulse.operators import alerts, messages
 from crowdpulse.operators.sequences import MICROS, rolling_counts
 from crowdpulse.params import EngagementParams
+from crowdpulse.schemas import ARRIVAL
 from crowdpulse.streaming.batches import BatchTable
 
 KINDS = ("view", "comment", "flag")
@@ -24,9 +25,9 @@ EVENT = [
     StructField("image_id", StringType()),
     StructField("kind", StringType()),
     StructField("ts", TimestampType()),
-    StructField("event_id", LongType()),
+    StructField("arrival", ARRIVAL),
 ]
-LOG = StructType([*EVENT, StructField("slot", LongType()), StructField("batch_id", LongType())])
+LOG = StructType([*EVENT, StructField("comment_id", StringType()), StructField("slot", LongType()), StructField("batch_id", LongType())])
 TOTALS = StructType(
     [StructField("image_id", StringType()), *[StructField(f"total_{k}s", LongType()) for k in KINDS]]
 )
@@ -35,7 +36,7 @@ ALERTS = StructType(
         StructField("image_id", StringType()),
         StructField("alert_type", StringType()),
         StructField("ts", TimestampType()),
-        StructField("event_id", LongType()),
+        StructField("arrival", ARRIVAL),
         StructField("metric", StringType()),
         StructField("value", LongType()),
     ]
@@ -46,7 +47,7 @@ MILESTONES = StructType(
         StructField("milestone_type", StringType()),
         StructField("milestone_value", LongType()),
         StructField("reached_at", TimestampType()),
-        StructField("event_id", LongType()),
+        StructField("arrival", ARRIVAL),
     ]
 )
 
@@ -84,7 +85,8 @@ class AlertJob:
         self.counts_table.write(self._counts(events, new, batch_id), batch_id)
         counts = self.counts_table.batch(batch_id)
 
-        fresh = alerts.first_alerts(alerts.crossings(counts, self.params)).join(
+        crossed = alerts.crossings(counts, self.params, order="arrival")
+        fresh = alerts.first_alerts(crossed, order="arrival").join(
             self.alerts_table.before(batch_id).select("image_id", "alert_type"),
             ["image_id", "alert_type"],
             "left_anti",
@@ -96,7 +98,7 @@ class AlertJob:
         with_total = counts.join(prior, "image_id", "left").withColumn(
             "views_total", F.col("new_views_total") + F.coalesce("total_views", F.lit(0))
         )
-        reached = alerts.milestones(with_total, self.params).withColumn(
+        reached = alerts.milestones(with_total, self.params, order="arrival").withColumn(
             "milestone_value", F.col("milestone_value").cast("bigint")
         )
         self.milestones_table.write(reached, batch_id)
@@ -112,7 +114,7 @@ class AlertJob:
         arrived = (
             messages.valid(batch)
             .filter(F.col("event_type").isin(*KINDS))
-            .select("image_id", F.col("event_type").alias("kind"), "ts", F.col("seq").alias("event_id"))
+            .select("image_id", F.col("event_type").alias("kind"), "ts", "arrival", "comment_id")
             .withColumn("slot", ((micros - F.pmod(micros, F.lit(width))) / width).cast("bigint"))
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         )
@@ -147,11 +149,13 @@ class AlertJob:
             "image_id", F.explode(F.array(F.col("slot"), F.col("slot") - 1)).alias("slot")
         ).distinct()
         rows = events.filter(F.col("batch_id") <= batch_id).join(needed, ["image_id", "slot"], "left_semi")
+        # A comment delivered again counts once in windows; lifetime totals count every delivery.
+        rows = messages.without_redelivered(rows, ["batch_id", "arrival"])
         counts = rolling_counts(
             rows.select(*[f.name for f in EVENT], (F.col("batch_id") == batch_id).alias("is_new")),
             key="image_id",
             ts=F.col("ts"),
-            order=F.col("event_id"),
+            order=F.col("arrival"),
             measures={f"{k}s": F.col("kind") == k for k in KINDS},
             windows=self.params.rolling_seconds,
             totals={"new_views": F.col("is_new") & (F.col("kind") == "view")},

@@ -6,17 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from crowdpulse.operators import entities
+from crowdpulse.schemas import ARRIVAL
 from crowdpulse.sources.sinks import append_batch, publish
-from crowdpulse.streaming.batches import BatchTable, Handler, read_batches
+from crowdpulse.streaming.batches import BatchTable, Handler
 
 
 METADATA = StructType(
     [
         StructField("image_id", StringType()),
-        StructField("seq", LongType()),
+        StructField("arrival", ARRIVAL),
         StructField("category", StringType()),
         StructField("caption_length", StringType()),
         StructField("uploaded_at", StringType()),
@@ -42,7 +43,7 @@ def metadata_writer(path: str) -> Handler:
 
 
 def _last_metadata(rows: DataFrame) -> DataFrame:
-    return entities.last_per_key(rows, "image_id", "seq")
+    return entities.last_per_key(rows, "image_id", "arrival")
 
 
 def latest_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -81,7 +82,7 @@ def dual_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         append_batch(batch, path, batch_id)
-        stored = read_batches(batch.sparkSession, path).filter(F.col("batch_id") == batch_id)
+        stored = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/batch_id={batch_id}")
         if servers:
             publish(shape(stored), servers=servers)
         else:

@@ -15,10 +15,8 @@ def window_writer(path: str, params: EngagementParams) -> Handler:
     """Append each batch's partial window counts, one folder per kind and day for pruned reads."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        events = messages.valid(batch).withColumnRenamed("event_type", "kind")
-        counts = counters.tumbling_counts(
-            events.filter(F.col("kind").isin(*counters.KINDS)), params.tumbling_seconds
-        )
+        events = messages.for_windows(batch, counters.KINDS)
+        counts = counters.tumbling_counts(events, params.tumbling_seconds)
         dated = counters.processed_now(counts).withColumn("window_date", F.to_date("window_start"))
         append_batch(dated, path, batch_id, ["kind", "window_date"])
 

@@ -482,18 +482,6 @@ ORACLE: dict[str, str] = {
         GROUP BY ROLLUP (topic)""",
         MESSAGES,
     ),
-    "next_offsets": sql(
-        """SELECT topic, "partition",
-          CASE "partition" WHEN 0 THEN first_offset WHEN 3 THEN end_offset ELSE end_offset // 2 END AS start_offset,
-          end_offset AS next_offset
-        FROM (SELECT event_type AS topic, event_id % 4 AS "partition", max(event_id // 4) + 1 AS end_offset,
-            min(event_id // 4) AS first_offset FROM base GROUP BY 1, 2)"""
-    ),
-    "offsets_checkpoint": sql(
-        """SELECT topic, '{' || string_agg('"' || p || '":' || end_offset, ',' ORDER BY p) || '}' AS offsets
-        FROM (SELECT event_type AS topic, event_id % 4 AS p, max(event_id // 4) + 1 AS end_offset FROM base GROUP BY 1, 2)
-        GROUP BY 1"""
-    ),
     "raw_snapshots": sql(
         " UNION ALL ".join(
             f"""SELECT '{t}' AS "table", count(*) AS rows, CAST(sum(id) AS BIGINT) AS id_sum,
@@ -612,6 +600,19 @@ ORACLE: dict[str, str] = {
         WHERE t.image_id NOT IN (SELECT CAST(id AS VARCHAR) FROM images WHERE category = 'Meat') GROUP BY 1""",
         *TRAIN,
     ),
+    "training_after_withdrawal": sql(
+        "SELECT image_id, count(*) AS rows FROM training WHERE category <> 'Meat' GROUP BY 1", *TRAIN
+    ),
+    "model_score_checks": sql(
+        """SELECT label_needs_moderation_24h AS label, decision_point_minutes, count(*) AS rows,
+          CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS gap FROM training GROUP BY 1, 2""",
+        *TRAIN,
+    ),
+    "model_request_checks": sql(
+        """SELECT "trigger", 'model' AS inference_mode, 'v1' AS model_version, count(*) AS requests,
+          CAST(0 AS BIGINT) AS out_of_range FROM request_features GROUP BY 1""",
+        SERVING,
+    ),
     "features_at_request": sql("SELECT * EXCLUDE (ts) FROM at_request", SERVING),
     "serving_metadata": sql(
         f"SELECT * EXCLUDE (uploaded_at, user_created_at), {iso('uploaded_at')}, {iso('user_created_at')} FROM metadata",
@@ -796,8 +797,10 @@ ORACLE: dict[str, str] = {
     "stream_tumbling_counts": WINDOWS_SQL,
     "stream_lifetime_totals": TOTALS_SQL,
     "stream_rolling_alerts": ALERTS_SQL,
+    "stream_redelivered_alerts": ALERTS_SQL,
     "stream_milestones": MILESTONES_SQL,
     "stream_upload_metadata": METADATA_SQL,
+    "stream_upload_last_write": METADATA_SQL.replace("'Soup'", "'Bread'"),
     "stream_users_created": sql(
         """SELECT username, min(id) AS id FROM (
           SELECT 'Customer#' || lpad(CAST(event_id % 2000 AS VARCHAR), 9, '0') AS username, event_id + 1000000000 AS id FROM base)

@@ -335,15 +335,3 @@ def test_views_of_known_and_unknown_images(spark):
 def test_window_counts_add_up_to_the_events(spark):
     counts = counters.tumbling_counts(burst(spark))
     assert counts.agg(F.sum("event_count")).first()[0] == 120
-
-
-def test_offsets(spark):
-    read = spark.createDataFrame([("views", 0, 5), ("views", 0, 6)], "topic string, partition int, offset bigint")
-    bounds = spark.createDataFrame(
-        [("views", 0, 5, 0, 10), ("views", 1, None, 2, 2), ("flags", 0, 99, 0, 7)],
-        "topic string, partition int, stored bigint, first bigint, end bigint",
-    )
-    offsets = messages.next_offsets(read, bounds)
-    got = {(r.topic, r.partition): (r.start_offset, r.next_offset) for r in offsets.collect()}
-    assert got == {("views", 0): (5, 7), ("views", 1): (2, 2), ("flags", 0): (7, 7)}
-    assert messages.offsets_map(offsets).first().offsets == {"views": '{"0":7,"1":2}', "flags": '{"0":7}'}

@@ -38,14 +38,14 @@ def burst(spark):
 def as_messages(events):
     clock = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     shaped = events.select(
-        F.col("event_id").alias("seq"),
+        F.struct(F.timestamp_micros("event_id").alias("arrived_at"), F.lit(0).alias("partition"), F.col("event_id").cast("long").alias("offset")).alias("arrival"),
         F.col("kind").alias("event_type"),
         "image_id",
         F.when(F.col("kind") == "comment", F.col("event_id").cast("string")).alias("comment_id"),
         F.when(F.col("kind") == "view", clock).alias("viewed_at"),
         F.when(F.col("kind") != "view", clock).alias("created_at"),
     )
-    return messages.encode(shaped, messages.topic_of(F.col("event_type")), shaped.columns)
+    return messages.encode(shaped, messages.topic_of(F.col("event_type")), shaped.columns[1:], ("arrival",))
 
 
 def test_jobs_end_to_end(spark, tmp_path):
@@ -54,10 +54,10 @@ def test_jobs_end_to_end(spark, tmp_path):
     jobs.extract_tables(raw.__getitem__, root)
 
     topics = f"{root}/topics"
-    sinks.publish(as_messages(burst(spark)), path=topics)
-    jobs.aggregate_events(streams.file_messages(spark, topics), root)
+    sinks.land(as_messages(burst(spark)), topics)
+    jobs.aggregate_events(streams.landed_messages(spark, topics), root)
     # A second run finds nothing new.
-    jobs.aggregate_events(streams.file_messages(spark, topics), root)
+    jobs.aggregate_events(streams.landed_messages(spark, topics), root)
     assert batches.read_batches(spark, f"{root}/windows").agg(F.sum("event_count")).first()[0] == 120
 
     for snapshot in (1, 2):
@@ -82,7 +82,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     model = jobs.train(spark, root, 2)
     assert spark.read.json(f"{root}/models/2/metadata").first().rows_seen == 24
 
-    job, _ = jobs.watch_activity(spark, streams.events_of(streams.file_messages(spark, topics)), root)
+    job, _ = jobs.watch_activity(spark, streams.events_of(streams.landed_messages(spark, topics)), root)
     assert sorted((r.alert_type, r.value) for r in job.alerts.collect()) == [("popular", 50), ("viral", 100)]
     assert sorted(r.milestone_value for r in job.milestones.collect()) == [10, 100]
 

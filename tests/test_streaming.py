@@ -46,21 +46,21 @@ def sent(events):
     clock = iso(F.col("ts"))
     view = F.col("kind") == "view"
     shaped = events.select(
-        F.col("event_id").alias("seq"),
+        F.struct(F.timestamp_micros("event_id").alias("arrived_at"), F.lit(0).alias("partition"), F.col("event_id").cast("long").alias("offset")).alias("arrival"),
         F.col("kind").alias("event_type"),
         "image_id",
         F.when(F.col("kind") == "comment", F.col("event_id").cast("string")).alias("comment_id"),
         F.when(view, clock).alias("viewed_at"),
         F.when(~view, clock).alias("created_at"),
     )
-    return messages.encode(shaped, messages.topic_of(F.col("event_type")), shaped.columns)
+    return messages.encode(shaped, messages.topic_of(F.col("event_type")), shaped.columns[1:], ("arrival",))
 
 
 def run_in_parts(spark, events, cuts, start):
     source = run_dir(spark, "test-messages")
     bounds = [0, *cuts, 10**9]
     for low, high in zip(bounds, bounds[1:]):
-        sinks.publish(sent(events.filter((F.col("event_id") >= low) & (F.col("event_id") < high))), path=source)
+        sinks.land(sent(events.filter((F.col("event_id") >= low) & (F.col("event_id") < high))), source)
         start(source)
 
 
@@ -69,12 +69,16 @@ def run_alerts(spark, events, cuts, **options):
     job = AlertJob(spark, f"{out}/tables", PARAMS, **options)
 
     def start(source):
-        batches.run_available(streams.events_of(streams.file_messages(spark, source)), job.handle, f"{out}/checkpoint")
+        batches.run_available(streams.events_of(streams.landed_messages(spark, source)), job.handle, f"{out}/checkpoint")
 
     run_in_parts(spark, events, cuts, start)
     return job
 
 
+def numbered(rows):
+    return rows.withColumn("event_id", F.col("arrival.offset"))
+
+
 COUNTS = ["event_id", *[f"{k}s_{w}" for k in ("view", "comment", "flag") for w in ("1min", "5min", "1hr")]]
 
 
@@ -83,14 +87,14 @@ def test_rolling_alerts_equal_batch(spark, cuts):
     events = made(spark)
     job = run_alerts(spark, events, cuts, compact_every=2)
     counts = alerts.activity_counts(events, PARAMS)
-    assert sorted(job.counts.select(COUNTS).collect()) == sorted(counts.select(COUNTS).collect())
+    assert sorted(numbered(job.counts).select(COUNTS).collect()) == sorted(counts.select(COUNTS).collect())
 
     columns = ["image_id", "alert_type", "event_id", "value"]
     want = alerts.first_alerts(alerts.crossings(counts, PARAMS)).select(columns).collect()
-    assert sorted(job.alerts.select(columns).collect()) == sorted(want)
+    assert sorted(numbered(job.alerts).select(columns).collect()) == sorted(want)
     columns = ["image_id", "milestone_value", "event_id"]
     want = alerts.milestones(counts, PARAMS).select(columns).collect()
-    assert sorted(job.milestones.select(columns).collect()) == sorted(want)
+    assert sorted(numbered(job.milestones).select(columns).collect()) == sorted(want)
     assert job.requests.count() == sum(a.alert_type != "popular" for a in job.alerts.collect())
 
 
@@ -108,7 +112,7 @@ def test_late_event_is_counted_and_reads_only_its_slots(spark):
     job = run_alerts(spark, events, [100])
     late = spark.createDataFrame([("hot", 9_000, "view", datetime(2020, 1, 1))], EVENTS)
     job.handle(messages.with_event_time(messages.decode(sent(late))), 2)
-    row = job.counts.filter("event_id = 9000").first()
+    row = numbered(job.counts).filter("event_id = 9000").first()
     assert (row.views_1min, row.views_1hr, row.comments_1hr) == (1, 1, 0)
 
 
@@ -118,7 +122,7 @@ def test_window_counts_equal_batch(spark, cuts):
     out = run_dir(spark, "test-windows")
 
     def start(source):
-        stream = streams.events_of(streams.file_messages(spark, source), stamp_missing=False)
+        stream = streams.events_of(streams.landed_messages(spark, source), stamp_missing=False)
         batches.run_available(stream, windows.window_writer(f"{out}/t", PARAMS), f"{out}/c")
 
     run_in_parts(spark, events, cuts, start)
@@ -131,9 +135,9 @@ def test_run_without_new_data_writes_nothing(spark):
     events = made(spark, 20)
     out = run_dir(spark, "test-idle")
     source = run_dir(spark, "test-idle-messages")
-    sinks.publish(sent(events), path=source)
+    sinks.land(sent(events), source)
     for _ in range(2):
-        stream = streams.events_of(streams.file_messages(spark, source), stamp_missing=False)
+        stream = streams.events_of(streams.landed_messages(spark, source), stamp_missing=False)
         query = batches.run_available(stream, windows.window_writer(f"{out}/t", PARAMS), f"{out}/c")
     assert batches.read_batches(spark, f"{out}/t").agg(F.sum("event_count")).first()[0] == 20
     assert sum(p["rows"] for p in batches.progress(query)) == 0
@@ -143,8 +147,8 @@ def test_small_batches_by_files_per_trigger(spark):
     events = made(spark, 60)
     out = run_dir(spark, "test-trigger")
     source = run_dir(spark, "test-trigger-messages")
-    sinks.publish(sent(events).repartition(4), path=source)
-    stream = streams.events_of(streams.file_messages(spark, source, files_per_trigger=2), stamp_missing=False)
+    sinks.land(sent(events).repartition(4), source)
+    stream = streams.events_of(streams.landed_messages(spark, source, files_per_trigger=2), stamp_missing=False)
     query = batches.run_available(stream, windows.window_writer(f"{out}/t", PARAMS), f"{out}/c")
     assert batches.read_batches(spark, f"{out}/t").agg(F.sum("event_count")).first()[0] == 60
     assert len([p for p in batches.progress(query) if p["rows"]]) > 1
@@ -153,7 +157,7 @@ def test_small_batches_by_files_per_trigger(spark):
 
 def test_counters_in_the_progress(spark):
     out = run_dir(spark, "test-observe")
-    lines = sent(made(spark, 30)).unionByName(
+    lines = sent(made(spark, 30)).drop("arrival").unionByName(
         spark.createDataFrame([("views", '{"event_type":"view"}'), ("views", "junk")], "topic string, value string")
     )
     sinks.publish(lines, path=f"{out}/m")
@@ -172,7 +176,7 @@ def test_lifetime_totals_equal_batch(spark):
     out = run_dir(spark, "test-totals")
 
     def start(source):
-        stream = messages.valid(streams.events_of(streams.file_messages(spark, source)))
+        stream = messages.valid(streams.events_of(streams.landed_messages(spark, source)))
         batches.run_available(windows.running_totals(stream), windows.totals_writer(f"{out}/t"), f"{out}/c", "update")
 
     run_in_parts(spark, events, [50, 51], start)
@@ -255,15 +259,16 @@ def test_scoring_stream_with_another_predictor(spark):
 def test_metadata_last_write_wins(spark):
     out = run_dir(spark, "test-metadata")
     write = entities.metadata_writer(f"{out}/t")
-    fields = "event_type string, image_id string, category string, caption string, created_at string, uploaded_at string, user_id string, seq bigint"
+    fields = "event_type string, image_id string, category string, caption string, created_at string, uploaded_at string, user_id string, arrival struct<arrived_at:timestamp,partition:int,offset:bigint>"
 
     def batch(rows):
-        return spark.createDataFrame([("upload", *r) for r in rows], fields)
+        at = lambda n: (datetime(2026, 1, 1), 0, n)
+        return spark.createDataFrame([("upload", *r[:-1], at(r[-1])) for r in rows], fields)
 
     write(batch([("i", "Egg", "abc", "2026-01-01T00:00:00", None, "u", 1), ("j", None, None, None, None, None, 2)]), 0)
-    write(batch([("i", "Soup", "", None, "2026-01-02T00:00:00", "u", 3)]), 1)
+    write(batch([("i", "Bread", "", None, "2026-01-02T00:00:00", "u", 3), ("i", "Soup", "x", None, None, "u", 2)]), 1)
     rows = {r.image_id: r for r in entities.latest_metadata(spark, f"{out}/t").collect()}
-    assert (rows["i"].category, rows["i"].caption_length, rows["i"].uploaded_at) == ("Soup", "0", "2026-01-02T00:00:00")
+    assert (rows["i"].category, rows["i"].caption_length, rows["i"].uploaded_at) == ("Bread", "0", "2026-01-02T00:00:00")
     assert (rows["j"].category, rows["j"].user_id) == ("unknown", "")
     # No time in the message: the ingest time.
     assert rows["j"].uploaded_at is not None
@@ -303,3 +308,28 @@ def test_metadata_and_features_of_unknown_keys(spark):
     assert sorted((r.image_id, r.n or 0) for r in batch_entities.lookup(stored, asked).collect()) == [("i1", 3), ("i2", 0)]
     assert [r.image_id for r in batch_entities.keys_like(stored, "i?").collect()] == ["i1"]
     assert batch_entities.keys_like(stored, "x*").count() == 0
+
+
+def test_redelivered_comments_count_once_in_windows_and_twice_in_totals(spark):
+    at = datetime(2026, 1, 1)
+    rows = [("i", n, "comment", at + timedelta(seconds=n)) for n in range(3)] + [("i", 9, "view", at + timedelta(seconds=9))]
+    events = spark.createDataFrame(rows, EVENTS)
+    source, out = run_dir(spark, "test-messages"), run_dir(spark, "test-alerts")
+    job = AlertJob(spark, f"{out}/tables", PARAMS)
+    comments = sent(events.filter("kind = 'comment'"))
+    for part in (comments, comments.limit(2), sent(events.filter("kind = 'view'"))):
+        sinks.land(part, source)
+        batches.run_available(streams.events_of(streams.landed_messages(spark, source)), job.handle, f"{out}/checkpoint")
+    assert max(r.comments_1min for r in job.counts.collect()) == 3
+    assert [(r.total_comments, r.total_views) for r in job.totals(3).collect()] == [(5, 1)]
+
+
+def test_windows_take_comments_without_id_by_topic(spark):
+    made_ = spark.createDataFrame(
+        [("comments", "view", "i", None), ("comments", "comment", "i", "c"), ("views", "view", None, None), ("x", "view", "i", None)],
+        "topic string, event_type string, image_id string, comment_id string",
+    ).withColumn("ts", F.lit(datetime(2026, 1, 1)))
+    kept = messages.for_windows(made_, ("view", "comment", "flag"))
+    names = {r.topic: r.kind for r in made_.select("topic", messages.kind_of_topic(F.col("topic")).alias("kind")).collect()}
+    assert [r.kind for r in kept.collect()] == [names["comments"]] * 2
+    assert messages.for_windows(made_.drop("topic"), ("view", "comment", "flag")).count() == 3

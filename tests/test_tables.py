@@ -158,3 +158,22 @@ def test_decode_of_every_kind(spark):
     assert set(back) == {"view", "flag", "upload"} and sent.count() == 3
     assert all(r.ts == when for r in back.values())
     assert back["upload"].caption == 'say "hi"' and back["flag"].image_id is None
+
+
+def test_append_table_goes_by_name(spark):
+    name = "by_name"
+    sinks.append_table(spark, spark.createDataFrame([("a", 1, 2)], "image_id string, views int, comments int"), name)
+    sinks.append_table(spark, spark.createDataFrame([("b", 7, 5)], "image_id string, comments int, views int"), name)
+    assert {r.image_id: (r.views, r.comments) for r in spark.table(name).collect()} == {"a": (1, 2), "b": (5, 7)}
+    with pytest.raises(ValueError):
+        sinks.append_table(spark, spark.createDataFrame([("c", 1)], "image_id string, views int"), name)
+
+
+def test_a_snapshot_without_what_was_withdrawn(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "image_id string, v int")
+    sinks.append_snapshot(rows, path, 1)
+    sinks.append_snapshot(rows.filter("image_id = 'a'"), path, 2)
+    assert [r.image_id for r in tables.rows_of(spark, path, 2).collect()] == ["a"]
+    assert tables.rows_of(spark, path, 1).count() == 2 and tables.read_as_of(spark, path, 2).count() == 3
+    assert tables.base_of(spark, str(tmp_path / "none")) == 0
