@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdpulse.llm import chat, decontaminate, html_text, line_dedup, mixing, pii, quality_classifier, quality_rules, simhash, toxicity
+from crowdpulse.llm.oracle import ORACLE  # noqa: F401
 from crowdpulse.llm.tables import held_out, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
