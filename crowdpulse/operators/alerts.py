@@ -64,7 +64,7 @@ def alert_counts(
 
 
 def view_totals(
-    events: DataFrame, key: str = "image_id", ts: str = "ts", order: str = "event_id", bucket_seconds: int = 3600
+    events: DataFrame, key: str = "image_id", ts: str = "ts", order: str = "event_id", bucket_seconds: int = 60
 ) -> DataFrame:
     """Running number of views at each view: all that milestones need."""
     return rolling_counts(

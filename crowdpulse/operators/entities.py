@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,6 +114,22 @@ def lookup(features: DataFrame, keys: DataFrame, key: str = "image_id") -> DataF
 
 
 def keys_like(features: DataFrame, pattern: str, key: str = "image_id") -> DataFrame:
-    """Keys that match a glob pattern (`*` any text, `?` one character)."""
-    like = pattern.replace("%", r"\%").replace("_", r"\_").replace("*", "%").replace("?", "_")
-    return features.filter(F.col(key).cast("string").like(like)).select(key)
+    """Keys that match a glob pattern: `*` any text, `?` one character, `[ab]`, `[^ab]` and `[a-c]`
+    one of a class, and a backslash before a character for itself."""
+    out, at = [], 0
+    while at < len(pattern):
+        c = pattern[at]
+        end = pattern.find("]", at + 2) if c == "[" else -1
+        if c == "\\" and at + 1 < len(pattern):
+            out.append(re.escape(pattern[at + 1]))
+            at += 1
+        elif end > 0:
+            inner = pattern[at + 1 : end]
+            negated = "^" if inner[0] == "^" and len(inner) > 1 else ""
+            own = inner[1:] if negated else inner
+            out.append("[" + negated + re.sub(r"([\\\[\]^&])", r"\\\1", own) + "]")
+            at = end
+        else:
+            out.append({"*": ".*", "?": "."}.get(c, re.escape(c)))
+        at += 1
+    return features.filter(F.col(key).cast("string").rlike(f"(?s)^(?:{''.join(out)})$")).select(key)

@@ -166,7 +166,7 @@ def latest_values(
     ts: Column,
     order: str,
     values: dict[str, Column],
-    bucket_seconds: int = 3600,
+    bucket_seconds: int = 60,
 ) -> DataFrame:
     """Add the latest non-null value of each column at or before every row of its key."""
     base = _bucketed(rows, [key], ts, bucket_seconds * MICROS)

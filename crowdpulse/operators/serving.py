@@ -35,7 +35,9 @@ def activity_at(
     and ``events`` needs to reach back one longest window only.
     """
     asked = requests.select("request_id", "image_id", "trigger", "ts", F.lit("request").alias("kind"))
-    facts = events.select("image_id", "ts", "kind", "event_id")
+    # Only the history of the images asked for goes past the first exchange.
+    ids = requests.select("image_id").distinct()
+    facts = events.select("image_id", "ts", "kind", "event_id").join(ids, "image_id", "left_semi")
     last = F.lit(2**63 - 1)
     kinds = {f"{k}s": F.col("kind") == k for k in KINDS}
     counted = (

@@ -119,7 +119,7 @@ def flag_labels(images: DataFrame, eligible_flags: DataFrame, params: Engagement
     return per_image.select(F.col("id").alias("image_id"), LABEL)
 
 
-def user_image_counts(images: DataFrame, params: EngagementParams, bucket_seconds: int = 3600) -> DataFrame:
+def user_image_counts(images: DataFrame, params: EngagementParams, bucket_seconds: int = 60) -> DataFrame:
     """Images of the same user uploaded up to each cutoff (itself and later uploads included).
 
     Every image is one fact at its upload and one question per decision point; the

@@ -100,16 +100,24 @@ def attach_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple, str] = {}
+
+
+def _state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and time of last change of a file or folder: another state is another input."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return sum(f.getLen() for f in found), max((f.getModificationTime() for f in found), default=0)
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """:func:`attach_images` as a table in the shared folder, written once per application.
+    """:func:`attach_images` as a table in the shared folder, written once per application and input.
 
     Most queries read it in several branches (counts, flags, requests); a written
     table spares each branch the shuffles above and survives lost executors.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    inputs = [_state(spark, f"{sf_dir}/{t}.parquet") for t in ("events", "customer")]
+    key = (spark.sparkContext.applicationId, sf_dir, *inputs)
     if key in _written:
         try:
             return spark.read.schema(ACTIVITY).parquet(_written[key])

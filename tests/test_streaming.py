@@ -310,6 +310,24 @@ def test_metadata_and_features_of_unknown_keys(spark):
     assert batch_entities.keys_like(stored, "x*").count() == 0
 
 
+def test_glob_patterns(spark):
+    names = ["a1", "b1", "c1", "a*", "a?", "[x]", "a.b", "a\nb", "a\\b"]
+    stored = spark.createDataFrame([(n,) for n in names], "image_id string")
+    wanted = {
+        "[ab]1": ["a1", "b1"],
+        "[^a]1": ["b1", "c1"],
+        "[b-c]1": ["b1", "c1"],
+        "a\\*": ["a*"],
+        "a\\?": ["a?"],
+        "\\[x\\]": ["[x]"],
+        "a.b": ["a.b"],
+        "a\\\\b": ["a\\b"],
+        "a?b": ["a.b", "a\nb", "a\\b"],
+    }
+    for pattern, keys in wanted.items():
+        assert sorted(r.image_id for r in batch_entities.keys_like(stored, pattern).collect()) == sorted(keys), pattern
+
+
 def test_redelivered_comments_count_once_in_windows_and_twice_in_totals(spark):
     at = datetime(2026, 1, 1)
     rows = [("i", n, "comment", at + timedelta(seconds=n)) for n in range(3)] + [("i", 9, "view", at + timedelta(seconds=9))]
