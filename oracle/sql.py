@@ -300,11 +300,25 @@ def sql(body: str, *parts: str) -> str:
 
 WINDOW_COLUMNS = f"kind, image_id, {iso('window_start')}, {iso('window_end')}, event_count"
 TRAIN = (ELIGIBLE, LABELS, FEATURES, TRAINING)
-NUMERIC = (
-    "time_since_upload_seconds hour_of_day day_of_week views_5min views_1hr comments_5min comments_1hr "
-    "flags_5min flags_1hr total_flags view_velocity_per_min comment_to_view_ratio recent_engagement_score "
-    "caption_length user_image_count user_age_days"
-).split()
+# Names and order of the numeric columns and of the vector.
+NUMERIC = [
+    "time_since_upload_seconds",
+    "hour_of_day",
+    "day_of_week",
+    "views_5min",
+    "views_1hr",
+    "comments_5min",
+    "comments_1hr",
+    "flags_5min",
+    "flags_1hr",
+    "total_flags",
+    "view_velocity_per_min",
+    "comment_to_view_ratio",
+    "recent_engagement_score",
+    "caption_length",
+    "user_image_count",
+    "user_age_days",
+]
 TRAINING_COLUMNS = [
     ("image_id", "string"),
     ("decision_point_minutes", "int"),
@@ -330,9 +344,24 @@ TRAINING_COLUMNS = [
     ("label_needs_moderation_24h", "int"),
 ]
 VECTOR = [
-    *("time_since_upload_seconds hour_of_day day_of_week is_weekend views_5min views_1hr comments_5min "
-      "comments_1hr flags_5min flags_1hr total_flags view_velocity_per_min comment_to_view_ratio "
-      "recent_engagement_score caption_length has_caption user_image_count user_age_days").split()
+    "time_since_upload_seconds",
+    "hour_of_day",
+    "day_of_week",
+    "is_weekend",
+    "views_5min",
+    "views_1hr",
+    "comments_5min",
+    "comments_1hr",
+    "flags_5min",
+    "flags_1hr",
+    "total_flags",
+    "view_velocity_per_min",
+    "comment_to_view_ratio",
+    "recent_engagement_score",
+    "caption_length",
+    "has_caption",
+    "user_image_count",
+    "user_age_days",
 ]
 HOT = [
     ("category_Bread", "Bread"), ("category_Dairy", "Dairy product"), ("category_Dessert", "Dessert"),
