@@ -105,15 +105,15 @@ class Prints:
         for b in range(BITS // 16):
             values = ((self.prints >> np.uint64(16 * b)).astype(np.uint16)[:, None] ^ near).ravel()
             order = np.argsort(values, kind="stable")
-            ends = np.searchsorted(values[order], np.arange((1 << 16) + 1))
-            self.blocks.append((np.bincount(values, minlength=1 << 16), ends, (order // len(near)).astype(np.int32)))
+            ends = np.searchsorted(values[order], np.arange((1 << 16) + 1)).astype(np.int32)
+            self.blocks.append((ends, (order // len(near)).astype(np.int32)))
 
     def near(self, got: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index in got, index in prints) of all pairs within the radius."""
         found = []
-        for b, (counts, ends, order) in enumerate(self.blocks):
-            value = got.view(np.uint16)[b :: BITS // 16]
-            n = counts[value]
+        for b, (ends, order) in enumerate(self.blocks):
+            value = got.view(np.uint16)[b :: BITS // 16].astype(np.int32)
+            n = ends[value + 1] - ends[value]
             at = np.flatnonzero(n)
             n, first = n[at], ends[value[at]]
             which = order[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())]

@@ -16,8 +16,22 @@ from pyspark.sql import functions as F
 from crowdpulse.session import run_dir
 
 
+#: Rows and bytes of an Arrow batch: Spark's defaults, and smaller ones for long texts, of which a
+#: worker holds a batch several times over.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b"),
+}
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Give this package to the Python workers, which need not have it installed. Once per application."""
+    """Give this package to the Python workers, which need not have it installed. Once per application.
+
+    Batches sent to them get smaller, unless the session has set a size of its own.
+    """
+    for name, (default, smaller) in BATCHES.items():
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, smaller)
     context = spark.sparkContext
     name = f"crowdpulse-{context.applicationId}.zip"
     if not any(os.path.basename(f) == name for f in context.listFiles + list(context._python_includes)):
