@@ -258,21 +258,17 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
     """
     seed = options.get("seed", SEED)
     chosen = allocation(docs, **options).where(F.size("copies") > 0)
-    # Rows that repeat id, source and text are told apart by number, on both sides.
-    twins = Window.partitionBy("doc_id", "source", "text_hash")
-    chosen = chosen.withColumn("_n", F.row_number().over(twins.orderBy(F.to_json("copies").desc())))
-    chosen = chosen.select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "_n", "copies"
-    )
+    # One key for id, source and text, so that the join's partitioning serves the window after it.
+    key = F.xxhash64("doc_id", "source", "text_hash").alias("_key")
+    names = ("doc_id", "source", "text_hash")
+    chosen = chosen.select(key, F.struct(*names).alias("_of"), "copies").groupBy("_key", "_of")
+    chosen = chosen.agg(F.sort_array(F.collect_list("copies")).alias("_lists"))
     rows = packed(docs, "doc_id", "source", F.xxhash64(text_of()).alias("text_hash"))
-    rows = rows.withColumn("_row", F.row_number().over(twins.orderBy(F.lit(0))))
-    on = (
-        rows["doc_id"].eqNullSafe(F.col("_id"))
-        & rows["source"].eqNullSafe(F.col("_source"))
-        & (rows["text_hash"] == F.col("_hash"))
-        & (F.col("_row") == F.col("_n"))
-    )
-    dealt = rows.join(chosen, on).select("_doc", "doc_id", "text_hash", F.explode("copies").alias("_copy"))
+    joined = rows.withColumn("_key", key).join(chosen, "_key")
+    # Rows that repeat id, source and text take their lists in turn.
+    twins = Window.partitionBy("_key", *names).orderBy("_key")
+    own = F.when(F.struct(*names).eqNullSafe(F.col("_of")), F.try_element_at("_lists", F.row_number().over(twins)))
+    dealt = joined.withColumn("_own", own).select("_doc", "doc_id", "text_hash", F.explode("_own").alias("_copy"))
     shuffled = Window.partitionBy(F.col("_copy.shard")).orderBy(
         F.xxhash64(F.lit(seed + 3), "doc_id", "text_hash", F.col("_copy.pass")), "doc_id", "text_hash", F.col("_copy.pass")
     )
