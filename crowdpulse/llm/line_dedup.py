@@ -2,8 +2,10 @@
 
 A line ends at a line feed, and within a long physical line where the hash of two neighbouring words
 is the least of those around it; so a passage pasted into the middle of a paragraph has the same
-lines as its original, of four to eight words as a rule. A rolling hash over line hashes picks chunk
-boundaries: text inserted or deleted before a passage moves no boundary inside it.
+lines as its original, of four to eight words as a rule. Every line is a chunk of its own, so all lines
+wholly inside a passage are candidates; only the part lines at its two ends, about seven words together,
+can stay. With ``chunk_lines`` above 1 a rolling hash over line hashes picks chunk boundaries: text
+inserted or deleted before a passage moves no boundary inside it, but short passages can be missed.
 
 Chunks that occur more than once anywhere are candidates. Their bytes are then compared, the first
 occurrence by (doc_id, hash of the text, place) stays, and later ones go where repeated chunks in
@@ -28,7 +30,7 @@ from crowdpulse.llm.tables import packed, release, staged, text_of, unpacked
 
 #: Words to either side that a line's end is the least of (lines have 2 LINE_REACH + 1 words on
 #: average), lines in a chunk on average, least words in a removed passage.
-LINE_REACH, CHUNK_LINES, MIN_WORDS = 2, 2, 15
+LINE_REACH, CHUNK_LINES, MIN_WORDS = 2, 1, 15
 KEY = ("doc_id", "text_hash")
 RANK = W.powers(0xD6E8FEB86659FD93, 4096)
 

@@ -126,3 +126,22 @@ def test_equal_hashes_of_unequal_bytes(spark, monkeypatch):
     assert out[0] == docs[0][1]
     for k, text in docs[1:]:
         assert 95 <= len(out[k].split()) <= 150 and set(text.split()) - set(" ".join(shared).split()) <= set(out[k].split())
+
+
+def test_no_passage_of_51_to_80_words_is_missed(spark):
+    """Random passages within a paragraph and as a line of their own, whatever their hashes."""
+    rng = random.Random(11)
+    words = lambda n: [rng.choice("abcdefghij") + str(rng.randrange(10**6)) for _ in range(n)]
+    docs, planted = [], {}
+    for k in range(300):
+        passage, sep = words(rng.randrange(51, 81)), " \n"[k % 2]
+        planted[2 * k + 1] = set(passage)
+        docs += [(2 * k + j, sep.join(" ".join(x) for x in (words(30), passage, words(30)))) for j in (0, 1)]
+    out = rows_of(line_dedup.remove_repeated(spark.createDataFrame(docs, "doc_id long, text string")))
+    for k, text in docs:
+        if k % 2 == 0:
+            assert out[k] == text
+            continue
+        left = out[k].split()
+        assert [w for w in text.split() if w not in planted[k]] == [w for w in left if w not in planted[k]]
+        assert sum(w in planted[k] for w in left) < 0.6 * len(planted[k]), k
