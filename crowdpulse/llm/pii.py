@@ -4,20 +4,20 @@ Base: e-mail and IP addresses, card and phone numbers by pattern, leftmost and w
 kind; matches that fail their test (parts up to 255, 14 to 19 digits with Luhn's sum, 10 to 15
 digits) are dropped.
 
-Terms: each found value is a protected entity e. The words t around its occurrences are counted over
-the corpus: n(t, e) documents with t near e, n(t) documents with t anywhere, n(e) documents with e,
-N documents. How strongly t reveals e is its share of e's information,
+Terms: each found value is a protected entity e. The words t of its documents are counted over the
+corpus, wherever they stand outside e-mail addresses: n(t, e) documents with t and e, n(t) documents
+with t, n(e) documents with e, N documents. How strongly t reveals e is its share of e's information,
     PMI(t; e) / IC(e) = log(n(t, e) N / (n(t) n(e))) / log(N / n(e)),
-1 where t occurs with e only. A term that was near e in at least ``support`` different texts and
-reaches ``generalise`` is replaced by its class wherever it stands in a document with e; from
-``remove`` on it is removed. Different texts count once towards the support, so copies of a document
-make nothing a term.
+1 where t occurs with e only. A term that reaches ``generalise`` is replaced by its class wherever it
+stands in a document with e; from ``remove`` on it is removed. An entity of a single text counts like
+any other. A higher ``support`` asks for so many different texts with t and e; copies are one text.
 
 Everything is DataFrame expressions. Positions are code points, from the lengths of what lies between
 the matches. Patterns use possessive repeats, so no text needs a deep or quadratic search: a match
 starts where no character of its first run stands before it, or right where the last match ended,
 which is the same as trying every place. Null texts are empty. Repeated rows are kept as rows.
-Counts are merged before each shuffle; joint counts are linear in the occurrences of entities.
+Counts are merged before each shuffle. As n(t, e) is n(e) at most, a term of e has n(t) up to
+n(e)^generalise N^(1 - generalise): other words are left out before they are paired with entities.
 """
 
 from __future__ import annotations
@@ -38,34 +38,28 @@ PATTERNS = {
 SIGNS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: A word that can be a term: letters, marks within.
 WORD = r"\p{L}(?:[\p{L}\p{M}]|['’-](?=\p{L})){2,}+"
-#: Code points to either side of an entity that are searched, and terms taken there.
+#: Least different texts with a term and its entity; least disclosure to generalise and to remove.
+SUPPORT, GENERALISE, REMOVE = 1, 0.8, 0.95
+#: Code points and words to either side of an entity that the plain version of the tests looks at.
 REACH, TERMS = 120, 8
-SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
-FOUND = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
+FOUND = "array<struct<start:int,end:int,value:string>>"
 
 
 def located(text: Column, pattern: Column | str) -> Column:
-    """Every match with its place, and the text next to it up to the neighbouring matches."""
+    """Every match with its place."""
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     gaps, values = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
     pairs = F.zip_with(
-        F.arrays_zip(
-            F.slice(gaps, F.lit(1), F.size(values)).alias("before"), F.slice(gaps, F.lit(2), F.size(values)).alias("after")
-        ),
+        F.slice(gaps, F.lit(1), F.size(values)),
         values,
-        lambda g, v: F.struct(
-            v.alias("value"),
-            F.length(g["before"]).alias("skip"),
-            F.substring(g["before"], -REACH, REACH).alias("before"),
-            F.substring(g["after"], 1, REACH).alias("after"),
-        ),
+        lambda g, v: F.struct(v.alias("value"), F.length(g).alias("skip")),
     )
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("all"))
 
     def step(a: Column, m: Column) -> Column:
         start = a["at"] + m["skip"]
         end = start + F.length(m["value"])
-        one = F.struct(start.alias("start"), end.alias("end"), m["value"], m["before"], m["after"])
+        one = F.struct(start.alias("start"), end.alias("end"), m["value"])
         return F.struct(end.alias("at"), F.concat(a["all"], F.array(one)).alias("all"))
 
     return F.aggregate(pairs, zero, step)["all"]
@@ -106,7 +100,7 @@ def entity(kind: str, value: Column) -> Column:
 
 
 def detected(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, found: the base matches of all kinds with kind (number), entity and context."""
+    """doc_id, text_hash, found: the base matches of all kinds with kind (number) and entity; words beside them."""
     none = F.array().cast(FOUND)
     rows = docs.select("doc_id", text_of().alias("text"))
     for kind, pattern in PATTERNS.items():
@@ -123,13 +117,15 @@ def detected(docs: DataFrame) -> DataFrame:
                 F.lit(KINDS.index(kind)).alias("kind"),
                 m["end"].alias("end"),
                 entity(kind, m["value"]).alias("entity"),
-                m["before"].alias("before"),
-                m["after"].alias("after"),
             ),
         )
 
     found = F.array_sort(F.concat(*[kept(k) for k in PATTERNS]))
-    return rows.select("doc_id", F.xxhash64("text").alias("text_hash"), found.alias("found"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), found.alias("found"), "text")
+    # Of the kinds only e-mail addresses have letters.
+    words = F.array_distinct(words_of(F.regexp_replace("text", PATTERNS["email"], " ")))
+    words = F.when(F.size("found") > 0, words).otherwise(F.array().cast("array<string>"))
+    return rows.select("doc_id", "text_hash", "found", words.alias("words"))
 
 
 def words_of(text: Column) -> Column:
@@ -137,41 +133,29 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def around(m: Column) -> Column:
-    """The terms next to a match; a word that the reach cuts off is left out."""
-    whole = lambda side, edge: F.when(F.length(side) < REACH, side).otherwise(F.regexp_replace(side, edge, ""))
-    left = words_of(whole(m["before"], r"^[\p{L}\p{M}'’-]+"))
-    right = words_of(whole(m["after"], r"[\p{L}\p{M}'’-]+$"))
-    last = F.slice(left, F.greatest(F.size(left) - TERMS + 1, F.lit(1)), F.lit(TERMS))
-    return F.array_distinct(F.concat(last, F.slice(right, 1, TERMS)))
-
-
-def near(base: DataFrame) -> DataFrame:
-    """(text_hash, entity, term): the words around each entity of a document, each once per row."""
-    pairs = F.flatten(
-        F.transform(
-            "found", lambda m: F.transform(around(m), lambda t: F.struct(m["entity"].alias("entity"), t.alias("term")))
-        )
-    )
-    return base.select("text_hash", F.explode(F.array_distinct(pairs)).alias("p")).select("text_hash", "p.*")
-
-
 def risky(docs: DataFrame, base: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
     """(entity, term, disclosure) of the terms that give an entity away."""
     total = docs.count()
-    texts = near(base).groupBy("entity", "term", "text_hash").agg(F.count("*").alias("n"))
-    joint = texts.groupBy("entity", "term").agg(F.sum("n").alias("joint"), F.count("*").alias("texts"))
-    joint = staged(joint.where(F.col("texts") >= support), "joint")
-    own = base.select("doc_id", "text_hash", F.explode(F.array_distinct(F.transform("found", lambda m: m["entity"]))).alias("entity"))
-    entities = own.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    own = F.array_distinct(F.transform("found", lambda m: m["entity"]))
+    texts = base.where(F.size("found") > 0).groupBy("text_hash")
+    texts = staged(texts.agg(F.count("*").alias("n"), F.first(own).alias("entities"), F.first("words").alias("words")), "texts")
+    single = texts.select("text_hash", "n", F.explode("entities").alias("entity"))
+    entities = single.groupBy("entity").agg(F.sum("n").alias("n_entity"))
+    most = F.pow("n_entity", F.lit(least)) * F.pow(F.lit(float(total)), F.lit(1 - least)) * (1 + 1e-9)
+    entities = entities.where(F.col("n_entity") < total).withColumn("most", most)
+    single = single.join(entities, "entity").groupBy("text_hash", "n")
+    held = single.agg(F.max("most").alias("most"), F.collect_list(F.struct("entity", "n_entity", "most")).alias("own"))
     # Every word of every document is counted; hashes stand for words up to the join.
     words = F.array_distinct(F.transform(words_of(text_of()), lambda w: F.xxhash64(w)))
     spread = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n_term"))
-    wanted = joint.withColumn("word", F.xxhash64("term"))
-    known = wanted.join(spread, "word").join(entities, "entity")
+    terms = texts.select("text_hash", F.explode("words").alias("term")).withColumn("word", F.xxhash64("term"))
+    rare = terms.join(spread, "word").join(held, "text_hash").where(F.col("n_term") <= F.col("most"))
+    near = F.filter("own", lambda e: e["most"] >= F.col("n_term"))
+    pairs = rare.select("term", "n_term", "n", F.explode(near).alias("e")).select("term", "n_term", "n", "e.entity", "e.n_entity")
+    joint = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("n").alias("joint"), F.count("*").alias("texts"))
     information = F.log(F.lit(float(total)) / F.col("n_entity"))
     pmi = F.log(F.col("joint") * float(total) / (F.col("n_term") * F.col("n_entity")))
-    known = known.withColumn("disclosure", F.when(information > 0, pmi / information))
+    known = joint.where(F.col("texts") >= support).withColumn("disclosure", pmi / information)
     return known.where(F.col("disclosure") >= least).select("entity", "term", "disclosure")
 
 

@@ -127,3 +127,20 @@ def test_revealing_terms(spark):
     assert "zebulon" not in clean[103].lower() and "quark" not in clean[103].lower() and "Jane" in clean[202]
     again = {r.doc_id: r.spans for r in pii.digest(pii.protected(df)).collect()}
     assert again == spans
+
+
+def test_terms_of_an_entity_in_one_text(spark):
+    """A name that stands only beside one address, or far from it in its text, gives it away."""
+    rng = random.Random(6)
+    common = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in ("lm", "rt", "nd", "sk")]
+    line = lambda n: " ".join(rng.choices(common, k=n))
+    docs = [(k, line(200)) for k in range(60)]
+    docs += [(100, f"Quillon {line(150)} ask Zebulon at z.quark@mail.example.org {line(150)} Vortigern")]
+    docs += [(101, docs[-1][1])]  # a copy changes nothing
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.term: r.disclosure for r in pii.risky(df, pii.detected(df)).collect()}
+    assert got == {t: pytest.approx(1.0) for t in ("quillon", "ask", "zebulon", "vortigern")}
+    spans = {r.doc_id: r.spans for r in pii.digest(pii.protected(df)).collect()}
+    words = [docs[60][1][int(s) : int(e)] for kind, s, e in (x.split(":") for x in spans[100].split(",")) if kind == "term"]
+    assert words == ["Quillon", "ask", "Zebulon", "Vortigern"] and spans[101] == spans[100]
+    assert not any(spans[k] for k in range(60))
