@@ -11,7 +11,9 @@ Fingerprints have 64 bits in four blocks of 16. Within a radius of 7 bits one bl
 most one bit, so a table per block of all values within one bit of a benchmark fingerprint finds
 every fingerprint within the radius. A candidate is proved by the weighted Jaccard similarity of
 the item and the best item-sized window nearby, on the words themselves: each shingle counts as
-often as it occurs, with weight 1 / (items it occurs in). Matches have 0.8 or more.
+often as it occurs, with weight 1 / (different item texts it occurs in), or with weight 1 where that
+gives more: an edit of a passage that many items share costs no more than any other. Matches have 0.8
+or more.
 
 The benchmark is the query set: it goes to the tasks in blocks of bounded size, each a pass over
 all documents. Null and empty texts and items match nothing; a repeated row gives repeated matches.
@@ -185,7 +187,9 @@ class Block:
             # A shingle no item has weighs as much as one that a single item has.
             both = sum(weights[s] * min(n, other[s]) for s, n in own.items() if s in other)
             either = sum(weights.get(s, 1.0) * max(own[s], other[s]) for s in own.keys() | other.keys())
-            yield both / either, -at
+            same = sum(min(n, other[s]) for s, n in own.items() if s in other)
+            plain = same / (own.total() + other.total() - same)
+            yield max(both / either, plain), -at
 
 
 def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
@@ -205,7 +209,7 @@ def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tupl
 
     kind = benchmark.schema["item_id"].dataType.simpleString()
     rows = items.mapInArrow(shingle_rows, f"item_id {kind}, text string, shingle binary")
-    counts = rows.groupBy("shingle").agg(F.count("*").alias("items"))
+    counts = rows.groupBy("shingle").agg(F.countDistinct(F.xxhash64("text")).alias("items"))
     weighed = rows.join(counts, "shingle").groupBy("item_id", "text")
     weighed = weighed.agg(F.collect_list(F.struct("shingle", (1 / F.col("items")).alias("weight"))).alias("weights"))
     block, total = [], 0

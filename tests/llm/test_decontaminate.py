@@ -90,3 +90,20 @@ def test_prefix_votes_and_windows():
         ]
         assert D.window_prints(votes, size, step).tolist() == want
     assert len(D.window_prints(D.prefix_votes(h[:3]), 4, 1)) == 0
+
+
+def test_edited_copies_of_twin_and_templated_items(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    twin, shared = [word() for _ in range(59)], [word() for _ in range(40)]
+    items = [(k, " ".join(twin)) for k in range(3)]
+    items += [(10 + k, " ".join(shared + [word() for _ in range(19)])) for k in range(4)]
+    docs = []
+    for k, text in items:
+        words = text.split()
+        words[30] = "edit"
+        docs.append((k, " ".join([word() for _ in range(50)] + words + [word() for _ in range(50)])))
+    got = D.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r.doc_id, r.item_id): r.similarity for r in got.collect()}
+    assert set(found) == {(a, b) for a in range(3) for b in range(3)} | {(10 + k, 10 + k) for k in range(4)}
+    assert all(x >= 50 / 60 - 1e-9 for x in found.values())
