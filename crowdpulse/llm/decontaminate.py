@@ -2,10 +2,10 @@
 
 Texts are lower-cased (A-Z), words are runs of non-blanks, shingles have five words (an item with
 fewer words is one shingle). A benchmark item is fingerprinted over windows of its own size class
-and over smaller ones at its ends, each at as many offsets as the stride of that class. Documents
+and over smaller ones all along it, each at as many offsets as the stride of that class. Documents
 are fingerprinted over windows of the same sizes at that stride, which some offset always meets:
-an unchanged passage is hit at distance 0 wherever it starts, and an edit leaves a smaller window
-whole.
+an unchanged passage is hit at distance 0 wherever it starts. Edits within a similarity of 0.8 leave
+a run of shingles whole, and the smaller windows lie so close that one of them is within it.
 
 Fingerprints have 64 bits in four blocks of 16. Within a radius of 7 bits one block differs in at
 most one bit, so a table per block of all values within one bit of a benchmark fingerprint finds
@@ -54,11 +54,22 @@ def runs(words: list[bytes], size: int) -> list[bytes]:
     return [b" ".join(words[k : k + size]) for k in range(len(words) - size + 1)]
 
 
+def lost(shingles: int) -> int:
+    """Shingles of an item that a window of its size can lack at a similarity of 0.8: (n - d) / (n + d)."""
+    return int(shingles * (1 - SIMILARITY) / (1 + SIMILARITY) + 1e-9)
+
+
+def whole_run(shingles: int) -> int:
+    """A run of an item's shingles that stays whole: a cut inside the item costs four shingles at least."""
+    d = lost(shingles)
+    return -(-(shingles - d) // (d // (SHINGLE - 1) + 1))
+
+
 def fits(shingles: int) -> list[tuple[int, int]]:
     """(window size, offset) at which an item is fingerprinted.
 
-    The size meets the whole item at any stride. Smaller windows lie at both ends, where one edit
-    leaves one of them whole, and in items long enough for several edits all along the item.
+    The size meets the whole item at any stride. Smaller windows lie at both ends, and all along the
+    item so that every run of ``whole_run`` shingles holds one.
     """
     sizes = [s for s in SIZES if s + stride(s) - 1 <= shingles]
     if not sizes:
@@ -69,6 +80,13 @@ def fits(shingles: int) -> list[tuple[int, int]]:
         span = size + stride(size) - 1
         inner = range(0, shingles - span, span) if shingles > 4 * PART else [0]
         out |= {(size, at + k) for at in [*inner, shingles - span] for k in range(stride(size))}
+    run = whole_run(shingles)
+    if run < shingles:
+        most = run if lost(shingles) < SHINGLE - 1 else (run + 1) // 2
+        size = max(s for s in SIZES if s + stride(s) - 1 <= most)
+        span = size + stride(size) - 1
+        starts = range(0, shingles - span + 1, run - span + 1)
+        out |= {(size, at + k) for at in starts for k in range(stride(size))}
     return sorted(out)
 
 
@@ -166,7 +184,9 @@ class Block:
         """(text, item, similarity, first word): the best place of each matching item in each text."""
         places: dict[tuple[int, int], set[int]] = {}
         for text, item, at in self.candidates(part):
-            places.setdefault((text, item), set()).update(range(at - 2, at + 3))
+            # Words put in or taken out before the window move the item's start by up to so many.
+            reach = max(2, lost(len(self.items[item][1])))
+            places.setdefault((text, item), set()).update(range(at - reach, at + reach + 1))
         words: dict[int, list[bytes]] = {}
         for (text, item), starts in sorted(places.items()):
             if text not in words:

@@ -107,3 +107,32 @@ def test_edited_copies_of_twin_and_templated_items(spark):
     found = {(r.doc_id, r.item_id): r.similarity for r in got.collect()}
     assert set(found) == {(a, b) for a in range(3) for b in range(3)} | {(10 + k, 10 + k) for k in range(4)}
     assert all(x >= 50 / 60 - 1e-9 for x in found.values())
+
+
+def test_several_edits_at_60_to_120_words(spark):
+    """Every copy with a similarity of 0.8, whatever words are changed, put in or taken out."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    items, docs = [], []
+    for k in range(400):
+        text = [word() for _ in range(rng.randrange(60, 121))]
+        items.append((k, " ".join(text)))
+        for _ in range(rng.randrange(1, 4)):
+            at = rng.randrange(1, len(text) - 1)
+            text[at : at + rng.randrange(2)] = [word()] * rng.randrange(2)
+        docs.append((k, " ".join([word() for _ in range(40)] + text + [word() for _ in range(40)])))
+    got = D.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = brute(docs, items)
+    assert len(want) > 200 and {(r.doc_id, r.item_id): r.similarity for r in got.collect()} == pytest.approx(want)
+
+
+def test_a_window_lies_in_every_run_that_edits_leave():
+    for n in range(1, 700):
+        run, windows = D.whole_run(n), set(D.fits(n))
+        sizes = {s for s, _ in windows}
+        for at in range(n - run + 1):
+            assert any(
+                all((s, a + k) in windows for k in range(D.stride(s)))
+                for s in sizes
+                for a in range(at, at + run - s - D.stride(s) + 2)
+            ), (n, at)
