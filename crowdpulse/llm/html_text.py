@@ -13,8 +13,13 @@ container it is what lies from the first to the last block of the cluster, with
 before it, without blocks that are mostly links.
 
 Never content, whatever their ratio: scripts, styles, templates, forms, navigation, asides, headers
-outside an article, footers, and elements whose class, id or role names an advert, menu, sidebar,
-notice or comment.
+outside an article, footers, and elements whose role is one of these.
+
+Elements whose class or id names an advert, menu, sidebar, notice or comment are decided after the
+clustering. One goes unless it holds most of the high-ratio text around it (nearly all where the name
+stands alone) and no article stands beside it: 'no-sidebar' may be a wrapper. Ordinary words within a
+longer name ('side-effects', 'text-widget') only take away blocks of a low ratio. Where nothing of a
+high ratio would be left, names decide nothing.
 
 Null and empty pages give an empty text, unclosed and misnested elements end with the page, and a
 page's rows are independent, so repeated rows give repeated results.
@@ -64,6 +69,8 @@ NAMED = re.compile(
     r"modals?|overlay|newsletters?|subscribe|subscription|signup|login|comments?|commentlist|disqus|replies|respond|"
     r"related|recommended|share|sharing|social|widgets?|pagination|pager|toolbar|masthead|topbar|skip|hidden)(?=$|[\s_-])"
 )
+#: Names that mean little as a part of longer ones.
+ORDINARY = frozenset("side notice notices alert alerts subscription login signup related share sharing social widget widgets skip hidden overlay".split())
 #: Elements that can be a content region.
 CONTAINERS = frozenset("html body article main section div table tbody tr td center fieldset blockquote dl ol ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -77,18 +84,39 @@ class Block(NamedTuple):
     tags: int  # since the last block
     path: tuple[int, ...]  # containers around it, from the outermost
     heading: bool
+    named: tuple[int, ...] = ()  # elements around it whose names speak against it, from the outermost
+
+
+class Named(NamedTuple):
+    ordinary: bool  # only ordinary words, within longer names
+    alone: bool  # a name that is not part of a longer one
+    around: tuple[int, ...]  # articles around it
 
 
 BLANKS = re.compile(r"\s+")
 
 
+def names_in(values: dict[str, str]) -> tuple[bool, bool] | None:
+    """Whether names in class and id are ordinary words only, and whether one stands alone; None: no names."""
+    found = []
+    for token in " ".join(values.get(k, "") for k in ("class", "id")).split():
+        parts = [p for p in re.split("[_-]", token) if p]
+        hits = [p for p in parts if NAMED.fullmatch(p)]
+        if hits:
+            alone = len(hits) == len(parts)
+            found.append((not alone and ORDINARY.issuperset(hits), alone))
+    return (all(o for o, _ in found), any(a for _, a in found)) if found else None
+
+
 class Events(HTMLParser):
     """Collects the blocks of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, bool, bool]] = []  # name, dropped, main
+        self.open: list[tuple[str, bool, bool, bool]] = []  # name, dropped, main, named
+        self.named: list[Named] = []
+        self.within: list[int] = []  # open named elements
         self.path: list[int] = []
         self.names: list[tuple[str, bool]] = []  # of containers, in order: name, main
         self.dropped = self.main = self.links = self.tags = self.linked = self.heading = 0
@@ -97,7 +125,7 @@ class Events(HTMLParser):
     def flush(self) -> None:
         text = BLANKS.sub(" ", "".join(self.text)).strip()
         if text:
-            self.blocks.append(Block(text, self.linked, self.tags, tuple(self.path), self.heading > 0))
+            self.blocks.append(Block(text, self.linked, self.tags, tuple(self.path), self.heading > 0, tuple(self.within)))
             self.tags = 0
         self.linked = 0
         self.text.clear()
@@ -107,7 +135,7 @@ class Events(HTMLParser):
             ends, within = CLOSES[tag], len(self.open)
             while within and (self.open[within - 1][0] in ends or self.open[within - 1][0] in INLINE):
                 within -= 1
-            if any(name in ends for name, _, _ in self.open[within:]):
+            if any(name in ends for name, *_ in self.open[within:]):
                 while len(self.open) > within:
                     self.pop()
         if tag in BLOCKS:
@@ -124,12 +152,17 @@ class Events(HTMLParser):
             or values.get("role") in ROLES
             or "hidden" in values
             or values.get("aria-hidden") == "true"
-            or tag not in ("html", "body", "article", "main")
-            and any(NAMED.search(values[k]) for k in ("class", "id") if values.get(k))
         )
+        named = None if dropped or tag in ("html", "body", "article", "main") else names_in(values)
+        if named and tag not in BLOCKS:
+            dropped = not named[0]  # inline elements are no blocks of their own
+            named = None
         # An article within comments or an aside is not the page's.
         article = article and not dropped and not self.dropped
-        self.open.append((tag, dropped, article))
+        self.open.append((tag, dropped, article, bool(named)))
+        if named:
+            self.within.append(len(self.named))
+            self.named.append(Named(*named, tuple(k for k in self.path if self.names[k][1])))
         self.dropped += dropped
         self.main += article
         self.links += tag == "a"
@@ -143,10 +176,12 @@ class Events(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def pop(self) -> None:
-        name, dropped, article = self.open[-1]
+        name, dropped, article, named = self.open[-1]
         if name in BLOCKS:
             self.flush()
         self.open.pop()
+        if named:
+            self.within.pop()
         self.dropped -= dropped
         self.main -= article
         self.links -= name == "a"
@@ -201,6 +236,33 @@ def region(blocks: list[Block], high: np.ndarray, names: list[tuple[str, bool]])
     return holders[-1] if holders else None
 
 
+def unnamed(blocks: list[Block], high: np.ndarray, page: Events) -> list[Block]:
+    """The blocks that names leave."""
+    size = [len(b.text) - b.linked if h else 0 for b, h in zip(blocks, high)]
+    members: dict[int, list[int]] = {}
+    for k, b in enumerate(blocks):
+        for e in b.named:
+            members.setdefault(e, []).append(k)
+    kept = {e for e in members if page.named[e].ordinary}
+    for e in sorted(members):  # from the outermost
+        if e in kept:
+            continue
+        around, own = page.named[e].around, set(members[e])
+        near = [k for k, b in enumerate(blocks) if size[k] and (not around or around[-1] in b.path)]
+        beside = any(
+            k not in own and kept.issuperset(blocks[k].named)
+            and any(page.names[c][1] and c not in around for c in blocks[k].path)
+            for k in near
+        )
+        need = (REGION if page.named[e].alone else 0.5) * sum(size[k] for k in near)
+        if not beside and sum(size[k] for k in own) > need:
+            kept.add(e)
+    left = [k for k, b in enumerate(blocks) if kept.issuperset(b.named)]
+    if not any(size[k] for k in left):
+        return blocks
+    return [blocks[k] for k in left if high[k] or not any(page.named[e].ordinary for e in blocks[k].named)]
+
+
 def extract(html: str | None, sigma: float = SIGMA, share: float = SHARE) -> str:
     page = Events()
     page.feed(html or "")
@@ -210,6 +272,8 @@ def extract(html: str | None, sigma: float = SIGMA, share: float = SHARE) -> str
     page.flush()
     if not page.blocks:
         return ""
+    if page.named:
+        page.blocks = unnamed(page.blocks, cluster(page.blocks, sigma, share), page)
     high = cluster(page.blocks, sigma, share)
     if not high.any():
         high[:] = True

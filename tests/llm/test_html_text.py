@@ -65,3 +65,22 @@ def test_edges_of_the_table(spark):
     got = sorted((r.page_id or 0, r.n_chars, r.text[:4]) for r in H.extracted(pages).collect())
     assert got == [(0, 1, "w"), (1, 0, ""), (1, 0, ""), (2, 4, "deep"), (3, 1_099_999, "long")]
     assert H.extracted(pages.where(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize("name", ["content no-sidebar", "has-sidebar", "elementor-widget elementor-widget-text-editor", "page-with-comments"])
+def test_wrappers_with_names_in_their_class_stay(name):
+    article = f"<h1>Head</h1><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p>"
+    want = "\n".join(["Head", *[PROSE.strip()] * 3])
+    comments = f"<section class='comments'><p>{PROSE}</p></section>"
+    for inner in (article, f"<article>{article}</article>"):
+        assert H.extract(f"<body><div class='{name}'>{inner}</div></body>") == want
+        assert H.extract(f"<body><main><div class='{name}'>{inner}</div></main><div class='ad'>{PROSE}</div></body>") == want
+    assert H.extract(f"<body><div class='{name}'><article>{article}</article>{comments}</div></body>") == want
+
+
+def test_paragraphs_with_ordinary_words_in_their_class_stay():
+    names = ("share-price", "side-effects", "related-work")
+    body = "".join(f"<p class='{n}'>{PROSE}</p>" for n in names)
+    assert H.extract(f"<article><p>{PROSE}</p>{body}</article>") == "\n".join([PROSE.strip()] * 4)
+    long = "".join(f"<p>{PROSE}</p>" for _ in range(9))
+    assert H.extract(f"<article><p>{PROSE}</p></article><div class='comments'><article>{long}</article></div>") == PROSE.strip()
