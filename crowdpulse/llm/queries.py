@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdpulse.llm import chat, decontaminate, html_text, line_dedup, mixing, pii, quality_classifier, quality_rules, simhash, toxicity
+from crowdpulse.llm import (
+    centroids,
+    chat,
+    decontaminate,
+    html_text,
+    licences,
+    line_dedup,
+    mixing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    toxicity,
+    whitening,
+)
 from crowdpulse.llm.oracle import ORACLE  # noqa: F401
 from crowdpulse.llm.tables import held_out, ship, table
 
@@ -79,3 +93,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item, their similarity and its first word."""
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "similarity", "first_word")
+
+
+@query
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    counts = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return found.select("doc_id", *(f"licences.{c}" for c in counts))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=16)
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"), k=40, rounds=5)

@@ -71,9 +71,9 @@ def texts(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Texts]:
         first = last
 
 
-def words(part: Texts, lower: bool = False) -> Words:
+def words(part: Texts, lower: bool = False, blank: np.ndarray = BLANK) -> Words:
     data = SMALL[part.bytes] if lower else part.bytes
-    inside = ~BLANK[data]
+    inside = ~blank[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     finishes = inside.copy()
