@@ -61,7 +61,8 @@ def build_training_set(
 def remove_excluded(spark: SparkSession, root: str, excluded: DataFrame, snapshot_id: int) -> None:
     """Replace the training table by its rows without excluded images, as the next snapshot."""
     path = f"{root}/training"
-    rows = tables.read_as_of(spark, path, tables.current_snapshot(spark, path)).drop("snapshot_id")
+    # Every snapshot is a full rebuild: only the current one's rows count.
+    rows = tables.rows_of(spark, path, tables.current_snapshot(spark, path)).drop("snapshot_id")
     sinks.replace_snapshot(governance.without_excluded(rows, excluded), path, snapshot_id)
 
 

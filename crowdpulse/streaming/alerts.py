@@ -1,16 +1,20 @@
 """Rolling counts, alerts and milestones on a stream.
 
-The state is a set of tables in shared storage: the event log (by time slot, one
-longest window each) and one folder per batch of counts, view totals, alerts and
-milestones. Each batch reads back the slots its windows reach into and runs the
-batch operators, so a hot image is split by time like there, a lost executor
-costs a task and a repeated batch replaces its own folders. Counts are exact at
-every event, and no key's state has to fit in one task.
+The state is a set of tables in shared storage, in hash buckets of the image: the recent events,
+view totals and alerts. A batch opens the buckets of its own images only, and a bucket is folded
+now and then; folding the recent events drops those no window can reach any more. Each batch runs
+the batch operators on its new events and the recent ones of their images, so a hot image is split by
+time like there, a lost executor costs a task and a repeated batch replaces its own folders. No
+key's state has to fit in one task.
+
+Counts are exact at every event that comes up to ``late_seconds`` behind the newest event of its
+image; a later one is counted, but neighbours of its own time may be gone already. ``idle_seconds``,
+if given, also drops the events of an image nothing was heard of for so long, by time of arrival.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
@@ -18,7 +22,9 @@ from crowdpulse.operators import alerts, messages
 from crowdpulse.operators.sequences import MICROS, rolling_counts
 from crowdpulse.params import EngagementParams
 from crowdpulse.schemas import ARRIVAL
-from crowdpulse.streaming.batches import BatchTable
+from crowdpulse.sources.sinks import append_batch
+from crowdpulse.streaming.batches import read_batches
+from crowdpulse.streaming.buckets import BucketTable
 
 KINDS = ("view", "comment", "flag")
 EVENT = [
@@ -27,7 +33,7 @@ EVENT = [
     StructField("ts", TimestampType()),
     StructField("arrival", ARRIVAL),
 ]
-LOG = StructType([*EVENT, StructField("comment_id", StringType()), StructField("slot", LongType()), StructField("batch_id", LongType())])
+RECENT = StructType([*EVENT, StructField("comment_id", StringType())])
 TOTALS = StructType(
     [StructField("image_id", StringType()), *[StructField(f"total_{k}s", LongType()) for k in KINDS]]
 )
@@ -59,100 +65,89 @@ def _sum_totals(rows: DataFrame) -> DataFrame:
 class AlertJob:
     """``handle`` is the foreachBatch function; the other members read its tables."""
 
-    def __init__(self, spark: SparkSession, root: str, params: EngagementParams, compact_every: int = 50):
-        self.spark = spark
-        self.params = params
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        params: EngagementParams,
+        buckets: int = 16,
+        fold_every: int = 8,
+        late_seconds: int | None = None,
+        idle_seconds: int | None = None,
+    ):
+        self.spark, self.root, self.params = spark, root, params
         self.reach = max(params.rolling_seconds.values())
-        self.log_path = f"{root}/log"
+        self.late = self.reach if late_seconds is None else late_seconds
+        self.idle = idle_seconds
         windows = [StructField(f"{k}s_{w}", LongType()) for k in KINDS for w in params.rolling_seconds]
-        counts = StructType([*EVENT, *windows, StructField("new_views_total", LongType())])
+        self.counts_schema = StructType([*EVENT, *windows, StructField("new_views_total", LongType())])
 
-        def table(name: str, schema: StructType) -> BatchTable:
-            return BatchTable(spark, f"{root}/{name}", schema, compact_every)
+        def table(name: str, schema: StructType) -> BucketTable:
+            return BucketTable(spark, f"{root}/{name}", schema, "image_id", buckets, fold_every)
 
-        self.counts_table = table("counts", counts)
+        self.recent = table("recent", RECENT)
         self.totals_table = table("totals", TOTALS)
         self.alerts_table = table("alerts", ALERTS)
-        self.milestones_table = table("milestones", MILESTONES)
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        slots = self._log(batch, batch_id)
-        self.totals_table.compact(batch_id, _sum_totals)
-        self.alerts_table.compact(batch_id, lambda rows: rows)
-
-        events = self.read_log(slots)
-        new = events.filter(F.col("batch_id") == batch_id)
-        self.counts_table.write(self._counts(events, new, batch_id), batch_id)
-        counts = self.counts_table.batch(batch_id)
+        arrived = messages.valid(batch).filter(F.col("event_type").isin(*KINDS))
+        self.recent.write(arrived.withColumnRenamed("event_type", "kind"), batch_id)
+        buckets = self.recent.touched(batch_id)
+        if not buckets:
+            return
+        self.recent.fold(batch_id, buckets, self._reachable)
+        self.totals_table.fold(batch_id, buckets, _sum_totals)
+        self.alerts_table.fold(batch_id, buckets, lambda rows: rows)
+
+        new = self.recent.batch(batch_id)
+        images = new.groupBy("image_id").agg(
+            F.min("ts").alias("__first"),
+            *[F.count_if(F.col("kind") == k).alias(f"total_{k}s") for k in KINDS],
+        )
+        append_batch(self._counts(new, images, batch_id, buckets), f"{self.root}/counts", batch_id)
+        counts = self.spark.read.schema(self.counts_schema).parquet(f"{self.root}/counts/batch_id={batch_id}")
 
         crossed = alerts.crossings(counts, self.params, order="arrival")
-        fresh = alerts.first_alerts(crossed, order="arrival").join(
-            self.alerts_table.before(batch_id).select("image_id", "alert_type"),
-            ["image_id", "alert_type"],
-            "left_anti",
-        )
+        known = self.alerts_table.before(batch_id, buckets).select("image_id", "alert_type")
+        fresh = alerts.first_alerts(crossed, order="arrival").join(known, ["image_id", "alert_type"], "left_anti")
         self.alerts_table.write(fresh, batch_id)
 
-        touched = new.select("image_id").distinct()
-        prior = _sum_totals(self.totals_table.before(batch_id).join(touched, "image_id", "left_semi"))
-        with_total = counts.join(prior, "image_id", "left").withColumn(
+        stored = self.totals_table.before(batch_id, buckets).join(images, "image_id", "left_semi")
+        prior = _sum_totals(stored)
+        # The first views of a batch are one to a few rows per image: milestones need no other.
+        seen = counts.filter(F.col("kind") == "view")
+        with_total = seen.join(prior, "image_id", "left").withColumn(
             "views_total", F.col("new_views_total") + F.coalesce("total_views", F.lit(0))
         )
         reached = alerts.milestones(with_total, self.params, order="arrival").withColumn(
             "milestone_value", F.col("milestone_value").cast("bigint")
         )
-        self.milestones_table.write(reached, batch_id)
-        added = new.groupBy("image_id").agg(
-            *[F.count_if(F.col("kind") == k).alias(f"total_{k}s") for k in KINDS]
-        )
-        self.totals_table.write(added, batch_id)
-
-    def _log(self, batch: DataFrame, batch_id: int) -> list[int]:
-        """Store the batch's events by slot and name the slots its windows reach into."""
-        micros = F.unix_micros("ts")
-        width = self.reach * MICROS
-        arrived = (
-            messages.valid(batch)
-            .filter(F.col("event_type").isin(*KINDS))
-            .select("image_id", F.col("event_type").alias("kind"), "ts", "arrival", "comment_id")
-            .withColumn("slot", ((micros - F.pmod(micros, F.lit(width))) / width).cast("bigint"))
-            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        )
-        # The slots of the batch, seen while it is written: for an ordinary batch one or two.
-        seen = Observation()
-        # Dynamic overwrite replaces only this batch's folders, so a repeated batch is harmless.
-        (
-            arrived.observe(seen, F.collect_set("slot").alias("slots"))
-            .hint("rebalance", "slot")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("slot", "batch_id")
-            .parquet(self.log_path)
-        )
-        return sorted({s for t in seen.get["slots"] for s in (t - 1, t)})
-
-    def read_log(self, slots: list[int]) -> DataFrame:
-        """Events of the given slots; no other folder is listed or read."""
-        if not slots:
-            return self.spark.createDataFrame([], LOG)
-        wanted = ",".join(str(s) for s in slots)
-        return (
-            self.spark.read.schema(LOG)
-            .option("basePath", self.log_path)
-            .parquet(f"{self.log_path}/slot={{{wanted}}}")
-        )
+        append_batch(reached, f"{self.root}/milestones", batch_id)
+        self.totals_table.write(images.drop("__first"), batch_id)
 
-    def _counts(self, events: DataFrame, new: DataFrame, batch_id: int) -> DataFrame:
+    def _reachable(self, rows: DataFrame) -> DataFrame:
+        """Recent events without those that no window of an event in time can reach."""
+        newest = rows.groupBy("image_id").agg(
+            F.max("ts").alias("__newest"), F.max("arrival.arrived_at").alias("__heard")
+        )
+        gone = F.unix_micros("ts") <= F.unix_micros("__newest") - (self.reach + self.late) * MICROS
+        if self.idle is not None:
+            now = rows.agg(F.max("arrival.arrived_at").alias("__now"))
+            newest = newest.join(now)  # one row
+            gone = gone | (F.unix_micros("__heard") < F.unix_micros("__now") - self.idle * MICROS)
+        return rows.join(newest, "image_id").filter(~gone).select(*RECENT.names)
+
+    def _counts(self, new: DataFrame, images: DataFrame, batch_id: int, buckets: list[int]) -> DataFrame:
         """Exact rolling counts at the new events, from the new and the earlier ones."""
-        # A window reaches into its own slot and the one before.
-        needed = new.select(
-            "image_id", F.explode(F.array(F.col("slot"), F.col("slot") - 1)).alias("slot")
-        ).distinct()
-        rows = events.filter(F.col("batch_id") <= batch_id).join(needed, ["image_id", "slot"], "left_semi")
+        # Of the earlier events only those of the batch's images, one window back.
+        reach = F.unix_micros("__first") - self.reach * MICROS
+        earlier = self.recent.before(batch_id, buckets).join(images.select("image_id", "__first"), "image_id")
+        earlier = earlier.filter(F.unix_micros("ts") >= reach).select(*RECENT.names)
+        rows = earlier.withColumn("is_new", F.lit(False)).unionByName(new.withColumn("is_new", F.lit(True)))
         # A comment delivered again counts once in windows; lifetime totals count every delivery.
-        rows = messages.without_redelivered(rows, ["batch_id", "arrival"])
+        rows = messages.without_redelivered(rows, ["is_new", "arrival"])
         counts = rolling_counts(
-            rows.select(*[f.name for f in EVENT], (F.col("batch_id") == batch_id).alias("is_new")),
+            rows.select(*[f.name for f in EVENT], "is_new"),
             key="image_id",
             ts=F.col("ts"),
             order=F.col("arrival"),
@@ -164,15 +159,15 @@ class AlertJob:
 
     @property
     def alerts(self) -> DataFrame:
-        return self.alerts_table.all()
+        return self.alerts_table.current()
 
     @property
     def counts(self) -> DataFrame:
-        return self.counts_table.all()
+        return read_batches(self.spark, f"{self.root}/counts", self.counts_schema).select(*self.counts_schema.names)
 
     @property
     def milestones(self) -> DataFrame:
-        return self.milestones_table.all()
+        return read_batches(self.spark, f"{self.root}/milestones", MILESTONES).select(*MILESTONES.names)
 
     @property
     def requests(self) -> DataFrame:

@@ -85,7 +85,7 @@ COUNTS = ["event_id", *[f"{k}s_{w}" for k in ("view", "comment", "flag") for w i
 @pytest.mark.parametrize("cuts", [[], [100], [30, 31, 90, 200]])
 def test_rolling_alerts_equal_batch(spark, cuts):
     events = made(spark)
-    job = run_alerts(spark, events, cuts, compact_every=2)
+    job = run_alerts(spark, events, cuts, buckets=3, fold_every=2)
     counts = alerts.activity_counts(events, PARAMS)
     assert sorted(numbered(job.counts).select(COUNTS).collect()) == sorted(counts.select(COUNTS).collect())
 
@@ -107,7 +107,7 @@ def test_a_repeated_batch_changes_nothing(spark):
     assert [sorted(t.collect()) for t in (job.alerts, job.milestones.drop("batch_id"))] == before
 
 
-def test_late_event_is_counted_and_reads_only_its_slots(spark):
+def test_late_event_is_counted(spark):
     events = made(spark)
     job = run_alerts(spark, events, [100])
     late = spark.createDataFrame([("hot", 9_000, "view", datetime(2020, 1, 1))], EVENTS)
@@ -116,6 +116,63 @@ def test_late_event_is_counted_and_reads_only_its_slots(spark):
     assert (row.views_1min, row.views_1hr, row.comments_1hr) == (1, 1, 0)
 
 
+def handled(job, spark, rows, batch_id):
+    job.handle(messages.with_event_time(messages.decode(sent(spark.createDataFrame(rows, EVENTS)))), batch_id)
+
+
+def test_files_of_a_batch_do_not_grow_with_untouched_images(spark):
+    """Many batches of other images come first: a batch of one image opens its own bucket's folders only."""
+    out = run_dir(spark, "test-buckets")
+    start = datetime(2026, 1, 1)
+    job = AlertJob(spark, f"{out}/t", PARAMS, buckets=8, fold_every=3)
+    handled(job, spark, [("a", 0, "view", start)], 0)
+    own = job.recent.touched(0)
+    few = [len(t.folders(1, own)) for t in (job.recent, job.totals_table, job.alerts_table)]
+    others = [f"u{k}" for k in range(400)]
+    bucket = job.recent.bucket()
+    apart = spark.createDataFrame([(u,) for u in others], "image_id string").filter(~bucket.isin(*own))
+    apart = [r.image_id for r in apart.limit(60).collect()]
+    for n in range(1, 9):
+        rows = [(u, 100 * n + k, "view", start + timedelta(minutes=n)) for k, u in enumerate(apart)]
+        handled(job, spark, rows, n)
+    assert [len(t.folders(9, own)) for t in (job.recent, job.totals_table, job.alerts_table)] == few
+    handled(job, spark, [("a", 5000, "view", start + timedelta(minutes=2))], 9)
+    assert job.recent.touched(9) == own
+    plan = job.recent.before(9, own)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert int(str(plan)) < int(str(job.recent.current()._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) / 4
+    assert [r.views_5min for r in numbered(job.counts).filter("event_id = 5000").collect()] == [2]
+    # Folders of a touched bucket are bounded by the folds, however many batches there were.
+    assert max(len(t.folders(10, [b])) for t in (job.recent, job.totals_table) for b in range(8)) <= 2 * job.recent.fold_every
+    with pytest.raises(ValueError):
+        AlertJob(spark, f"{out}/t", PARAMS, buckets=4)
+
+
+def test_fold_drops_what_no_window_reaches(spark):
+    out = run_dir(spark, "test-expiry")
+    start = datetime(2026, 1, 1)
+    job = AlertJob(spark, f"{out}/t", PARAMS, buckets=1, fold_every=2, late_seconds=600)
+    for n in range(7):
+        handled(job, spark, [("a", n, "view", start + timedelta(minutes=30 * n))], n)
+    kept = sorted(r.ts for r in job.recent.current().collect())
+    assert kept[0] >= start + timedelta(minutes=30 * 5 - 70) and kept[-1] == start + timedelta(minutes=180)
+    assert sorted(r.views_1hr for r in job.counts.collect()) == [1, 2, 2, 2, 2, 2, 2]
+    assert [r.total_views for r in job.totals(7).collect()] == [7]
+    # A later batch asks for the same state again and finds it.
+    before = sorted(job.counts.collect())
+    handled(job, spark, [("a", 6, "view", start + timedelta(minutes=180))], 6)
+    assert sorted(job.counts.collect()) == before
+
+
+def test_idle_images_expire_by_arrival(spark):
+    out = run_dir(spark, "test-idle-images")
+    start = datetime(2026, 1, 1)
+    job = AlertJob(spark, f"{out}/t", PARAMS, buckets=1, fold_every=1, idle_seconds=10)
+    handled(job, spark, [("a", 0, "view", start)], 0)
+    for n in range(1, 4):  # arrivals are micros of the id: 20 seconds apart
+        handled(job, spark, [("b", 20_000_000 * n, "view", start)], n)
+    assert {r.image_id for r in job.recent.before(3).collect()} == {"b"}
+
+
 @pytest.mark.parametrize("cuts", [[], [60, 170]])
 def test_window_counts_equal_batch(spark, cuts):
     events = made(spark)
