@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crowdpulse.operators.sequences import rolling_counts
+from crowdpulse.operators.sequences import kth_rows, rolling_counts
 from crowdpulse.params import EngagementParams
 
 # Alerts that ask for a score; the others are only recorded.
@@ -139,6 +139,21 @@ def milestones(counts: DataFrame, params: EngagementParams, key: str = "image_id
     )
 
 
+def milestones_by_selection(
+    events: DataFrame, params: EngagementParams, key: str = "image_id", ts: str = "ts", order: str = "event_id"
+) -> DataFrame:
+    """The same milestones without a running total: the k-th view is selected where bucket sums say it lies."""
+    views = events.filter(F.col("kind") == "view").select(key, ts, order)
+    found = kth_rows(views, key=key, ts=F.col(ts), order=F.col(order), numbers=tuple(params.milestones))
+    return found.select(
+        key,
+        F.lit("views").alias("milestone_type"),
+        F.col("k").alias("milestone_value"),
+        F.col(ts).alias("reached_at"),
+        order,
+    )
+
+
 def scoring_requests(alerts: DataFrame, key: str = "image_id") -> DataFrame:
     """Alerts that ask for a score, as request messages."""
     return alerts.filter(F.col("alert_type").isin(*REQUESTING)).select(

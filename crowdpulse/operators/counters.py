@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdpulse.functions.times import floor_to, plus_seconds
+from crowdpulse.operators.sequences import first_at_or_after, latest_values
+from crowdpulse.session import run_dir
 
 KINDS = ("view", "comment", "flag")
 
@@ -146,5 +148,46 @@ def counted_every(totals: DataFrame, total: str, step: int, also: tuple[int, ...
     return totals.filter((F.col(total) % step == 0) | F.col(total).isin(*also))
 
 
+def windows_from_first(events: DataFrame, seconds: int, key: str = "image_id", ts: str = "ts") -> DataFrame:
+    """Counters that start at an event, run ``seconds`` and start again at the first event after that.
+
+    Each time of a key points to the key's first time at or after its own end. Which times start a
+    counter is then found from the key's first one by doubling: a round follows the pointers of all
+    starts known so far and squares the pointers, so a chain of n counters takes log2(n) rounds, and
+    no key is walked through by one task. Each round's tables are written below the shared folder.
+    """
+    spark = events.sparkSession
+    folder = run_dir(spark, "windows-from-first")
+
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    known = events.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    times = kept(known.groupBy(key, F.col(ts).alias("at")).agg(F.count("*").alias("n")), "times")
+    ends = times.select(key, F.col("at").alias("start"), plus_seconds(F.col("at"), seconds).alias("at"))
+    jumps = first_at_or_after(times.select(key, "at"), ends, key=key, ts="at").filter("found is not null")
+    jumps = kept(jumps.select(key, "start", F.col("found").alias("to")), "jumps-0")
+    starts = kept(times.groupBy(key).agg(F.min("at").alias("start")), "starts-0")
+    had, rounds = 0, 0
+    while (now := starts.count()) > had:
+        had, rounds = now, rounds + 1
+        reached = starts.join(jumps, [key, "start"]).select(key, F.col("to").alias("start"))
+        starts = kept(starts.union(reached).distinct(), f"starts-{rounds}")
+        ahead = jumps.select(key, F.col("start").alias("to"), F.col("to").alias("next"))
+        doubled = jumps.join(ahead, [key, "to"]).select(key, "start", F.col("next").alias("to"))
+        jumps = kept(doubled, f"jumps-{rounds}")
+    marks = starts.select(key, F.col("start").alias("at"), F.col("start").alias("window"))
+    placed = latest_values(
+        times.join(marks, [key, "at"], "left"),
+        key=key,
+        ts=F.col("at"),
+        order="n",
+        values={"window_start": F.col("window")},
+        bucket_seconds=86_400,
+    )
+    return placed.groupBy(key, "window_start").agg(F.sum("n").alias("event_count"))
+
+
 def processed_now(windows: DataFrame, at: Column | None = None) -> DataFrame:
     return windows.withColumn("processed_at", at if at is not None else F.current_timestamp())

@@ -3,10 +3,11 @@
 A plain ``Window.partitionBy(key)`` hands the whole history of one key to one
 task, and a sliding RANGE frame re-reads its content for every row. Here every
 sequence is cut into time buckets. One shuffle by (key, bucket) gives the exact
-position of a row inside its bucket with growing frames only (linear work); a
-second, pre-aggregated frame with one row per (key, bucket) carries what lies
-before the bucket. The largest group in a task is one key's rows in one bucket,
-and the per-key frame has at most ``time span / bucket`` rows.
+position of a row inside its bucket with growing frames only (linear work). What
+lies before a bucket comes from the bucket sums, and those are cut the same way:
+running sums within a day of buckets, plus day sums carried from day to day. The
+largest group in a task is one key's rows in one bucket, or its buckets of one day,
+or its days; no task holds a key's life.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 MICROS = 1_000_000
 # One key's rows of at most an hour meet in a task, however long the windows are.
 LARGEST_BUCKET = 3600 * MICROS
+# Bucket sums are carried within this span first, then from span to span.
+SPAN = 86_400 * MICROS
 
 
 def _bucketed(rows: DataFrame, keys: list[str], ts: Column, width: int) -> DataFrame:
@@ -118,30 +121,14 @@ def rolling_counts(
     ).filter(is_own)
 
     # The same shift one level up: events before the bucket less events before it
-    # minus W, both as growing sums. Only the bucket sums are shuffled by key.
+    # minus W, both as growing sums.
     sums = base.groupBy(*keys, "__b").agg(*[F.sum(w).alias(w) for w in weights])
     steps = F.array(*[F.lit(s).cast("bigint") for s in [0, *shifts]])
-    spread_sums = (
-        sums.repartition(*[F.col(k) for k in keys])
-        .withColumn("__shift", F.explode(steps))
-        .withColumn("__b", F.col("__b") + F.col("__shift"))
-    )
-    earlier = Window.partitionBy(*keys).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
-
-    def before(weight: str, shift: int) -> Column:
-        return F.coalesce(F.sum(part(weight, shift)).over(earlier), zero)
-
-    carried = (
-        spread_sums.select(
-            *keys,
-            "__b",
-            "__shift",
-            *[(before(f"__w_{m}", 0) - before(f"__w_{m}", s)).alias(f"__s_{m}_{n}") for m, n, s in asked],
-            *[before(f"__a_{m}", 0).alias(f"__t_{m}") for m in totals],
-        )
-        .filter(is_own)
-        .drop("__shift")
-    )
+    spread_sums = sums.withColumn("__shift", F.explode(steps)).withColumn("__b", F.col("__b") + F.col("__shift"))
+    wanted = {f"__s_{m}_{n}": part(f"__w_{m}", 0) - part(f"__w_{m}", s) for m, n, s in asked}
+    wanted |= {f"__t_{m}": part(f"__a_{m}", 0) for m in totals}
+    carried = sums_before(spread_sums, keys, wanted, SPAN if width < SPAN else None).filter(is_own)
+    carried = carried.select(*keys, "__b", *wanted)
 
     def leaving(m: str, n: str) -> Column:
         below_edge = F.coalesce(f"__lt_{m}_{n}", zero)
@@ -159,6 +146,71 @@ def rolling_counts(
     return located.join(carried, [*keys, "__b"]).select(*keys, *payload, *counts)
 
 
+def sums_before(sums: DataFrame, keys: list[str], wanted: dict[str, Column], span: int | None = SPAN) -> DataFrame:
+    """Add to every row the sum of each expression over the rows of its key with a smaller ``__b``.
+
+    With a ``span`` the sums are running within a span and carried from span to span: the rows of a
+    key meet by span, and its life is one pre-aggregated row per span.
+    """
+    zero = F.lit(0).cast("bigint")
+    if span is None:
+        earlier = Window.partitionBy(*keys).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
+        return sums.select("*", *[F.coalesce(F.sum(c).over(earlier), zero).alias(n) for n, c in wanted.items()])
+    placed = sums.withColumns({f"__x{n}": c for n, c in wanted.items()})
+    placed = placed.withColumn("__span", F.col("__b") - F.pmod("__b", F.lit(span)))
+    within = Window.partitionBy(*keys, "__span").orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
+    inside = placed.select("*", *[F.coalesce(F.sum(f"__x{n}").over(within), zero).alias(f"__i{n}") for n in wanted])
+    spans = placed.groupBy(*keys, "__span").agg(*[F.sum(f"__x{n}").alias(f"__x{n}") for n in wanted])
+    before = Window.partitionBy(*keys).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select(
+        *keys, "__span", *[F.coalesce(F.sum(f"__x{n}").over(before), zero).alias(f"__c{n}") for n in wanted]
+    )
+    joined = inside.join(spans, [*keys, "__span"])
+    return joined.select(*sums.columns, *[(F.col(f"__i{n}") + F.col(f"__c{n}")).alias(n) for n in wanted])
+
+
+def kth_rows(
+    rows: DataFrame, *, key: str, ts: Column, order: Column, numbers: tuple[int, ...], bucket_seconds: int = 3600
+) -> DataFrame:
+    """The k-th row of each key in time for each k of ``numbers``, as ``k`` beside the row.
+
+    Bucket sums tell which bucket holds the k-th row; only rows of those buckets are ranked, one key
+    and bucket at a time. Keys with fewer rows have no row for that k.
+    """
+    base = _bucketed(rows, [key], ts, bucket_seconds * MICROS).withColumn("__o", order)
+    sums = base.groupBy(key, "__b").agg(F.count("*").alias("__n"))
+    located = sums_before(sums, [key], {"__before": F.col("__n")})
+    held = F.filter(
+        F.array(*[F.lit(k).cast("bigint") for k in numbers]),
+        lambda k: (k > F.col("__before")) & (k <= F.col("__before") + F.col("__n")),
+    )
+    holding = located.select(key, "__b", "__before", held.alias("__held")).filter(F.size("__held") > 0)
+    cell = Window.partitionBy(key, "__b").orderBy("__p", "__o")
+    ranked = base.join(holding, [key, "__b"]).withColumn("k", F.col("__before") + F.row_number().over(cell))
+    return ranked.filter(F.array_contains("__held", F.col("k"))).select(*rows.columns, "k")
+
+
+def first_at_or_after(
+    rows: DataFrame, probes: DataFrame, *, key: str, ts: str, bucket_seconds: int = 86_400
+) -> DataFrame:
+    """Probes with ``found``, the time of their key's first row at or after ``ts``; null when there is none.
+
+    An as-of lookup with the time turned round, so a hot key is split by time there too.
+    """
+
+    def turned(c: Column) -> Column:
+        return F.timestamp_micros(-F.unix_micros(c))
+
+    facts = rows.select(key, turned(F.col(ts)).alias("__at"), F.lit(0).alias("__probe"))
+    asked = probes.select("*", turned(F.col(ts)).alias("__at"), F.lit(1).alias("__probe"))
+    both = facts.unionByName(asked, allowMissingColumns=True)
+    known = F.when(F.col("__probe") == 0, F.col("__at"))
+    found = latest_values(
+        both, key=key, ts=F.col("__at"), order="__probe", values={"found": known}, bucket_seconds=bucket_seconds
+    )
+    return found.filter("__probe = 1").select(*probes.columns, turned(F.col("found")).alias("found"))
+
+
 def latest_values(
     rows: DataFrame,
     *,
@@ -182,17 +234,28 @@ def latest_values(
         "__b",
         *[F.last(f"__v_{n}", ignorenulls=True).over(upto).alias(f"__l_{n}") for n in values],
     )
-    before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     when_set = {n: F.when(F.col(f"__v_{n}").isNotNull(), F.struct("__p", order)) for n in values}
-    carried = (
-        base.groupBy(key, "__b")
-        .agg(*[F.max_by(f"__v_{n}", when_set[n]).alias(f"__e_{n}") for n in values])
-        .select(
-            key,
-            "__b",
-            *[F.last(f"__e_{n}", ignorenulls=True).over(before).alias(f"__c_{n}") for n in values],
-        )
-    )
+    cells = base.groupBy(key, "__b").agg(*[F.max_by(f"__v_{n}", when_set[n]).alias(f"__e_{n}") for n in values])
+    carried = _latest_before(cells, key, list(values), SPAN if bucket_seconds * MICROS < SPAN else None)
     return located.join(carried, [key, "__b"]).select(
         *rows.columns, *[F.coalesce(f"__l_{n}", f"__c_{n}").alias(n) for n in values]
     )
+
+
+def _latest_before(cells: DataFrame, key: str, names: list[str], span: int | None) -> DataFrame:
+    """(key, __b, __c_*): the latest value of earlier buckets, within a span first, then from span to span."""
+
+    def last(name: str, by: list[str], order: str) -> Column:
+        frame = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.last(f"__e_{name}", ignorenulls=True).over(frame)
+
+    if span is None:
+        return cells.select(key, "__b", *[last(n, [key], "__b").alias(f"__c_{n}") for n in names])
+    placed = cells.withColumn("__span", F.col("__b") - F.pmod("__b", F.lit(span)))
+    inside = placed.select(key, "__b", "__span", *[last(n, [key, "__span"], "__b").alias(f"__i_{n}") for n in names])
+    newest = {n: F.max_by(f"__e_{n}", F.when(F.col(f"__e_{n}").isNotNull(), F.col("__b"))) for n in names}
+    spans = placed.groupBy(key, "__span").agg(*[c.alias(f"__e_{n}") for n, c in newest.items()])
+    spans = spans.select(key, "__span", *[last(n, [key], "__span").alias(f"__s_{n}") for n in names])
+    return inside.join(spans, [key, "__span"]).select(
+        key, "__b", *[F.coalesce(f"__i_{n}", f"__s_{n}").alias(f"__c_{n}") for n in names]
+    )

@@ -119,11 +119,11 @@ def flag_labels(images: DataFrame, eligible_flags: DataFrame, params: Engagement
     return per_image.select(F.col("id").alias("image_id"), LABEL)
 
 
-def user_image_counts(images: DataFrame, params: EngagementParams, bucket_seconds: int = 60) -> DataFrame:
+def user_image_counts(images: DataFrame, params: EngagementParams, bucket_seconds: int = 3600) -> DataFrame:
     """Images of the same user uploaded up to each cutoff (itself and later uploads included).
 
     Every image is one fact at its upload and one question per decision point; the
-    answer is the running total at the question.
+    answer is the running total at the question. Uploads of one user are sparse, so a bucket is an hour.
     """
     upload = F.col("created_at")
     rows = [F.struct(upload.alias("at"), F.lit(None).cast("int").alias("decision_point_minutes"))]

@@ -21,7 +21,7 @@ from crowdpulse.operators import (
     training,
 )
 from crowdpulse.params import FEATURE_NAMES, LABEL, SCALED
-from crowdpulse.plans import risk_at_upload, streams
+from crowdpulse.plans import jobs, risk_at_upload, streams
 from crowdpulse.session import prepare, run_dir
 from crowdpulse.sources import domain, sinks, tables
 
@@ -184,6 +184,13 @@ def lifetime_totals(spark, sf_dir):
     return counters.lifetime_totals(domain.signals(spark, sf_dir))
 
 
+@query
+def fixed_windows_from_first(spark, sf_dir):
+    """Counters of two days per user that start at an event and again at the first one after their end."""
+    found = counters.windows_from_first(_user_events(spark, sf_dir), 2 * 86_400, key="user_id")
+    return found.select("user_id", _iso("window_start"), "event_count")
+
+
 @query
 def view_counter_update(spark, sf_dir):
     images = domain.images(spark, sf_dir).select("id", (F.col("id") % 3).alias("views"))
@@ -279,6 +286,12 @@ def milestones(spark, sf_dir):
     )
 
 
+@query
+def milestones_by_selection(spark, sf_dir):
+    found = alerts.milestones_by_selection(_user_events(spark, sf_dir), SCALED, key="user_id")
+    return found.select("user_id", "milestone_type", "milestone_value", "event_id", _iso("reached_at"))
+
+
 @query
 def moderation_requests(spark, sf_dir):
     asked = alerts.scoring_requests(_user_alerts(spark, sf_dir), key="user_id")
@@ -449,6 +462,19 @@ def training_after_withdrawal(spark, sf_dir):
     return left.groupBy("image_id").agg(F.count("*").alias("rows"))
 
 
+@query
+def training_excluded_after_rebuilds(spark, sf_dir):
+    """The training table after two rebuilds, the second without a category, and an exclusion by user."""
+    root = run_dir(spark, "excluded")
+    rows = risk_at_upload.training_set(spark, sf_dir)
+    sinks.append_snapshot(rows, f"{root}/training", 1)
+    sinks.append_snapshot(rows.filter(F.col("category") != "Meat"), f"{root}/training", 2)
+    gone = domain.images(spark, sf_dir).filter(F.col("user_id") % 2 == 0).select(F.col("id").alias("image_id"))
+    jobs.remove_excluded(spark, root, governance.stable_ids(gone, ["image_id"]), 3)
+    left = tables.read_as_of(spark, f"{root}/training", 3)
+    return left.groupBy("image_id").agg(F.count("*").alias("rows"))
+
+
 @query
 def raw_snapshots(spark, sf_dir):
     """Raw copies of the tables, taken twice, with the rows the second copy holds."""

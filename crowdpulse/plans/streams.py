@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdpulse.functions import times
-from crowdpulse.operators import counters, governance, messages
+from crowdpulse.operators import counters, governance, messages, serving
 from crowdpulse.params import REQUEST_TOPIC, SCALED
 from crowdpulse.session import run_dir
 from crowdpulse.sources import domain, streams
 from crowdpulse.sources.sinks import land
-from crowdpulse.streaming import batches, entities, scoring, windows
+from crowdpulse.streaming import batches, entities, joins, prefix, scoring, windows
 from crowdpulse.streaming.alerts import AlertJob
 
 RUNS = 3
@@ -190,6 +190,58 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_request_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window counts at each scoring request: a join of the request stream with the event stream.
+
+    A last request and event far behind the data move the watermark past all of it.
+    """
+    out, asked_at, seen_at = (run_dir(spark, n) for n in ("request-counts", "asked", "seen"))
+    requests = domain.requests(spark, sf_dir).select("request_id", "image_id", "trigger", "ts")
+    events = domain.signals(spark, sf_dir).select("image_id", "kind", "ts")
+    parts = list(zip(_slices(requests), _slices(events)))
+    last = events.agg(F.max("ts").alias("ts"))
+    for days in (40, 80):
+        ts = (F.col("ts") + F.make_dt_interval(F.lit(days))).alias("ts")
+        closing = last.select(F.lit(-1).cast("bigint").alias("image_id"), F.lit("view").alias("kind"), ts)
+        parts.append((closing.select(F.lit(-1).cast("bigint").alias("request_id"), "image_id", F.lit("close").alias("trigger"), "ts"), closing))
+    for asked, seen in parts:
+        asked.write.mode("append").parquet(asked_at)
+        seen.write.mode("append").parquet(seen_at)
+        counted = joins.request_counts(
+            spark.readStream.schema(requests.schema).parquet(asked_at),
+            spark.readStream.schema(events.schema).parquet(seen_at),
+            SCALED,
+            late="2 days",
+        )
+        batches.run_available(counted, windows.totals_writer(f"{out}/table"), f"{out}/checkpoint")
+    rows = batches.read_batches(spark, f"{out}/table")
+    return rows.filter("request_id >= 0").drop("ts", "batch_id")
+
+
+def features_from_prefix_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window counts and totals at each request from stored running counts, kept up over three batches."""
+    table = prefix.PrefixSums(spark, run_dir(spark, "prefix-sums"), buckets=4, fold_every=2)
+    events = domain.signals(spark, sf_dir).select("image_id", "kind", "ts")
+    for n, part in enumerate(_slices(events)):
+        table.add(part, n)
+    requests = serving.accepted_requests(domain.requests(spark, sf_dir))
+    return table.counts_at(requests, SCALED).drop("ts")
+
+
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image metadata kept by rewriting the buckets of each batch; late batches name few images."""
+    out = run_dir(spark, "upsert")
+    rows = domain.upload_rows(spark, sf_dir)
+    resent = F.col("seq") >= 1_000_000_000
+    write = entities.metadata_writer(f"{out}/table", buckets=8)
+    shaped = rows.select("*", F.lit("upload").alias("event_type"), _arrival(F.col("seq")))
+    parts = [shaped.filter(~resent), *(shaped.filter(resent & (F.col("seq") % 4 == k)) for k in range(4))]
+    for n, part in enumerate(parts):
+        write(part, n)
+    stored = entities.latest_metadata(spark, f"{out}/table", buckets=8)
+    return stored.withColumn("seq", F.col("arrival.offset")).drop("arrival")
+
+
 def stream_upload_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stored metadata of every image; every third image is sent twice."""
     return _stored_metadata(spark, sf_dir, "Soup")
@@ -269,6 +321,9 @@ QUERIES = {
         stream_redelivered_alerts,
         stream_milestones,
         stream_scoring,
+        stream_request_counts,
+        features_from_prefix_sums,
+        upsert_buckets,
         stream_upload_metadata,
         stream_upload_last_write,
         stream_users_created,

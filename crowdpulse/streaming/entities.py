@@ -11,7 +11,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from crowdpulse.operators import entities
 from crowdpulse.schemas import ARRIVAL
 from crowdpulse.sources.sinks import append_batch, publish
-from crowdpulse.streaming.batches import BatchTable, Handler
+from crowdpulse.streaming.batches import Handler
+from crowdpulse.streaming.buckets import BucketTable
 
 
 METADATA = StructType(
@@ -26,18 +27,21 @@ METADATA = StructType(
 )
 
 
-def metadata_table(spark: SparkSession, path: str) -> BatchTable:
-    return BatchTable(spark, path, METADATA)
+def metadata_table(spark: SparkSession, path: str, buckets: int = 16) -> BucketTable:
+    return BucketTable(spark, path, METADATA, "image_id", buckets, fold_every=1)
 
 
-def metadata_writer(path: str) -> Handler:
-    """Keep the last metadata of each uploaded image per batch, folded from time to time."""
+def metadata_writer(path: str, buckets: int = 16) -> Handler:
+    """Keep the last metadata of each uploaded image: the buckets a batch names are rewritten, no other.
+
+    A bucket's new files replace its old ones as a whole; readers that began before still find those.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table = metadata_table(batch.sparkSession, path)
-        table.compact(batch_id, _last_metadata)
+        table = metadata_table(batch.sparkSession, path, buckets)
         uploads = batch.filter(F.col("event_type") == "upload")
         table.write(entities.latest_metadata(uploads, F.current_timestamp()), batch_id)
+        table.fold(batch_id + 1, table.touched(batch_id), _last_metadata)
 
     return write
 
@@ -46,25 +50,29 @@ def _last_metadata(rows: DataFrame) -> DataFrame:
     return entities.last_per_key(rows, "image_id", "arrival")
 
 
-def latest_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """The last write of each image over all batches."""
-    return _last_metadata(metadata_table(spark, path).all())
+def latest_metadata(spark: SparkSession, path: str, buckets: int = 16) -> DataFrame:
+    """The last write of each image: every bucket is folded, so nothing is left to merge."""
+    return metadata_table(spark, path, buckets).current()
 
 
-def account_writer(path: str, existing: DataFrame, order: str = "arrival") -> Handler:
-    """Append accounts for usernames that neither ``existing`` nor an earlier batch has."""
+def account_writer(path: str, existing: DataFrame, order: str = "arrival", buckets: int = 16) -> Handler:
+    """Append accounts for usernames that neither ``existing`` nor an earlier batch has.
+
+    Of the earlier batches only the buckets of the asked names are read.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table = BatchTable(batch.sparkSession, path, batch.schema)
-        table.compact(batch_id, lambda rows: rows)
-        known = existing.select("username").unionByName(table.before(batch_id).select("username"))
+        table = BucketTable(batch.sparkSession, path, batch.schema, "username", buckets)
+        asked = [r.bucket for r in batch.select(table.bucket().alias("bucket")).distinct().collect()]
+        table.fold(batch_id, asked, lambda rows: rows)
+        known = existing.select("username").unionByName(table.before(batch_id, asked).select("username"))
         table.write(entities.users_to_create(batch, known, order), batch_id)
 
     return write
 
 
-def created_accounts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return BatchTable(spark, path, schema).all()
+def created_accounts(spark: SparkSession, path: str, schema: StructType, buckets: int = 16) -> DataFrame:
+    return BucketTable(spark, path, schema, "username", buckets).current()
 
 
 def dual_writer(

@@ -629,6 +629,12 @@ ORACLE: dict[str, str] = {
         WHERE t.image_id NOT IN (SELECT CAST(id AS VARCHAR) FROM images WHERE category = 'Meat') GROUP BY 1""",
         *TRAIN,
     ),
+    "training_excluded_after_rebuilds": sql(
+        """SELECT t.image_id, count(*) AS rows FROM training t
+        JOIN images i ON CAST(i.id AS VARCHAR) = t.image_id
+        WHERE t.category <> 'Meat' AND i.user_id % 2 <> 0 GROUP BY 1""",
+        *TRAIN,
+    ),
     "training_after_withdrawal": sql(
         "SELECT image_id, count(*) AS rows FROM training WHERE category <> 'Meat' GROUP BY 1", *TRAIN
     ),
@@ -828,6 +834,27 @@ ORACLE: dict[str, str] = {
     "stream_rolling_alerts": ALERTS_SQL,
     "stream_redelivered_alerts": ALERTS_SQL,
     "stream_milestones": MILESTONES_SQL,
+    "milestones_by_selection": MILESTONES_SQL,
+    "fixed_windows_from_first": sql(
+        f"""SELECT user_id, {iso('start', 'window_start')}, count(*) AS event_count FROM (
+          SELECT e.user_id, e.event_id, max(c.ts) AS start
+          FROM base e JOIN chain c ON c.user_id = e.user_id AND c.ts <= e.ts
+          WHERE e.kind IN ('view', 'comment', 'flag') GROUP BY 1, 2) GROUP BY 1, 2""",
+        """
+chain AS (
+  SELECT user_id, min(ts) AS ts FROM base WHERE kind IN ('view', 'comment', 'flag') GROUP BY 1
+  UNION ALL
+  SELECT c.user_id, min(e.ts) FROM chain c JOIN base e ON e.user_id = c.user_id
+    AND e.kind IN ('view', 'comment', 'flag') AND e.ts >= c.ts + INTERVAL 2 DAY
+  GROUP BY 1),""",
+    ).replace("WITH n AS", "WITH RECURSIVE n AS", 1),
+    "stream_request_counts": sql(
+        """SELECT request_id, image_id, trigger, views_5min, views_1hr, comments_5min, comments_1hr,
+          flags_5min, flags_1hr FROM at_request""",
+        SERVING,
+    ),
+    "features_from_prefix_sums": sql("SELECT * EXCLUDE (ts) FROM at_request", SERVING),
+    "upsert_buckets": METADATA_SQL,
     "stream_upload_metadata": METADATA_SQL,
     "stream_upload_last_write": METADATA_SQL.replace("'Soup'", "'Bread'"),
     "stream_users_created": sql(
