@@ -1,18 +1,22 @@
 """Repeated passages, found with content-defined chunks of lines and removed after a byte comparison.
 
 A line ends at a line feed, and within a long physical line where the hash of two neighbouring words
-is the least of those around it; so a passage pasted into the middle of a paragraph has the same
-lines as its original, of four to eight words as a rule. Every line is a chunk of its own, so all lines
-wholly inside a passage are candidates; only the part lines at its two ends, about seven words together,
-can stay. With ``chunk_lines`` above 1 a rolling hash over line hashes picks chunk boundaries: text
-inserted or deleted before a passage moves no boundary inside it, but short passages can be missed.
-
-Chunks that occur more than once anywhere are candidates. Their bytes are then compared, the first
-occurrence by (doc_id, hash of the text, place) stays, and later ones go where repeated chunks in
-a row come to at least two lines and ``min_words`` words. Single repeated lines stay.
-
-Null and empty texts pass unchanged. Rows with equal doc_id and text count as one document and get
-the same decision. A null doc_id sorts before all others.
+is less than that of the pairs beside it; so a passage pasted into the middle of a paragraph has the
+same lines as its original, of two to five words as a rule. A rolling hash over line hashes (a line and
+the one before) chooses the chunks: a chunk begins where it is less than at the lines beside it, so text
+inserted or deleted elsewhere moves no boundary, and a stretch of more than ``most_lines`` lines without
+such a place is cut every two lines from its beginning. Every chunk has at least two lines (but for a
+text of one line, which is none).
+
+Chunks whose hash occurs more than once anywhere are candidates. Their bytes are then compared; the
+first occurrence by (doc_id, hash of the text, place) stays. Later ones in a row make a run, and a run
+grows word by word to both sides as long as the words equal those around the first occurrence of its
+first and last chunk (up to ``grow`` words, more than a chunk has). Runs of ``min_words`` words go.
+
+Copies of a whole text are not cut at all: the one with the least doc_id stands for them, and the
+others lose everything if they have two lines and ``min_words`` words. Null and empty texts pass
+unchanged. Rows with equal doc_id and text count as one document and get the same decision. A null
+doc_id sorts before all others. Very long texts are cut whole, one at a time.
 """
 
 from __future__ import annotations
@@ -28,49 +32,60 @@ from pyspark.sql.functions import arrow_udf
 from crowdpulse.llm import words as W
 from crowdpulse.llm.tables import packed, release, staged, text_of, unpacked
 
-#: Words to either side that a line's end is the least of (lines have 2 LINE_REACH + 1 words on
-#: average), lines in a chunk on average, least words in a removed passage.
-LINE_REACH, CHUNK_LINES, MIN_WORDS = 2, 1, 15
-KEY = ("doc_id", "text_hash")
+#: Longest stretch of lines that is no further cut, least words in a removed passage, words a run may
+#: grow by on either side.
+MOST_LINES, MIN_WORDS, GROW = 4, 15, 40
+TEXT = ("h1", "h2")  # of a text, 128 bits together
+KEY = ("doc_id", *TEXT)
 RANK = W.powers(0xD6E8FEB86659FD93, 4096)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The text with its owner's key, and one long for the key to join by; equal longs are checked later."""
+def _hashes() -> list:
     text = text_of()
-    return docs.select(
-        "doc_id", F.xxhash64(text).alias("text_hash"), F.xxhash64("doc_id", text).alias("key"), text.alias("text")
-    )
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+
+
+def least_of_neighbours(hash: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Places with a smaller hash than the one before and none greater than the one after, in one owner."""
+    out = np.zeros(len(hash), bool)
+    same = owner[1:] == owner[:-1]
+    inner = same[:-1] & same[1:]
+    out[1:-1] = inner & (hash[1:-1] < hash[:-2]) & (hash[1:-1] <= hash[2:])
+    return out
+
 
+def previous(hash: np.ndarray, first: np.ndarray) -> np.ndarray:
+    out = np.concatenate([[np.uint64(0)], hash[:-1]])
+    out[first] = 0
+    return out
 
-def cut(part: W.Texts, line_reach: int, chunk_lines: int):
+
+def cut(part: W.Texts, w: W.Words | None = None, most_lines: int = MOST_LINES):
     """Chunks of a slice: owner, number in the text, byte places in the text, words, lines, hash."""
-    w = W.words(part)
+    w = W.words(part) if w is None else w
     n = len(w.hash)
-    if not n:
+    if n < 2:
         return *[np.zeros(0, np.int64)] * 6, np.zeros(0, np.uint64)
     feeds = np.concatenate([[0], np.cumsum(part.bytes == 10)])
-    before = np.concatenate([[np.uint64(0)], w.hash[:-1]])
     new_text = np.ones(n, bool)
     new_text[1:] = w.text[1:] != w.text[:-1]
-    before[new_text] = 0
-    pair = W.mix(w.hash + before * W.BASE)
-    broken = np.ones(n, bool)
-    for k in range(1, min(line_reach, n - 1) + 1):
-        same = w.text[k:] == w.text[:-k]
-        broken[k:] &= ~same | (pair[k:] < pair[:-k])
-        broken[:-k] &= ~same | (pair[:-k] <= pair[k:])
-    new_line = new_text.copy()
-    new_line[1:] |= broken[:-1] | (feeds[w.start[1:]] > feeds[w.end[:-1]])
+    pair = W.mix(w.hash + previous(w.hash, new_text) * W.BASE)
+    new_line = new_text | least_of_neighbours(pair, w.text)
+    new_line[1:] |= feeds[w.start[1:]] > feeds[w.end[:-1]]
     line_at = np.flatnonzero(new_line)
     rank = np.arange(n) - line_at[np.cumsum(new_line) - 1]
     line = np.add.reduceat(w.hash * RANK[rank % len(RANK)], line_at)
     first_line = new_text[line_at]
-    last = np.concatenate([[np.uint64(0)], line[:-1]])
-    last[first_line] = 0
-    closes = W.mix(line + last * W.BASE) % np.uint64(chunk_lines) == 0
-    new_chunk = first_line.copy()
-    new_chunk[1:] |= closes[:-1]
+    rolling = W.mix(line + previous(line, first_line) * W.BASE)
+    new_chunk = least_of_neighbours(rolling, w.text[line_at])
+    new_chunk[1:] &= ~first_line[:-1]  # a text's first chunk has two lines too
+    new_chunk |= first_line
+    # Long stretches: every second line, but no single line at the end.
+    at = np.flatnonzero(new_chunk)
+    size = np.diff(np.append(at, len(line_at)))
+    own = np.cumsum(new_chunk) - 1
+    offset = np.arange(len(line_at)) - at[own]
+    new_chunk |= (size[own] > most_lines) & (offset % 2 == 0) & (size[own] - offset >= 2)
     chunk_line = np.flatnonzero(new_chunk)
     chunk_at = line_at[chunk_line]
     stop = np.append(chunk_at[1:], n)
@@ -81,91 +96,177 @@ def cut(part: W.Texts, line_reach: int, chunk_lines: int):
     origin = part.starts[owner]
     rank = np.arange(len(line)) - chunk_line[np.cumsum(new_chunk) - 1]
     digest = W.mix(np.add.reduceat(W.mix(line) * RANK[rank % len(RANK)], chunk_line))
-    return owner, number, w.start[chunk_at] - origin, w.end[stop - 1] - origin, stop - chunk_at, lines, digest
+    found = owner, number, w.start[chunk_at] - origin, w.end[stop - 1] - origin, stop - chunk_at, lines, digest
+    return tuple(column[lines > 1] for column in found)
 
 
-def chunks(docs: DataFrame, line_reach: int = LINE_REACH, chunk_lines: int = CHUNK_LINES) -> DataFrame:
-    """(key, chunk): the hash of every chunk of every text."""
+def chunks(docs: DataFrame) -> DataFrame:
+    """(key, chunk, again): the distinct chunk hashes of every text, and whether it has one more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.texts(batch.column("text")):
-                found = cut(part, line_reach, chunk_lines)
-                key = batch.column("key").take(pa.array(found[0] + part.first))
-                yield pa.RecordBatch.from_arrays([key, pa.array(found[-1].view(np.int64))], ["key", "chunk"])
-
-    return _keyed(docs).select("key", "text").mapInArrow(run, "key long, chunk long")
+                found = cut(part)
+                owner, chunk = found[0], found[-1].view(np.int64)
+                order = np.lexsort((chunk, owner))
+                owner, chunk = owner[order], chunk[order]
+                new = np.ones(len(owner), bool)
+                new[1:] = (owner[1:] != owner[:-1]) | (chunk[1:] != chunk[:-1])
+                at = np.flatnonzero(new)
+                again = np.diff(np.append(at, len(owner))) > 1
+                key = batch.column("key").take(pa.array(owner[at] + part.first))
+                yield pa.RecordBatch.from_arrays([key, pa.array(chunk[at]), pa.array(again)], ["key", "chunk", "again"])
+
+    keyed = docs.select(F.xxhash64(text_of()).alias("key"), text_of().alias("text"))
+    return keyed.mapInArrow(run, "key long, chunk long, again boolean")
+
+
+def firsts(docs: DataFrame) -> DataFrame:
+    """(h1, h2, first, copied): for each text the least doc_id, and whether there is another one."""
+    own = docs.select("doc_id", *_hashes()).groupBy(*TEXT)
+    return staged(
+        own.agg(
+            F.min(F.struct("doc_id")).alias("first"),
+            (~F.min(F.struct("doc_id")).eqNullSafe(F.max(F.struct("doc_id")))).alias("copied"),
+        ),
+        "first-copies",
+    )
 
 
-def repeated(docs: DataFrame, line_reach: int = LINE_REACH, chunk_lines: int = CHUNK_LINES) -> DataFrame:
-    """Every chunk but the first of each set of byte-equal chunks: owner, number, places, words, lines."""
+def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW) -> DataFrame:
+    """Every chunk but the first of each set of byte-equal chunks: owner, number, places, words, lines, and
+    the words around the first one."""
     spark = docs.sparkSession
-    every = staged(chunks(docs, line_reach, chunk_lines), "chunks")
-    often = every.groupBy("chunk").count().where("count > 1").select("chunk")
+    every = staged(chunks(docs), "chunks")
+    counted = every.groupBy("chunk").agg(
+        F.min("key").alias("a"), F.max("key").alias("b"), F.max("again").alias("again")
+    )
+    often = counted.where("a <> b or again").select("chunk")
     listed = every.join(often, "chunk").groupBy("key").agg(F.collect_set("chunk").alias("chunks"))
+    # Of the copies of a text one is compared.
+    listed = listed.join(first.select(F.col("h1").alias("key"), "h2", "first"), "key")
     listed = staged(listed, "repeated-chunks")
     release(spark)
 
-    names = ["doc_id", "text_hash", "number", "start", "end", "words", "lines", "chunk", "bytes"]
+    names = ["number", "start", "end", "words", "lines", "chunk"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.texts(batch.column("text")):
-                owner, number, start, end, n, lines, digest = cut(part, line_reach, chunk_lines)
+                w = W.words(part)
+                owner, number, start, end, n, lines, digest = cut(part, w)
                 wanted = batch.column("chunks").slice(part.first, part.last - part.first)
                 digest = digest.view(np.int64)
                 edges = np.searchsorted(owner, np.arange(len(wanted) + 1))
                 hits = [
-                    a + np.flatnonzero(np.isin(digest[a:b], w.values.to_numpy()))
-                    for a, b, w in zip(edges, edges[1:], wanted)
+                    a + np.flatnonzero(np.isin(digest[a:b], own.values.to_numpy()))
+                    for a, b, own in zip(edges, edges[1:], wanted)
                 ]
                 hits = np.concatenate(hits)
-                places = zip((part.starts[owner] + start)[hits], (part.starts[owner] + end)[hits])
+                origin, whole = part.starts[owner], part.ends[owner]
+                first, last = (origin + start)[hits], (origin + end)[hits]
+                before, after = around(w, origin[hits], whole[hits], first, last, grow)
                 data = part.bytes.tobytes()
                 at = pa.array(owner[hits] + part.first)
                 numbers = [pa.array(x[hits]) for x in (number, start, end, n, lines, digest)]
-                pieces = pa.array([data[a:b] for a, b in places], pa.binary())
+                pieces = [
+                    pa.array([data[a:b] for a, b in zip(x.tolist(), y.tolist())], pa.binary())
+                    for x, y in ((first, last), (before, first), (last, after))
+                ]
                 owners = [batch.column(c).take(at) for c in KEY]
-                yield pa.RecordBatch.from_arrays([*owners, *numbers, pieces], names)
+                yield pa.RecordBatch.from_arrays([*owners, *numbers, *pieces], [*KEY, *names, "bytes", "before", "after"])
 
-    keyed = _keyed(docs)
-    owners = keyed.join(listed, "key").select(*KEY, "text", "chunks")
+    keyed = docs.select("doc_id", *_hashes(), text_of().alias("text")).join(
+        listed.withColumnRenamed("h2", "_h2"), (F.col("h1") == F.col("key")) & (F.col("h2") == F.col("_h2"))
+    )
+    owners = keyed.where(F.col("doc_id").eqNullSafe(F.col("first.doc_id"))).select(*KEY, "text", "chunks")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    numbers = ", ".join(f"{n} long" for n in names[2:-1])
-    candidates = owners.mapInArrow(run, f"doc_id {kind}, text_hash long, {numbers}, bytes binary")
-    candidates = staged(candidates, "chunk-bytes")
+    numbers = ", ".join(f"{n} long" for n in names)
+    shape = f"doc_id {kind}, h1 long, h2 long, {numbers}, bytes binary, before binary, after binary"
+    candidates = staged(owners.mapInArrow(run, shape), "chunk-bytes")
     release(spark)
     # Equal hashes are only candidates: rows are grouped by the bytes themselves.
     own = F.struct(*KEY, "number")
-    equal = candidates.groupBy("chunk", "bytes").agg(F.min(own).alias("first"), F.count("*").alias("n"))
+    equal = candidates.groupBy("chunk", "bytes").agg(
+        F.min(F.struct(own.alias("own"), "before", "after")).alias("first"), F.count("*").alias("n")
+    )
     equal = staged(equal, "equal-chunks")
     release(spark)
     # Where all chunks of a hash have the same bytes, the hash stands for them from here on.
     mixed = staged(equal.groupBy("chunk").count().where("count > 1").select("chunk"), "mixed-chunks")
     several = equal.where("n > 1")
-    alike = candidates.drop("bytes").join(several.select("chunk", "first").join(mixed, "chunk", "left_anti"), "chunk")
-    unlike = candidates.join(mixed, "chunk", "left_semi").join(several.drop("n"), ["chunk", "bytes"]).drop("bytes")
-    later = alike.unionByName(unlike).where(~own.eqNullSafe(F.col("first")))
-    return later.select(*KEY, "number", "start", "end", "words", "lines")
-
-
-def passages(docs: DataFrame, **sizes) -> DataFrame:
-    """The repeated chunks of each document, in the order of the text."""
-    chunk = F.struct("number", "start", "end", "words", "lines")
-    found = repeated(docs, **sizes).distinct().groupBy(*KEY)
+    rows = candidates.drop("before", "after")
+    alike = rows.drop("bytes").join(several.select("chunk", "first").join(mixed, "chunk", "left_anti"), "chunk")
+    unlike = rows.join(mixed, "chunk", "left_semi").join(several.drop("n"), ["chunk", "bytes"]).drop("bytes")
+    later = alike.unionByName(unlike).where(~own.eqNullSafe(F.col("first.own")))
+    return later.select(*TEXT, "number", "start", "end", "words", "lines", "first.before", "first.after")
+
+
+def around(w: W.Words, origin, whole, first, last, grow: int) -> tuple[np.ndarray, np.ndarray]:
+    """For spans of a slice, where ``grow`` words before them begin and ``grow`` words after them end."""
+    k = np.searchsorted(w.start, first)  # number of the span's first word
+    j = np.searchsorted(w.start, last)  # of the first word after it
+    low = np.searchsorted(w.start, origin)
+    high = np.searchsorted(w.start, whole)
+    if not len(w.start):
+        return first, last
+    a, b = np.maximum(low, k - grow), np.minimum(high, j + grow)
+    before = np.where(a < k, w.start[np.minimum(a, len(w.start) - 1)], first)
+    after = np.where(b > j, w.end[b - 1], last)
+    return before, after
+
+
+def passages(docs: DataFrame, first: DataFrame, grow: int = GROW) -> DataFrame:
+    """The repeated chunks of each text, in the order of the text."""
+    chunk = F.struct("number", "start", "end", "words", "lines", "before", "after")
+    found = repeated(docs, first, grow).dropDuplicates([*TEXT, "number"]).groupBy(*TEXT)
     found = staged(found.agg(F.array_sort(F.collect_list(chunk)).alias("found")), "passages")
     release(docs.sparkSession)
     return found
 
 
-def runs(number, start, end, words, lines, min_words: int) -> list[tuple[int, int]]:
-    """Byte places of the passages: chunks in a row with at least two lines and ``min_words`` words."""
-    if not len(number):
-        return []
-    at = np.flatnonzero(np.append(True, np.diff(number) != 1))
-    to = np.append(at[1:], len(number)) - 1
-    good = (np.add.reduceat(words, at) >= min_words) & (np.add.reduceat(lines, at) >= 2)
-    return list(zip(start[at[good]].tolist(), end[to[good]].tolist()))
+def common(own: list[bytes], other: list[bytes]) -> int:
+    """Words that agree from the beginning."""
+    n = 0
+    while n < len(own) and n < len(other) and own[n] == other[n]:
+        n += 1
+    return n
+
+
+def grown(text: bytes, start: int, end: int, before: bytes, after: bytes) -> tuple[int, int]:
+    """A span and the words to both sides that equal those around the first occurrence."""
+    theirs = before.split()
+    if theirs:
+        low = max(0, start - 4 * len(before) - 64)
+        own = text[low:start].split()[low > 0 :]  # the first one may be cut
+        n = common(own[::-1], theirs[::-1])
+        for word in own[::-1][:n]:
+            start = text.rindex(word, 0, start)
+    theirs = after.split()
+    if theirs:
+        high = end + 4 * len(after) + 64
+        own = text[end:high].split()
+        own = own[: len(own) - (high < len(text))]
+        for word in own[: common(own, theirs)]:
+            end = text.index(word, end) + len(word)
+    return start, end
+
+
+def runs(text: bytes, found: list[dict], min_words: int) -> list[tuple[int, int]]:
+    """Byte places of the passages: chunks in a row, grown to both sides, with ``min_words`` words."""
+    spans: list[list[int]] = []
+    k = 0
+    while k < len(found):
+        to = k
+        while to + 1 < len(found) and found[to + 1]["number"] == found[to]["number"] + 1:
+            to += 1
+        start, end = grown(text, found[k]["start"], found[to]["end"], found[k]["before"], found[to]["after"])
+        if spans and start <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], end)
+        else:
+            spans.append([start, end])
+        k = to + 1
+    return [(a, b) for a, b in spans if len(text[a:b].split()) >= min_words]
 
 
 def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -180,37 +281,48 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"" if spans and not kept.strip() else kept
 
 
-def remove_repeated(docs: DataFrame, min_words: int = MIN_WORDS, **sizes) -> DataFrame:
-    """``docs`` without repeated passages; adds removed_words (int, null where nothing went).
+def remove_repeated(
+    docs: DataFrame, min_words: int = MIN_WORDS, grow: int = GROW, count: str = "removed_words"
+) -> DataFrame:
+    """``docs`` without repeated passages; adds ``count`` (int, null where nothing went).
 
-    All other columns pass unchanged, whatever their names; ``text`` is rewritten.
+    All other columns pass unchanged; ``text`` is rewritten. A column named like ``count`` is an error
+    of the caller, named as such.
     """
+    if count in docs.columns:
+        raise ValueError(f"the input has a column {count}; give the count another name")
 
     @arrow_udf("struct<text:string,removed_words:int>")
-    def cleaned(text: pa.Array, found: pa.Array) -> pa.Array:
+    def cleaned(text: pa.Array, found: pa.Array, copy: pa.Array) -> pa.Array:
         texts, gone = [], []
-        values = {n: found.values.field(n).to_numpy() for n in ("number", "start", "end", "words", "lines")}
-        places = found.offsets.to_numpy()
-        present = found.is_valid().to_numpy(zero_copy_only=False)
-        for k in range(len(text)):
-            own = [values[n][places[k] : places[k + 1]] for n in values] if present[k] else [[]]
-            spans = runs(*own, min_words) if present[k] and len(own[0]) else []
+        for own, chunks, is_copy in zip(text, found, copy):
+            value = own.as_py()
+            whole = value.encode() if value is not None and (is_copy.as_py() or chunks.is_valid) else b""
+            n = len(whole.split())
+            if is_copy.as_py():
+                spans = [(0, len(whole))] if n >= min_words and several_lines(whole) else []
+            else:
+                spans = runs(whole, chunks.as_py(), min_words) if whole else []
             if not spans:
-                texts.append(text[k])
+                texts.append(value)
                 gone.append(None)
                 continue
-            whole = text[k].as_py().encode()
             kept = without(whole, spans)
-            texts.append(pa.scalar(kept.decode(), text.type))
-            gone.append(len(whole.split()) - len(kept.split()))
-        return pa.StructArray.from_arrays(
-            [pa.array([t.as_py() for t in texts], pa.string()), pa.array(gone, pa.int32())], ["text", "removed_words"]
-        )
-
-    found = passages(docs, **sizes).toDF("_id", "_hash", "_found")
-    rows = packed(docs, "doc_id", "text", F.xxhash64(text_of()).alias("_of"))
-    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_hash")), "left")
-    clean = joined.select("_doc", cleaned(F.col("text"), F.col("_found")).alias("_clean"))
-    return clean.select(
-        *unpacked(docs, text=F.col("_clean.text")), F.col("_clean.removed_words").alias("removed_words")
-    )
+            texts.append(kept.decode())
+            gone.append(n - len(kept.split()))
+        return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(gone, pa.int32())], ["text", "removed_words"])
+
+    first = firsts(docs)
+    verdicts = first.join(passages(docs, first, grow), [*TEXT], "left").where("copied or found is not null")
+    verdicts = verdicts.select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "first", F.col("found").alias("_found"))
+    rows = packed(docs, "doc_id", "text", *_hashes())
+    joined = rows.join(verdicts, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")
+    is_copy = F.col("first").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    clean = joined.select("_doc", cleaned(F.col("text"), F.col("_found"), is_copy).alias("_clean"))
+    return clean.select(*unpacked(docs, text=F.col("_clean.text")), F.col("_clean.removed_words").alias(count))
+
+
+def several_lines(text: bytes) -> bool:
+    """Whether a text has a chunk, which takes two lines."""
+    part = W.Texts(0, 1, np.frombuffer(text, np.uint8), np.array([0]), np.array([len(text)]))
+    return len(cut(part)[0]) > 0
