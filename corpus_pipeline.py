@@ -23,8 +23,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents but those of which nothing is left: repeated passages stay only where they are first."""
     ship(spark)
-    kept = line_dedup.remove_repeated(docs)
-    return kept.where("removed_words is null or text <> ''").select(*docs.columns)
+    count = "_removed"
+    while count in docs.columns:
+        count += "_"
+    kept = line_dedup.remove_repeated(docs, count=count)
+    return kept.where(kept[count].isNull() | (kept["text"] != "")).select(*[kept[f"`{c}`"] for c in docs.columns])
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,8 @@ if given, also drops the events of an image nothing was heard of for so long, by
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -22,7 +24,7 @@ from crowdpulse.operators import alerts, messages
 from crowdpulse.operators.sequences import MICROS, rolling_counts
 from crowdpulse.params import EngagementParams
 from crowdpulse.schemas import ARRIVAL
-from crowdpulse.sources.sinks import append_batch
+from crowdpulse.sources.sinks import append_batch, staged
 from crowdpulse.streaming.batches import read_batches
 from crowdpulse.streaming.buckets import BucketTable
 
@@ -107,14 +109,21 @@ class AlertJob:
         append_batch(self._counts(new, images, batch_id, buckets), f"{self.root}/counts", batch_id)
         counts = self.spark.read.schema(self.counts_schema).parquet(f"{self.root}/counts/batch_id={batch_id}")
 
+        # Alerts, milestones and totals follow from the counts independently of each other.
+        with ThreadPoolExecutor(3) as pool:
+            steps = (self._write_alerts, self._write_milestones, self._write_totals)
+            for done in [pool.submit(step, counts, images, batch_id, buckets) for step in steps]:
+                done.result()
+
+    def _write_alerts(self, counts: DataFrame, images: DataFrame, batch_id: int, buckets: list[int]) -> None:
         crossed = alerts.crossings(counts, self.params, order="arrival")
         known = self.alerts_table.before(batch_id, buckets).select("image_id", "alert_type")
         fresh = alerts.first_alerts(crossed, order="arrival").join(known, ["image_id", "alert_type"], "left_anti")
         self.alerts_table.write(fresh, batch_id)
 
+    def _write_milestones(self, counts: DataFrame, images: DataFrame, batch_id: int, buckets: list[int]) -> None:
         stored = self.totals_table.before(batch_id, buckets).join(images, "image_id", "left_semi")
         prior = _sum_totals(stored)
-        # The first views of a batch are one to a few rows per image: milestones need no other.
         seen = counts.filter(F.col("kind") == "view")
         with_total = seen.join(prior, "image_id", "left").withColumn(
             "views_total", F.col("new_views_total") + F.coalesce("total_views", F.lit(0))
@@ -123,6 +132,8 @@ class AlertJob:
             "milestone_value", F.col("milestone_value").cast("bigint")
         )
         append_batch(reached, f"{self.root}/milestones", batch_id)
+
+    def _write_totals(self, counts: DataFrame, images: DataFrame, batch_id: int, buckets: list[int]) -> None:
         self.totals_table.write(images.drop("__first"), batch_id)
 
     def _reachable(self, rows: DataFrame) -> DataFrame:
@@ -145,9 +156,11 @@ class AlertJob:
         earlier = earlier.filter(F.unix_micros("ts") >= reach).select(*RECENT.names)
         rows = earlier.withColumn("is_new", F.lit(False)).unionByName(new.withColumn("is_new", F.lit(True)))
         # A comment delivered again counts once in windows; lifetime totals count every delivery.
-        rows = messages.without_redelivered(rows, ["is_new", "arrival"])
+        rows = messages.without_redelivered(rows, ["is_new", "arrival"]).select(*[f.name for f in EVENT], "is_new")
+        # The counts read them twice.
+        rows = staged(rows, f"{self.root}/reached")
         counts = rolling_counts(
-            rows.select(*[f.name for f in EVENT], "is_new"),
+            rows,
             key="image_id",
             ts=F.col("ts"),
             order=F.col("arrival"),
