@@ -11,7 +11,8 @@ text of one line, which is none).
 Chunks whose hash occurs more than once anywhere are candidates. Their bytes are then compared; the
 first occurrence by (doc_id, hash of the text, place) stays. Later ones in a row make a run, and a run
 grows word by word to both sides as long as the words equal those around the first occurrence of its
-first and last chunk (up to ``grow`` words, more than a chunk has). Runs of ``min_words`` words go.
+first and last chunk, up to ``grow`` words; up to ``near`` words where the chunk beside the first
+occurrence is a candidate of its own. Runs of ``min_words`` words go.
 
 Copies of a whole text are not cut at all: the one with the least doc_id stands for them, and the
 others lose everything if they have two lines and ``min_words`` words. Null and empty texts pass
@@ -33,8 +34,8 @@ from crowdpulse.llm import words as W
 from crowdpulse.llm.tables import packed, release, staged, text_of, unpacked
 
 #: Longest stretch of lines that is no further cut, least words in a removed passage, words a run may
-#: grow by on either side.
-MOST_LINES, MIN_WORDS, GROW = 4, 15, 40
+#: grow by on either side, and where the first occurrence goes on with another candidate.
+MOST_LINES, MIN_WORDS, GROW, NEAR = 4, 15, 40, 6
 TEXT = ("h1", "h2")  # of a text, 128 bits together
 KEY = ("doc_id", *TEXT)
 RANK = W.powers(0xD6E8FEB86659FD93, 4096)
@@ -133,7 +134,7 @@ def firsts(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW) -> DataFrame:
+def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW, near: int = NEAR) -> DataFrame:
     """Every chunk but the first of each set of byte-equal chunks: owner, number, places, words, lines, and
     the words around the first one."""
     spark = docs.sparkSession
@@ -165,7 +166,10 @@ def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW) -> DataFrame:
                 hits = np.concatenate(hits)
                 origin, whole = part.starts[owner], part.ends[owner]
                 first, last = (origin + start)[hits], (origin + end)[hits]
-                before, after = around(w, origin[hits], whole[hits], first, last, grow)
+                # A neighbour that is a candidate itself speaks for the words there.
+                alone = np.ones((2, len(hits)), bool)
+                alone[0, 1:] = alone[1, :-1] = (np.diff(number[hits]) != 1) | (np.diff(owner[hits]) != 0)
+                before, after = around(w, origin[hits], whole[hits], first, last, np.where(alone, grow, near))
                 data = part.bytes.tobytes()
                 at = pa.array(owner[hits] + part.first)
                 numbers = [pa.array(x[hits]) for x in (number, start, end, n, lines, digest)]
@@ -202,15 +206,15 @@ def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW) -> DataFrame:
     return later.select(*TEXT, "number", "start", "end", "words", "lines", "first.before", "first.after")
 
 
-def around(w: W.Words, origin, whole, first, last, grow: int) -> tuple[np.ndarray, np.ndarray]:
-    """For spans of a slice, where ``grow`` words before them begin and ``grow`` words after them end."""
+def around(w: W.Words, origin, whole, first, last, grow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For spans of a slice, where ``grow[0]`` words before them begin and ``grow[1]`` words after them end."""
     k = np.searchsorted(w.start, first)  # number of the span's first word
     j = np.searchsorted(w.start, last)  # of the first word after it
     low = np.searchsorted(w.start, origin)
     high = np.searchsorted(w.start, whole)
     if not len(w.start):
         return first, last
-    a, b = np.maximum(low, k - grow), np.minimum(high, j + grow)
+    a, b = np.maximum(low, k - grow[0]), np.minimum(high, j + grow[1])
     before = np.where(a < k, w.start[np.minimum(a, len(w.start) - 1)], first)
     after = np.where(b > j, w.end[b - 1], last)
     return before, after

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -137,6 +138,15 @@ def brute(docs):
             for n, (_, _, _, a, b) in enumerate(cuts[doc_id]):
                 seen.setdefault(data[a:b], (doc_id, n))
     texts = dict(order)
+    count = Counter(data for d, own in cuts.items() for data in {texts[d].encode()[c[3] : c[4]] for c in own})
+    within = {d: Counter(texts[d].encode()[c[3] : c[4]] for c in own) for d, own in cuts.items()}
+
+    def candidate(d, n):
+        if not 0 <= n < len(cuts[d]):
+            return False
+        piece = texts[d].encode()[cuts[d][n][3] : cuts[d][n][4]]
+        return count[piece] > 1 or within[d][piece] > 1
+
     for doc_id, text in order:
         data = text.encode()
         if first_of[text] != doc_id:
@@ -155,7 +165,8 @@ def brute(docs):
                 theirs = texts[other].encode()
                 their_words = [x.group() for x in re.finditer(rb"[^\x20\x09-\x0D]+", theirs)]
                 place = cuts[other][m][2][0 if side < 0 else -1] + side
-                for _ in range(line_dedup.GROW):
+                beside = candidate(other, m + side) and cuts[other][max(m, m + side)][0] == cuts[other][min(m, m + side)][1]
+                for _ in range(line_dedup.NEAR if beside else line_dedup.GROW):
                     mine = begin - 1 if side < 0 else end + 1
                     if not (0 <= mine < len(words) and 0 <= place < len(their_words)):
                         break
