@@ -11,11 +11,11 @@ text of one line, which is none).
 Chunks whose hash occurs more than once anywhere are candidates. Their bytes are then compared; the
 first occurrence by (doc_id, hash of the text, place) stays. Later ones in a row make a run, and a run
 grows word by word to both sides as long as the words equal those around the first occurrence of its
-first and last chunk, up to ``grow`` words; up to ``near`` words where the chunk beside the first
-occurrence is a candidate of its own. Runs of ``min_words`` words go.
+first and last chunk, up to ``grow`` words or, where the chunk beside the first occurrence is a
+candidate itself, to the end of that chunk. Runs of ``min_words`` words go.
 
 Copies of a whole text are not cut at all: the one with the least doc_id stands for them, and the
-others lose everything if they have two lines and ``min_words`` words. Null and empty texts pass
+others lose everything if they have ``min_words`` words. Null and empty texts pass
 unchanged. Rows with equal doc_id and text count as one document and get the same decision. A null
 doc_id sorts before all others. Very long texts are cut whole, one at a time.
 """
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -34,8 +34,8 @@ from crowdpulse.llm import words as W
 from crowdpulse.llm.tables import packed, release, staged, text_of, unpacked
 
 #: Longest stretch of lines that is no further cut, least words in a removed passage, words a run may
-#: grow by on either side, and where the first occurrence goes on with another candidate.
-MOST_LINES, MIN_WORDS, GROW, NEAR = 4, 15, 40, 6
+#: grow by on either side.
+MOST_LINES, MIN_WORDS, GROW = 4, 15, 40
 TEXT = ("h1", "h2")  # of a text, 128 bits together
 KEY = ("doc_id", *TEXT)
 RANK = W.powers(0xD6E8FEB86659FD93, 4096)
@@ -134,9 +134,12 @@ def firsts(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW, near: int = NEAR) -> DataFrame:
-    """Every chunk but the first of each set of byte-equal chunks: owner, number, places, words, lines, and
-    the words around the first one."""
+def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW) -> tuple[DataFrame, DataFrame]:
+    """The candidates, and every one but the first of each set of byte-equal chunks beside that first.
+
+    Candidates have their owner, number, places, hash and bytes, and the words around them where the
+    chunk beside them is no candidate.
+    """
     spark = docs.sparkSession
     every = staged(chunks(docs), "chunks")
     counted = every.groupBy("chunk").agg(
@@ -149,13 +152,13 @@ def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW, near: int = NE
     listed = staged(listed, "repeated-chunks")
     release(spark)
 
-    names = ["number", "start", "end", "words", "lines", "chunk"]
+    names = ["number", "start", "end", "chunk"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.texts(batch.column("text")):
                 w = W.words(part)
-                owner, number, start, end, n, lines, digest = cut(part, w)
+                owner, number, start, end, _, _, digest = cut(part, w)
                 wanted = batch.column("chunks").slice(part.first, part.last - part.first)
                 digest = digest.view(np.int64)
                 edges = np.searchsorted(owner, np.arange(len(wanted) + 1))
@@ -166,16 +169,17 @@ def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW, near: int = NE
                 hits = np.concatenate(hits)
                 origin, whole = part.starts[owner], part.ends[owner]
                 first, last = (origin + start)[hits], (origin + end)[hits]
+                before, after = around(w, origin[hits], whole[hits], first, last, grow)
                 # A neighbour that is a candidate itself speaks for the words there.
-                alone = np.ones((2, len(hits)), bool)
-                alone[0, 1:] = alone[1, :-1] = (np.diff(number[hits]) != 1) | (np.diff(owner[hits]) != 0)
-                before, after = around(w, origin[hits], whole[hits], first, last, np.where(alone, grow, near))
+                follows = (np.diff(number[hits]) == 1) & (np.diff(owner[hits]) == 0)
+                bounds = (first, last), (np.where(np.insert(follows, 0, False)[: len(hits)], -1, before), first)
+                bounds += ((last, np.where(np.append(follows, False)[: len(hits)], -1, after)),)
                 data = part.bytes.tobytes()
                 at = pa.array(owner[hits] + part.first)
-                numbers = [pa.array(x[hits]) for x in (number, start, end, n, lines, digest)]
+                numbers = [pa.array(x[hits]) for x in (number, start, end, digest)]
                 pieces = [
-                    pa.array([data[a:b] for a, b in zip(x.tolist(), y.tolist())], pa.binary())
-                    for x, y in ((first, last), (before, first), (last, after))
+                    pa.array([data[a:b] if min(a, b) >= 0 else None for a, b in zip(x.tolist(), y.tolist())], pa.binary())
+                    for x, y in bounds
                 ]
                 owners = [batch.column(c).take(at) for c in KEY]
                 yield pa.RecordBatch.from_arrays([*owners, *numbers, *pieces], [*KEY, *names, "bytes", "before", "after"])
@@ -191,9 +195,7 @@ def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW, near: int = NE
     release(spark)
     # Equal hashes are only candidates: rows are grouped by the bytes themselves.
     own = F.struct(*KEY, "number")
-    equal = candidates.groupBy("chunk", "bytes").agg(
-        F.min(F.struct(own.alias("own"), "before", "after")).alias("first"), F.count("*").alias("n")
-    )
+    equal = candidates.groupBy("chunk", "bytes").agg(F.min(own).alias("first"), F.count("*").alias("n"))
     equal = staged(equal, "equal-chunks")
     release(spark)
     # Where all chunks of a hash have the same bytes, the hash stands for them from here on.
@@ -202,31 +204,76 @@ def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW, near: int = NE
     rows = candidates.drop("before", "after")
     alike = rows.drop("bytes").join(several.select("chunk", "first").join(mixed, "chunk", "left_anti"), "chunk")
     unlike = rows.join(mixed, "chunk", "left_semi").join(several.drop("n"), ["chunk", "bytes"]).drop("bytes")
-    later = alike.unionByName(unlike).where(~own.eqNullSafe(F.col("first.own")))
-    return later.select(*TEXT, "number", "start", "end", "words", "lines", "first.before", "first.after")
+    later = alike.unionByName(unlike).where(~own.eqNullSafe(F.col("first")))
+    return candidates, later.select(*TEXT, "number", "start", "end", "first")
 
 
-def around(w: W.Words, origin, whole, first, last, grow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For spans of a slice, where ``grow[0]`` words before them begin and ``grow[1]`` words after them end."""
+def around(w: W.Words, origin, whole, first, last, grow: int) -> tuple[np.ndarray, np.ndarray]:
+    """For spans of a slice, where ``grow`` words before them begin and ``grow`` words after them end."""
     k = np.searchsorted(w.start, first)  # number of the span's first word
     j = np.searchsorted(w.start, last)  # of the first word after it
     low = np.searchsorted(w.start, origin)
     high = np.searchsorted(w.start, whole)
     if not len(w.start):
         return first, last
-    a, b = np.maximum(low, k - grow[0]), np.minimum(high, j + grow[1])
+    a, b = np.maximum(low, k - grow), np.minimum(high, j + grow)
     before = np.where(a < k, w.start[np.minimum(a, len(w.start) - 1)], first)
     after = np.where(b > j, w.end[b - 1], last)
     return before, after
 
 
+def runs_of(found: Column) -> Column:
+    """Chunks in a row as one: places, and the first occurrences of the first and the last of them."""
+
+    @arrow_udf("array<struct<start:bigint,end:bigint,first:struct<h1:bigint,h2:bigint,number:bigint>,last:struct<h1:bigint,h2:bigint,number:bigint>>>")
+    def run(column: pa.Array) -> pa.Array:
+        number, start, end = (column.values.field(n).to_numpy() for n in ("number", "start", "end"))
+        first = column.values.field("first")
+        source = pa.StructArray.from_arrays([first.field(n) for n in ("h1", "h2", "number")], ["h1", "h2", "number"])
+        offsets = column.offsets.to_numpy() - column.offsets[0].as_py()
+        begins = np.zeros(len(number) + 1, bool)
+        begins[offsets] = True
+        # A chunk listed twice, for a repeated row, is one.
+        step = np.diff(number)
+        begins[1:-1] |= (step != 0) & (step != 1)
+        at = np.flatnonzero(begins[:-1])
+        to = np.append(at[1:], len(number)) - 1
+        items = [pa.array(start[at]), pa.array(end[to]), source.take(pa.array(at)), source.take(pa.array(to))]
+        items = pa.StructArray.from_arrays(items, ["start", "end", "first", "last"])
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(at, offsets), pa.int32()), items)
+
+    return run(found)
+
+
 def passages(docs: DataFrame, first: DataFrame, grow: int = GROW) -> DataFrame:
-    """The repeated chunks of each text, in the order of the text."""
-    chunk = F.struct("number", "start", "end", "words", "lines", "before", "after")
-    found = repeated(docs, first, grow).dropDuplicates([*TEXT, "number"]).groupBy(*TEXT)
-    found = staged(found.agg(F.array_sort(F.collect_list(chunk)).alias("found")), "passages")
+    """The runs of each text: places, and the words beside the first occurrences of their ends."""
+    candidates, later = repeated(docs, first, grow)
+    chunk = F.struct("number", "start", "end", "first")
+    found = later.groupBy(*TEXT).agg(F.array_sort(F.collect_list(chunk)).alias("found"))
+    found = staged(found.select(*TEXT, F.posexplode(runs_of(F.col("found"))).alias("run", "r")), "runs")
     release(docs.sparkSession)
-    return found
+    # Each end asks for the words beside it, and for the chunk beside it: one of them is there, or neither.
+    asked = [(side, F.col(f"r.{at}"), step) for side, at, step in ((0, "first", -1), (1, "last", 1))]
+    lookups = F.array(
+        *[
+            F.struct(F.lit(side).alias("side"), at["h1"].alias("o1"), at["h2"].alias("o2"), (at["number"] + n).alias("o3"), F.lit(n != 0).alias("beside"))
+            for side, at, step in asked
+            for n in (0, step)
+        ]
+    )
+    ends = found.select(*TEXT, "run", F.explode(lookups).alias("e")).select(*TEXT, "run", "e.*")
+    rows = candidates.select(
+        F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("number").alias("o3"), "bytes", "before", "after"
+    )
+    own = F.when(F.col("side") == 0, F.col("before")).otherwise(F.col("after"))
+    beside = ends.join(rows, ["o1", "o2", "o3"]).withColumn("words", F.when(F.col("beside"), F.col("bytes")).otherwise(own))
+    # The nearest words: its own ones, else the chunk beside it.
+    words = [F.min_by("words", F.when(F.col("words").isNotNull() & (F.col("side") == k), F.col("beside"))).alias(n) for k, n in ((0, "before"), (1, "after"))]
+    beside = beside.groupBy(*TEXT, "run").agg(*words)
+    whole = found.select(*TEXT, "run", "r.start", "r.end").join(beside, [*TEXT, "run"], "left")
+    span = F.struct("start", "end", "before", "after")
+    out = whole.groupBy(*TEXT).agg(F.array_sort(F.collect_list(span)).alias("found"))
+    return staged(out, "passages")
 
 
 def common(own: list[bytes], other: list[bytes]) -> int:
@@ -256,20 +303,15 @@ def grown(text: bytes, start: int, end: int, before: bytes, after: bytes) -> tup
     return start, end
 
 
-def runs(text: bytes, found: list[dict], min_words: int) -> list[tuple[int, int]]:
-    """Byte places of the passages: chunks in a row, grown to both sides, with ``min_words`` words."""
+def spans_of(text: bytes, found: list[dict], min_words: int) -> list[tuple[int, int]]:
+    """Byte places of the passages: runs grown to both sides, with ``min_words`` words."""
     spans: list[list[int]] = []
-    k = 0
-    while k < len(found):
-        to = k
-        while to + 1 < len(found) and found[to + 1]["number"] == found[to]["number"] + 1:
-            to += 1
-        start, end = grown(text, found[k]["start"], found[to]["end"], found[k]["before"], found[to]["after"])
+    for run in found:
+        start, end = grown(text, run["start"], run["end"], run["before"] or b"", run["after"] or b"")
         if spans and start <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], end)
         else:
             spans.append([start, end])
-        k = to + 1
     return [(a, b) for a, b in spans if len(text[a:b].split()) >= min_words]
 
 
@@ -298,22 +340,20 @@ def remove_repeated(
 
     @arrow_udf("struct<text:string,removed_words:int>")
     def cleaned(text: pa.Array, found: pa.Array, copy: pa.Array) -> pa.Array:
-        texts, gone = [], []
-        for own, chunks, is_copy in zip(text, found, copy):
-            value = own.as_py()
-            whole = value.encode() if value is not None and (is_copy.as_py() or chunks.is_valid) else b""
+        flags, present = copy.to_pylist(), found.is_valid().to_pylist()
+        texts, gone = text.to_pylist(), [None] * len(text)
+        for k, is_copy in enumerate(flags):
+            if texts[k] is None or not (is_copy or present[k]):
+                continue
+            whole = texts[k].encode()
             n = len(whole.split())
-            if is_copy.as_py():
-                spans = [(0, len(whole))] if n >= min_words and several_lines(whole) else []
+            if is_copy:
+                spans = [(0, len(whole))] if n >= min_words else []
             else:
-                spans = runs(whole, chunks.as_py(), min_words) if whole else []
-            if not spans:
-                texts.append(value)
-                gone.append(None)
-                continue
-            kept = without(whole, spans)
-            texts.append(kept.decode())
-            gone.append(n - len(kept.split()))
+                spans = spans_of(whole, found[k].as_py(), min_words)
+            if spans:
+                kept = without(whole, spans)
+                texts[k], gone[k] = kept.decode(), n - len(kept.split())
         return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(gone, pa.int32())], ["text", "removed_words"])
 
     first = firsts(docs)
@@ -325,8 +365,3 @@ def remove_repeated(
     clean = joined.select("_doc", cleaned(F.col("text"), F.col("_found"), is_copy).alias("_clean"))
     return clean.select(*unpacked(docs, text=F.col("_clean.text")), F.col("_clean.removed_words").alias(count))
 
-
-def several_lines(text: bytes) -> bool:
-    """Whether a text has a chunk, which takes two lines."""
-    part = W.Texts(0, 1, np.frombuffer(text, np.uint8), np.array([0]), np.array([len(text)]))
-    return len(cut(part)[0]) > 0

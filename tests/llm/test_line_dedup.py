@@ -150,8 +150,7 @@ def brute(docs):
     for doc_id, text in order:
         data = text.encode()
         if first_of[text] != doc_id:
-            gone = len(data.split()) >= line_dedup.MIN_WORDS and plain_chunks(data)
-            out[doc_id] = "" if gone else text
+            out[doc_id] = "" if len(data.split()) >= line_dedup.MIN_WORDS else text
             continue
         words = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
         spans = []
@@ -166,7 +165,8 @@ def brute(docs):
                 their_words = [x.group() for x in re.finditer(rb"[^\x20\x09-\x0D]+", theirs)]
                 place = cuts[other][m][2][0 if side < 0 else -1] + side
                 beside = candidate(other, m + side) and cuts[other][max(m, m + side)][0] == cuts[other][min(m, m + side)][1]
-                for _ in range(line_dedup.NEAR if beside else line_dedup.GROW):
+                limit = len(cuts[other][m + side][2]) if beside else line_dedup.GROW
+                for _ in range(limit):
                     mine = begin - 1 if side < 0 else end + 1
                     if not (0 <= mine < len(words) and 0 <= place < len(their_words)):
                         break
