@@ -1,6 +1,6 @@
 """SQL twins of the dealt queries that SQL can express."""
 
-from crowdpulse.llm.quality_rules import AT_LEAST, LEAST_WORDS, LEFT, MOST_REPEATED, SHARE
+from crowdpulse.llm.quality_rules import LEAST_WORDS, LEFT, MOST_DOCUMENTS, MOST_REPEATED
 
 QUALITY_RULES = rf"""
 WITH d AS (
@@ -19,10 +19,7 @@ normal AS (
   SELECT id, source, text, array_to_string(words, ' ') AS line, len(words) AS n
   FROM (SELECT id, source, text,
       regexp_extract_all(regexp_replace(lower(unnest(lines)), '[1-9]', '0', 'g'), '[^\x20\x09-\x0D]+') AS words FROM d)),
-hosts AS (SELECT source, count(DISTINCT text) AS texts FROM normal GROUP BY 1),
-often AS (
-  SELECT n.source, line FROM normal n JOIN hosts h ON n.source IS NOT DISTINCT FROM h.source
-  GROUP BY n.source, line, texts HAVING count(DISTINCT text) > {AT_LEAST} AND count(DISTINCT text) > {SHARE} * texts),
+often AS (SELECT source, line FROM normal GROUP BY ALL HAVING count(DISTINCT text) > {MOST_DOCUMENTS}),
 gone AS (
   SELECT id, sum(n) AS n FROM normal n JOIN often o ON n.source IS NOT DISTINCT FROM o.source AND n.line = o.line GROUP BY 1),
 base AS (

@@ -5,8 +5,8 @@ Base rules: too few words, or too many words in repeated three-word windows, fai
 Across documents: lines are normalised (lower case, digits as 0, blanks as one space) and hashed.
 For each host the distinct documents of a line are counted; documents with equal text are one
 document, so that an exact copy makes no line frequent. A line is removed where it is in more than
-``share`` of the host's documents and in more than ``at_least``. A document left with less than
-``left`` of its words is depleted and rejected.
+``most_documents`` of the host's documents; the limit is the same in small and large hosts and tables.
+A document left with less than ``left`` of its words is depleted and rejected.
 
 The host of a document is its source. A null source is a host of its own; null texts are empty and
 fail the base rules. Repeated rows are judged alike and kept as rows. Only hashes of lines are
@@ -29,7 +29,7 @@ from pyspark.sql.functions import arrow_udf
 from crowdpulse.llm.tables import staged, text_of
 
 SYMBOLS = b"#*$%&|<>"
-SHARE, AT_LEAST, LEFT, LEAST_WORDS, MOST_REPEATED = 0.02, 20, 0.5, 50, 50
+MOST_DOCUMENTS, LEFT, LEAST_WORDS, MOST_REPEATED = 20, 0.5, 50, 50
 ZEROS = bytes.maketrans(b"123456789", b"000000000")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -95,19 +95,15 @@ def line_rows(docs: DataFrame) -> DataFrame:
     return own.mapInArrow(run, f"source {kind}, text_hash long, line long, words int")
 
 
-def frequent_lines(lines: DataFrame, share: float = SHARE, at_least: int = AT_LEAST) -> DataFrame:
-    """(source, line) over the limits; ``lines`` has one row per source, text and line."""
-    texts = lines.select(F.col("source").alias("_host"), "text_hash").distinct()
-    texts = texts.groupBy("_host").agg(F.count("*").alias("texts"))
-    counts = lines.groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") > at_least)
-    joined = counts.join(texts, F.col("source").eqNullSafe(F.col("_host")))
-    return joined.where(F.col("n") > share * F.col("texts")).select("source", "line")
+def frequent_lines(lines: DataFrame, most_documents: int = MOST_DOCUMENTS) -> DataFrame:
+    """(source, line) over the limit; ``lines`` has one row per source, text and line."""
+    counts = lines.groupBy("source", "line").agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") > most_documents).select("source", "line")
 
 
 def judged(
     docs: DataFrame,
-    share: float = SHARE,
-    at_least: int = AT_LEAST,
+    most_documents: int = MOST_DOCUMENTS,
     left: float = LEFT,
     least_words: int = LEAST_WORDS,
     most_repeated: int = MOST_REPEATED,
@@ -117,7 +113,7 @@ def judged(
     base = staged(base.select("doc_id", "source", "text_hash", "c.*"), "base")
     # Copies of a text within a host are one document.
     lines = staged(line_rows(docs).dropDuplicates(["source", "text_hash", "line"]), "lines")
-    often = frequent_lines(lines, share, at_least).toDF("_host", "_line")
+    often = frequent_lines(lines, most_documents).toDF("_host", "_line")
     gone = lines.join(often, F.col("source").eqNullSafe(F.col("_host")) & (F.col("line") == F.col("_line")))
     gone = gone.groupBy("_host", F.col("text_hash").alias("_text")).agg(F.sum("words").alias("removed_words"))
     on = F.col("source").eqNullSafe(F.col("_host")) & (F.col("text_hash") == F.col("_text"))

@@ -21,7 +21,7 @@ def plain_counts(text):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), again, len(repeated)
 
 
-def brute(docs, share=Q.SHARE, at_least=Q.AT_LEAST, left=Q.LEFT):
+def brute(docs, most_documents=Q.MOST_DOCUMENTS, left=Q.LEFT):
     def lines(text):
         out = Counter()
         for x in (text or "").lower().translate(str.maketrans("123456789", "0" * 9)).split("\n"):
@@ -30,15 +30,13 @@ def brute(docs, share=Q.SHARE, at_least=Q.AT_LEAST, left=Q.LEFT):
                 out[" ".join(words)] += len(words)
         return out
 
-    hosts, texts = defaultdict(Counter), defaultdict(set)
+    hosts = defaultdict(Counter)
     for source, text in {(s, t or "") for _, t, s in docs}:
         hosts[source].update(lines(text).keys())
-        if lines(text):
-            texts[source].add(text)
     out = []
     for doc_id, text, source in docs:
         c = plain_counts(text)
-        often = {x for x, n in hosts[source].items() if n > at_least and n > share * len(texts[source])}
+        often = {x for x, n in hosts[source].items() if n > most_documents}
         gone = sum(n for x, n in lines(text).items() if x in often)
         failed = c[0] < 50 or 100 * c[4] > 50 * c[0]
         out.append((doc_id, *c, failed, not failed and c[0] - gone >= left * c[0]))
@@ -67,3 +65,15 @@ def test_frequent_lines_and_edges(spark):
     kept = {g[0]: g[-1] for g in got}
     assert not any(kept[k] for k in range(30)) and all(kept[k] for k in [*range(100, 105), *range(200, 230)])
     assert Q.judged(df.where(F.lit(False))).count() == 0
+
+
+def test_verdict_does_not_change_with_the_table(spark):
+    """The same boilerplate documents in a small and in a large host get the same verdict."""
+    words = lambda k, n=60: " ".join(f"w{k}x{j}" for j in range(n))
+    lines = "\n".join(" ".join(f"Shared{k}_{j}" for j in range(10)) for k in "abcdefgh")
+    made = [(k, f"{lines}\n{words(k, 20)}") for k in range(30)]
+    for size in (100, 2000):
+        docs = made + [(1000 + k, words(1000 + k)) for k in range(size)]
+        df = spark.createDataFrame([(*d, "a") for d in docs], "doc_id long, text string, source string")
+        kept = {r.doc_id: r.kept for r in Q.judged(df).collect()}
+        assert not any(kept[k] for k in range(30)) and all(kept[k] for k in kept if k >= 1000)
