@@ -9,8 +9,10 @@ corpus, wherever they stand outside e-mail addresses: n(t, e) documents with t a
 with t, n(e) documents with e, N documents. How strongly t reveals e is its share of e's information,
     PMI(t; e) / IC(e) = log(n(t, e) N / (n(t) n(e))) / log(N / n(e)),
 1 where t occurs with e only. A term that reaches ``generalise`` is replaced by its class wherever it
-stands in a document with e; from ``remove`` on it is removed. An entity of a single text counts like
-any other. A higher ``support`` asks for so many different texts with t and e; copies are one text.
+stands in a document with e; from ``remove`` on it is removed. In a corpus of N documents nearly every
+rare word meets some entity once, so a pair needs evidence beyond that: ``support`` different texts with
+both, or t is a name in a text of e, written with a capital in the middle of a sentence there and never
+without. Copies of a text are one text.
 
 Everything is DataFrame expressions. Positions are code points, from the lengths of what lies between
 the matches. Patterns use possessive repeats, so no text needs a deep or quadratic search: a match
@@ -38,15 +40,20 @@ PATTERNS = {
 SIGNS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: A word that can be a term: letters, marks within.
 WORD = r"\p{L}(?:[\p{L}\p{M}]|['’-](?=\p{L})){2,}+"
-#: Least different texts with a term and its entity; least disclosure to generalise and to remove.
-SUPPORT, GENERALISE, REMOVE = 1, 0.8, 0.95
-#: Code points and words to either side of an entity that the plain version of the tests looks at.
-REACH, TERMS = 120, 8
+#: Least different texts with a term and its entity, unless it is a name; least disclosure to generalise and to remove.
+SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
+#: A word with a capital that begins no sentence, and one without a capital.
+CAPITAL = r"(?<=[^.!?:\s]\x20)(?=\p{Lu})" + WORD
+PLAIN = r"(?<![\p{L}\p{M}'’-])(?=\p{Ll})" + WORD
 FOUND = "array<struct<start:int,end:int,value:string>>"
 
 
 def located(text: Column, pattern: Column | str) -> Column:
-    """Every match with its place."""
+    """Every match with its place.
+
+    Places are running sums over what lies between the matches. They are taken in blocks of about
+    sqrt(n) matches, then over the blocks, as an array that grows by one costs a copy each time.
+    """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     gaps, values = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
     pairs = F.zip_with(
@@ -62,7 +69,27 @@ def located(text: Column, pattern: Column | str) -> Column:
         one = F.struct(start.alias("start"), end.alias("end"), m["value"])
         return F.struct(end.alias("at"), F.concat(a["all"], F.array(one)).alias("all"))
 
-    return F.aggregate(pairs, zero, step)["all"]
+    def block(p: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(p))).cast("int"), F.lit(1))
+        first = F.sequence(F.lit(1), F.greatest(F.size(p), F.lit(1)), size)
+        return F.transform(first, lambda k: F.aggregate(F.slice(p, k, size), zero, step))
+
+    def placed(blocks: Column) -> Column:
+        ends = F.aggregate(
+            blocks, F.array(F.lit(0)), lambda a, b: F.concat(a, F.array(F.element_at(a, -1) + b["at"]))
+        )
+        moved = F.zip_with(
+            blocks,
+            F.slice(ends, F.lit(1), F.size(blocks)),
+            lambda b, at: F.transform(
+                b["all"], lambda m: F.struct((m["start"] + at).alias("start"), (m["end"] + at).alias("end"), m["value"])
+            ),
+        )
+        return F.flatten(moved)
+
+    # An array of one binds what several lambdas read, so that it is worked out once.
+    blocks = F.transform(F.array(pairs), block)
+    return F.transform(blocks, placed)[0]
 
 
 def digits(value: Column) -> Column:
@@ -123,9 +150,16 @@ def detected(docs: DataFrame) -> DataFrame:
     found = F.array_sort(F.concat(*[kept(k) for k in PATTERNS]))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), found.alias("found"), "text")
     # Of the kinds only e-mail addresses have letters.
-    words = F.array_distinct(words_of(F.regexp_replace("text", PATTERNS["email"], " ")))
-    words = F.when(F.size("found") > 0, words).otherwise(F.array().cast("array<string>"))
-    return rows.select("doc_id", "text_hash", "found", words.alias("words"))
+    plain = F.regexp_replace("text", PATTERNS["email"], " ")
+    none = F.array().cast("array<string>")
+
+    def where_found(words: Column) -> Column:
+        return F.when(F.size("found") > 0, words).otherwise(none)
+
+    capital, small = (F.regexp_extract_all(plain, F.lit(p), F.lit(0)) for p in (CAPITAL, PLAIN))
+    names = F.array_except(F.transform(capital, F.lower), small)
+    words = F.array_distinct(words_of(plain))
+    return rows.select("doc_id", "text_hash", "found", where_found(words).alias("words"), where_found(names).alias("names"))
 
 
 def words_of(text: Column) -> Column:
@@ -138,7 +172,7 @@ def risky(docs: DataFrame, base: DataFrame, support: int = SUPPORT, least: float
     total = docs.count()
     own = F.array_distinct(F.transform("found", lambda m: m["entity"]))
     texts = base.where(F.size("found") > 0).groupBy("text_hash")
-    texts = staged(texts.agg(F.count("*").alias("n"), F.first(own).alias("entities"), F.first("words").alias("words")), "texts")
+    texts = staged(texts.agg(F.count("*").alias("n"), F.first(own).alias("entities"), F.first("words").alias("words"), F.first("names").alias("names")), "texts")
     single = texts.select("text_hash", "n", F.explode("entities").alias("entity"))
     entities = single.groupBy("entity").agg(F.sum("n").alias("n_entity"))
     most = F.pow("n_entity", F.lit(least)) * F.pow(F.lit(float(total)), F.lit(1 - least)) * (1 + 1e-9)
@@ -148,14 +182,18 @@ def risky(docs: DataFrame, base: DataFrame, support: int = SUPPORT, least: float
     # Every word of every document is counted; hashes stand for words up to the join.
     words = F.array_distinct(F.transform(words_of(text_of()), lambda w: F.xxhash64(w)))
     spread = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n_term"))
-    terms = texts.select("text_hash", F.explode("words").alias("term")).withColumn("word", F.xxhash64("term"))
+    terms = texts.select("text_hash", "names", F.explode("words").alias("term")).withColumn("word", F.xxhash64("term"))
+    terms = terms.withColumn("name", F.array_contains("names", F.col("term"))).drop("names")
     rare = terms.join(spread, "word").join(held, "text_hash").where(F.col("n_term") <= F.col("most"))
     near = F.filter("own", lambda e: e["most"] >= F.col("n_term"))
-    pairs = rare.select("term", "n_term", "n", F.explode(near).alias("e")).select("term", "n_term", "n", "e.entity", "e.n_entity")
-    joint = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("n").alias("joint"), F.count("*").alias("texts"))
+    pairs = rare.select("term", "n_term", "n", "name", F.explode(near).alias("e"))
+    pairs = pairs.select("term", "n_term", "n", "name", "e.entity", "e.n_entity")
+    joint = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(
+        F.sum("n").alias("joint"), F.count("*").alias("texts"), F.max("name").alias("name")
+    )
     information = F.log(F.lit(float(total)) / F.col("n_entity"))
     pmi = F.log(F.col("joint") * float(total) / (F.col("n_term") * F.col("n_entity")))
-    known = joint.where(F.col("texts") >= support).withColumn("disclosure", pmi / information)
+    known = joint.where((F.col("texts") >= support) | F.col("name")).withColumn("disclosure", pmi / information)
     return known.where(F.col("disclosure") >= least).select("entity", "term", "disclosure")
 
 
@@ -167,17 +205,14 @@ def term_spans(docs: DataFrame, base: DataFrame, terms: DataFrame) -> DataFrame:
     listed = staged(listed.toDF("_id", "_hash", "by"), "revealing")
     keyed = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text"))
     held = keyed.join(listed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    # Longer terms first; the words have letters, marks, hyphens and apostrophes only: nothing to escape.
-    ordered = F.array_sort(F.transform(F.map_keys("by"), lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t"))))
-    any_of = F.array_join(F.transform(ordered, lambda s: s["t"]), "|")
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), any_of, F.lit(r")(?![\p{L}\p{N}])"))
+    words = F.filter(located(F.col("text"), WORD), lambda m: F.map_contains_key("by", F.lower(m["value"])))
     places = F.transform(
-        located(F.col("text"), pattern),
+        words,
         lambda m: F.struct(
             m["start"].alias("start"),
             F.lit(KINDS.index("term")).alias("kind"),
             m["end"].alias("end"),
-            F.coalesce(F.element_at("by", F.lower(m["value"])), F.lit(1.0)).alias("disclosure"),
+            F.element_at("by", F.lower(m["value"])).alias("disclosure"),
         ),
     )
     return held.select("doc_id", "text_hash", places.alias("terms")).dropDuplicates(["doc_id", "text_hash"])

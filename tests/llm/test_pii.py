@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,31 +70,37 @@ def test_odd_texts(spark):
     assert pii.digest(pii.protected(docs.where(F.lit(False)))).count() == 0
 
 
+def plain_names(text):
+    """Lower-cased words written with a capital within a sentence, and never without one."""
+    word = re.compile(r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_])){2,}")
+    found, small = set(), set()
+    for m in word.finditer(text):
+        before = text[max(0, m.start() - 2) : m.start()]
+        if m[0][0].islower():
+            small.add(m[0])
+        elif len(before) == 2 and before[1] == " " and before[0] not in ".!?:" and not before[0].isspace():
+            found.add(m[0].lower())
+    return found - small
+
+
 def brute_terms(docs):
     """(entity value, term) -> disclosure, counting over all documents."""
     word = re.compile(r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_])){2,}")
-    holds, near, spread, texts = {}, {}, {}, {}
+    holds, near, spread, texts, names = {}, {}, {}, {}, set()
     for k, (_, text) in enumerate(docs):
+        plain = re.sub(BASE["email"], " ", text)
         for w in set(word.findall(text.lower())):
             spread.setdefault(w, set()).add(k)
-        for kind in range(4):
-            own = [f for f in base_of(text) if f[1] == kind]
-            edges = [(m.start(), m.end()) for m in re.finditer(list(BASE.values())[kind], text)]
-            for s, _, e, value in own:
-                name = (kind, value.lower() if kind == 0 else value if kind == 1 else re.sub("[^0-9]", "", value))
-                holds.setdefault(name, set()).add(k)
-                before = text[max([0, *(b for _, b in edges if b <= s)]) : s][-pii.REACH :]
-                after = text[e : min([len(text), *(a for a, _ in edges if a >= e)])][: pii.REACH]
-                if len(before) == pii.REACH:
-                    before = re.sub(r"^(?:[^\W\d_]|['’-])+", "", before)
-                if len(after) == pii.REACH:
-                    after = re.sub(r"(?:[^\W\d_]|['’-])+$", "", after)
-                for w in word.findall(before.lower())[-pii.TERMS :] + word.findall(after.lower())[: pii.TERMS]:
-                    near.setdefault((name, w), set()).add(k)
-                    texts.setdefault((name, w), set()).add(text)
+        for s, kind, e, value in base_of(text):
+            name = (kind, value.lower() if kind == 0 else value if kind == 1 else re.sub("[^0-9]", "", value))
+            holds.setdefault(name, set()).add(k)
+            names |= {(name, w) for w in plain_names(plain)}
+            for w in word.findall(plain.lower()):
+                near.setdefault((name, w), set()).add(k)
+                texts.setdefault((name, w), set()).add(text)
     out = {}
     for (name, w), ks in near.items():
-        if len(texts[name, w]) >= pii.SUPPORT and len(holds[name]) < len(docs):
+        if (len(texts[name, w]) >= pii.SUPPORT or (name, w) in names) and len(holds[name]) < len(docs):
             ic = math.log(len(docs) / len(holds[name]))
             d = math.log(len(ks) * len(docs) / (len(spread[w]) * len(holds[name]))) / ic
             if d >= pii.GENERALISE:
@@ -135,12 +142,33 @@ def test_terms_of_an_entity_in_one_text(spark):
     common = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in ("lm", "rt", "nd", "sk")]
     line = lambda n: " ".join(rng.choices(common, k=n))
     docs = [(k, line(200)) for k in range(60)]
-    docs += [(100, f"Quillon {line(150)} ask Zebulon at z.quark@mail.example.org {line(150)} Vortigern")]
+    docs += [(100, f"Quillon {line(150)} uniqueword ask Zebulon at z.quark@mail.example.org {line(150)} Vortigern")]
     docs += [(101, docs[-1][1])]  # a copy changes nothing
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.term: r.disclosure for r in pii.risky(df, pii.detected(df)).collect()}
-    assert got == {t: pytest.approx(1.0) for t in ("quillon", "ask", "zebulon", "vortigern")}
+    assert got == {t: pytest.approx(1.0) for t in ("zebulon", "vortigern")}
     spans = {r.doc_id: r.spans for r in pii.digest(pii.protected(df)).collect()}
     words = [docs[60][1][int(s) : int(e)] for kind, s, e in (x.split(":") for x in spans[100].split(",")) if kind == "term"]
-    assert words == ["Quillon", "ask", "Zebulon", "Vortigern"] and spans[101] == spans[100]
+    assert words == ["Zebulon", "Vortigern"] and spans[101] == spans[100]
     assert not any(spans[k] for k in range(60))
+
+
+def test_ordinary_rare_words_stay(spark):
+    recipe = "Recipe: add cinnamon and nutmeg to the batter then bake. Questions to joe@example.org please"
+    rows = [(0, recipe), (1, "we met with Xanthippe near the lake, write to x@example.org soon")]
+    rows += [(2 + k, "the house and the garden were quiet then") for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
+    assert clean[0] == recipe.replace("joe@example.org", "[EMAIL]")
+    assert "Xanthippe" not in clean[1] and "[EMAIL]" in clean[1] and "lake" in clean[1]
+
+
+def test_very_many_matches_in_one_text(spark):
+    """Linear time: a quadratic version takes about an hour."""
+    n = 100_000
+    text = " ".join(f"a{k}@b.cd" for k in range(n))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.monotonic()
+    row = pii.detected(df).select(F.size("found").alias("n"), F.element_at("found", -1).alias("last")).first()
+    assert time.monotonic() - began < 60
+    assert row.n == n and row.last.end == len(text)
