@@ -28,6 +28,7 @@ page's rows are independent, so repeated rows give repeated results.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -71,18 +72,25 @@ NAMED = re.compile(
 )
 #: Names that mean little as a part of longer ones.
 ORDINARY = frozenset("side notice notices alert alerts subscription login signup related share sharing social widget widgets skip hidden overlay".split())
+#: Names of reader comments, and words that make a name say something about the page instead.
+COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
+ABOUT = frozenset("with has no without allow open closed hide".split())
+#: Elements of other languages: these do end with a slash.
+FOREIGN = frozenset(("svg", "math"))
 #: Elements that can be a content region.
 CONTAINERS = frozenset("html body article main section div table tbody tr td center fieldset blockquote dl ol ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Width of the Gaussian in blocks, threshold in standard deviations, text of the cluster a region holds.
 SIGMA, SHARE, REGION = 1.5, 0.5, 0.9
+#: Blocks of a list of links.
+LINKS = 3
 
 
 class Block(NamedTuple):
     text: str
     linked: int  # characters in links
     tags: int  # since the last block
-    path: tuple[int, ...]  # containers around it, from the outermost
+    inner: int  # the innermost container around it, -1 for none
     heading: bool
     named: tuple[int, ...] = ()  # elements around it whose names speak against it, from the outermost
 
@@ -90,22 +98,25 @@ class Block(NamedTuple):
 class Named(NamedTuple):
     ordinary: bool  # only ordinary words, within longer names
     alone: bool  # a name that is not part of a longer one
-    around: tuple[int, ...]  # articles around it
+    comments: bool  # reader comments
+    article: int  # the innermost article around it, -1 for none
+    depth: int  # articles around it
 
 
 BLANKS = re.compile(r"\s+")
 
 
-def names_in(values: dict[str, str]) -> tuple[bool, bool] | None:
-    """Whether names in class and id are ordinary words only, and whether one stands alone; None: no names."""
+def names_in(values: dict[str, str]) -> tuple[bool, bool, bool] | None:
+    """Whether names in class and id are ordinary words only, one stands alone, one means comments; None: no names."""
     found = []
     for token in " ".join(values.get(k, "") for k in ("class", "id")).split():
         parts = [p for p in re.split("[_-]", token) if p]
         hits = [p for p in parts if NAMED.fullmatch(p)]
         if hits:
             alone = len(hits) == len(parts)
-            found.append((not alone and ORDINARY.issuperset(hits), alone))
-    return (all(o for o, _ in found), any(a for _, a in found)) if found else None
+            comments = bool(COMMENTS & {parts[0], parts[-1]}) and not ABOUT.intersection(parts)
+            found.append((not alone and ORDINARY.issuperset(hits), alone, comments))
+    return (all(o for o, *_ in found), any(a for _, a, _ in found), any(c for *_, c in found)) if found else None
 
 
 class Events(HTMLParser):
@@ -117,21 +128,30 @@ class Events(HTMLParser):
         self.open: list[tuple[str, bool, bool, bool]] = []  # name, dropped, main, named
         self.named: list[Named] = []
         self.within: list[int] = []  # open named elements
-        self.path: list[int] = []
-        self.names: list[tuple[str, bool]] = []  # of containers, in order: name, main
+        self.path: list[int] = []  # open containers
+        self.counts: Counter = Counter()  # open elements by name
+        # Of containers, in order: the one around it, whether it is an article, the innermost article and
+        # the number of articles up to it, its first block and the one after its last.
+        self.parent: list[int] = []
+        self.is_article: list[bool] = []
+        self.article: list[int] = []
+        self.depth: list[int] = []
+        self.first: list[int] = []
+        self.end: list[int] = []
         self.dropped = self.main = self.links = self.tags = self.linked = self.heading = 0
         self.text: list[str] = []
 
     def flush(self) -> None:
         text = BLANKS.sub(" ", "".join(self.text)).strip()
         if text:
-            self.blocks.append(Block(text, self.linked, self.tags, tuple(self.path), self.heading > 0, tuple(self.within)))
+            inner = self.path[-1] if self.path else -1
+            self.blocks.append(Block(text, self.linked, self.tags, inner, self.heading > 0, tuple(self.within)))
             self.tags = 0
         self.linked = 0
         self.text.clear()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in CLOSES:
+        if tag in CLOSES and any(self.counts[name] for name in CLOSES[tag]):
             ends, within = CLOSES[tag], len(self.open)
             while within and (self.open[within - 1][0] in ends or self.open[within - 1][0] in INLINE):
                 within -= 1
@@ -162,24 +182,35 @@ class Events(HTMLParser):
         self.open.append((tag, dropped, article, bool(named)))
         if named:
             self.within.append(len(self.named))
-            self.named.append(Named(*named, tuple(k for k in self.path if self.names[k][1])))
+            inner = self.path[-1] if self.path else -1
+            self.named.append(Named(*named, *((self.article[inner], self.depth[inner]) if self.path else (-1, 0))))
         self.dropped += dropped
         self.main += article
         self.links += tag == "a"
         self.heading += tag in HEADINGS
+        self.counts[tag] += 1
         if tag in CONTAINERS:
-            self.path.append(len(self.names))
-            self.names.append((tag, article))
+            inner, own = self.path[-1] if self.path else -1, len(self.parent)
+            self.parent.append(inner)
+            self.is_article.append(article)
+            self.article.append(own if article else self.article[inner] if self.path else -1)
+            self.depth.append((self.depth[inner] if self.path else 0) + article)
+            self.first.append(len(self.blocks))
+            self.end.append(1 << 60)
+            self.path.append(own)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # A slash before the end means nothing on elements that can hold text.
         self.handle_starttag(tag, attrs)
+        if tag in FOREIGN:
+            self.pop()
 
     def pop(self) -> None:
         name, dropped, article, named = self.open[-1]
         if name in BLOCKS:
             self.flush()
         self.open.pop()
+        self.counts[name] -= 1
         if named:
             self.within.pop()
         self.dropped -= dropped
@@ -187,12 +218,17 @@ class Events(HTMLParser):
         self.links -= name == "a"
         self.heading -= name in HEADINGS
         if name in CONTAINERS:
-            self.path.pop()
+            self.end[self.path.pop()] = len(self.blocks)
+
+    def holds(self, container: int, block: int) -> bool:
+        return self.first[container] <= block < self.end[container]
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in BLOCKS:
             self.flush()
+        if not self.counts[tag]:
+            return
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
                 while len(self.open) > k:
@@ -222,16 +258,19 @@ def cluster(blocks: list[Block], sigma: float, share: float) -> np.ndarray:
     return (smoothed >= share * smoothed.std()) & (smoothed > 0) & ~links
 
 
-def region(blocks: list[Block], high: np.ndarray, names: list[tuple[str, bool]]) -> int | None:
+def region(page: Events, high: np.ndarray) -> int | None:
     """The innermost container with nearly all text of the cluster, an article at most; None: the page."""
-    sizes: dict[int, int] = {}
-    for b, h in zip(blocks, high):
-        for k in b.path if h else ():
-            sizes[k] = sizes.get(k, 0) + len(b.text)
-    need = REGION * sum(len(b.text) for b, h in zip(blocks, high) if h)
-    holders = sorted(k for k, n in sizes.items() if n >= need)  # containers open in order, so these are nested
+    sizes = [0] * len(page.parent)
+    for b, h in zip(page.blocks, high):
+        if h and b.inner >= 0:
+            sizes[b.inner] += len(b.text)
+    for k in range(len(sizes) - 1, -1, -1):  # containers open in order, so what they hold comes after them
+        if page.parent[k] >= 0:
+            sizes[page.parent[k]] += sizes[k]
+    need = REGION * sum(len(b.text) for b, h in zip(page.blocks, high) if h)
+    holders = [k for k, n in enumerate(sizes) if n and n >= need]  # these are nested
     for k in holders:
-        if names[k][1]:
+        if page.is_article[k]:
             return k
     return holders[-1] if holders else None
 
@@ -247,14 +286,17 @@ def unnamed(blocks: list[Block], high: np.ndarray, page: Events) -> list[Block]:
     for e in sorted(members):  # from the outermost
         if e in kept:
             continue
-        around, own = page.named[e].around, set(members[e])
-        near = [k for k, b in enumerate(blocks) if size[k] and (not around or around[-1] in b.path)]
+        about, own = page.named[e], set(members[e])
+        near = [k for k in range(len(blocks)) if size[k] and (about.article < 0 or page.holds(about.article, k))]
+        within = [k for k in own if blocks[k].inner >= 0 and page.depth[blocks[k].inner] > about.depth]
+        if about.comments and not within and any(k not in own and kept.issuperset(blocks[k].named) for k in near):
+            continue  # comments beside the text they are about, however long
         beside = any(
             k not in own and kept.issuperset(blocks[k].named)
-            and any(page.names[c][1] and c not in around for c in blocks[k].path)
+            and blocks[k].inner >= 0 and page.depth[blocks[k].inner] > about.depth
             for k in near
         )
-        need = (REGION if page.named[e].alone else 0.5) * sum(size[k] for k in near)
+        need = (REGION if about.alone else 0.5) * sum(size[k] for k in near)
         if not beside and sum(size[k] for k in own) > need:
             kept.add(e)
     left = [k for k, b in enumerate(blocks) if kept.issuperset(b.named)]
@@ -263,6 +305,20 @@ def unnamed(blocks: list[Block], high: np.ndarray, page: Events) -> list[Block]:
     return [blocks[k] for k in left if high[k] or not any(page.named[e].ordinary for e in blocks[k].named)]
 
 
+def without_link_lists(blocks: list[Block]) -> list[Block]:
+    """An article's blocks but for lists of links: LINKS or more in a row that are mostly link."""
+    out: list[Block] = []
+    row: list[Block] = []
+    for b in [*blocks, None]:
+        if b and not b.heading and 2 * b.linked > len(b.text):
+            row.append(b)
+            continue
+        out += row if len(row) < LINKS else []
+        row = []
+        out += [b] if b else []
+    return out
+
+
 def extract(html: str | None, sigma: float = SIGMA, share: float = SHARE) -> str:
     page = Events()
     page.feed(html or "")
@@ -272,21 +328,27 @@ def extract(html: str | None, sigma: float = SIGMA, share: float = SHARE) -> str
     page.flush()
     if not page.blocks:
         return ""
+    chosen = range(len(page.blocks))
     if page.named:
-        page.blocks = unnamed(page.blocks, cluster(page.blocks, sigma, share), page)
-    high = cluster(page.blocks, sigma, share)
+        left = unnamed(page.blocks, cluster(page.blocks, sigma, share), page)
+        kept = {id(b) for b in left}
+        chosen = [k for k, b in enumerate(page.blocks) if id(b) in kept]
+    blocks = [page.blocks[k] for k in chosen]
+    high = cluster(blocks, sigma, share)
     if not high.any():
         high[:] = True
-    place = region(page.blocks, high, page.names)
-    inside = [place is None or place in b.path for b in page.blocks]
-    if place is not None and page.names[place][1]:
-        return "\n".join(b.text for b, i in zip(page.blocks, inside) if i)
+    whole = np.zeros(len(page.blocks), bool)
+    whole[np.array(chosen, int)] = high
+    place = region(page, whole)
+    inside = [place is None or page.holds(place, k) for k in chosen]
+    if place is not None and page.is_article[place]:
+        return "\n".join(b.text for b in without_link_lists([b for b, i in zip(blocks, inside) if i]))
     core = np.flatnonzero(high & inside)
     first, last = core[0], core[-1]
-    while first and page.blocks[first - 1].heading and inside[first - 1]:
+    while first and blocks[first - 1].heading and inside[first - 1]:
         first -= 1
-    chosen = [b for b, i in zip(page.blocks[first : last + 1], inside[first : last + 1]) if i]
-    return "\n".join(b.text for b in chosen if 2 * b.linked <= len(b.text))
+    picked = [b for b, i in zip(blocks[first : last + 1], inside[first : last + 1]) if i]
+    return "\n".join(b.text for b in picked if 2 * b.linked <= len(b.text))
 
 
 def main_text(html: Column) -> Column:

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +85,29 @@ def test_paragraphs_with_ordinary_words_in_their_class_stay():
     assert H.extract(f"<article><p>{PROSE}</p>{body}</article>") == "\n".join([PROSE.strip()] * 4)
     long = "".join(f"<p>{PROSE}</p>" for _ in range(9))
     assert H.extract(f"<article><p>{PROSE}</p></article><div class='comments'><article>{long}</article></div>") == PROSE.strip()
+
+
+def test_svg_and_math_may_close_themselves():
+    for inner in ("<svg class='i'/>", "<svg><path/><g></g></svg>", "<math/>"):
+        assert H.extract(f"<article><h1>T</h1>{inner}<p>{PROSE}</p></article>") == f"T\n{PROSE.strip()}"
+
+
+@pytest.mark.parametrize("name", ["comment-list", "comments", "user_comments", "disqus_thread"])
+def test_comments_longer_than_the_article_go(name):
+    comments = f"<div class='{name}'><p>{PROSE}</p><p>{PROSE}</p></div>"
+    assert H.extract(f"<article><p>{PROSE}</p>{comments}</article>") == PROSE.strip()
+    assert H.extract(f"<body><div><p>{PROSE}</p>{comments}</div></body>") == PROSE.strip()
+
+
+def test_link_lists_within_an_article_go():
+    links = "".join(f"<li><a href='/{k}'>Other story {k}</a></li>" for k in range(4))
+    assert "Other story" not in H.extract(f"<article><p>{PROSE}</p><ul>{links}</ul><p>{PROSE}</p></article>")
+    assert "One link" in H.extract(f"<article><p>{PROSE}</p><p><a href='/m'>One link</a></p><p>{PROSE}</p></article>")
+
+
+def test_very_many_open_elements_and_stray_ends():
+    n = 100_000
+    began = time.monotonic()
+    assert H.extract("<div>x" * n).count("x") > 0
+    assert H.extract("<span>" * n + "x" + "</b>" * n) == "x"
+    assert time.monotonic() - began < 30
