@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from crowdpulse.functions import times
 from crowdpulse.operators import counters, governance, messages, serving
 from crowdpulse.params import REQUEST_TOPIC, SCALED
+from crowdpulse.plans import risk_at_upload
 from crowdpulse.session import run_dir
 from crowdpulse.sources import domain, streams
-from crowdpulse.sources.sinks import land
-from crowdpulse.streaming import batches, entities, joins, prefix, scoring, windows
+from crowdpulse.sources.sinks import land, staged
+from crowdpulse.streaming import batches, entities, joins, learning, prefix, scoring, statistics, windows
 from crowdpulse.streaming.alerts import AlertJob
 
 RUNS = 3
@@ -228,6 +229,41 @@ def features_from_prefix_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.counts_at(requests, SCALED).drop("ts")
 
 
+def stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches and rows of the window job as its listener reports them, over three runs."""
+    out = run_dir(spark, "statistics")
+    listener = statistics.StreamStatistics(spark, f"{out}/statistics")
+    spark.streams.addListener(listener)
+    name = "windows-" + out.rsplit("-", 1)[-1]
+    try:
+
+        def start(source: str) -> None:
+            events = streams.events_of(streams.landed_messages(spark, source), stamp_missing=False)
+            batches.run_available(
+                events, windows.window_writer(f"{out}/table", SCALED), f"{out}/checkpoint", name=name
+            )
+
+        _run_slices(spark, domain.signals(spark, sf_dir), _event_messages, start)
+        listener.wait_for(name, RUNS)
+    finally:
+        spark.streams.removeListener(listener)
+    own = listener.rows().filter(F.col("name") == name)
+    return statistics.batch_counts(own).select(F.lit("windows").alias("query"), "batches", "rows")
+
+
+def model_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a model learned in one pass over five batches of training rows, stopped once and resumed."""
+    path = run_dir(spark, "incremental")
+    rows = staged(risk_at_upload.training_set(spark, sf_dir), f"{path}/rows")
+    part = F.pmod(F.xxhash64("image_id"), F.lit(5))
+    for n in range(5):
+        learner = learning.IncrementalLearner(spark, f"{path}/weights")  # a new one knows only what is stored
+        learner.handle(rows.filter(part == n), n)
+    return learning.IncrementalLearner(spark, f"{path}/weights").predictor()(rows).select(
+        "image_id", F.col("decision_point_minutes").cast("bigint").alias("decision_point_minutes"), "moderation_probability"
+    )
+
+
 def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image metadata kept by rewriting the buckets of each batch; late batches name few images."""
     out = run_dir(spark, "upsert")
@@ -324,6 +360,8 @@ QUERIES = {
         stream_request_counts,
         features_from_prefix_sums,
         upsert_buckets,
+        stream_statistics,
+        model_incremental,
         stream_upload_metadata,
         stream_upload_last_write,
         stream_users_created,

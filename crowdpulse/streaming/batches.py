@@ -9,18 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from crowdpulse.sources.sinks import append_batch
-
 Handler = Callable[[DataFrame, int], None]
 
 
-def run_available(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "append") -> StreamingQuery:
+def run_available(
+    stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "append", name: str | None = None
+) -> StreamingQuery:
     """One bounded run: everything from the checkpoint (or the earliest) to the end at its start.
 
-    Offsets are committed after the handler returns, so a failed batch runs again.
+    Offsets are committed after the handler returns, so a failed batch runs again. ``name`` is the
+    query's in its statistics.
     """
+    writer = stream.writeStream.outputMode(mode)
     query = (
-        stream.writeStream.outputMode(mode)
+        (writer.queryName(name) if name else writer)
         .foreachBatch(handler)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -39,7 +41,7 @@ def run_continuous(stream: DataFrame, handler: Handler, checkpoint: str, every:
     )
 
 
-def read_batches(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """All batches written so far; an absent table is empty when a schema is given."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
@@ -50,46 +52,6 @@ def read_batches(spark: SparkSession, path: str, schema: StructType | None = Non
         return spark.createDataFrame([], schema)
 
 
-class BatchTable:
-    """A table with one folder per batch that is read by batch numbers.
-
-    A running job names the folders it needs, so the cost of a batch does not grow
-    with the number of batches before it. ``compact`` folds all earlier batches
-    into one folder.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, compact_every: int = 50):
-        self.spark, self.path, self.schema = spark, path, schema
-        self.compact_every = compact_every
-
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        append_batch(rows, f"{self.path}/batches", batch_id)
-
-    def batch(self, batch_id: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/batches/batch_id={batch_id}")
-
-    def all(self) -> DataFrame:
-        return read_batches(self.spark, f"{self.path}/batches", self.schema).select(*self.schema.names)
-
-    def before(self, batch_id: int) -> DataFrame:
-        """Rows of all earlier batches: the last compaction and the batches after it."""
-        return self._between(batch_id // self.compact_every * self.compact_every, batch_id)
-
-    def compact(self, batch_id: int, fold: Callable[[DataFrame], DataFrame]) -> None:
-        """At every ``compact_every``-th batch, write ``fold`` of all earlier rows."""
-        if batch_id and batch_id % self.compact_every == 0:
-            rows = self._between(batch_id - self.compact_every, batch_id)
-            append_batch(fold(rows), f"{self.path}/compacted", batch_id)
-
-    def _between(self, start: int, end: int) -> DataFrame:
-        folders = [f"{self.path}/batches/batch_id={i}" for i in range(start, end)]
-        if start:
-            folders.append(f"{self.path}/compacted/batch_id={start}")
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*folders)
-
-
 def progress(query: StreamingQuery) -> list[dict]:
     """Rows, time per stage and observed counters of the recent batches of a query."""
     return [

@@ -855,6 +855,7 @@ chain AS (
     ),
     "features_from_prefix_sums": sql("SELECT * EXCLUDE (ts) FROM at_request", SERVING),
     "upsert_buckets": METADATA_SQL,
+    "stream_statistics": sql("SELECT 'windows' AS query, CAST(3 AS BIGINT) AS batches, count(*) AS rows FROM signals"),
     "stream_upload_metadata": METADATA_SQL,
     "stream_upload_last_write": METADATA_SQL.replace("'Soup'", "'Bread'"),
     "stream_users_created": sql(
