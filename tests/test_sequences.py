@@ -154,10 +154,13 @@ def test_hot_key_is_split_by_time(spark):
     )
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     keyed = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(keyed) == 3
+    assert len(keyed) == 4
     row_level = [line for line in keyed if "__le_" in line or "__lt_" in line]
     assert len(row_level) == 2
     assert all("__b" in line.rsplit("], [", 2)[-2] for line in row_level)
+    # Bucket sums meet by key and day; by key alone there is one row a day.
+    rest = [line.rsplit("], [", 2)[-2] for line in keyed if line not in row_level]
+    assert sum("__span" in by for by in rest) == 1
 
 
 @pytest.mark.parametrize("bucket", [1, 3, 1000])
@@ -175,3 +178,61 @@ def test_latest_values(spark, bucket):
     for k, t, n, _ in rows:
         before = [r for r in rows if r[0] == k and r[3] == "a" and (r[1], r[2]) <= (t, n)]
         assert got[n] == (max(before, key=lambda r: (r[1], r[2]))[2] if before else None)
+
+
+def test_kth_rows_are_selected_without_a_running_total(spark):
+    import random
+
+    from crowdpulse.operators.sequences import kth_rows
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot", "hot", "b"]), n, rng.randrange(5 * 86_400)) for n in range(400)]
+    df = spark.createDataFrame(rows, "key string, n long, s long").withColumn("ts", F.timestamp_seconds(F.lit(1_767_225_600) + F.col("s")))
+    found = kth_rows(df, key="key", ts=F.col("ts"), order=F.col("n"), numbers=(1, 10, 100, 1000))
+    want = []
+    for key in ("hot", "b"):
+        own = sorted((s, n) for k, n, s in rows if k == key)
+        want += [(key, k, own[k - 1][1]) for k in (1, 10, 100, 1000) if k <= len(own)]
+    assert sorted((r["key"], r.k, r.n) for r in found.collect()) == sorted(want)
+    # Rows are ranked within (key, bucket) only: no window over a whole key sees rows.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    ranked = [line for line in plan.splitlines() if "row_number" in line]
+    assert ranked and all("__b" in line.split("windowspecdefinition")[1] for line in ranked)
+
+
+def test_carried_sums_keep_a_hot_key_in_small_groups(spark):
+    """One key with half of all buckets: what meets in a task is a day of its buckets, or its days."""
+    from crowdpulse.operators.sequences import SPAN, sums_before
+
+    n = 20_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 97)).alias("key"),
+        (F.col("id") * 60_000_000).alias("__b"),
+        F.lit(1).alias("w"),
+    )
+    out = sums_before(rows, ["key"], {"before": F.col("w")})
+    got = {r["__b"]: r.before for r in out.filter("key = 'hot'").collect()}
+    assert got == {120_000_000 * k: k for k in range(n // 2)}
+    largest = rows.groupBy("key", F.floor(F.col("__b") / SPAN)).count().agg(F.max("count")).first()[0]
+    assert largest <= 720 and rows.filter("key = 'hot'").select(F.floor(F.col("__b") / SPAN)).distinct().count() <= 15
+
+
+def test_windows_from_first_equal_a_walk(spark):
+    import random
+
+    from crowdpulse.operators.counters import windows_from_first
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["hot", "hot", "b", None]), rng.choice([rng.randrange(50_000), 10 * rng.randrange(5_000)])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "image_id string, s long").withColumn("ts", F.timestamp_seconds(F.lit(1_767_225_600) + F.col("s")))
+    want = []
+    for key in ("hot", "b"):
+        start, count = None, 0
+        for s in sorted(s for k, s in rows if k == key):
+            if start is None or s >= start + 300:
+                want += [(key, start, count)] if start is not None else []
+                start, count = s, 0
+            count += 1
+        want.append((key, start, count))
+    got = windows_from_first(df, 300).select("image_id", (F.unix_seconds("window_start") - 1_767_225_600), "event_count")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
