@@ -15,6 +15,7 @@ from crowdpulse.operators import (
     files,
     governance,
     learning,
+    memory,
     messages,
     quality,
     serving,
@@ -274,6 +275,20 @@ def alerts_first_crossing(spark, sf_dir):
     return _user_alerts(spark, sf_dir).select("user_id", "alert_type", "event_id", _iso("ts"), "metric", "value")
 
 
+@query
+def alerts_with_memory(spark, sf_dir):
+    """Alerts that repeat once a memory of 1, 10 or 1000 users has forgotten them."""
+    counts = alerts.alert_counts(_user_events(spark, sf_dir), SCALED, key="user_id")
+    found = sinks.staged(alerts.crossings(counts, SCALED, key="user_id"), run_dir(spark, "crossings"))
+    sizes = [
+        memory.alerts_with_memory(found, size, key="user_id").withColumn("memory_size", F.lit(size).cast("bigint"))
+        for size in (1, 10, SCALED.alert_tracking)
+    ]
+    return messages.unite(*sizes).select(
+        "memory_size", "user_id", "alert_type", "event_id", _iso("ts"), "metric", "value"
+    )
+
+
 def _milestones(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = alerts.view_totals(_user_events(spark, sf_dir), key="user_id")
     return alerts.milestones(totals, SCALED, key="user_id")

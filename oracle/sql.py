@@ -835,6 +835,22 @@ ORACLE: dict[str, str] = {
     "stream_redelivered_alerts": ALERTS_SQL,
     "stream_milestones": MILESTONES_SQL,
     "milestones_by_selection": MILESTONES_SQL,
+    "alerts_with_memory": sql(
+        f"""SELECT CAST(w.size AS BIGINT) AS memory_size, c.user_id, c.alert_type, c.event_id, {iso('c.ts', 'ts')}, c.metric, c.value
+        FROM walked w JOIN crossed_in_turn c ON c.alert_type = w.alert_type AND c.turn = w.turn WHERE w.alerts""",
+        COUNTS,
+        """
+crossed_in_turn AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY alert_type ORDER BY ts, event_id) AS turn FROM crossed),
+walked AS (
+  SELECT size, alert_type, CAST(0 AS BIGINT) AS turn, CAST([] AS BIGINT[]) AS held, false AS alerts
+  FROM (SELECT unnest([1, 10, 1000]) AS size), (SELECT DISTINCT alert_type FROM crossed_in_turn)
+  UNION ALL
+  SELECT w.size, w.alert_type, c.turn,
+    CASE WHEN list_contains(held, user_id) THEN held ELSE list_append(held, user_id)[-w.size:] END,
+    NOT list_contains(held, user_id)
+  FROM walked w JOIN crossed_in_turn c ON c.alert_type = w.alert_type AND c.turn = w.turn + 1),""",
+    ).replace("WITH n AS", "WITH RECURSIVE n AS", 1),
     "fixed_windows_from_first": sql(
         f"""SELECT user_id, {iso('start', 'window_start')}, count(*) AS event_count FROM (
           SELECT e.user_id, e.event_id, max(c.ts) AS start
