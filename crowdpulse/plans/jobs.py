@@ -5,13 +5,14 @@
     processed/*.parquet                  build_training_set    daily
     training/base=B/snapshot_id=N        build_training_set    daily
     models/{N}                           train                 on demand
-    alerts/                              watch_activity        continuous
+    alerts/, metadata/, requests/        watch_activity        continuous
     moderation/                          score_requests        continuous
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,24 @@ from crowdpulse.operators import governance, learning, quality, serving, trainin
 from crowdpulse.operators import messages as event_messages
 from crowdpulse.params import DEFAULT, EngagementParams
 from crowdpulse.sources import sinks, streams, tables
-from crowdpulse.streaming import batches, scoring, windows
+from crowdpulse.streaming import activity, batches, scoring, windows
 from crowdpulse.streaming.alerts import AlertJob
 
+@dataclass(frozen=True)
+class RelationalTable:
+    """How to scan a table and how to append to it."""
+
+    read: Callable[[], DataFrame]
+    append: Callable[[DataFrame], None]
+
+
+def jdbc_relation(spark: SparkSession, url: str, table: str, **options: str) -> RelationalTable:
+    return RelationalTable(
+        lambda: tables.jdbc_table(spark, url, table, **options),
+        lambda rows: sinks.jdbc_append(rows, url, table, **options),
+    )
+
+
 RAW_TABLES = ("users", "images", "comments", "flags")
 
 
@@ -87,15 +103,25 @@ def train(spark: SparkSession, root: str, snapshot_id: int | None = None) -> Pip
 
 
 def watch_activity(
-    spark: SparkSession, events: DataFrame, root: str, params: EngagementParams = DEFAULT, every: str | None = None
+    spark: SparkSession,
+    events: DataFrame,
+    root: str,
+    params: EngagementParams = DEFAULT,
+    every: str | None = None,
+    servers: str | None = None,
 ) -> tuple[AlertJob, StreamingQuery]:
-    """Rolling counts, alerts and milestones; one bounded run, or a trigger interval."""
+    """All kinds of events: rolling counts, alerts, milestones, metadata of uploads, scoring requests.
+
+    Requests go to Kafka, or below ``requests/`` as text. One bounded run, or a trigger interval.
+    """
     job = AlertJob(spark, f"{root}/alerts", params)
+    asks = activity.request_writer(servers=servers, message_path=f"{root}/requests")
+    handler = activity.activity_writer(job, f"{root}/metadata", asks)
     events = event_messages.observed(events, "events")
     checkpoint = f"{root}/checkpoints/alerts"
     if every is None:
-        return job, batches.run_available(events, job.handle, checkpoint)
-    return job, batches.run_continuous(events, job.handle, checkpoint, every)
+        return job, batches.run_available(events, handler, checkpoint)
+    return job, batches.run_continuous(events, handler, checkpoint, every)
 
 
 def score_requests(
@@ -107,18 +133,24 @@ def score_requests(
     predictor: serving.Predictor | None = None,
     totals: Callable[[], DataFrame] | None = None,
     every: str | None = None,
+    moderation: RelationalTable | None = None,
 ) -> StreamingQuery:
     """Score requests with the raw copies and ``events``, the activity as of each batch.
 
     With ``totals`` (lifetime counts per image as of each batch) the events are read one window
-    back only. One bounded run, or a trigger interval.
+    back only. With ``moderation`` the decisions also go to that table, each once. One bounded
+    run, or a trigger interval.
     """
 
     def current() -> scoring.ServingTables:
         images, users = (tables.raw_snapshot(spark, root, t) for t in ("images", "users"))
         return scoring.ServingTables(events(), images, users, totals() if totals else None)
 
-    handler = scoring.scoring_writer(f"{root}/moderation", current, params, predictor)
+    def store(rows: DataFrame, batch_id: int) -> None:
+        sinks.append_absent(rows, moderation.read(), moderation.append, "inference_request_id", "created_at")
+
+    kept = store if moderation is not None else None
+    handler = scoring.scoring_writer(f"{root}/moderation", current, params, predictor, kept)
     checkpoint = f"{root}/checkpoints/moderation"
     if every is None:
         return batches.run_available(requests, handler, checkpoint)

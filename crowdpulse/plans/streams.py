@@ -14,7 +14,7 @@ from crowdpulse.plans import risk_at_upload
 from crowdpulse.session import run_dir
 from crowdpulse.sources import domain, streams
 from crowdpulse.sources.sinks import land, staged
-from crowdpulse.streaming import batches, entities, joins, learning, prefix, scoring, statistics, windows
+from crowdpulse.streaming import activity, batches, entities, joins, learning, prefix, scoring, statistics, windows
 from crowdpulse.streaming.alerts import AlertJob
 
 RUNS = 3
@@ -38,6 +38,13 @@ def _event_messages(events: DataFrame) -> DataFrame:
     return messages.encode(shaped, messages.topic_of(F.col("event_type")), shaped.columns[1:], ("arrival",))
 
 
+def _upload_messages(uploads: DataFrame) -> DataFrame:
+    """Rows of ``domain.upload_rows``, with a ``ts`` that isn't sent, as messages in order of ``seq``."""
+    sent = uploads.withColumn("event_type", F.lit("upload")).withColumn("arrival", _arrival(F.col("seq")))
+    body = [c for c in sent.columns if c not in ("ts", "seq", "arrival")]
+    return messages.encode(sent, messages.topic_of(F.col("event_type")), body, ("arrival",))
+
+
 def _arrival(number: Column) -> Column:
     return F.struct(
         F.timestamp_micros(number.cast("bigint")).alias("arrived_at"),
@@ -139,6 +146,33 @@ def stream_redelivered_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts_of(_alert_job(spark, sf_dir, encode))
 
 
+def stream_alert_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring requests as the job for all kinds of events sends them; uploads come with the first slice."""
+    out = run_dir(spark, "activity")
+    job = AlertJob(spark, f"{out}/tables", SCALED)
+    sends = activity.request_writer(message_path=f"{out}/requests")
+    handler = activity.activity_writer(job, f"{out}/metadata", sends)
+    uploads = [domain.upload_rows(spark, sf_dir).withColumn("ts", F.lit(None).cast("timestamp"))]
+
+    def encode(part: DataFrame) -> DataFrame:
+        own = _event_messages(part)
+        return own.unionByName(_upload_messages(uploads.pop())) if uploads else own
+
+    def start(source: str) -> None:
+        events = streams.events_of(streams.landed_messages(spark, source))
+        batches.run_available(events, handler, f"{out}/checkpoint")
+
+    _run_slices(spark, _user_signals(spark, sf_dir), encode, start)
+    sent = spark.read.schema("value string, topic string").text(f"{out}/requests")
+    return streams.requests_of(sent.filter(F.col("topic") == REQUEST_TOPIC)).select(
+        F.col("image_id").cast("bigint").alias("image_id"),
+        "trigger",
+        F.map_keys("context")[0].alias("metric"),
+        F.map_values("context")[0].cast("bigint").alias("value"),
+        F.unix_micros("ts").alias("epoch_us"),
+    )
+
+
 def _alerts_of(job: AlertJob) -> DataFrame:
     return job.alerts.select(
         F.col("image_id").cast("bigint").alias("user_id"),
@@ -173,7 +207,7 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("image_id").cast("string").alias("image_id"),
             "trigger",
             times.epoch_seconds(F.col("ts")).alias("timestamp"),
-            _arrival(F.xxhash64("image_id", "trigger", "ts") % 1_000_000_000),
+            _arrival(F.pmod(F.xxhash64("image_id", "trigger", "ts"), F.lit(10**15))),
         )
         return messages.encode(shaped, F.lit(REQUEST_TOPIC), shaped.columns[:-1], ("arrival",))
 
@@ -291,12 +325,6 @@ def stream_upload_last_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored_metadata(spark: SparkSession, sf_dir: str, later: str) -> DataFrame:
     out = run_dir(spark, "metadata")
 
-    def encode(part: DataFrame) -> DataFrame:
-        shaped = part.drop("ts", "seq").withColumn("event_type", F.lit("upload"))
-        body = shaped.columns
-        sent = part.withColumn("event_type", F.lit("upload")).withColumn("arrival", _arrival(F.col("seq")))
-        return messages.encode(sent, messages.topic_of(F.col("event_type")), body, ("arrival",))
-
     def start(source: str) -> None:
         uploads = messages.decode(streams.landed_messages(spark, source))
         batches.run_available(uploads, entities.metadata_writer(f"{out}/table"), f"{out}/checkpoint")
@@ -304,7 +332,7 @@ def _stored_metadata(spark: SparkSession, sf_dir: str, later: str) -> DataFrame:
     rows = domain.upload_rows(spark, sf_dir).withColumn("ts", F.col("uploaded_at").cast("timestamp"))
     resent = F.col("seq") >= 1_000_000_000
     rows = rows.withColumn("category", F.when(resent, later).otherwise(F.col("category")))
-    _run_slices(spark, rows, encode, start)
+    _run_slices(spark, rows, _upload_messages, start)
     stored = entities.latest_metadata(spark, f"{out}/table")
     return stored.withColumn("seq", F.col("arrival.offset")).drop("arrival")
 
@@ -355,6 +383,7 @@ QUERIES = {
         stream_lifetime_totals,
         stream_rolling_alerts,
         stream_redelivered_alerts,
+        stream_alert_requests,
         stream_milestones,
         stream_scoring,
         stream_request_counts,

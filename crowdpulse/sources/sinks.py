@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,14 @@ def publish(messages: DataFrame, *, servers: str | None = None, path: str | None
         messages.write.mode("append").partitionBy("topic").text(path)
 
 
+def send_batch(messages: DataFrame, batch_id: int, *, servers: str | None = None, path: str | None = None) -> None:
+    """Send the messages of one batch. As text they have a folder per batch: sent again, they replace it."""
+    if servers:
+        publish(messages, servers=servers)
+    else:
+        messages.write.mode("overwrite").partitionBy("topic").text(f"{path}/batch_id={batch_id}")
+
+
 def land(messages: DataFrame, path: str) -> None:
     """(topic, value, arrival) messages as Parquet, next to those already there."""
     messages.select(*LANDED.names).write.mode("append").parquet(path)
@@ -97,6 +107,24 @@ def jdbc_append(rows: DataFrame, url: str, table: str, **options: str) -> None:
     ).save()
 
 
+def append_absent(
+    rows: DataFrame, stored: DataFrame, append: Callable[[DataFrame], None], key: str, at: str
+) -> None:
+    """Append the rows whose ``key`` a relational table has not got yet, so that a repeated batch adds none.
+
+    ``stored`` is a scan of the table. Only its rows from the earliest ``at`` on are read (the filter
+    goes to the database), so ``at`` must be the same whenever a row is written again. ``rows`` is
+    read twice and should be a written batch. Rows without key or time can't be found again: an error.
+    """
+    unnamed = F.col(key).isNull() | F.col(at).isNull()
+    first, broken = rows.agg(F.min(F.unix_micros(at)), F.count_if(unnamed)).first()
+    if broken:
+        raise ValueError(f"{broken} rows without {key} or {at}")
+    if first is not None:
+        known = stored.filter(F.col(at) >= F.timestamp_micros(F.lit(first))).select(key)
+        append(rows.join(known, key, "left_anti").select(*rows.columns))
+
+
 def with_row_ids(rows: DataFrame, column: str = "id") -> DataFrame:
     """Random ids for new rows. Ids change when a task is run again, so write them once."""
     return rows.withColumn(column, F.uuid())

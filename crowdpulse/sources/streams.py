@@ -24,12 +24,12 @@ def kafka_messages(
     topics: list[str],
     starting: str = "earliest",
     per_trigger: int | None = None,
-    fail_on_loss: bool = False,
+    fail_on_loss: bool = True,
 ) -> DataFrame:
     """Messages of several topics as a stream, from the earliest unless a checkpoint says otherwise.
 
-    A checkpoint that points past what the broker still has goes on with what there is, unless
-    ``fail_on_loss``.
+    A checkpoint that points to what the broker has no longer is an error; without ``fail_on_loss``
+    the stream goes on with what there is.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -96,11 +96,13 @@ def kafka_requests(spark: SparkSession, servers: str) -> DataFrame:
 
 
 def requests_of(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Decoded requests: image, trigger, context, and ``ts`` from the epoch seconds."""
+    """Decoded requests: image, trigger, context, ``ts`` from the epoch seconds, and where they arrived if known."""
     r = F.from_json(F.col(value), REQUEST, {"mode": "PERMISSIVE"})
-    return messages.select(r.alias("r")).select(
+    came = ["arrival"] if "arrival" in messages.columns else []
+    return messages.select(r.alias("r"), *came).select(
         "r.image_id",
         "r.trigger",
         "r.context",
         F.timestamp_micros(F.round(F.col("r.timestamp") * 1e6).cast("bigint")).alias("ts"),
+        *came,
     )

@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from crowdpulse.operators import entities
 from crowdpulse.schemas import ARRIVAL
-from crowdpulse.sources.sinks import append_batch, publish
+from crowdpulse.sources.sinks import append_batch, send_batch
 from crowdpulse.streaming.batches import Handler
 from crowdpulse.streaming.buckets import BucketTable
 
@@ -91,11 +91,6 @@ def dual_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         append_batch(batch, path, batch_id)
         stored = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/batch_id={batch_id}")
-        if servers:
-            publish(shape(stored), servers=servers)
-        else:
-            # One folder per batch: sending a batch again replaces it.
-            target = f"{message_path}/batch_id={batch_id}"
-            shape(stored).write.mode("overwrite").partitionBy("topic").text(target)
+        send_batch(shape(stored), batch_id, servers=servers, path=message_path)
 
     return write

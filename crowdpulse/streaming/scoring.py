@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdpulse.operators import serving
 from crowdpulse.operators.sequences import MICROS
 from crowdpulse.params import EngagementParams
-from crowdpulse.sources.sinks import append_batch
+from crowdpulse.sources.sinks import append_batch, staged
 from crowdpulse.streaming.batches import Handler
 
 
@@ -25,20 +25,35 @@ class ServingTables:
     totals: DataFrame | None = None
 
 
+def request_id(requests: DataFrame) -> Column:
+    """The name of a request: where it arrived, or a hash of its content."""
+    if "arrival" in requests.columns:
+        return F.concat_ws("-", "arrival.partition", "arrival.offset")
+    return F.xxhash64("image_id", "trigger", "ts").cast("string")
+
+
 def scoring_writer(
     path: str,
     tables: Callable[[], ServingTables],
     params: EngagementParams,
     predictor: serving.Predictor | None = None,
+    store: Handler | None = None,
 ) -> Handler:
-    """``tables`` gives the tables as of the batch; decisions go to ``path`` by batch."""
+    """``tables`` gives the tables as of the batch; decisions go to ``path`` by batch, then to ``store``.
+
+    A request is named by its ``request_id`` or else by where it arrived, so equal requests stay
+    apart; one without either is named by its content. The batch's folder is written again if
+    ``store`` fails, with the same ids.
+    """
     predict = predictor or serving.rule_predictor(params.rules)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         t = tables()
         asked = serving.accepted_requests(batch)
         if "request_id" not in asked.columns:
-            asked = asked.withColumn("request_id", F.xxhash64("image_id", "trigger", "ts"))
+            asked = asked.withColumn("request_id", request_id(asked))
+        # The features read them several times.
+        asked = staged(asked, f"{path}_asked")
         # A batch asks for few images: only their activity, and only the images of
         # their uploaders (for the per-user count), go through the shuffles.
         ids = asked.select("image_id").distinct()
@@ -53,6 +68,9 @@ def scoring_writer(
         rows = serving.request_features(
             asked, events.join(ids, "image_id", "left_semi"), images, t.users, params, totals
         )
-        append_batch(serving.decisions(predict(rows), F.col("ts")), path, batch_id)
+        decided = serving.decisions(predict(rows), F.col("ts"))
+        append_batch(decided, path, batch_id)
+        if store is not None:
+            store(batch.sparkSession.read.schema(decided.schema).parquet(f"{path}/batch_id={batch_id}"), batch_id)
 
     return write

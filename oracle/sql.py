@@ -420,6 +420,11 @@ TOTALS_SQL = sql(
     FROM signals WHERE image_id IS NOT NULL GROUP BY 1"""
 )
 ALERTS_SQL = sql(f"SELECT user_id, alert_type, event_id, {iso('ts')}, metric, value FROM first_alerts", COUNTS)
+REQUESTS_SQL = sql(
+    """SELECT user_id AS image_id, alert_type AS trigger, metric, value, epoch_us(ts) AS epoch_us
+    FROM first_alerts WHERE alert_type IN ('viral', 'suspicious')""",
+    COUNTS,
+)
 MILESTONES_SQL = sql(
     f"SELECT user_id, milestone_type, CAST(milestone_value AS BIGINT) AS milestone_value, event_id, {iso('reached_at')} FROM reached",
     COUNTS,
@@ -565,11 +570,8 @@ ORACLE: dict[str, str] = {
     ),
     "alerts_first_crossing": ALERTS_SQL,
     "milestones": MILESTONES_SQL,
-    "moderation_requests": sql(
-        """SELECT user_id AS image_id, alert_type AS trigger, metric, value, epoch_us(ts) AS epoch_us
-        FROM first_alerts WHERE alert_type IN ('viral', 'suspicious')""",
-        COUNTS,
-    ),
+    "moderation_requests": REQUESTS_SQL,
+    "stream_alert_requests": REQUESTS_SQL,
     "alert_stats": sql(
         """SELECT alert_type, count(DISTINCT user_id) AS alerts FROM crossed GROUP BY 1
         UNION ALL SELECT 'milestones', count(*) FROM reached""",
