@@ -15,8 +15,13 @@ often as it occurs, with weight 1 / (different item texts it occurs in), or with
 gives more: an edit of a passage that many items share costs no more than any other. Matches have 0.8
 or more.
 
+A short item ("yes") is in very many texts. ``short_items`` reports those below a length, and with
+``least_words`` they only match documents that consist of them alone; without it they match anywhere.
+
 The benchmark is the query set: it goes to the tasks in blocks of bounded size, each a pass over
-all documents. Null and empty texts and items match nothing; a repeated row gives repeated matches.
+all documents. Null and empty texts and items, and an empty table, match nothing; a repeated row gives
+repeated matches. Of equally similar places the first one counts. A very long text is fingerprinted
+in overlapping slices of words. Columns other than the id and the text are only carried along.
 """
 
 from __future__ import annotations
@@ -38,6 +43,8 @@ SHINGLE, SIMILARITY, RADIUS, BITS = 5, 0.8, 7, 64
 BLOCK_BYTES = 4 << 20
 #: Windows that an edit elsewhere in the item leaves whole have at most so many shingles.
 PART = 28
+#: Words of a text fingerprinted at a time, besides those a window reaches over the end.
+SLICE_WORDS = 1 << 16
 #: Window sizes in shingles: each half as large again as the one before.
 SIZES = (1, 2, 3, 4, 6, 9, 13, 19, 28, 42, 63, 94, 141, 211, 316, 474, 711, 1066, 1599, 2398, 3597)
 
@@ -146,8 +153,10 @@ class Prints:
 class Block:
     """The index of one block of items: (item_id, words, weights by shingle)."""
 
-    def __init__(self, items: list[tuple]):
+    def __init__(self, items: list[tuple], least_words: int = 1):
         self.items = items
+        self.whole_only = np.array([len(words) < least_words for _, words, _ in items])
+        self.size = np.array([len(words) for _, words, _ in items])
         found: dict[tuple[int, int], list[tuple]] = {}
         for k, (_, words, _) in enumerate(items):
             own = min(SHINGLE, len(words))
@@ -167,17 +176,23 @@ class Block:
             return set()
         first = np.searchsorted(w.text, np.arange(len(part.starts)))
         out: set[tuple[int, int, int]] = set()
-        made: dict[int, np.ndarray] = {}
-        for own, size, prints in self.classes:
-            if own not in made:
-                made[own] = prefix_votes(W.shingles(w.hash, own))
-            step = stride(size)
-            at, which = prints.near(window_prints(made[own], size, step))
-            start = at * step
-            inside = w.text[start] == w.text[start + size + own - 2]
-            start, rows = start[inside], prints.rows[which[inside]]
-            text = w.text[start]
-            out.update(zip(text.tolist(), rows[:, 0].tolist(), (start - first[text] - rows[:, 1]).tolist()))
+        long = np.bincount(w.text, minlength=len(part.starts))
+        reach = max((size + stride(size) + own for own, size, _ in self.classes), default=0)
+        for low in range(0, len(w.hash), SLICE_WORDS):
+            hash = w.hash[low : low + SLICE_WORDS + reach]
+            made: dict[int, np.ndarray] = {}
+            for own, size, prints in self.classes:
+                if own not in made:
+                    made[own] = prefix_votes(W.shingles(hash, own))
+                step = stride(size)
+                at, which = prints.near(window_prints(made[own], size, step))
+                start = low + at * step
+                item = prints.rows[which, 0]
+                inside = w.text[start] == w.text[start + size + own - 2]
+                inside &= ~self.whole_only[item] | (long[w.text[start]] == self.size[item])
+                start, rows = start[inside], prints.rows[which[inside]]
+                text = w.text[start]
+                out.update(zip(text.tolist(), rows[:, 0].tolist(), (start - first[text] - rows[:, 1]).tolist()))
         return out
 
     def matches(self, part: W.Texts, similarity: float) -> Iterator[tuple[int, int, float, int]]:
@@ -243,7 +258,19 @@ def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tupl
         yield block
 
 
-def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, limit: int = BLOCK_BYTES) -> DataFrame:
+def short_items(benchmark: DataFrame, least_words: int = SHINGLE) -> DataFrame:
+    """(item_id, words) of the items with fewer words than that."""
+    words = F.size(F.filter(F.split(text_of(), "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
+    return benchmark.select("item_id", words.alias("words")).where(F.col("words") < least_words)
+
+
+def find(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    similarity: float = SIMILARITY,
+    limit: int = BLOCK_BYTES,
+    least_words: int = 1,
+) -> DataFrame:
     """One row per document and item it holds: doc_id, text_hash, item_id, similarity, first_word."""
     own = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text"))
     kinds = [docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()]
@@ -253,7 +280,7 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            block = Block(sent.value)
+            block = Block(sent.value, least_words)
             ids = pa.array([item[0] for item in block.items])
             for batch in batches:
                 for part in W.texts(batch.column("text")):
@@ -278,9 +305,11 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def remove(
+    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, least_words: int = 1
+) -> DataFrame:
     """``docs`` without those that hold a benchmark item."""
-    hit = find(docs, benchmark, similarity).select("doc_id", "text_hash").distinct().toDF("_id", "_hash")
+    hit = find(docs, benchmark, similarity, least_words=least_words).select("doc_id", "text_hash").distinct().toDF("_id", "_hash")
     rows = packed(docs, "doc_id", F.xxhash64(text_of()).alias("_of"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_hash"))
     return rows.join(hit, same, "left_anti").select(*unpacked(docs))

@@ -136,3 +136,35 @@ def test_a_window_lies_in_every_run_that_edits_leave():
                 for s in sizes
                 for a in range(at, at + run - s - D.stride(s) + 2)
             ), (n, at)
+
+
+def test_short_items_match_whole_documents_and_are_reported(spark):
+    docs = spark.createDataFrame(
+        [(1, "yes"), (2, "well yes of course it is"), (3, " YES\n"), (4, "no idea at all"), (5, "I have no idea at all"), (6, None)],
+        "doc_id long, text string",
+    )
+    items = spark.createDataFrame([(7, "Yes"), (8, "no idea at all"), (9, "")], "item_id long, text string")
+    everywhere = {(r.doc_id, r.item_id) for r in D.find(docs, items).collect()}
+    assert everywhere == {(1, 7), (2, 7), (3, 7), (4, 8), (5, 8)}
+    found = {(r.doc_id, r.item_id) for r in D.find(docs, items, least_words=5).collect()}
+    assert found == {(1, 7), (3, 7), (4, 8)}
+    assert {r.doc_id for r in D.remove(docs, items, least_words=5).collect()} == {2, 5, 6}
+    assert sorted((r.item_id, r.words) for r in D.short_items(items, 5).collect()) == [(7, 1), (8, 4), (9, 0)]
+
+
+def test_slices_of_a_long_text_find_the_same(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(3000)}" for _ in range(9000)]
+    lengths = [7, 15, 40, 59, 90, 160, 700]
+    items = [(k, " ".join(f"item{k}x{j}" for j in range(n))) for k, n in enumerate(lengths)]
+    for _, text in items:
+        for at in (rng.randrange(len(words)), rng.randrange(len(words))):
+            words[at:at] = text.split()
+    benchmark = [(i, D.tokens(t), {s: 1.0 for s in D.runs(D.tokens(t), 5)}) for i, t in items]
+    block = D.Block(benchmark)
+    part = next(D.W.texts(D.pa.array([" ".join(words), "a short text"]), 1 << 40))
+    whole = list(block.matches(part, 0.8))
+    assert {m[1] for m in whole} >= {0, 1, 2, 3}
+    for size in (50, 333, 1024):
+        monkeypatch.setattr(D, "SLICE_WORDS", size)
+        assert list(block.matches(part, 0.8)) == whole
