@@ -37,8 +37,8 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return decontaminate.remove(docs, table(ship(spark), sf_dir, "benchmark"))
+    """Documents that hold no benchmark item; items of under five words count as whole documents only."""
+    return decontaminate.remove(docs, table(ship(spark), sf_dir, "benchmark"), least_words=decontaminate.SHINGLE)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
