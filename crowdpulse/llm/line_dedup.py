@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from crowdpulse.llm import words as W
-from crowdpulse.llm.tables import packed, release, staged, text_of, unpacked
+from crowdpulse.llm.tables import drop, packed, release, staged, text_of, unpacked
 
 #: Longest stretch of lines that is no further cut, least words in a removed passage, words a run may
 #: grow by on either side.
@@ -134,8 +134,9 @@ def firsts(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW) -> tuple[DataFrame, DataFrame]:
-    """The candidates, and every one but the first of each set of byte-equal chunks beside that first.
+def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """The candidates, every one but the first of each set of byte-equal chunks beside that first, and the
+    staged tables the latter are read from.
 
     Candidates have their owner, number, places, hash and bytes, and the words around them where the
     chunk beside them is no candidate.
@@ -150,6 +151,7 @@ def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW) -> tuple[DataF
     # Of the copies of a text one is compared.
     listed = listed.join(first.select(F.col("h1").alias("key"), "h2", "first"), "key")
     listed = staged(listed, "repeated-chunks")
+    drop(every)
     release(spark)
 
     names = ["number", "start", "end", "chunk"]
@@ -192,6 +194,7 @@ def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW) -> tuple[DataF
     numbers = ", ".join(f"{n} long" for n in names)
     shape = f"doc_id {kind}, h1 long, h2 long, {numbers}, bytes binary, before binary, after binary"
     candidates = staged(owners.mapInArrow(run, shape), "chunk-bytes")
+    drop(listed)
     release(spark)
     # Equal hashes are only candidates: rows are grouped by the bytes themselves.
     own = F.struct(*KEY, "number")
@@ -205,7 +208,7 @@ def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW) -> tuple[DataF
     alike = rows.drop("bytes").join(several.select("chunk", "first").join(mixed, "chunk", "left_anti"), "chunk")
     unlike = rows.join(mixed, "chunk", "left_semi").join(several.drop("n"), ["chunk", "bytes"]).drop("bytes")
     later = alike.unionByName(unlike).where(~own.eqNullSafe(F.col("first")))
-    return candidates, later.select(*TEXT, "number", "start", "end", "first")
+    return candidates, later.select(*TEXT, "number", "start", "end", "first"), [equal, mixed]
 
 
 def around(w: W.Words, origin, whole, first, last, grow: int) -> tuple[np.ndarray, np.ndarray]:
@@ -247,10 +250,11 @@ def runs_of(found: Column) -> Column:
 
 def passages(docs: DataFrame, first: DataFrame, grow: int = GROW) -> DataFrame:
     """The runs of each text: places, and the words beside the first occurrences of their ends."""
-    candidates, later = repeated(docs, first, grow)
+    candidates, later, read = repeated(docs, first, grow)
     chunk = F.struct("number", "start", "end", "first")
     found = later.groupBy(*TEXT).agg(F.array_sort(F.collect_list(chunk)).alias("found"))
     found = staged(found.select(*TEXT, F.posexplode(runs_of(F.col("found"))).alias("run", "r")), "runs")
+    drop(*read)
     release(docs.sparkSession)
     # Each end asks for the words beside it, and for the chunk beside it: one of them is there, or neither.
     asked = [(side, F.col(f"r.{at}"), step) for side, at, step in ((0, "first", -1), (1, "last", 1))]
@@ -273,7 +277,10 @@ def passages(docs: DataFrame, first: DataFrame, grow: int = GROW) -> DataFrame:
     whole = found.select(*TEXT, "run", "r.start", "r.end").join(beside, [*TEXT, "run"], "left")
     span = F.struct("start", "end", "before", "after")
     out = whole.groupBy(*TEXT).agg(F.array_sort(F.collect_list(span)).alias("found"))
-    return staged(out, "passages")
+    out = staged(out, "passages")
+    drop(candidates, found)
+    release(docs.sparkSession)
+    return out
 
 
 def common(own: list[bytes], other: list[bytes]) -> int:
@@ -359,9 +366,11 @@ def remove_repeated(
     first = firsts(docs)
     verdicts = first.join(passages(docs, first, grow), [*TEXT], "left").where("copied or found is not null")
     verdicts = verdicts.select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "first", F.col("found").alias("_found"))
-    rows = packed(docs, "doc_id", "text", *_hashes())
+    rows = packed(docs, *_hashes())
     joined = rows.join(verdicts, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")
-    is_copy = F.col("first").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-    clean = joined.select("_doc", cleaned(F.col("text"), F.col("_found"), is_copy).alias("_clean"))
+    # The text goes through the shuffle once, in its row.
+    doc_id, text = (F.col("_doc").getField(c) for c in ("doc_id", "text"))
+    is_copy = F.col("first").isNotNull() & ~doc_id.eqNullSafe(F.col("first.doc_id"))
+    clean = joined.select("_doc", cleaned(text, F.col("_found"), is_copy).alias("_clean"))
     return clean.select(*unpacked(docs, text=F.col("_clean.text")), F.col("_clean.removed_words").alias(count))
 

@@ -253,3 +253,18 @@ def test_clashing_count_is_refused(spark):
     with pytest.raises(ValueError):
         line_dedup.remove_repeated(docs)
     assert line_dedup.remove_repeated(docs, count="gone").columns == [*docs.columns, "gone"]
+
+
+def test_spent_tables_go_and_a_text_is_shuffled_once(spark):
+    from pathlib import Path
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir()) if shared.exists() else set()
+    passage = prose(60)
+    rows = [(k, "\n".join(prose(40) + passage + prose(40))) for k in range(4)]
+    out = line_dedup.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {p.name.rsplit("-", 1)[0] for p in set(shared.iterdir()) - before}
+    assert left == {"first-copies", "passages"}
+    shuffled = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "AS _doc" in x]
+    assert len(shuffled) == 1 and ", text#" not in shuffled[0].split("AS _doc")[1]
+    assert out.where("removed_words > 0").count() == 3
