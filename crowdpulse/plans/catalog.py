@@ -800,7 +800,9 @@ def model_scores(spark, sf_dir):
 @query
 def model_request_scores(spark, sf_dir):
     """Scoring requests by a trained model in place of the rules."""
-    predict = learning.model_predictor(learning.fit(risk_at_upload.training_set(spark, sf_dir)), "v1")
+    # Every stage of the fit reads the rows again.
+    rows = sinks.staged(risk_at_upload.training_set(spark, sf_dir), run_dir(spark, "model-training"))
+    predict = learning.model_predictor(learning.fit(rows), "v1")
     return predict(_request_rows(spark, sf_dir)).select(
         "request_id", "image_id", "trigger", "moderation_probability", "inference_mode", "model_version"
     )
