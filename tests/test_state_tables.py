@@ -198,3 +198,24 @@ def test_latency_of_stages_from_reports(spark):
     assert [tuple(r) for r in statistics.batch_counts(table).collect()] == [("q", 5, 50)]
     got = {r.stage: r.millis for r in statistics.stage_latency(table, (0.5, 0.9)).collect()}
     assert got == {"addBatch": [104, 108], "triggerExecution": [104, 108]}
+
+
+def test_stream_join_copies_a_request_for_the_parts_its_window_reaches_only(spark):
+    reach = max(DEFAULT.serving_seconds.values())
+    at = START + timedelta(hours=5)
+    edges = [timedelta(seconds=s) for s in (0, 1, reach // 2, reach, reach + 1)] + [timedelta(seconds=-1)]
+    events = spark.createDataFrame([(k, "a", "view", at - d) for k, d in enumerate(edges)], EVENTS)
+    requests = spark.createDataFrame(
+        [(1, "a", "viral", at), (2, "a", "viral", None)], "request_id long, image_id string, trigger string, ts timestamp"
+    )
+    for salts in (1, 2, 7):
+        counted = joins.request_counts(requests, events, DEFAULT, salts=salts).filter("request_id = 1").first()
+        longest = max(DEFAULT.serving_seconds, key=DEFAULT.serving_seconds.get)
+        assert counted[f"views_{longest}"] == 4, "both ends of the window count"
+    a, b, c = (run_dir(spark, n) for n in ("copies-asked", "copies-events", "copies-state"))
+    requests.filter("request_id = 1").write.parquet(a)
+    events.limit(0).write.parquet(b)
+    streams = [spark.readStream.schema(t.schema).parquet(p) for t, p in ((requests, a), (events, b))]
+    query = batches.run_available(joins.request_counts(*streams, DEFAULT), lambda df, n: df.count(), c)
+    kept = [o.numRowsTotal for p in query.recentProgress for o in p.stateOperators if "Join" in o.operatorName]
+    assert max(kept) == 3
