@@ -106,6 +106,8 @@ class AlertJob:
             F.min("ts").alias("__first"),
             *[F.count_if(F.col("kind") == k).alias(f"total_{k}s") for k in KINDS],
         )
+        # All steps below read them.
+        images = staged(images, f"{self.root}/images")
         append_batch(self._counts(new, images, batch_id, buckets), f"{self.root}/counts", batch_id)
         counts = self.spark.read.schema(self.counts_schema).parquet(f"{self.root}/counts/batch_id={batch_id}")
 
@@ -124,7 +126,8 @@ class AlertJob:
     def _write_milestones(self, counts: DataFrame, images: DataFrame, batch_id: int, buckets: list[int]) -> None:
         stored = self.totals_table.before(batch_id, buckets).join(images, "image_id", "left_semi")
         prior = _sum_totals(stored)
-        seen = counts.filter(F.col("kind") == "view")
+        # Earlier views only add to a total, so a view beyond the last milestone in this batch is beyond it.
+        seen = counts.filter((F.col("kind") == "view") & (F.col("new_views_total") <= max(self.params.milestones)))
         with_total = seen.join(prior, "image_id", "left").withColumn(
             "views_total", F.col("new_views_total") + F.coalesce("total_views", F.lit(0))
         )

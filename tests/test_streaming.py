@@ -408,3 +408,23 @@ def test_windows_take_comments_without_id_by_topic(spark):
     names = {r.topic: r.kind for r in made_.select("topic", messages.kind_of_topic(F.col("topic")).alias("kind")).collect()}
     assert [r.kind for r in kept.collect()] == [names["comments"]] * 2
     assert messages.for_windows(made_.drop("topic"), ("view", "comment", "flag")).count() == 3
+
+
+def test_images_of_a_batch_are_summed_once_and_milestones_cross_batches(spark, monkeypatch):
+    job = AlertJob(spark, run_dir(spark, "test-once"), PARAMS)
+    start = datetime(2026, 1, 1)
+    read = []
+    for step in ("_write_milestones", "_write_totals"):
+        plain = getattr(AlertJob, step)
+
+        def spy(self, counts, images, batch_id, buckets, plain=plain):
+            read.append(images._jdf.queryExecution().optimizedPlan().toString())
+            plain(self, counts, images, batch_id, buckets)
+
+        monkeypatch.setattr(AlertJob, step, spy)
+    goals = sorted(PARAMS.milestones)
+    first = goals[1] - 1
+    handled(job, spark, [("a", k, "view", start + timedelta(seconds=k)) for k in range(first)], 0)
+    handled(job, spark, [("a", first + k, "view", start + timedelta(seconds=first + k)) for k in range(2)], 1)
+    assert sorted(r.milestone_value for r in job.milestones.collect()) == goals[:2]
+    assert len(read) == 4 and not any("Aggregate" in plan for plan in read)
