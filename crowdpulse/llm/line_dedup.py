@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -61,21 +61,26 @@ def previous(hash: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def since(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Of the members of groups that begin ``at`` places, the number in their group."""
+    return np.arange(size.sum()) - np.repeat(at, size)
+
+
 def cut(part: W.Texts, w: W.Words | None = None, most_lines: int = MOST_LINES):
     """Chunks of a slice: owner, number in the text, byte places in the text, words, lines, hash."""
     w = W.words(part) if w is None else w
     n = len(w.hash)
     if n < 2:
         return *[np.zeros(0, np.int64)] * 6, np.zeros(0, np.uint64)
-    feeds = np.concatenate([[0], np.cumsum(part.bytes == 10)])
     new_text = np.ones(n, bool)
-    new_text[1:] = w.text[1:] != w.text[:-1]
+    np.not_equal(w.text[1:], w.text[:-1], out=new_text[1:])
     pair = W.mix(w.hash + previous(w.hash, new_text) * W.BASE)
     new_line = new_text | least_of_neighbours(pair, w.text)
-    new_line[1:] |= feeds[w.start[1:]] > feeds[w.end[:-1]]
+    after_feed = np.searchsorted(w.start, np.flatnonzero(part.bytes == 10))
+    new_line[after_feed[after_feed < n]] = True
     line_at = np.flatnonzero(new_line)
-    rank = np.arange(n) - line_at[np.cumsum(new_line) - 1]
-    line = np.add.reduceat(w.hash * RANK[rank % len(RANK)], line_at)
+    rank = since(line_at, np.diff(line_at, append=n))
+    line = np.add.reduceat(w.hash * RANK[rank & len(RANK) - 1], line_at)
     first_line = new_text[line_at]
     rolling = W.mix(line + previous(line, first_line) * W.BASE)
     new_chunk = least_of_neighbours(rolling, w.text[line_at])
@@ -83,52 +88,120 @@ def cut(part: W.Texts, w: W.Words | None = None, most_lines: int = MOST_LINES):
     new_chunk |= first_line
     # Long stretches: every second line, but no single line at the end.
     at = np.flatnonzero(new_chunk)
-    size = np.diff(np.append(at, len(line_at)))
-    own = np.cumsum(new_chunk) - 1
-    offset = np.arange(len(line_at)) - at[own]
-    new_chunk |= (size[own] > most_lines) & (offset % 2 == 0) & (size[own] - offset >= 2)
+    size = np.diff(at, append=len(line_at))
+    offset, size = since(at, size), np.repeat(size, size)
+    new_chunk |= (size > most_lines) & (offset & 1 == 0) & (size - offset >= 2)
     chunk_line = np.flatnonzero(new_chunk)
     chunk_at = line_at[chunk_line]
     stop = np.append(chunk_at[1:], n)
-    lines = np.diff(np.append(chunk_line, len(line_at)))
+    lines = np.diff(chunk_line, append=len(line_at))
     owner = w.text[chunk_at]
     starts_text = new_text[chunk_at]
-    number = np.arange(len(chunk_at)) - np.flatnonzero(starts_text)[np.cumsum(starts_text) - 1]
+    first_chunk = np.flatnonzero(starts_text)
+    number = since(first_chunk, np.diff(first_chunk, append=len(chunk_at)))
     origin = part.starts[owner]
-    rank = np.arange(len(line)) - chunk_line[np.cumsum(new_chunk) - 1]
-    digest = W.mix(np.add.reduceat(W.mix(line) * RANK[rank % len(RANK)], chunk_line))
+    rank = since(chunk_line, lines)
+    digest = W.mix(np.add.reduceat(W.mix(line) * RANK[rank & len(RANK) - 1], chunk_line))
     found = owner, number, w.start[chunk_at] - origin, w.end[stop - 1] - origin, stop - chunk_at, lines, digest
     return tuple(column[lines > 1] for column in found)
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(key, chunk, again): the distinct chunk hashes of every text, and whether it has one more than once."""
+    """(key, chunk, known, deal): the distinct chunk hashes of every text, those that a batch has more than
+    once as known to be repeated, and the value to deal them out by.
+
+    Of a batch only the first row of a known chunk goes where all of that chunk go; so a task gets of a
+    very common chunk a row for each batch, not for each text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.texts(batch.column("text")):
-                found = cut(part)
-                owner, chunk = found[0], found[-1].view(np.int64)
-                order = np.lexsort((chunk, owner))
-                owner, chunk = owner[order], chunk[order]
-                new = np.ones(len(owner), bool)
-                new[1:] = (owner[1:] != owner[:-1]) | (chunk[1:] != chunk[:-1])
-                at = np.flatnonzero(new)
-                again = np.diff(np.append(at, len(owner))) > 1
-                key = batch.column("key").take(pa.array(owner[at] + part.first))
-                yield pa.RecordBatch.from_arrays([key, pa.array(chunk[at]), pa.array(again)], ["key", "chunk", "again"])
+            key, row = np.unique(batch.column("key").to_numpy(), return_index=True)  # copies are cut once
+            found = [(part.first, cut(part)) for part in W.texts(batch.column("text").take(pa.array(row)))]
+            if not sum(len(c[-1]) for _, c in found):
+                continue
+            owner = np.concatenate([c[0] + at for at, c in found])
+            chunk = np.concatenate([c[-1].view(np.int64) for _, c in found])
+            order = np.argsort(chunk)
+            owner, chunk = owner[order], chunk[order]
+            same = chunk[1:] == chunk[:-1]
+            known = np.append(same, False) | np.insert(same, 0, False)
+            again = np.flatnonzero(known)
+            again = again[np.lexsort((owner[again], chunk[again]))]
+            o, c = owner[again], chunk[again]
+            new_chunk, new = np.ones(len(c), bool), np.ones(len(c), bool)
+            new_chunk[1:] = c[1:] != c[:-1]
+            new[1:] = new_chunk[1:] | (o[1:] != o[:-1])
+            single = np.flatnonzero(~known)
+            owners, chunk = np.concatenate([owner[single], o[new]]), np.concatenate([chunk[single], c[new]])
+            apart = np.concatenate([np.zeros(len(single), bool), ~new_chunk[new]])
+            keys, known = key[owners], np.arange(len(owners)) >= len(single)
+            columns = [pa.array(x) for x in (keys, chunk, known, np.where(apart, keys, chunk))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "chunk", "known", "deal"])
 
     keyed = docs.select(F.xxhash64(text_of()).alias("key"), text_of().alias("text"))
-    return keyed.mapInArrow(run, "key long, chunk long, again boolean")
+    return keyed.mapInArrow(run, "key long, chunk long, known boolean, deal long")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], by: str, rows: int = 1 << 16) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Batches sorted by a column of longs as tables of ``rows`` rows or more that part none of its groups,
+    with the places where the groups begin."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(len(b) for b in held) < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        at = group_starts(table.column(by).to_numpy())
+        if len(at) > 1:
+            yield table.slice(0, at[-1]), at[:-1]
+        held = table.slice(at[-1]).combine_chunks().to_batches()
+    if sum(len(b) for b in held):
+        table = pa.Table.from_batches(held)
+        yield table, group_starts(table.column(by).to_numpy())
+
+
+def group_starts(value: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+
+
+def repeated_chunks(docs: DataFrame) -> DataFrame:
+    """(key, chunks): of every text the chunk hashes that occur more than once anywhere, sorted."""
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in whole_groups(batches, "chunk"):
+            key, known = table.column("key").to_numpy(), table.column("known").to_numpy()
+            often = np.minimum.reduceat(key, at) != np.maximum.reduceat(key, at)
+            often |= np.logical_or.reduceat(known, at)
+            kept = np.flatnonzero(np.repeat(often, np.diff(at, append=len(key))))
+            chunk = table.column("chunk").to_numpy()[kept]
+            yield pa.RecordBatch.from_arrays([pa.array(key[kept]), pa.array(chunk)], ["key", "chunk"])
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in whole_groups(batches, "key"):
+            key, chunk = table.column("key").to_numpy(), table.column("chunk").to_numpy()
+            new = np.ones(len(key), bool)
+            new[1:] = chunk[1:] != chunk[:-1]
+            new[at] = True
+            ends = np.cumsum(np.add.reduceat(new, at, dtype=np.int64))
+            offsets = np.concatenate([[0], ends])
+            own = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(chunk[new]))
+            yield pa.RecordBatch.from_arrays([pa.array(key[at]), own], ["key", "chunks"])
+
+    dealt = chunks(docs).repartition("deal").sortWithinPartitions("chunk").select("key", "chunk", "known")
+    often = dealt.mapInArrow(several, "key long, chunk long")
+    return often.repartition("key").sortWithinPartitions("key", "chunk").mapInArrow(lists, "key long, chunks array<long>")
 
 
 def firsts(docs: DataFrame) -> DataFrame:
     """(h1, h2, first, copied): for each text the least doc_id, and whether there is another one."""
     own = docs.select("doc_id", *_hashes()).groupBy(*TEXT)
+    # Least and greatest by themselves, as a struct's would be found by sorting.
+    least, most, without = F.min("doc_id"), F.max("doc_id"), F.count("*") > F.count("doc_id")
     return staged(
         own.agg(
-            F.min(F.struct("doc_id")).alias("first"),
-            (~F.min(F.struct("doc_id")).eqNullSafe(F.max(F.struct("doc_id")))).alias("copied"),
+            F.struct(F.when(~without, least).alias("doc_id")).alias("first"),
+            F.coalesce(F.when(without, least.isNotNull()).otherwise(least < most), F.lit(False)).alias("copied"),
         ),
         "first-copies",
     )
@@ -142,33 +215,28 @@ def repeated(docs: DataFrame, first: DataFrame, grow: int = GROW) -> tuple[DataF
     chunk beside them is no candidate.
     """
     spark = docs.sparkSession
-    every = staged(chunks(docs), "chunks")
-    counted = every.groupBy("chunk").agg(
-        F.min("key").alias("a"), F.max("key").alias("b"), F.max("again").alias("again")
-    )
-    often = counted.where("a <> b or again").select("chunk")
-    listed = every.join(often, "chunk").groupBy("key").agg(F.collect_set("chunk").alias("chunks"))
     # Of the copies of a text one is compared.
-    listed = listed.join(first.select(F.col("h1").alias("key"), "h2", "first"), "key")
+    listed = repeated_chunks(docs).join(first.select(F.col("h1").alias("key"), "h2", "first"), "key")
     listed = staged(listed, "repeated-chunks")
-    drop(every)
     release(spark)
 
     names = ["number", "start", "end", "chunk"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            lists = batch.column("chunks")
+            offsets, wanted = lists.offsets.to_pylist(), lists.values.to_numpy()  # sorted, and never empty
             for part in W.texts(batch.column("text")):
                 w = W.words(part)
                 owner, number, start, end, _, _, digest = cut(part, w)
-                wanted = batch.column("chunks").slice(part.first, part.last - part.first)
                 digest = digest.view(np.int64)
-                edges = np.searchsorted(owner, np.arange(len(wanted) + 1))
-                hits = [
-                    a + np.flatnonzero(np.isin(digest[a:b], own.values.to_numpy()))
-                    for a, b, own in zip(edges, edges[1:], wanted)
-                ]
-                hits = np.concatenate(hits)
+                edges = np.searchsorted(owner, np.arange(part.last - part.first + 1)).tolist()
+                at = offsets[part.first : part.last + 1]
+                hit = np.zeros(len(owner), bool)
+                for a, b, c, d in zip(edges, edges[1:], at, at[1:]):
+                    own = digest[a:b]
+                    hit[a:b] = wanted[c:d].take(wanted[c:d].searchsorted(own), mode="clip") == own
+                hits = np.flatnonzero(hit)
                 origin, whole = part.starts[owner], part.ends[owner]
                 first, last = (origin + start)[hits], (origin + end)[hits]
                 before, after = around(w, origin[hits], whole[hits], first, last, grow)
@@ -225,39 +293,43 @@ def around(w: W.Words, origin, whole, first, last, grow: int) -> tuple[np.ndarra
     return before, after
 
 
-def runs_of(found: Column) -> Column:
+def runs(later: DataFrame) -> DataFrame:
     """Chunks in a row as one: places, and the first occurrences of the first and the last of them."""
 
-    @arrow_udf("array<struct<start:bigint,end:bigint,first:struct<h1:bigint,h2:bigint,number:bigint>,last:struct<h1:bigint,h2:bigint,number:bigint>>>")
-    def run(column: pa.Array) -> pa.Array:
-        number, start, end = (column.values.field(n).to_numpy() for n in ("number", "start", "end"))
-        first = column.values.field("first")
-        source = pa.StructArray.from_arrays([first.field(n) for n in ("h1", "h2", "number")], ["h1", "h2", "number"])
-        offsets = column.offsets.to_numpy() - column.offsets[0].as_py()
-        begins = np.zeros(len(number) + 1, bool)
-        begins[offsets] = True
-        # A chunk listed twice, for a repeated row, is one.
-        step = np.diff(number)
-        begins[1:-1] |= (step != 0) & (step != 1)
-        at = np.flatnonzero(begins[:-1])
-        to = np.append(at[1:], len(number)) - 1
-        items = [pa.array(start[at]), pa.array(end[to]), source.take(pa.array(at)), source.take(pa.array(to))]
-        items = pa.StructArray.from_arrays(items, ["start", "end", "first", "last"])
-        return pa.ListArray.from_arrays(pa.array(np.searchsorted(at, offsets), pa.int32()), items)
-
-    return run(found)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, _ in whole_groups(batches, "h1"):
+            table = table.combine_chunks()
+            h1, h2, number = (table.column(n).to_numpy() for n in (*TEXT, "number"))
+            new_text = np.ones(len(number), bool)
+            new_text[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+            # A chunk listed twice, for a repeated row, is one.
+            step = np.diff(number)
+            begins = new_text.copy()
+            begins[1:] |= (step != 0) & (step != 1)
+            at = np.flatnonzero(begins)
+            to = np.append(at[1:], len(number)) - 1
+            first_run = np.flatnonzero(new_text[at])
+            run = since(first_run, np.diff(first_run, append=len(at)))
+            begin, finish = table.take(pa.array(at)), table.take(pa.array(to))
+            columns = [begin.column("h1"), begin.column("h2"), pa.chunked_array([pa.array(run)])]
+            columns += [begin.column("start"), finish.column("end"), begin.column("first"), finish.column("first")]
+            names = [*TEXT, "run", "start", "end", "first", "last"]
+            yield from pa.Table.from_arrays(columns, names).to_batches()
+
+    place = "struct<h1:bigint,h2:bigint,number:bigint>"
+    rows = later.select(*TEXT, "number", "start", "end", F.struct("first.h1", "first.h2", "first.number").alias("first"))
+    rows = rows.repartition(*TEXT).sortWithinPartitions(*TEXT, "number")
+    return rows.mapInArrow(run, f"h1 long, h2 long, run long, start long, end long, first {place}, last {place}")
 
 
 def passages(docs: DataFrame, first: DataFrame, grow: int = GROW) -> DataFrame:
     """The runs of each text: places, and the words beside the first occurrences of their ends."""
     candidates, later, read = repeated(docs, first, grow)
-    chunk = F.struct("number", "start", "end", "first")
-    found = later.groupBy(*TEXT).agg(F.array_sort(F.collect_list(chunk)).alias("found"))
-    found = staged(found.select(*TEXT, F.posexplode(runs_of(F.col("found"))).alias("run", "r")), "runs")
+    found = staged(runs(later), "runs")
     drop(*read)
     release(docs.sparkSession)
     # Each end asks for the words beside it, and for the chunk beside it: one of them is there, or neither.
-    asked = [(side, F.col(f"r.{at}"), step) for side, at, step in ((0, "first", -1), (1, "last", 1))]
+    asked = [(side, F.col(at), step) for side, at, step in ((0, "first", -1), (1, "last", 1))]
     lookups = F.array(
         *[
             F.struct(F.lit(side).alias("side"), at["h1"].alias("o1"), at["h2"].alias("o2"), (at["number"] + n).alias("o3"), F.lit(n != 0).alias("beside"))
@@ -274,7 +346,7 @@ def passages(docs: DataFrame, first: DataFrame, grow: int = GROW) -> DataFrame:
     # The nearest words: its own ones, else the chunk beside it.
     words = [F.min_by("words", F.when(F.col("words").isNotNull() & (F.col("side") == k), F.col("beside"))).alias(n) for k, n in ((0, "before"), (1, "after"))]
     beside = beside.groupBy(*TEXT, "run").agg(*words)
-    whole = found.select(*TEXT, "run", "r.start", "r.end").join(beside, [*TEXT, "run"], "left")
+    whole = found.select(*TEXT, "run", "start", "end").join(beside, [*TEXT, "run"], "left")
     span = F.struct("start", "end", "before", "after")
     out = whole.groupBy(*TEXT).agg(F.array_sort(F.collect_list(span)).alias("found"))
     out = staged(out, "passages")
@@ -348,11 +420,11 @@ def remove_repeated(
     @arrow_udf("struct<text:string,removed_words:int>")
     def cleaned(text: pa.Array, found: pa.Array, copy: pa.Array) -> pa.Array:
         flags, present = copy.to_pylist(), found.is_valid().to_pylist()
-        texts, gone = text.to_pylist(), [None] * len(text)
+        texts, gone = [None] * len(text), [None] * len(text)
         for k, is_copy in enumerate(flags):
-            if texts[k] is None or not (is_copy or present[k]):
+            if not text[k].is_valid or not (is_copy or present[k]):
                 continue
-            whole = texts[k].encode()
+            whole = text[k].as_buffer().to_pybytes()
             n = len(whole.split())
             if is_copy:
                 spans = [(0, len(whole))] if n >= min_words else []
@@ -371,6 +443,9 @@ def remove_repeated(
     # The text goes through the shuffle once, in its row.
     doc_id, text = (F.col("_doc").getField(c) for c in ("doc_id", "text"))
     is_copy = F.col("first").isNotNull() & ~doc_id.eqNullSafe(F.col("first.doc_id"))
-    clean = joined.select("_doc", cleaned(text, F.col("_found"), is_copy).alias("_clean"))
-    return clean.select(*unpacked(docs, text=F.col("_clean.text")), F.col("_clean.removed_words").alias(count))
+    # Only texts that may lose words go to Python, and only those that do come back.
+    own = F.when(is_copy | F.col("_found").isNotNull(), text)
+    clean = joined.select("_doc", cleaned(own, F.col("_found"), is_copy).alias("_clean"))
+    text = F.when(F.col("_clean.removed_words").isNotNull(), F.col("_clean.text")).otherwise(text)
+    return clean.select(*unpacked(docs, text=text), F.col("_clean.removed_words").alias(count))
 

@@ -14,6 +14,8 @@ import pyarrow as pa
 import xxhash
 
 SLICE_BYTES = 1 << 18
+#: Bytes whose prefix sums are taken at once; they stay in a core's cache.
+SUM_BYTES = 1 << 15
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -29,13 +31,18 @@ def powers(base: int, n: int) -> np.ndarray:
 
 UP = powers(int(BASE), SLICE_BYTES + 1)
 DOWN = powers(pow(int(BASE), -1, 1 << 64), SLICE_BYTES + 1)
+#: What a word's length adds to its hash: a power for each byte, as bytes count from 1, and the length.
+SIZES = np.concatenate([[np.uint64(0)], np.cumsum(UP, dtype=np.uint64)]) + np.arange(SLICE_BYTES + 2, dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64 bits so that every bit depends on all of them."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 class Texts(NamedTuple):
@@ -73,7 +80,8 @@ def texts(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Texts]:
 
 def words(part: Texts, lower: bool = False, blank: np.ndarray = BLANK) -> Words:
     data = SMALL[part.bytes] if lower else part.bytes
-    inside = ~blank[data]
+    # Comparisons of whole arrays take a tenth of the time of a look at the table.
+    inside = (data != 0x20) & (data - np.uint8(9) > 4) if blank is BLANK else ~blank[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     finishes = inside.copy()
@@ -82,7 +90,8 @@ def words(part: Texts, lower: bool = False, blank: np.ndarray = BLANK) -> Words:
     begins[part.starts[filled]] = inside[part.starts[filled]]
     finishes[part.ends[filled] - 1] = inside[part.ends[filled] - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
-    owner = np.searchsorted(part.starts, start, "right") - 1
+    # An empty text begins where the next one does, and has no words.
+    owner = np.repeat(np.arange(len(part.starts)), np.diff(np.searchsorted(start, part.starts), append=len(start)))
     return Words(owner, start, end, hashes(data, start, end))
 
 
@@ -92,15 +101,21 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     k = 0
     while k < len(start):
         origin = start[k]
-        to = int(np.searchsorted(end, origin + SLICE_BYTES, "right"))
+        to = int(np.searchsorted(end, origin + SUM_BYTES, "right"))
+        if to == k:
+            to = int(np.searchsorted(end, origin + SLICE_BYTES, "right"))
         if to == k:  # one word longer than a slice
             out[k] = xxhash.xxh64_intdigest(data[origin : end[k]].tobytes())
             k += 1
             continue
         s, e = start[k:to] - origin, end[k:to] - origin
         sums = np.zeros(e[-1] + 1, np.uint64)
-        np.cumsum((data[origin : end[to - 1]].astype(np.uint64) + np.uint64(1)) * UP[: e[-1]], out=sums[1:])
-        out[k:to] = mix((sums[e] - sums[s]) * DOWN[s] + (e - s).astype(np.uint64))
+        np.cumsum(data[origin : end[to - 1]] * UP[: e[-1]], out=sums[1:])
+        own = sums[e]
+        own -= sums[s]
+        own *= DOWN[s]
+        own += SIZES[e - s]
+        out[k:to] = mix(own)
         k = to
     return out
 

@@ -268,3 +268,60 @@ def test_spent_tables_go_and_a_text_is_shuffled_once(spark):
     shuffled = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "AS _doc" in x]
     assert len(shuffled) == 1 and ", text#" not in shuffled[0].split("AS _doc")[1]
     assert out.where("removed_words > 0").count() == 3
+
+
+def test_chunks_meet_in_one_shuffle_and_a_common_one_once_a_batch(spark):
+    """Chunks are not written and joined; of one that all texts share, a batch sends one row to where it is counted."""
+    passage = " ".join(prose(60))
+    rows = [(k, "\n".join([passage, *prose(40), *prose(40)])) for k in range(300)]
+    rows += [(300 + k, rows[0][1]) for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    cuts = [set(line_dedup.cut(next(W.texts(pa.array([t]))))[-1].tolist()) for _, t in rows[:300]]
+    count = Counter(x for own in cuts for x in own)
+    again = [n for n in count.values() if n > 1]
+    assert max(again) == 300
+    out = line_dedup.chunks(docs).toPandas()
+    assert len(out) == sum(map(len, cuts)), "copies are cut once"
+    several = out[out.known]
+    assert len(several) == sum(again) and (several.deal == several.chunk).sum() == len(again)
+    found = line_dedup.repeated_chunks(docs)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(len(r.chunks) for r in found.collect()) == sum(again)
+
+
+def test_repeated_chunks_across_batches_equal_plain_counts(spark):
+    rng = random.Random(9)
+    lines = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(50)) for _ in range(6)) for _ in range(80)]
+    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 30))) for _ in range(400)]
+    texts += texts[:40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    own = [r.key for r in spark.createDataFrame([(t,) for t in texts], "text string").select(F.xxhash64("text").alias("key")).collect()]
+    cuts = {}
+    for key, text in zip(own, texts):
+        part = next(W.texts(pa.array([text])))
+        cuts[key] = line_dedup.cut(part)[-1].view(np.int64).tolist()
+    count = Counter(c for chunks in cuts.values() for c in chunks)
+    plain = {k: sorted({c for c in chunks if count[c] > 1}) for k, chunks in cuts.items()}
+    got = {r.key: r.chunks for r in line_dedup.repeated_chunks(docs).collect()}
+    assert got == {k: v for k, v in plain.items() if v}
+
+
+def test_sorted_batches_are_cut_between_groups_only():
+    rng = random.Random(2)
+    values = sorted(rng.randrange(40) for _ in range(500))
+    batches = [pa.RecordBatch.from_pydict({"v": pa.array(values[k : k + 7], pa.int64())}) for k in range(0, 500, 7)]
+    got, groups = [], []
+    for table, at in line_dedup.whole_groups(iter(batches), "v", rows=20):
+        own = table.column("v").to_pylist()
+        groups += [own[k] for k in at]
+        got += own
+    assert got == values and groups == sorted(set(values))
+    assert not list(line_dedup.whole_groups(iter([batches[0].slice(0, 0)]), "v"))
+
+
+def test_documents_without_id_come_first(spark):
+    text, other = " ".join(prose(30)), " ".join(prose(30))
+    rows = [(None, text), (3, text), (None, text), (None, other), (4, text + " x")]
+    first = line_dedup.firsts(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {(r.first.doc_id, r.copied) for r in first.collect()}
+    assert got == {(None, True), (None, False), (4, False)} and first.count() == 3
